@@ -72,13 +72,9 @@ def quakes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _document_id(key: Column) -> Column:
-    return F.floor(key / DOCUMENT_SIZE).cast("bigint")
-
-
 def _documents(items: DataFrame, name: str, key: str) -> DataFrame:
     """``(message_id, key, value)`` documents of up to DOCUMENT_SIZE items."""
-    grouped = items.groupBy(_document_id(F.col("event_id")).alias("doc_id")).agg(
+    grouped = items.groupBy(F.expr(f"event_id div {DOCUMENT_SIZE}").alias("doc_id")).agg(
         F.collect_list("item").alias(name)
     )
     return grouped.select(
@@ -214,7 +210,7 @@ def indicator_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
             ),
         ).alias("indicator"),
     )
-    number = F.floor(key / PAGE_SIZE).cast("bigint")
+    number = F.expr(f"o_orderkey div {PAGE_SIZE}")
     pages = rows.groupBy("country_code", "indicator_id", number.alias("page_id")).agg(
         F.collect_list(entry).alias("entries"), F.count(F.lit(1)).alias("n")
     )

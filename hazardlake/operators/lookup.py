@@ -34,8 +34,12 @@ def lookup(
 def self_dimension(
     df: DataFrame, code: str = "country_code", name: str = "country_name"
 ) -> DataFrame:
-    """One name per code, taken from the data; the last name in text order wins."""
-    return df.groupBy(code).agg(F.max(name).alias(name))
+    """One name per code, taken from the data; the last name in text order wins.
+
+    The pairs are made distinct first: that is a hash aggregate, whereas the maximum of a
+    text column sorts its input, and by then there is little left to sort.
+    """
+    return df.select(code, name).distinct().groupBy(code).agg(F.max(name).alias(name))
 
 
 def request_plan(entities: DataFrame, indicators: Sequence[str]) -> DataFrame:
@@ -67,8 +71,9 @@ def entity_pairs(
 
 def indicator_directory(df: DataFrame) -> DataFrame:
     """Name and number of values per indicator, most data first; empty ones left out."""
-    counted = df.groupBy("indicator_id").agg(
-        F.min("indicator_name").alias("indicator_name"), F.count("value").alias("n_values")
+    named = df.groupBy("indicator_id", "indicator_name").agg(F.count("value").alias("n"))
+    counted = named.groupBy("indicator_id").agg(
+        F.min("indicator_name").alias("indicator_name"), F.sum("n").alias("n_values")
     )
     return counted.filter(F.col("n_values") > 0).orderBy(F.desc("n_values"), "indicator_id")
 

@@ -26,12 +26,20 @@ def recent_events(
 
 
 def first_entities(
-    df: DataFrame, n: int = K.FIRST_ENTITIES, code: str = "country_code"
+    df: DataFrame,
+    n: int = K.FIRST_ENTITIES,
+    code: str = "country_code",
+    value: str = "value",
 ) -> DataFrame:
-    """Rows of the first ``n`` entities in code order."""
-    chosen = df.select(code).na.drop().distinct().orderBy(code).limit(n)
+    """Rows with a value of the first ``n`` entities in code order.
+
+    Both sides of the join start from the same filtered rows. When those are an aggregate,
+    it is computed once and its exchange used twice.
+    """
+    rows = df.filter(F.col(code).isNotNull() & F.col(value).isNotNull())
+    chosen = rows.select(code).distinct().orderBy(code).limit(n)
     # At most n rows, so the hint is safe at any input size.
-    return df.join(F.broadcast(chosen), code, "left_semi")
+    return rows.join(F.broadcast(chosen), code, "left_semi")
 
 
 def preview(df: DataFrame, n: int = 10) -> DataFrame:

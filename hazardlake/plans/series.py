@@ -44,8 +44,9 @@ def indicator_series(
     rows = select_entity(observations(df, indicator), entity)
     means = entity_year_mean(rows, exact_scale)
     everything = not entity or entity == K.ALL_CODE
-    chosen = first_entities(means, n) if everything else means
-    named = lookup(chosen, self_dimension(df), "country_code", "country_name")
+    if everything:
+        means = first_entities(means, n)
+    named = lookup(means, self_dimension(df), "country_code", "country_name")
     title = series_title(
         indicator_name(df, indicator), None if everything else F.col("country_name")
     )

@@ -235,9 +235,9 @@ def series_one_entity(spark, sf_dir):
 
 
 @query(
-    f"""WITH {_OBSERVED} SELECT country_code, year FROM means WHERE country_code IN (
+    f"""WITH {_OBSERVED} SELECT country_code, year, value FROM means WHERE country_code IN (
     SELECT DISTINCT country_code FROM means ORDER BY country_code LIMIT 5)"""
 )
 def first_entities(spark, sf_dir):
-    means = G.entity_year_mean(series.observations(A.panel(spark, sf_dir), "O"))
-    return O.first_entities(means, 5).select("country_code", "year")
+    means = G.entity_year_mean(series.observations(A.panel(spark, sf_dir), "O"), exact_scale=2)
+    return O.first_entities(means, 5)

@@ -104,9 +104,7 @@ def _gold(spark, documents, hazard, topic=False, **settings):
 def stream_quake_gold(spark, sf_dir):
     root = _gold(spark, A.quake_documents(spark, sf_dir), H.QUAKE, exact_scale=5)
     gold = spark.read.parquet(f"{root}/table")
-    return gold.withColumn("message_id", F.col("message_id").cast("string")).drop(
-        "batch_id", "analytics_timestamp"
-    )
+    return gold.drop("batch_id", "analytics_timestamp")
 
 
 @query(f"WITH {sql.FLAT} SELECT region, severity_level, {_QUAKE_STATS} FROM flat GROUP BY 1, 2")
@@ -126,7 +124,7 @@ _TITLES = """COUNT(*) AS volcano_count, array_to_string(list_sort(list(title)),
 def stream_volcano_gold(spark, sf_dir):
     root = _gold(spark, A.volcano_documents(spark, sf_dir), H.VOLCANO)
     return spark.read.parquet(f"{root}/table").select(
-        F.col("message_id").cast("string").alias("message_id"),
+        "message_id",
         *GROUP,
         "volcano_count",
         F.array_join("volcano_titles", "|").alias("titles"),
