@@ -22,29 +22,18 @@ def round_display(value: Column, digits: int) -> Column:
 def round_exact(value: Column, digits: int) -> Column:
     """Nearest decimal to the exact binary value, half to even.
 
-    ``round_display`` can land on the wrong side when scaling moves a value onto a tie
-    (35.1235 is stored slightly below the tie). Here the value is compared with the
-    midpoint between its two neighbours; when both are the same double, the sign of the
-    midpoint's own rounding error decides. NaN and numbers too large to have a fraction
-    stay as they are.
+    Scaling rounds, and so can move a value onto a tie that it is not on (35.1235 is stored
+    slightly below the tie). The value is therefore split in two parts whose products with
+    the scale are exact; their distance to the first guess shows whether it is one off.
+    NaN and very large numbers stay as they are.
     """
     scale = float(10**digits)
-    low = F.floor(value * scale).cast("double")
-    odd = low * 2.0 + 1.0
-    middle = odd / (2.0 * scale)
-    # Split the midpoint so that both partial products with the scale are exact.
-    spread = middle * 134217729.0
-    high = spread - (spread - middle)
-    error = (high * (2.0 * scale) - odd) + (middle - high) * (2.0 * scale)
-    # A positive error means the true midpoint lies below its double, hence below the value.
-    tie = (value == middle) & (error == 0)
-    up = (
-        (value > middle)
-        | ((value == middle) & (error > 0))
-        | (tie & (F.pmod(low, F.lit(2.0)) == 1.0))
-    )
-    rounded = F.when(up, low + 1.0).otherwise(low) / scale
-    return F.when(F.abs(value * scale) < 2.0**52, rounded).otherwise(value)
+    guess = F.rint(value * scale)
+    spread = value * 134217729.0
+    high = spread - (spread - value)
+    distance = (high * scale - guess) + (value - high) * scale
+    rounded = (guess + F.rint(distance)) / scale
+    return F.when(F.abs(value) < 1e15, rounded).otherwise(value)
 
 
 def age_minutes(ts: Column, now: Column) -> Column:

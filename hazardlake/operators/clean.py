@@ -5,7 +5,7 @@ from __future__ import annotations
 import warnings
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -17,13 +17,32 @@ from hazardlake.functions.classify import contains_any
 from hazardlake.functions.convert import to_number
 
 
-def require_position(df: DataFrame, lat: str = "latitude", lon: str = "longitude") -> DataFrame:
-    return df.na.drop(subset=[lat, lon])
+def missing_tests(df: DataFrame, columns: Sequence[str]) -> list[Column]:
+    """One null test per column, that also finds NaN in floating columns."""
+    tests = []
+    for name in columns:
+        test = F.col(name).isNull()
+        if df.schema[name].dataType.typeName() in ("double", "float"):
+            test = test | F.isnan(name)
+        tests.append(test)
+    return tests
+
+
+def any_missing(df: DataFrame, columns: Sequence[str]) -> Column:
+    return reduce(or_, missing_tests(df, columns))
 
 
 def drop_incomplete(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Drop rows that are null or NaN in any of the columns."""
-    return df.na.drop(subset=list(columns))
+    """Drop rows that are null or NaN in any of the columns.
+
+    One predicate per column, so that each goes down to the scan or the join side that
+    holds its column; ``na.drop`` tests all columns in a single one that cannot.
+    """
+    return df.filter(reduce(and_, [~test for test in missing_tests(df, columns)]))
+
+
+def require_position(df: DataFrame, lat: str = "latitude", lon: str = "longitude") -> DataFrame:
+    return drop_incomplete(df, [lat, lon])
 
 
 def year_between(
@@ -39,7 +58,9 @@ def year_between(
             column, F.col(column).cast("int")
         )
     year = to_number(F.col(column), kind)
-    return df.filter(year.between(low, high)).withColumn(column, year.cast("int"))
+    # Distance from the middle instead of two bounds, so the text is parsed once.
+    inside = F.abs(year - (low + high) / 2) <= (high - low) / 2
+    return df.filter(inside).withColumn(column, year.cast("int"))
 
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
@@ -157,14 +178,3 @@ def select_with_defaults(df: DataFrame, defaults: Mapping[str, Any]) -> DataFram
             for name, value in defaults.items()
         ]
     )
-
-
-def any_missing(df: DataFrame, columns: Sequence[str]) -> Column:
-    """Null (or NaN, for floating columns) in one of the columns."""
-    tests = []
-    for name in columns:
-        test = F.col(name).isNull()
-        if df.schema[name].dataType.typeName() in ("double", "float"):
-            test = test | F.isnan(name)
-        tests.append(test)
-    return reduce(or_, tests)

@@ -18,7 +18,7 @@ from hazardlake.functions.display import (
     yes_no,
 )
 from hazardlake.operators.clean import require_position, select_with_defaults
-from hazardlake.operators.order import recent_events
+from hazardlake.operators.order import newest_first, recent_events
 
 
 def quake_markers(quakes: DataFrame, now: Column) -> DataFrame:
@@ -62,11 +62,10 @@ def map_features(
 
 
 def detail_rows(df: DataFrame) -> DataFrame:
-    """Display columns of the detail table, unsorted."""
+    """Display columns of the detail table, in the order of the input."""
     shown = select_with_defaults(
         df,
         {
-            "id": None,
             "timestamp": None,
             "magnitude": None,
             "place": None,
@@ -81,23 +80,23 @@ def detail_rows(df: DataFrame) -> DataFrame:
             "longitude": None,
         },
     )
-    return shown.select(
-        "id",
-        fmt_ts(F.col("timestamp")).alias("timestamp"),
-        round_display(F.col("magnitude"), 1).alias("magnitude"),
-        "place",
-        round_display(F.col("depth"), 1).alias("depth"),
-        title_case(F.col("severity_level")).alias("severity_level"),
-        "region",
-        "status",
-        "significance",
-        "alert",
-        yes_no(F.col("tsunami")).alias("tsunami"),
-        round_exact(F.col("latitude"), 3).alias("latitude"),
-        round_exact(F.col("longitude"), 3).alias("longitude"),
+    return shown.withColumns(
+        {
+            "timestamp": fmt_ts(F.col("timestamp")),
+            "magnitude": round_display(F.col("magnitude"), 1),
+            "depth": round_display(F.col("depth"), 1),
+            "severity_level": title_case(F.col("severity_level")),
+            "tsunami": yes_no(F.col("tsunami")),
+            "latitude": round_exact(F.col("latitude"), 3),
+            "longitude": round_exact(F.col("longitude"), 3),
+        }
     )
 
 
 def detail_table(df: DataFrame) -> DataFrame:
-    """Detail rows, newest first; the event id only breaks ties of the sort."""
-    return detail_rows(df).orderBy(F.desc("timestamp"), "id").drop("id")
+    """Detail rows, newest first.
+
+    Sorted before they are formatted: the sort samples its input, and so would format
+    every row twice.
+    """
+    return detail_rows(newest_first(df))

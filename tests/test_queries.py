@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
+import io
+import re
+
 import pytest
 from oracle import compare, connect
 
@@ -68,3 +72,17 @@ def test_top_k_and_column_pruning(spark):
     assert "PushedFilters: [IsNotNull(o_orderstatus), EqualTo(o_orderstatus,F)" in executed(
         spark, "select_indicator"
     )
+
+
+def test_generated_methods_stay_small_enough_to_be_compiled(spark):
+    """The JVM never compiles a method of more than 8000 bytes; it would stay interpreted."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for name in BATCH:
+            out = io.StringIO()
+            with contextlib.redirect_stdout(out):
+                QUERIES[name](spark, SF_DIR).explain("codegen")
+            sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", out.getvalue())]
+            assert max(sizes, default=0) < 8000, name
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
