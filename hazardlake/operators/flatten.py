@@ -7,7 +7,7 @@ the row form (``explode`` and project, inside generated code) and the message fo
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,10 +23,28 @@ from hazardlake.functions.convert import decode, epoch_ms, from_end, from_start
 from hazardlake.schemas import CORRUPT, INDICATOR_ENTRIES
 
 Fields = Callable[[Column], dict[str, Column]]
+# Columns by name: a mapping, or a struct column.
+Record = Mapping[str, Column] | Column
 
 
 def parse_documents(df: DataFrame, schema, value: str = "value", doc: str = "doc") -> DataFrame:
-    return df.withColumn(doc, decode(F.col(value), schema))
+    """Add the parsed document.
+
+    It comes out of a one-element generator, because a filter on a plain parsed column is
+    pushed below it with the parser inside and parses every document once more.
+    """
+    return df.select("*", F.explode_outer(F.array(decode(F.col(value), schema))).alias(doc))
+
+
+def items_of(df: DataFrame, array: str | Column, *keep: str) -> DataFrame:
+    """One row per array element that is not null, as ``_item``.
+
+    The plain ``explode`` adds a filter on the size of the array, which would evaluate (and
+    for documents parse) the array twice; the outer form with a filter behind it does not.
+    """
+    return df.select(*keep, F.explode_outer(array).alias("_item")).filter(
+        F.col("_item").isNotNull()
+    )
 
 
 def corrupt_documents(df: DataFrame, items: str, doc: str = "doc") -> DataFrame:
@@ -98,8 +116,7 @@ def volcano_fields(event: Column) -> dict[str, Column]:
 
 def flatten(df: DataFrame, items: str | Column, fields: Fields, *keep: str) -> DataFrame:
     """One row per array element; nothing but ``keep`` travels along with it."""
-    array = F.col(items) if isinstance(items, str) else items
-    rows = df.select(*keep, F.explode(array).alias("_item"))
+    rows = items_of(df, items, *keep)
     columns = fields(F.col("_item"))
     return rows.select(*keep, *[column.alias(name) for name, column in columns.items()])
 
@@ -119,14 +136,14 @@ def flatten_events_latest_geom(df: DataFrame, items: str = "doc.events", *keep:
     return flatten(df, items, volcano_fields, *keep)
 
 
-def quake_classes(record: Mapping[str, Column]) -> dict[str, Column]:
+def quake_classes(record: Record) -> dict[str, Column]:
     return {
         "severity_level": severity_level(record["magnitude"]),
         "region": latitude_band(record["latitude"], record["longitude"]),
     }
 
 
-def volcano_classes(record: Mapping[str, Column]) -> dict[str, Column]:
+def volcano_classes(record: Record) -> dict[str, Column]:
     return {
         "severity_level": keyword_class(record["title"]),
         "region": latitude_band(record["latitude"], record["longitude"]),
@@ -145,15 +162,24 @@ def classify_volcanoes(df: DataFrame) -> DataFrame:
     return df.withColumns(volcano_classes(_columns(df)))
 
 
-def records_array(items: Column, fields: Fields, extra: Callable) -> Column:
-    """Array of records with their extra columns, element by element, for message values."""
+def _struct(columns: Mapping[str, Column]) -> Column:
+    return F.struct(*[column.alias(name) for name, column in columns.items()])
+
+
+def records_array(
+    items: Column, fields: Fields, extra: Callable[[Column], dict[str, Column]], names: Sequence[str]
+) -> Column:
+    """Array of records with the named fields, element by element, for message values.
+
+    Two steps, so that the extra columns read finished fields instead of deriving each of
+    them again wherever they use it.
+    """
 
-    def record(item: Column) -> Column:
-        base = fields(item)
-        columns = {**base, **extra(base)}
-        return F.struct(*[column.alias(name) for name, column in columns.items()])
+    def finish(record: Column) -> Column:
+        more = extra(record)
+        return _struct({name: more[name] if name in more else record[name] for name in names})
 
-    return F.transform(items, record)
+    return F.transform(F.transform(items, lambda item: _struct(fields(item))), finish)
 
 
 def indicator_entries(document: Column) -> Column:
@@ -176,18 +202,18 @@ def flatten_indicators(
     code, indicator = F.col("country_code"), F.col("indicator_id")
     label = style_lookup(indicator, labels, None) if labels else F.lit(None).cast("string")
     name = style_lookup(code, names, None) if names else F.lit(None).cast("string")
-    rows = df.select("country_code", "indicator_id", F.explode(entries).alias("e"))
-    return rows.filter(F.col("e.value").isNotNull()).select(
+    rows = items_of(df, entries, "country_code", "indicator_id")
+    return rows.filter(F.col("_item.value").isNotNull()).select(
         "country_code",
         F.coalesce(name, code).alias("country_name"),
         "indicator_id",
         F.coalesce(label, indicator).alias("indicator_name"),
         style_lookup(indicator, categories, K.OTHER_CATEGORY).alias("indicator_category"),
-        F.col("e.date").alias("year"),
-        F.col("e.value").alias("value"),
-        F.coalesce("e.unit", F.lit("")).alias("unit"),
-        F.coalesce("e.obs_status", F.lit("")).alias("obs_status"),
-        F.coalesce("e.decimal", F.lit(0)).alias("decimal"),
-        F.coalesce("e.indicator.value", label, indicator).alias("indicator_description"),
-        F.coalesce("e.source.value", F.lit(K.DEFAULT_SOURCE)).alias("source"),
+        F.col("_item.date").alias("year"),
+        F.col("_item.value").alias("value"),
+        F.coalesce("_item.unit", F.lit("")).alias("unit"),
+        F.coalesce("_item.obs_status", F.lit("")).alias("obs_status"),
+        F.coalesce("_item.decimal", F.lit(0)).alias("decimal"),
+        F.coalesce("_item.indicator.value", label, indicator).alias("indicator_description"),
+        F.coalesce("_item.source.value", F.lit(K.DEFAULT_SOURCE)).alias("source"),
     )

@@ -1,4 +1,8 @@
-"""Topics of JSON messages, on Kafka or as folders of JSON lines."""
+"""Topics of JSON messages, on Kafka or as folders of files.
+
+Files are Parquet by default: the values are compressed, and a JSON value does not have to
+be escaped into, and parsed out of, another JSON line.
+"""
 
 from __future__ import annotations
 
@@ -7,6 +11,8 @@ from pyspark.sql import functions as F
 
 from hazardlake.schemas import MESSAGE
 
+FILES = "parquet"
+
 
 def _kafka_messages(df: DataFrame) -> DataFrame:
     return df.select(
@@ -16,9 +22,7 @@ def _kafka_messages(df: DataFrame) -> DataFrame:
     )
 
 
-def read_stream(
-    spark: SparkSession, topic: str, fmt: str = "json", **options: str
-) -> DataFrame:
+def read_stream(spark: SparkSession, topic: str, fmt: str = FILES, **options: str) -> DataFrame:
     """Messages of a topic from the earliest on, as ``(message_id, key, value)``.
 
     ``topic`` is a topic name for Kafka and a folder otherwise. Progress is kept in the
@@ -26,11 +30,12 @@ def read_stream(
     """
     if fmt == "kafka":
         reader = spark.readStream.format("kafka").option("subscribe", topic)
-        return _kafka_messages(reader.option("startingOffsets", "earliest").options(**options).load())
+        reader = reader.option("startingOffsets", "earliest").options(**options)
+        return _kafka_messages(reader.load())
     return spark.readStream.schema(MESSAGE).options(**options).format(fmt).load(topic)
 
 
-def read_messages(spark: SparkSession, topic: str, fmt: str = "json") -> DataFrame:
+def read_messages(spark: SparkSession, topic: str, fmt: str = FILES) -> DataFrame:
     """The messages of a file-backed topic as a batch."""
     return spark.read.schema(MESSAGE).format(fmt).load(topic)
 
@@ -45,7 +50,9 @@ def records_as_messages(df: DataFrame, message_id: Column, key: str) -> DataFram
     return df.select(*as_message(message_id, key, record))
 
 
-def publish(df: DataFrame, topic: str, fmt: str = "json", mode: str = "append", **options: str):
+def publish(
+    df: DataFrame, topic: str, fmt: str = FILES, mode: str = "append", **options: str
+) -> None:
     """Write ``(message_id, key, value)`` rows to a topic."""
     if fmt == "kafka":
         df.select("key", "value").write.format("kafka").option("topic", topic).options(

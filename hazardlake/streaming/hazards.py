@@ -23,7 +23,7 @@ from hazardlake.operators.aggregate import (
 )
 from hazardlake.operators.project import add_analytics_meta, processing_meta
 from hazardlake.sources.tables import archive_snapshot, write_table
-from hazardlake.sources.topics import as_message, publish, read_stream
+from hazardlake.sources.topics import FILES, as_message, publish, read_stream
 
 Trigger = Mapping[str, object]
 POLL: Trigger = {"processingTime": K.POLL_INTERVAL}
@@ -90,7 +90,8 @@ def silver_messages(messages: DataFrame, hazard: Hazard, now: Column | None = No
 
     parsed = parse(messages, hazard)
     items = F.col(f"doc.{hazard.items}")
-    value = F.to_json(flat.records_array(items, hazard.fields, extra))
+    names = hazard.silver.fieldNames()
+    value = F.to_json(flat.records_array(items, hazard.fields, extra, names))
     return parsed.filter(F.size(items) > 0).select(
         *as_message(F.col("message_id"), f"{hazard.name}-silver", value)
     )
@@ -105,7 +106,7 @@ def quarantined(messages: DataFrame, hazard: Hazard) -> DataFrame:
 def silver_records(messages: DataFrame, hazard: Hazard) -> DataFrame:
     """Records of silver messages, with the id of their message."""
     array = F.from_json("value", f"ARRAY<{hazard.silver.simpleString()}>")
-    return messages.select("message_id", F.inline(array))
+    return flat.items_of(messages, array, "message_id").select("message_id", "_item.*")
 
 
 def gold_per_message(
@@ -171,7 +172,7 @@ def silver_stream(
     quarantine: str | None = None,
     dedup: str | None = None,
     trigger: Trigger = POLL,
-    topic_format: str = "json",
+    topic_format: str = FILES,
     table_format: str = "parquet",
     now: Column | None = None,
 ) -> dict[str, StreamingQuery]:
@@ -220,7 +221,7 @@ def gold_stream(
     topic: str | None = None,
     mode: str = "per_batch",
     trigger: Trigger = POLL,
-    topic_format: str = "json",
+    topic_format: str = FILES,
     exact_scale: int | None = None,
     per_row: int | None = None,
     now: Column | None = None,
@@ -339,7 +340,7 @@ def start(
     layer: str,
     spark: SparkSession,
     source: str,
-    fmt: str = "json",
+    fmt: str = FILES,
     options: Mapping[str, str] | None = None,
     **settings,
 ):
