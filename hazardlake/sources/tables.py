@@ -104,24 +104,31 @@ def list_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     return files.select("path", F.col("modificationTime").alias("modification_time"), "length")
 
 
-def _newest(files: DataFrame, column: str) -> str | None:
-    """Column of the file modified last; among equals of the smallest path."""
-    row = files.orderBy(F.desc("modification_time"), "path").select(column).limit(1).first()
-    return row[0] if row else None
+def list_snapshots(spark: SparkSession, path: str) -> DataFrame:
+    """The JSON snapshots below a folder, each with the folder it lies in as ``prefix``.
+
+    A snapshot is a ``.json`` file, or a folder of that name with files in it, as the
+    archive sink writes; such a folder counts once, with its latest modification.
+    """
+    snapshot = F.regexp_extract("path", r"^(.*\.json)(/[^/]*)?$", 1)
+    files = list_files(spark, path).withColumn("path", snapshot).filter(F.col("path") != "")
+    whole = files.groupBy("path").agg(
+        F.max("modification_time").alias("modification_time"), F.sum("length").alias("length")
+    )
+    return whole.withColumn("prefix", F.regexp_extract("path", "^(.*)/[^/]*$", 1))
+
+
+def _newest(files: DataFrame) -> str | None:
+    """Path modified last; among equals the smallest."""
+    row = files.orderBy(F.desc("modification_time"), "path").select("path").limit(1).first()
+    return row.path if row else None
 
 
 def read_latest_snapshot(
     spark: SparkSession, path: str, schema: StructType, multi_line: bool = True
 ) -> DataFrame:
-    """The newest JSON snapshot of a folder; nothing else is read.
-
-    A snapshot is a ``.json`` file, or a folder of that name with files in it, as the
-    archive sink writes.
-    """
-    files = list_files(spark, path)
-    snapshot = F.regexp_extract("path", r"^(.*\.json)(/[^/]*)?$", 1)
-    files = files.withColumn("snapshot", snapshot).filter(F.col("snapshot") != "")
-    newest = _newest(files, "snapshot")
+    """The newest JSON snapshot of a folder; nothing else is read."""
+    newest = _newest(list_snapshots(spark, path))
     if newest is None:
         return empty_like(spark, schema)
     return spark.read.schema(schema).option("multiLine", multi_line).json(newest)
@@ -129,7 +136,7 @@ def read_latest_snapshot(
 
 def read_latest_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """The newest CSV file of a folder."""
-    newest = _newest(list_files(spark, path, "*.csv"), "path")
+    newest = _newest(list_files(spark, path, "*.csv"))
     return empty_like(spark, schema) if newest is None else read_csv(spark, newest, schema)
 
 

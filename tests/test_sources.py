@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from hazardlake import schemas as S
 from hazardlake.operators import quality as Q
+from hazardlake.operators.order import expired_snapshots
 from hazardlake.session import scratch_path
 from hazardlake.sources import tables as T
 from hazardlake.sources.topics import publish, read_messages, records_as_messages
@@ -90,6 +91,18 @@ def test_archive_keeps_whole_documents(spark, folder):
     assert sorted(ids) == ["n1", "n2", "n3"]
 
 
+def test_retention_of_archived_snapshots(spark, folder):
+    docs = spark.createDataFrame([(_document("a"),), (_document("b"),)], "value string")
+    for day in range(1, 8):
+        T.archive_snapshot(docs.repartition(2), f"{folder}/quakes", "earthquakes", datetime(2024, 1, day))
+    T.archive_snapshot(docs, f"{folder}/volcanoes", "volcanoes", datetime(2024, 1, 1))
+    snapshots = T.list_snapshots(spark, folder)
+    assert snapshots.count() == 8
+    expired = sorted(r.path.rsplit("/", 1)[1] for r in expired_snapshots(snapshots).collect())
+    assert expired == ["earthquakes_20240101_000000_0.json", "earthquakes_20240102_000000_0.json"]
+    assert Q.freshness(snapshots, F.lit("2024-01-07").cast("date")).first().ok
+
+
 def test_latest_csv(spark, folder):
     T.write_table(sample(spark), f"{folder}/x")
     assert T.read_latest_csv(spark, f"{folder}/x", ROWS).count() == 0
