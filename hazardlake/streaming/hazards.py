@@ -145,20 +145,27 @@ def _file_sink(
     checkpoint: str,
     trigger: Trigger,
     partition_by: Sequence[str] = (),
+    options: Mapping[str, str] | None = None,
 ) -> StreamingQuery:
     """Append to files; the sink's log makes each batch count exactly once."""
-    writer = df.writeStream.format(fmt).option("checkpointLocation", checkpoint)
+    writer = df.writeStream.format(fmt).options(**options or {})
+    writer = writer.option("checkpointLocation", checkpoint)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     return writer.trigger(**trigger).start(path)
 
 
 def _topic_sink(
-    df: DataFrame, fmt: str, topic: str, checkpoint: str, trigger: Trigger, **options: str
+    df: DataFrame,
+    fmt: str,
+    topic: str,
+    checkpoint: str,
+    trigger: Trigger,
+    options: Mapping[str, str] | None,
 ) -> StreamingQuery:
     if fmt != "kafka":
-        return _file_sink(df, fmt, topic, checkpoint, trigger)
-    writer = df.select("key", "value").writeStream.format("kafka").options(**options)
+        return _file_sink(df, fmt, topic, checkpoint, trigger, options=options)
+    writer = df.select("key", "value").writeStream.format("kafka").options(**options or {})
     writer = writer.option("topic", topic).option("checkpointLocation", checkpoint)
     return writer.trigger(**trigger).start()
 
@@ -173,6 +180,7 @@ def silver_stream(
     dedup: str | None = None,
     trigger: Trigger = POLL,
     topic_format: str = FILES,
+    topic_options: Mapping[str, str] | None = None,
     table_format: str = "parquet",
     now: Column | None = None,
 ) -> dict[str, StreamingQuery]:
@@ -193,7 +201,9 @@ def silver_stream(
     }
     if topic:
         out = silver_messages(messages, hazard, now)
-        queries["topic"] = _topic_sink(out, topic_format, topic, f"{checkpoint}/topic", trigger)
+        queries["topic"] = _topic_sink(
+            out, topic_format, topic, f"{checkpoint}/topic", trigger, topic_options
+        )
     if quarantine:
         bad = quarantined(messages, hazard)
         queries["quarantine"] = _file_sink(
@@ -222,6 +232,7 @@ def gold_stream(
     mode: str = "per_batch",
     trigger: Trigger = POLL,
     topic_format: str = FILES,
+    topic_options: Mapping[str, str] | None = None,
     exact_scale: int | None = None,
     per_row: int | None = None,
     now: Column | None = None,
@@ -246,11 +257,12 @@ def gold_stream(
             gold = gold.persist()
         write_table(gold, f"{table}/batch_id={batch_id}", partition_by=GROUP)
         if topic:
-            out = gold_messages(gold, hazard)
+            out, options = gold_messages(gold, hazard), topic_options or {}
             if topic_format == "kafka":
-                publish(out, topic, "kafka")
+                publish(out, topic, "kafka", **options)
             else:
-                publish(out, f"{topic}/batch_id={batch_id}", topic_format, "overwrite")
+                folder = f"{topic}/batch_id={batch_id}"
+                publish(out, folder, topic_format, "overwrite", **options)
             gold.unpersist()
 
     return _each_batch(messages, handle, checkpoint, trigger)

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -72,6 +73,16 @@ def test_quake_silver(spark, folder):
     )
 
 
+def test_topic_options_reach_the_sinks(spark, folder):
+    settings = {"topic_format": "json", "topic_options": {"compression": "gzip"}}
+    paths = run_silver(spark, folder, documents(), **settings)
+    assert list(Path(paths["topic"]).glob("*.json.gz"))
+    silver = silver_messages(spark, documents(), H.QUAKE)
+    run_gold(spark, f"{folder}/g", silver, H.QUAKE, topic=f"{folder}/goldtopic", **settings)
+    assert list(Path(f"{folder}/goldtopic").glob("batch_id=*/*.json.gz"))
+    assert read_messages(spark, f"{folder}/goldtopic", "json").count() == 2
+
+
 def test_volcano_silver(spark, folder):
     docs = [{"events": [volcano("a", "Large one", -70.0), {"id": "b", "geometry": []}]}, "{}"]
     paths = run_silver(spark, folder, docs, H.VOLCANO)
