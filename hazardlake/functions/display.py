@@ -24,15 +24,17 @@ def round_exact(value: Column, digits: int) -> Column:
 
     Scaling rounds, and so can move a value onto a tie that it is not on (35.1235 is stored
     slightly below the tie). The value is therefore split in two parts whose products with
-    the scale are exact; their distance to the first guess shows whether it is one off.
+    the scale are exact. Their distance to the first guess, less one half, shows on which
+    side of the tie the value lies; one half goes first, as the sum with it would round.
     NaN and very large numbers stay as they are.
     """
     scale = float(10**digits)
     guess = F.rint(value * scale)
     spread = value * 134217729.0
     high = spread - (spread - value)
-    distance = (high * scale - guess) + (value - high) * scale
-    rounded = (guess + F.rint(distance)) / scale
+    main, rest = high * scale - guess, (value - high) * scale
+    step = F.when((main - 0.5) + rest > 0, 1.0).when((main + 0.5) + rest < 0, -1.0)
+    rounded = (guess + step.otherwise(0.0)) / scale
     return F.when(F.abs(value) < 1e15, rounded).otherwise(value)
 
 

@@ -124,6 +124,8 @@ def test_exact_rounding_matches_python(label, digits):
     values += [rng.randrange(-1_800_000, 1_800_000) / 10_000 for _ in range(4000)]
     values += [rng.randrange(-4000, 4000) / 16 for _ in range(1000)]
     values += [rng.uniform(-180, 180) for _ in range(1000)]
+    values += [sign * n / 20_000 for n in range(3000) for sign in (1, -1)]
+    values += [n / 40 for n in range(2000)] + [rng.uniform(-1, 1) / 1000 for _ in range(1000)]
     got = label(values, "v double", lambda c: D.round_exact(c, digits))
     assert got == [round(v, digits) for v in values]
     text = label(values, "v double", lambda c: D.fixed(c, digits))
