@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from hazardlake.llm import language, toxicity
 from hazardlake.llm.near_dedup import near_groups
+from hazardlake.llm.pieces import encode_texts
+from hazardlake.llm.span_dedup import without_repeats
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -19,6 +23,60 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+@_query
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    encoded = encode_texts(docs, public_tokenizers.path("piece_bpe_32k.model"), round_trip=True)
+    return encoded.select(
+        "row.doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
+    )
+
+
 @_query
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(_documents(spark, sf_dir))
+
+
+@_query
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = without_repeats(_documents(spark, sf_dir))
+    return cut.select("row.doc_id", F.col("kept_text").alias("text"), "sentences", "removed")
+
+
+@_query
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select("doc_id", "text", "lang")
+    aside = language.held_out(F.col("doc_id"), 3, 1)
+    model = language.fit(docs.filter(~aside))
+    found = language.identify(docs.select("doc_id", "text"), model)
+    return found.select(
+        "row.doc_id",
+        language.held_out(F.col("row.doc_id"), 3, 1).alias("held_out"),
+        F.col("language").alias("lang_pred"),
+        "score",
+        "rejected",
+    )
+
+
+def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
+    """Trained on the labels that are not held out."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", F.col("toxic").alias("label"))
+    return toxicity.fit(_documents(spark, sf_dir), labels.filter(~language.held_out(F.col("doc_id"), 4, 2)))
+
+
+@_query
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    scored = toxicity.score_documents(docs, toxicity_model(spark, sf_dir))
+    return scored.select(
+        "row.doc_id",
+        language.held_out(F.col("row.doc_id"), 4, 2).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+        "offending",
+    )
