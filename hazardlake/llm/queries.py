@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardlake.llm import language, toxicity
+from hazardlake.llm import fingerprints, language, neighbours, toxicity
 from hazardlake.llm.near_dedup import near_groups
 from hazardlake.llm.pieces import encode_texts
 from hazardlake.llm.span_dedup import without_repeats
@@ -80,3 +80,14 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
         "offending",
     )
+
+
+@_query
+def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return neighbours.nearest_neighbours(vectors, F.col("vec_id") % 50 == 0, 5)
+
+
+@_query
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.against_edits(_documents(spark, sf_dir))
