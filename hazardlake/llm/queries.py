@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardlake.llm import fingerprints, language, neighbours, toxicity
+from hazardlake.llm import fingerprints, language, licenses, neighbours, toxicity
 from hazardlake.llm.near_dedup import near_groups
 from hazardlake.llm.pieces import encode_texts
 from hazardlake.llm.span_dedup import without_repeats
@@ -82,6 +82,12 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.license_notices(_documents(spark, sf_dir).select("doc_id", "text"))
+    return licenses.digest(found).select("row.doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
 @_query
 def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
