@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardlake.llm import fingerprints, language, licenses, neighbours, toxicity
+from hazardlake.llm import fingerprints, language, licenses, neighbours, surrogates, toxicity
 from hazardlake.llm.near_dedup import near_groups
 from hazardlake.llm.pieces import encode_texts
 from hazardlake.llm.span_dedup import without_repeats
@@ -63,6 +63,16 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Key of the registered surrogates; a production job passes its own secret.
+SURROGATE_KEY = "registered-query"
+
+
+@_query
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    masked = surrogates.with_surrogates(_documents(spark, sf_dir).select("doc_id", "text"), SURROGATE_KEY)
+    return masked.select("row.doc_id", F.col("masked").alias("text"), "replaced")
+
+
 def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
     """Trained on the labels that are not held out."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", F.col("toxic").alias("label"))
