@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -89,6 +91,23 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def bucketed(df: DataFrame, key: str, label: str) -> Iterator[DataFrame]:
+    """The rows written to the shared folder in buckets of ``key``: joins on it move the other side only."""
+    spark = df.sparkSession
+    name = f"{label}_{uuid.uuid4().hex}"
+    (
+        df.write.bucketBy(width(df), key)
+        .sortBy(key)
+        .option("path", scratch_path(spark, label))
+        .saveAsTable(name)
+    )
+    try:
+        yield spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+
+
 def width(df: DataFrame) -> int:
     """Shuffle partitions of the session."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -14,7 +14,7 @@ estimates their similarity, and the full sets decide.
   are part of the join. The order puts frequent values last, which keeps boilerplate and what
   all copies of a text have out of the lists of those that differ.
 * A list is not expanded into all pairs. Each round compares some members of a list (pivots,
-  one at first, 16 times as many each further round) with all others. What is linked becomes
+  one at first or a whole short list, 32 times as many each further round) with all others. What is linked becomes
   one component; lists with a single component left are finished, pivots leave their lists. A
   list of copies of one text ends after a round or two, and any list ends after a number of
   rounds that is the logarithm of its size, with every pair of different components compared.
@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazardlake.llm.common import LOWER, mix, slices, span_hashes, stored, texts_of
+from hazardlake.llm.common import LOWER, bucketed, mix, slices, span_hashes, stored, texts_of
 from hazardlake.llm.graph import components
 
 SHINGLE = 5
@@ -39,7 +39,10 @@ DEVIATIONS = 6.0
 #: Counters that tell frequent values from rare ones; each value counts in one of them.
 SLOTS = 1 << 17
 _BLOCK = 1 << 12
-GROWTH = 16
+#: Pivots of a list in the first round are one, or all of a list of this size, and this many
+#: times as many in each further round.
+SMALL = 8
+GROWTH = 32
 
 
 def shingle_sets(texts: list[bytes], words: int = SHINGLE) -> Iterator[np.ndarray]:
@@ -180,48 +183,34 @@ def _setter(words: int, k: int):
     return run
 
 
-def _estimated(pairs: DataFrame, sets: DataFrame, k: int, similarity: float, deviations: float) -> DataFrame:
-    """Pairs ``(a, b)`` whose union sketch does not rule them out.
+def _confirmed(pairs: DataFrame, sets: DataFrame, k: int, similarity: float, deviations: float) -> DataFrame:
+    """Pairs ``(pivot, member)`` that are similar enough.
 
-    The union sketch is the ``k`` smallest values of both; those in both sketches, counted
-    against its size, estimate the similarity. There is no margin where it holds both sets.
+    The union sketch, the ``k`` smallest values of both, comes first: those in both sketches,
+    counted against its size, estimate the similarity, without a margin where it holds both
+    sets. Then the full sets decide, in integers. Each pair moves the set of its member; the set
+    of a pivot is sent once for every 64th of its members, so that no task gets all of them.
     """
-    whole = F.size("others") == 0
-    left = sets.select(F.col("cls").alias("a"), F.col("sketch").alias("s_a"), whole.alias("w_a"))
-    right = sets.select(F.col("cls").alias("b"), F.col("sketch").alias("s_b"), whole.alias("w_b"))
-    both = F.array_union("s_a", "s_b")
-    margin = F.when(F.col("w_a") & F.col("w_b") & (F.size(both) <= k), F.lit(0.0)).otherwise(
-        deviations * (similarity * (1 - similarity) * k) ** 0.5
+    salted = pairs.withColumn("salt", F.pmod(F.xxhash64("member"), F.lit(64)))
+    pivots = (
+        salted.select("pivot", "salt").distinct()
+        .join(sets.withColumnsRenamed({"cls": "pivot", "sketch": "s_a", "others": "o_a"}), "pivot")
+    )
+    both = salted.join(sets.withColumnsRenamed({"cls": "member", "sketch": "s_b", "others": "o_b"}), "member").join(
+        pivots, ["pivot", "salt"]
     )
-    return (
-        _joined(pairs, left, right)
-        .withColumn("union", F.slice(F.array_sort(both), 1, k))
-        .withColumn("met", F.size(F.array_intersect(F.array_intersect("s_a", "s_b"), "union")))
-        .filter(F.col("met") >= F.size("union") * F.lit(similarity) - margin - 1e-9)
-        .select("a", "b")
-    )
-
-
-def _joined(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
-    """Both sides of the pairs. A class in many pairs is sent once for every 64th of its
-    partners, not to one task with all of them."""
-    salted = pairs.withColumn("salt", F.pmod(F.xxhash64("a", "b"), F.lit(64)))
-    a = salted.select("a", "salt").distinct().join(left, "a")
-    b = salted.select("b", "salt").distinct().join(right, "b")
-    return salted.join(a, ["a", "salt"]).join(b, ["b", "salt"])
-
-
-def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """Pairs whose full sets are similar enough, in integers."""
+    union = F.array_union("s_a", "s_b")
+    whole = (F.size("o_a") == 0) & (F.size("o_b") == 0) & (F.size(union) <= k)
+    margin = F.when(whole, F.lit(0.0)).otherwise(deviations * (similarity * (1 - similarity) * k) ** 0.5)
+    least = F.slice(F.array_sort(union), 1, k)
+    estimate = F.size(F.array_intersect(F.array_intersect("s_a", "s_b"), least))
     hundred = round(similarity * 100)
-    items = F.concat("sketch", "others")
-    left = sets.select(F.col("cls").alias("a"), items.alias("i_a"))
-    right = sets.select(F.col("cls").alias("b"), items.alias("i_b"))
+    met = F.size(F.array_intersect(F.concat("s_a", "o_a"), F.concat("s_b", "o_b")))
+    total = F.size("s_a") + F.size("o_a") + F.size("s_b") + F.size("o_b")
     return (
-        _joined(pairs, left, right)
-        .withColumn("met", F.size(F.array_intersect("i_a", "i_b")))
-        .filter(F.col("met") * (100 + hundred) >= hundred * (F.size("i_a") + F.size("i_b")))
-        .select("a", "b")
+        both.filter(estimate >= F.size(least) * F.lit(similarity) - margin - 1e-9)
+        .filter(met * (100 + hundred) >= total * hundred)
+        .select(F.least("pivot", "member").alias("a"), F.greatest("pivot", "member").alias("b"))
     )
 
 
@@ -292,12 +281,17 @@ def _links(texts, classes, lists, words, similarity, k, deviations) -> DataFrame
     if lists.isEmpty():
         return None
     wanted = lists.select("cls").distinct().join(classes, "cls").select(F.col("least").alias("wanted")).distinct()
-    sets = stored(
+    sets = (
         texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi")
         .mapInArrow(_setter(words, k), "cls long, sketch array<long>, others array<long>")
-        .dropDuplicates(["cls"]),
-        "sets",
+        .dropDuplicates(["cls"])
     )
+    with bucketed(sets, "cls", "sets") as sets:
+        return _rounds(lists, sets, k, similarity, deviations)
+
+
+def _rounds(lists, sets, k, similarity, deviations) -> DataFrame | None:
+    """Compare pivots with their lists until every list is one component."""
     labels, edges, chance = None, None, 1
     while True:
         if labels is None:
@@ -319,7 +313,7 @@ def _links(texts, classes, lists, words, similarity, k, deviations) -> DataFrame
         )
         # the same members are pivots of all their lists, as far as list sizes allow
         lot = F.pmod(F.xxhash64("cls"), F.lit(1 << 20)) / F.lit(float(1 << 20))
-        pivot = F.col("cls") == F.col("first")
+        pivot = (F.col("cls") == F.col("first")) | (F.col("members") <= SMALL)
         if chance > 1:
             pivot = pivot | (lot * F.col("members") < float(chance))
         marked = stored(named.join(sizes, "value").withColumn("pivot", pivot), "marked")
@@ -329,23 +323,23 @@ def _links(texts, classes, lists, words, similarity, k, deviations) -> DataFrame
             "value", *(F.col(c).alias(f"p_{c}") for c in ("cls", "n", "rest", "label"))
         )
         need = _shared(F.col("n"), F.col("p_n"), k, similarity, deviations)
-        members = marked.select(F.col("value").alias("at"), "cls", "n", "rest", "label")
+        members = marked.select(F.col("value").alias("at"), "cls", "n", "rest", "label", "pivot")
         pairs = stored(
             members.join(
                 chosen,
                 (F.col("at") == F.col("value"))
                 & (F.col("label") != F.col("p_label"))
+                & (~F.col("pivot") | (F.col("cls") > F.col("p_cls")))
                 & (F.least("n", "p_n") >= F.greatest("n", "p_n") * F.lit(similarity) - 1e-9)
                 & (F.col("rest") >= need)
                 & (F.col("p_rest") >= need),
             )
-            .select(F.least("cls", "p_cls").alias("a"), F.greatest("cls", "p_cls").alias("b"))
+            .select(F.col("p_cls").alias("pivot"), F.col("cls").alias("member"))
             .distinct(),
             "pairs",
         )
         if not pairs.isEmpty():
-            likely = stored(_estimated(pairs, sets, k, similarity, deviations), "estimated")
-            new = stored(_verified(likely, sets, similarity), "links")
+            new = stored(_confirmed(pairs, sets, k, similarity, deviations), "links")
             if not new.isEmpty():
                 edges = new if edges is None else edges.unionByName(new)
                 labels = components(edges)
