@@ -88,22 +88,23 @@ def _slot(values: np.ndarray) -> np.ndarray:
     return (values.view(np.uint64) % np.uint64(SLOTS)).astype(np.int64)
 
 
-_KEYS = "doc_id long, n_shingles long, cls long, block int, counts array<int>"
+_KEYS = "doc_id long, text_hash long, n_shingles long, cls long, block int, counts array<int>"
 
 
 def _keyed(words: int, k: int):
     """Rows (doc_id, n_shingles, cls) of the documents, and a task's counts of retained values."""
 
-    def batch_of(ids, sizes, classes, blocks, counts):
+    def batch_of(ids, hashes, sizes, classes, blocks, counts):
         return pa.RecordBatch.from_arrays(
             [
                 pa.array(ids, pa.int64()),
+                pa.array(hashes, pa.int64()),
                 pa.array(sizes, pa.int64()),
                 pa.array(classes, pa.int64()),
                 pa.array(blocks, pa.int32()),
                 pa.array(counts, pa.list_(pa.int32())),
             ],
-            names=["doc_id", "n_shingles", "cls", "block", "counts"],
+            names=["doc_id", "text_hash", "n_shingles", "cls", "block", "counts"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,12 +114,17 @@ def _keyed(words: int, k: int):
             counts += np.bincount(_slot(np.concatenate([s[:k] for s in sets])), minlength=SLOTS).astype(np.int32)
             nothing = [None] * len(sets)
             yield batch_of(
-                batch.column("doc_id"), [len(s) for s in sets], [set_key(s) for s in sets], nothing, nothing
+                batch.column("doc_id"),
+                batch.column("text_hash"),
+                [len(s) for s in sets],
+                [set_key(s) for s in sets],
+                nothing,
+                nothing,
             )
         if counts.any():
             parts = range(0, SLOTS, _BLOCK)
             none = [None] * len(parts)
-            yield batch_of(none, none, none, [p // _BLOCK for p in parts], [counts[p : p + _BLOCK] for p in parts])
+            yield batch_of(none, none, none, none, [p // _BLOCK for p in parts], [counts[p : p + _BLOCK] for p in parts])
 
     return run
 
@@ -222,10 +228,11 @@ def near_groups(
     k: int = SKETCH,
     deviations: float = DEVIATIONS,
 ) -> DataFrame:
-    """``(doc_id, n_shingles, component_id, kept)``, one row for each row of ``docs``.
+    """``(doc_id, text_hash, n_shingles, component_id, kept)``, one row for each row of ``docs``.
 
     Documents are linked when their shingle sets reach the similarity (Jaccard, in hundredths,
-    confirmed on the full sets of 64-bit hashes); ``component_id`` is the least ``doc_id`` that
+    confirmed on the full sets of 64-bit hashes); ``text_hash`` is the text's ``xxhash64``,
+    which tells rows of one ``doc_id`` apart; ``component_id`` is the least ``doc_id`` that
     links reach and ``kept`` says whether it is the row's own. Texts are compared after
     lower-casing A-Z, words are split at ASCII white space, and a text of fewer words than a
     shingle is one shingle.
@@ -237,8 +244,9 @@ def near_groups(
     """
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = stored(texts.mapInArrow(_keyed(words, k), _KEYS), "classes")
-    keyed = rows.filter("block is null").select("doc_id", "n_shingles", "cls")
+    hashed = texts.withColumn("text_hash", F.xxhash64("text"))
+    rows = stored(hashed.mapInArrow(_keyed(words, k), _KEYS), "classes")
+    keyed = rows.filter("block is null").select("doc_id", "text_hash", "n_shingles", "cls")
     classes = keyed.filter("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("least"))
 
     load = np.zeros(SLOTS, np.int64)
@@ -269,6 +277,7 @@ def near_groups(
         keyed.join(groups, "cls", "left")
         .select(
             "doc_id",
+            "text_hash",
             "n_shingles",
             F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
         )

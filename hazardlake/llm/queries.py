@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardlake.llm import fingerprints, language, licenses, neighbours, surrogates, toxicity
+from hazardlake.llm import fingerprints, language, licenses, neighbours, packing, surrogates, toxicity
 from hazardlake.llm.near_dedup import near_groups
 from hazardlake.llm.pieces import encode_texts
 from hazardlake.llm.span_dedup import without_repeats
@@ -39,7 +39,7 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_groups(_documents(spark, sf_dir))
+    return near_groups(_documents(spark, sf_dir)).drop("text_hash")
 
 
 @_query
@@ -63,6 +63,11 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(_documents(spark, sf_dir), packing.word_count(F.col("text")))
+
+
 #: Key of the registered surrogates; a production job passes its own secret.
 SURROGATE_KEY = "registered-query"
 
