@@ -96,9 +96,9 @@ def _softmax(x: np.ndarray) -> np.ndarray:
 
 
 def train(
-    rows: list[tuple[str, np.ndarray]], *, epochs: int = 4, rate: float = 0.5, seed: int = 7
+    rows: list[tuple[str, np.ndarray]], *, epochs: int = 4, steps: int = 600, rate: float = 0.5, seed: int = 7
 ) -> Model | None:
-    """A model from ``(language, buckets)`` examples; None without any."""
+    """A model from ``(language, buckets)`` examples, after both so many epochs and steps; None without any."""
     if not rows:
         return None
     languages = sorted({r[0] for r in rows})
@@ -119,7 +119,7 @@ def train(
     soft = rng.normal(0, 0.1, (DIMENSION, len(languages))).astype(np.float32)
     bias = np.zeros(len(languages), np.float32)
     past = [np.full(p.shape, 1e-6, np.float32) for p in (table, soft, bias)]
-    for _ in range(epochs):
+    for _ in range(max(epochs, -(-64 * steps // max(1, len(trained))))):
         rng.shuffle(trained)
         for at in range(0, len(trained), 64):
             some = trained[at : at + 64]

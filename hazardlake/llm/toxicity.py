@@ -1,8 +1,9 @@
 """Toxicity by multiple-instance learning: a document is a bag of sentences.
 
-A sentence has a logistic score over its hashed words. A document is toxic unless none of its
-sentences is: the scores are combined by a noisy-or, with a leak for labels that no sentence
-explains. Only labels of documents train the weights; the sentence scores then say where the
+A sentence has a logistic score over its hashed words, above what a sentence without any
+evidence has; that one scores 0, so that length alone makes no document toxic. A document is toxic unless
+none of its sentences is: the scores are combined by a noisy-or, with a leak for labels that no
+sentence explains. Only labels of documents train the weights; the sentence scores then say where the
 offence stands.
 """
 
@@ -59,15 +60,24 @@ class Bags:
         self.word = (span_hashes(data, starts, stops) % np.uint64(BUCKETS)).astype(np.int32)
 
 
+#: Log-odds of a sentence without evidence; only what lies above counts.
+BIAS = -6.0
+
+
+def _odds(sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Logistic values of sentences, and the logarithms of their chances not to be toxic."""
+    p = _logistic(np.maximum(sums, 0) + BIAS)
+    return p, np.log1p(-p) + np.log1p(np.exp(BIAS))
+
+
 @dataclass
 class Model:
     weights: np.ndarray
-    bias: float
     leak: float
 
     def sentence_scores(self, bags: Bags) -> np.ndarray:
         sums = np.bincount(bags.sentence, self.weights[bags.word], len(bags.ends))
-        return _logistic(sums + self.bias)
+        return -np.expm1(_odds(sums)[1])
 
     def scores(self, bags: Bags, sentences: np.ndarray) -> np.ndarray:
         """One score for each text: the noisy-or of its sentences and the leak."""
@@ -91,7 +101,7 @@ def train(
     one in ten million), so that wrong labels are left to the leak.
     """
     if not documents:
-        return Model(np.zeros(BUCKETS, np.float32), -20.0, 0.0)
+        return Model(np.zeros(BUCKETS, np.float32), 0.0)
     y = np.array([d[0] for d in documents], np.float64)
     importance = np.array([d[1] for d in documents], np.float64)
     importance /= importance.sum()
@@ -109,12 +119,14 @@ def train(
     use = place[words] >= 0
     word, sentence = place[words[use]], sentence[use]
     w = np.zeros(len(known))
-    bias, leak = -5.0, -3.0
-    past, past_bias, past_leak = np.full(len(known), 1e-10), 1e-10, 1e-10
+    leak = -3.0
+    past, past_leak = np.full(len(known), 1e-10), 1e-10
     for _ in range(steps):
-        p = _logistic(np.bincount(sentence, w[word], len(sizes)) + bias)
+        sums = np.bincount(sentence, w[word], len(sizes))
+        p, quiet = _odds(sums)
+        p = np.where(sums >= 0, p, 0)
         base = _logistic(np.array([leak]))[0]
-        silent = np.bincount(owner, np.log1p(-np.minimum(p, 1 - 1e-12)), len(documents)) + np.log1p(-base)
+        silent = np.bincount(owner, quiet, len(documents)) + np.log1p(-base)
         toxic = np.maximum(-np.expm1(silent), 1e-9)
         # derivative of the loss by the log-odds of a sentence is this, times its score
         pull = importance * np.where(y > 0, -np.exp(silent) / toxic, 1.0)
@@ -124,15 +136,12 @@ def train(
         step = rate / np.sqrt(past)
         w -= step * grad
         w = np.sign(w) * np.maximum(np.abs(w) - step * penalty, 0)
-        g = by_sentence.sum()
-        past_bias += g * g
-        bias -= rate * g / np.sqrt(past_bias)
         g = (pull * base).sum()
         past_leak += g * g
         leak -= rate * g / np.sqrt(past_leak)
     weights = np.zeros(BUCKETS, np.float32)
     weights[known] = w
-    return Model(weights, float(bias), float(_logistic(np.array([leak]))[0]))
+    return Model(weights, float(_logistic(np.array([leak]))[0]))
 
 
 def _bagged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,0 +1,461 @@
+"""Operators on texts: against plain versions, libraries and held-out labels."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+import zlib
+
+import data
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from hazardlake.llm import fingerprints, language, licenses, near_dedup, packing, queries, span_dedup, surrogates, toxicity
+from hazardlake.llm.pieces import Vocabulary, decode_ids, encode_texts
+
+MODEL = public_tokenizers.path("piece_bpe_32k.model")
+
+
+@pytest.fixture(scope="module")
+def vocabulary():
+    with open(MODEL, "rb") as f:
+        return Vocabulary(f.read())
+
+
+# pieces
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(st.sampled_from("ab the▁ \n\t\0é①\U0001f642日本<0x0A></s>́"), max_size=120), max_size=4))
+def test_pieces_equal_the_library(vocabulary, texts):
+    ours = vocabulary.encode(texts, "segments")
+    assert [i.tolist() for i in ours] == vocabulary.library.encode(texts)
+
+
+def test_long_segments_equal_the_library(vocabulary):
+    texts = ["a" * 5000, " " * 700, "ab" * 3000, "▁" * 77, "日" * 500]
+    assert [i.tolist() for i in vocabulary.encode(texts, "texts")] == vocabulary.library.encode(texts)
+
+
+def test_a_difference_from_the_library_fails():
+    with open(MODEL, "rb") as f:
+        broken = Vocabulary(f.read())
+    broken.made[:] = 300
+    for check in ("segments", "texts"):
+        with pytest.raises(ValueError, match="differs"):
+            broken.encode(["several ordinary words together"], check)
+
+
+def test_forgetting_changes_nothing(vocabulary, monkeypatch):
+    monkeypatch.setattr("hazardlake.llm.pieces.REMEMBERED", 3)
+    texts = ["some words here", "other words there", "some words there"]
+    assert [vocabulary.encode([t])[0].tolist() for t in texts] == vocabulary.library.encode(texts)
+
+
+def test_encoded_tables(spark, hostile, nothing):
+    sp = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    got = encode_texts(hostile, MODEL, round_trip=True)
+    assert got.schema["row"].dataType == hostile.schema
+    rows = got.select("row.doc_id", "row.text", "ids", "decoded").collect()
+    assert len(rows) == len(data.ROWS)
+    for r in rows:
+        ids = sp.encode(r.text or "", add_eos=True)
+        assert r.ids == ids and r.decoded == sp.decode(ids)
+    assert encode_texts(nothing, MODEL).count() == 0
+    again = decode_ids(got.select("ids"), MODEL)
+    assert {r.decoded for r in again.collect()} == {r.decoded for r in rows}
+
+
+def test_op1(spark):
+    sp = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    texts = {r.doc_id: r.text for r in data.documents(spark).collect()}
+    for r in queries.QUERIES["op1_sentencepiece"](spark, data.SF).collect():
+        ids = sp.encode(texts[r.doc_id], add_eos=True)
+        assert r.n_tokens == len(ids)
+        assert r.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(sp.decode(ids).encode()).hexdigest()
+
+
+# near duplicates
+
+
+def test_op2_equals_all_pairs(spark, texts):
+    component, size = data.near_components(texts)
+    rows = queries.QUERIES["op2_near_duplicates"](spark, data.SF).collect()
+    assert {r.doc_id: r.component_id for r in rows} == component
+    assert {r.doc_id: r.n_shingles for r in rows} == size
+    assert all(r.kept == (r.doc_id == r.component_id) for r in rows)
+
+
+def test_near_groups_of_odd_rows(spark, hostile, nothing):
+    rows = near_dedup.near_groups(hostile).collect()
+    got = sorted((r.doc_id or 0, r.n_shingles, r.component_id or 0, r.kept) for r in rows)
+    assert len(got) == len(data.ROWS)
+    by = {g[0]: g for g in got if g[0]}
+    assert by[1][1:] == (0, 1, True) and by[2][1:] == (0, 2, True) and by[3][1:] == (0, 3, True)
+    assert by[5] == (5, by[4][1], 4, False)
+    assert [g for g in got if g[0] == 4] == [(4, 10, 4, True)] * 2
+    assert by[6][3] and by[7] == (7, 1, 6, False)
+    assert sorted(g[3] for g in got if not g[0]) == [True, True]
+    assert near_dedup.near_groups(nothing).count() == 0
+
+
+def test_a_chain_of_near_copies_is_one_group(spark):
+    # neighbours are alike, the ends are not; many copies, so that lists have several rounds
+    words = [f"w{k}" for k in range(400)]
+    rows = [(i, " ".join(words[3 * i : 3 * i + 100])) for i in range(60)] + [(100 + i, " ".join(words[:100])) for i in range(30)]
+    got = near_dedup.near_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    component, _ = data.near_components(rows)
+    assert {r.doc_id: r.component_id for r in got} == component and len(set(component.values())) == 1
+
+
+def test_pivots_reach_every_pair_of_a_list(spark):
+    # one text with 300 variants of which few are near: short lists do not settle it in a round
+    rng = np.random.default_rng(1)
+    base = [f"b{k}" for k in range(60)]
+    rows = []
+    for i in range(300):
+        own = list(base)
+        for k in rng.choice(60, rng.integers(0, 6), replace=False):
+            own[k] = f"v{rng.integers(0, 5)}"
+        rows.append((i, " ".join(own)))
+    got = near_dedup.near_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    component, _ = data.near_components(rows)
+    assert {r.doc_id: r.component_id for r in got} == component
+
+
+def test_shared_values_are_not_overrated():
+    # what two similar sets share is never less than the bound, for whole sets and sketches
+    rng = np.random.default_rng(2)
+    for n in (5, 60, 192, 193, 300, 900):
+        for _ in range(60):
+            universe = rng.integers(-(2**62), 2**62, 4 * n)
+            a, own = universe[:n], int(n * rng.uniform(0, 0.14))
+            b = np.concatenate((a[own:], universe[n : n + own]))
+            if 100 * (n - own) < 75 * (n + own):
+                continue
+            k = near_dedup.SKETCH
+            met = len(np.intersect1d(np.sort(a)[:k], np.sort(b)[:k]))
+            assert met >= near_dedup._least(np.array([n]), k, 0.75, 6.0)[0]
+
+
+# repeated passages
+
+
+def test_op3_equals_dictionaries(spark, texts):
+    rows = queries.QUERIES["op3_substring_dedup"](spark, data.SF).collect()
+    assert {r.doc_id: r.text for r in rows} == data.cut_repeats(texts)
+
+
+def test_repeats_of_odd_rows(spark, hostile, nothing):
+    rows = span_dedup.without_repeats(hostile).select("row.doc_id", "row.text", "kept_text", "sentences", "removed").collect()
+    assert len(rows) == len(data.ROWS)
+    for r in rows:
+        if r.doc_id != 8:
+            assert r.kept_text == r.text and r.removed == 0
+        if not r.text:
+            assert r.sentences == 0
+    assert span_dedup.without_repeats(nothing).count() == 0
+
+
+def test_a_passage_stays_in_its_first_document(spark):
+    passage = "Here begins a passage of some length. " + " ".join(f"word{k}" for k in range(30)) + ". It ends at this place now. "
+    rows = [(3, "Own start. " + passage + "Own end."), (1, "First of all. " + passage), (2, passage + passage + "Tail."), (None, passage)]
+    got = {r.doc_id: r.kept_text for r in span_dedup.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).select("row.doc_id", "kept_text").collect()}
+    assert got == {1: "First of all. " + passage, 2: "Tail.", 3: "Own start. Own end.", None: ""}
+
+
+# languages
+
+
+def test_op4_held_out(spark):
+    lang = {r.doc_id: r.lang for r in data.documents(spark).collect()}
+    rows = queries.QUERIES["op4_language"](spark, data.SF).collect()
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) and 0 <= r.score <= 1 for r in rows)
+    held = [r for r in rows if r.held_out]
+    assert len(rows) == len(lang) and np.mean([r.lang_pred == lang[r.doc_id] for r in held]) > 0.95
+
+
+def test_language_of_odd_rows(spark, hostile, nothing):
+    model = language.fit(hostile)
+    rows = language.identify(hostile, model).select("row.text", "language", "score", "rejected").collect()
+    for r in rows:
+        letters = any(c.isalpha() for c in r.text or "")
+        assert (r.language != "und") == letters
+        assert letters or (r.score == 0 and r.rejected)
+    assert language.fit(nothing) is None
+    assert [r.language for r in language.identify(hostile, None).collect()] == ["und"] * len(data.ROWS)
+    assert language.identify(nothing, model).count() == 0
+
+
+def test_subwords_do_not_cross_texts():
+    flat, bounds = language.subwords(["abc", "", "12", "de"])
+    alone = [language.subwords([t])[0].tolist() for t in ("abc", "", "12", "de")]
+    assert [flat[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)] == alone
+    assert alone[1] == alone[2] == []
+
+
+# toxicity
+
+
+def test_toxic_sentences_are_found_from_document_labels(spark):
+    rng = np.random.default_rng(3)
+    words = [f"w{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(200)]
+
+    def sentence():
+        return " ".join(rng.choice(words, 8)) + ". "
+
+    rows, labels = [], []
+    for i in range(400):
+        parts = [sentence() for _ in range(rng.integers(1, 12))]
+        if i % 4 == 0:
+            parts[rng.integers(0, len(parts))] = "you vile " + sentence()
+        rows.append((i, "".join(parts)))
+        labels.append((i, int(i % 4 == 0)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    known = spark.createDataFrame(labels, "doc_id long, label int")
+    model = toxicity.fit(docs, known.filter("doc_id < 300"))
+    got = toxicity.score_documents(docs.filter("doc_id >= 300"), model).select("row.*", "score", "offending").collect()
+    for r in got:
+        assert (r.score >= 0.3) == (r.doc_id % 4 == 0)
+        assert all("vile" in r.text[o.start : o.end] for o in r.offending)
+        assert bool(r.offending) == (r.doc_id % 4 == 0)
+
+
+def test_toxicity_of_odd_rows(spark, hostile, nothing):
+    labels = spark.createDataFrame([(4, 1), (4, 0), (5, None), (6, 0), (None, 1), (99, 1)], "doc_id long, label int")
+    model = toxicity.fit(hostile, labels)
+    rows = toxicity.score_documents(hostile, model).collect()
+    assert len(rows) == len(data.ROWS) and all(0 <= r.score <= 1 for r in rows)
+    none = toxicity.fit(nothing, labels)
+    assert {round(r.score, 6) for r in toxicity.score_documents(hostile.filter("doc_id < 4"), none).collect()} == {0.0}
+    assert toxicity.score_documents(nothing, none).count() == 0
+
+
+def test_op7(spark):
+    rows = queries.QUERIES["op7_toxicity"](spark, "/root/testdata/sf0.01").collect()
+    toxic = {r.doc_id: r.toxic for r in spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()}
+    held = [r for r in rows if r.held_out and toxic.get(r.doc_id) is not None]
+    assert all(r.predicted == int(r.score >= 0.3) for r in rows) and len(rows) == 1000
+    caught = [r.predicted for r in held if toxic[r.doc_id]]
+    wrong = [r.predicted for r in held if not toxic[r.doc_id]]
+    assert np.mean(caught) > np.mean(wrong) + 0.2
+
+
+# licenses
+
+_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def _places(text):
+    words = _WORD.findall((text or "").translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")))
+    found = []
+    for t in licenses.BASE:
+        phrase = t.phrase.split()
+        found += [(k, t.label) for k in range(len(words)) if words[k : k + len(phrase)] == phrase]
+    return len(words), sorted(found)
+
+
+def test_op8_base(spark, texts):
+    for r in queries.QUERIES["op8_licenses"](spark, data.SF).collect():
+        n, found = _places(dict(texts)[r.doc_id])
+        assert (r.n_words, r.n_base) == (n, len(found))
+        assert (r.first_word, r.last_word) == ((found[0][0], found[-1][0]) if found else (None, None))
+        base = sorted({label for _, label in found})
+        assert r.base_labels == ",".join(base) and set(base) <= set(filter(None, r.labels.split(",")))
+        assert 0 <= r.score <= 1
+
+
+def test_licenses_of_odd_rows(spark, hostile, nothing):
+    rows = licenses.digest(licenses.license_notices(hostile)).select("row.text", "*").collect()
+    assert len(rows) == len(data.ROWS)
+    for r in rows:
+        n, found = _places(r.text)
+        assert (r.n_words, r.n_base) == (n, len(found))
+    assert licenses.license_notices(nothing).count() == 0
+
+
+def test_notices_and_overlapping_phrases(spark):
+    rows = [
+        (1, "MIT License mit license, MIT\nLICENSE; mit-license"),
+        (2, "GNU General Public License, version 3 or gnu general public licenses"),
+        (3, "Redistribution and use in source and binary forms, with or without modification, are permitted"),
+        (4, "licensed under CC BY-NC 4.0 and cc by and CC BY-SA"),
+        (5, "Permission is hereby granted, free of charge, to any person obtaining a copy"),
+        (6, "mit the license of cc and by apache gnu general public"),
+    ]
+    got = {r.doc_id: r for r in licenses.digest(licenses.license_notices(spark.createDataFrame(rows, "doc_id long, text string"))).select("row.doc_id", "*").collect()}
+    assert (got[1].n_base, got[1].first_word, got[1].last_word, got[1].labels) == (4, 0, 6, "mit")
+    assert (got[2].n_base, got[2].base_labels, got[2].labels) == (1, "gpl", "gpl,gpl-3")
+    assert (got[3].n_base, got[3].base_labels, got[3].labels) == (0, "", "bsd")
+    assert (got[4].n_base, got[4].base_labels) == (3, "cc-by") and "cc-by-nc" in got[4].labels
+    assert got[5].labels == "mit" and got[5].base_labels == ""
+    assert got[6].labels == "" and got[6].score == 0
+
+
+# fingerprints
+
+
+def test_op10(spark, texts):
+    order = sorted(texts, reverse=True)
+    expected = {}
+    for k, (i, text) in enumerate(order):
+        after = order[(k + 1) % len(order)][1]
+        third = len(text) // 3
+        edited = text[: len(text) - third] + after[:third]
+        own, changed, other = (fingerprints.fingerprint_sets([t.encode()])[0] for t in (text, edited, after))
+        expected[i] = (
+            len(text), hashlib.sha256(edited.encode()).hexdigest(), fingerprints.as_text(own), fingerprints.as_text(changed),
+            fingerprints.likeness(own, changed), fingerprints.likeness(own, other),
+        )
+    rows = queries.QUERIES["op10_fingerprints"](spark, data.SF).collect()
+    assert {r.doc_id: tuple(r)[1:] for r in rows} == expected
+    assert np.mean([r.near_edited for r in rows]) > 0.55 > 0.05 > np.mean([r.near_next for r in rows])
+
+
+def test_fingerprints_of_odd_rows(spark, hostile, nothing):
+    rows = fingerprints.fingerprint(hostile).select("row.text", "fingerprint").collect()
+    by = {}
+    for r in rows:
+        assert by.setdefault(r.text or "", r.fingerprint) == r.fingerprint
+    assert by[""] == "" and len({by[t] for t in by}) == len(by)
+    assert fingerprints.against_edits(hostile).count() == len(data.ROWS)
+    assert fingerprints.fingerprint(nothing).count() == fingerprints.against_edits(nothing).count() == 0
+    lone = fingerprints.against_edits(spark.createDataFrame([(1, "abcdef")], "doc_id long, text string")).first()
+    assert lone.edited_sha256 == hashlib.sha256(b"abcdab").hexdigest() and lone.near_next == 1.0
+
+
+def test_an_insertion_moves_few_chunks():
+    rng = np.random.default_rng(5)
+    text = bytes(rng.integers(32, 127, 20_000).astype(np.uint8))
+    a, b = fingerprints.fingerprint_sets([text, text[:7000] + b"something new" + text[7000:]])
+    assert fingerprints.likeness(a, b) > 0.95
+    assert len(set(map(len, fingerprints.fingerprint_sets([text, b"other" + text])))) and sum(int(x) & 0xFFFF for x in a) == len(text)
+
+
+# packing
+
+
+def test_op5_is_a_packing(spark, texts):
+    rows = queries.QUERIES["op5_packing"](spark, data.SF).collect()
+    size = {i: len(t.split()) for i, t in texts}
+    pieces, bins = {}, {}
+    for r in rows:
+        pieces.setdefault(r.doc_id, []).append((r.piece, r.start, r.n_tokens))
+        bins.setdefault(r.bin_id, []).append((r.bin_offset, r.n_tokens, r.bin_size))
+    for i, n in size.items():
+        at = 0
+        for k, (piece, start, count) in enumerate(sorted(pieces.get(i, []))):
+            assert (piece, start) == (k, at)
+            at += count
+        assert at == n
+    lengths = sorted(packing.LENGTHS)
+    for held in bins.values():
+        at = 0
+        for offset, count, _ in sorted(held):
+            assert offset == at
+            at += count
+        assert {s for *_, s in held} == {next(x for x in lengths if x >= at)}
+    used = sum(r.n_tokens for r in rows)
+    assert used / sum(held[0][2] for held in bins.values()) > 0.97
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(1, 64), max_size=60))
+def test_packing_is_best_fit(sizes):
+    sizes = np.array(sorted(sizes, reverse=True), np.int64)
+    bins, offsets, final = packing.pack(sizes, (16, 32, 64), 2)
+    filled = [0] * len(final)
+    for size, number, offset in zip(sizes.tolist(), bins.tolist(), offsets.tolist(), strict=True):
+        assert offset == filled[number]
+        filled[number] += size
+    for f, length in zip(filled, final, strict=True):
+        assert length == min(x for x in (16, 32, 64) if x >= f)
+
+
+def test_opening_weighs_the_lengths():
+    none = np.zeros(65, np.int64)
+    assert packing.best_opening(16, none, (16, 32, 64), 2) == 16
+    many = none.copy()
+    many[16] = 3
+    # one sequence of 64 costs less overhead than four of 16
+    assert packing.best_opening(16, many, (16, 32, 64), 2) == 64
+
+
+def test_packing_of_odd_rows(spark, hostile, nothing):
+    rows = packing.packed(hostile, packing.word_count(F.col("text"))).collect()
+    assert {r.doc_id for r in rows} == {None, 4, 5, 6, 7, 8, 9, 10}
+    assert packing.packed(nothing, packing.word_count(F.col("text"))).count() == 0
+
+
+# personal data
+
+
+def test_surrogates_keep_type_format_and_reference(spark):
+    rows = [
+        (1, "Mail anna.b7@site.org or ANNA.B7@SITE.ORG, call +1 (202) 555-0147 or 202-555-0199."),
+        (2, "Card 4111 1111 1111 1111, again 4111-1111-1111-1111; not 4111111111111112. From 192.168.7.4, not 999.1.1.1."),
+        (3, 'token = "9b0b3c6a43eb78aa99cbd7049c572391524f37a8" and TOKEN: 9B0B3C6A43EB78AA99CBD7049C572391524F37A8.'),
+        (4, "Mrs. Anna Smith met John Smith and Herr Müller. Анна Иванова знает. Anna smiled at John."),
+        (5, "anna.b7@site.org wrote to +1 (202) 555-0147 from 192.168.7.4"),
+        (6, "Version 2.0, 12345 items, 3.14 and 2024-01-02, a@b, 1234567890123456"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in surrogates.with_surrogates(docs, "k").select("row.doc_id", "masked", "replaced").collect()}
+    text = {i: r.masked for i, r in got.items()}
+    mail = re.search(r"Mail (\S+) or (\S+), call (\+1 \(\d{3}\) 555-\d{4}) or (\d{3}-\d{3}-\d{4})\.", text[1])
+    assert mail[2] == mail[1].upper() and re.fullmatch(r"[a-z]{4}\.[a-z]\d@[a-z]+\.example\.org", mail[1])
+    cards = re.search(r"Card (4\d{3} \d{4} \d{4} \d{4}), again (4\d{3}-\d{4}-\d{4}-\d{4}); not 4111111111111112", text[2])
+    digits = cards[1].replace(" ", "")
+    assert digits == cards[2].replace("-", "") != "4111111111111111"
+    assert sum(int(d) if k % 2 else sum(divmod(2 * int(d), 10)) for k, d in enumerate(digits)) % 10 == 0
+    assert "999.1.1.1" in text[2] and "192.168.7.4" not in text[2]
+    assert re.fullmatch(r'token = "[0-9a-f]{40}" and TOKEN: [0-9A-F]{40}\.', text[3])
+    name = re.match(r"Mrs\. (\S+) (\S+) met (\S+) (\S+) and Herr (\S+)\. (\S+) (\S+) знает", text[4])
+    assert name[1] in surrogates.GIVEN["female-latin"] and name[1] != "Anna" and name[2] == name[4] != "Smith"
+    assert name[3] in surrogates.GIVEN["male-latin"] and name[6] in surrogates.GIVEN["female-cyrillic"]
+    assert name[7].endswith("ова") and name[7] != "Иванова"
+    assert text[5].startswith(mail[1]) and mail[3] in text[5]
+    assert text[6] == rows[5][1] and got[6].replaced == 0
+    other = surrogates.with_surrogates(docs, "another key").filter("row.doc_id = 5").first()
+    assert other.masked != text[5]
+
+
+def test_surrogates_stay_distinct_in_a_small_space(spark):
+    # 36 addresses of one letter or digit: draws collide at once
+    names = [f"{c}@x.org" for c in "abcdefghijklmnopqrstuvwxyz0123456789"]
+    entities = spark.createDataFrame([("email", n) for n in names] + [("ip", f"10.0.{a}.{b}") for a in range(8) for b in range(8)], "kind string, value string")
+    rows = surrogates.assign(entities, "k").collect()
+    made = [r.surrogate for r in rows]
+    assert len(rows) == len(set(made)) == 100 and not set(made) & {r.value for r in rows}
+
+
+def test_op6_removes_what_was_planted(spark, texts):
+    patterns = [r"[\w.]+@mail\d\.example\.com", r"\+1 \(\d{3}\) \d{3}-\d{4}", r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?![\d.])", r"[0-9a-f]{40}"]
+    out = {r.doc_id: r for r in queries.QUERIES["op6_pii"](spark, data.SF).collect()}
+    for i, t in texts:
+        found = [m[0] for p in patterns for m in re.finditer(p, t)]
+        assert not [x for x in found if x in out[i].text]
+        if not found and not re.search(r"\d{13}|Mr|Dr", t):
+            assert out[i].text == t and out[i].replaced == 0
+
+
+def test_surrogates_of_odd_rows(spark, hostile, nothing):
+    rows = surrogates.with_surrogates(hostile, "k").select("row.doc_id", "row.text", "masked", "replaced").collect()
+    assert len(rows) == len(data.ROWS)
+    for r in rows:
+        assert (r.masked == r.text) == (r.replaced == 0)
+        assert bool(r.replaced) == ("10.1.2.3" in (r.text or ""))
+    assert surrogates.with_surrogates(nothing, "k").count() == 0
+
+
+def test_native_operators_run_no_python(spark, hostile):
+    for frame in (surrogates.with_surrogates(hostile, "k"), licenses.license_notices(hostile)):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        for word in ("Python", "Pandas", "Arrow"):
+            assert word not in plan
