@@ -36,8 +36,10 @@ SHINGLE = 5
 SIMILARITY = 0.75
 SKETCH = 256
 DEVIATIONS = 6.0
+#: Values of a sketch that the estimate of a pair looks at, and bits of each.
+GLANCE = 128
 #: Counters that tell frequent values from rare ones; each value counts in one of them.
-SLOTS = 1 << 17
+SLOTS = 1 << 19
 _BLOCK = 1 << 12
 #: Pivots of a list in the first round are one, or all of a list of this size, and this many
 #: times as many in each further round.
@@ -173,50 +175,58 @@ def _poster(words: int, k: int, similarity: float, deviations: float, load):
     return run
 
 
-def _setter(words: int, k: int):
+def _setter(words: int, glance: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             sets = [s for s in shingle_sets(texts_of(batch), words) if len(s)]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([set_key(s) for s in sets], pa.int64()),
-                    pa.array([s[:k] for s in sets], pa.list_(pa.int64())),
-                    pa.array([s[k:] for s in sets], pa.list_(pa.int64())),
+                    pa.array([(s[:glance] >> 32).astype(np.int32) for s in sets], pa.list_(pa.int32())),
+                    pa.array([len(s) for s in sets], pa.int32()),
+                    pa.array(sets, pa.list_(pa.int64())),
                 ],
-                names=["cls", "sketch", "others"],
+                names=["cls", "glance", "n", "items"],
             )
 
     return run
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, k: int, similarity: float, deviations: float) -> DataFrame:
-    """Pairs ``(pivot, member)`` that are similar enough.
+def _beside(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs ``(pivot, member)`` with the columns of both sides, ``p_`` before those of the pivot.
 
-    The union sketch, the ``k`` smallest values of both, comes first: those in both sketches,
-    counted against its size, estimate the similarity, without a margin where it holds both
-    sets. Then the full sets decide, in integers. Each pair moves the set of its member; the set
-    of a pivot is sent once for every 64th of its members, so that no task gets all of them.
+    Each pair moves what belongs to its member; what belongs to a pivot is sent once for every 64th of
+    its members, so that no task gets all of them.
     """
     salted = pairs.withColumn("salt", F.pmod(F.xxhash64("member"), F.lit(64)))
-    pivots = (
-        salted.select("pivot", "salt").distinct()
-        .join(sets.withColumnsRenamed({"cls": "pivot", "sketch": "s_a", "others": "o_a"}), "pivot")
-    )
-    both = salted.join(sets.withColumnsRenamed({"cls": "member", "sketch": "s_b", "others": "o_b"}), "member").join(
-        pivots, ["pivot", "salt"]
-    )
-    union = F.array_union("s_a", "s_b")
-    whole = (F.size("o_a") == 0) & (F.size("o_b") == 0) & (F.size(union) <= k)
-    margin = F.when(whole, F.lit(0.0)).otherwise(deviations * (similarity * (1 - similarity) * k) ** 0.5)
-    least = F.slice(F.array_sort(union), 1, k)
-    estimate = F.size(F.array_intersect(F.array_intersect("s_a", "s_b"), least))
+    pivots = sets.withColumnsRenamed({"cls": "pivot"} | {c: f"p_{c}" for c in sets.columns if c != "cls"})
+    sent = salted.select("pivot", "salt").distinct().join(pivots, "pivot")
+    return salted.join(sets.withColumnRenamed("cls", "member"), "member").join(sent, ["pivot", "salt"])
+
+
+def _likely(pairs: DataFrame, sets: DataFrame, similarity: float, deviations: float, glance: int) -> DataFrame:
+    """Pairs that the union sketch does not rule out.
+
+    The union sketch is the ``glance`` smallest values of both; those in both, counted against its
+    size, estimate the similarity. There is no margin where it holds both sets whole. Of each
+    value 32 bits are compared, which can only add to what two sketches share.
+    """
+    both = _beside(pairs, sets.select("cls", "n", "glance"))
+    union = F.array_union("glance", "p_glance")
+    whole = (F.greatest("n", "p_n") <= glance) & (F.size(union) <= glance)
+    margin = F.when(whole, F.lit(1.0)).otherwise(deviations * (similarity * (1 - similarity) * glance) ** 0.5 + 1)
+    least = F.slice(F.array_sort(union), 1, glance)
+    met = F.size(F.array_intersect(F.array_intersect("glance", "p_glance"), least))
+    return both.filter(met >= F.size(least) * F.lit(similarity) - margin).select("pivot", "member")
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Pairs whose full sets are similar enough, in integers, as edges ``(a, b)``."""
     hundred = round(similarity * 100)
-    met = F.size(F.array_intersect(F.concat("s_a", "o_a"), F.concat("s_b", "o_b")))
-    total = F.size("s_a") + F.size("o_a") + F.size("s_b") + F.size("o_b")
-    return (
-        both.filter(estimate >= F.size(least) * F.lit(similarity) - margin - 1e-9)
-        .filter(met * (100 + hundred) >= total * hundred)
-        .select(F.least("pivot", "member").alias("a"), F.greatest("pivot", "member").alias("b"))
+    both = _beside(pairs, sets.select("cls", "n", "items"))
+    met = F.size(F.array_intersect("items", "p_items"))
+    return both.filter(met * (100 + hundred) >= (F.col("n") + F.col("p_n")) * hundred).select(
+        F.least("pivot", "member").alias("a"), F.greatest("pivot", "member").alias("b")
     )
 
 
@@ -287,71 +297,82 @@ def near_groups(
 
 def _links(texts, classes, lists, words, similarity, k, deviations) -> DataFrame | None:
     """``(node, label)`` of the classes that are linked with others."""
-    if lists.isEmpty():
+    marked = _marked(lists, None, 1)
+    if marked.isEmpty():
         return None
-    wanted = lists.select("cls").distinct().join(classes, "cls").select(F.col("least").alias("wanted")).distinct()
+    pairs = _candidates(marked, k, similarity, deviations)
+    # short lists are done after these pairs; of long ones any member may be compared later
+    ends = pairs.select(F.explode(F.array("pivot", "member")).alias("cls"))
+    active = ends.unionByName(marked.filter(F.col("members") > SMALL).select("cls")).distinct()
+    wanted = active.join(classes, "cls").select(F.col("least").alias("wanted")).distinct()
+    glance = min(GLANCE, k)
     sets = (
         texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi")
-        .mapInArrow(_setter(words, k), "cls long, sketch array<long>, others array<long>")
+        .mapInArrow(_setter(words, glance), "cls long, glance array<int>, n int, items array<long>")
         .dropDuplicates(["cls"])
     )
-    with bucketed(sets, "cls", "sets") as sets:
-        return _rounds(lists, sets, k, similarity, deviations)
-
-
-def _rounds(lists, sets, k, similarity, deviations) -> DataFrame | None:
-    """Compare pivots with their lists until every list is one component."""
     labels, edges, chance = None, None, 1
-    while True:
-        if labels is None:
-            named = lists.withColumn("label", F.col("cls"))
-        else:
-            named = lists.join(labels, lists.cls == labels.node, "left").select(
-                "value", "cls", "n", "rest", F.coalesce("label", "cls").alias("label")
-            )
-        sizes = (
-            named.groupBy("value")
-            .agg(
-                F.count("*").alias("members"),
-                F.min("label").alias("low"),
-                F.max("label").alias("high"),
-                F.min("cls").alias("first"),
-            )
-            .filter("low < high")
-            .drop("low", "high")
-        )
-        # the same members are pivots of all their lists, as far as list sizes allow
-        lot = F.pmod(F.xxhash64("cls"), F.lit(1 << 20)) / F.lit(float(1 << 20))
-        pivot = (F.col("cls") == F.col("first")) | (F.col("members") <= SMALL)
-        if chance > 1:
-            pivot = pivot | (lot * F.col("members") < float(chance))
-        marked = stored(named.join(sizes, "value").withColumn("pivot", pivot), "marked")
-        if marked.isEmpty():
-            return labels
-        chosen = marked.filter("pivot").select(
-            "value", *(F.col(c).alias(f"p_{c}") for c in ("cls", "n", "rest", "label"))
+    with bucketed(sets, "cls", "sets") as sets:
+        while True:
+            if not pairs.isEmpty():
+                likely = stored(_likely(pairs, sets, similarity, deviations, glance), "likely")
+                new = stored(_confirmed(likely, sets, similarity), "links")
+                if not new.isEmpty():
+                    edges = new if edges is None else edges.unionByName(new)
+                    labels = components(edges)
+            # a pivot has been compared with its whole list
+            lists = marked.filter("not pivot").select("value", "cls", "n", "rest")
+            chance *= GROWTH
+            marked = _marked(lists, labels, chance)
+            if marked.isEmpty():
+                return labels
+            pairs = _candidates(marked, k, similarity, deviations)
+
+
+def _marked(lists: DataFrame, labels: DataFrame | None, chance: int) -> DataFrame:
+    """Members of the lists that hold several components, with their pivots marked.
+
+    A pivot is the least member, every member of a short list, and from the second round on
+    about ``chance`` members; the same classes in all their lists, as far as list sizes allow.
+    """
+    if labels is None:
+        named = lists.withColumn("label", F.col("cls"))
+    else:
+        named = lists.join(labels, lists.cls == labels.node, "left").select(
+            "value", "cls", "n", "rest", F.coalesce("label", "cls").alias("label")
         )
-        need = _shared(F.col("n"), F.col("p_n"), k, similarity, deviations)
-        members = marked.select(F.col("value").alias("at"), "cls", "n", "rest", "label", "pivot")
-        pairs = stored(
-            members.join(
-                chosen,
-                (F.col("at") == F.col("value"))
-                & (F.col("label") != F.col("p_label"))
-                & (~F.col("pivot") | (F.col("cls") > F.col("p_cls")))
-                & (F.least("n", "p_n") >= F.greatest("n", "p_n") * F.lit(similarity) - 1e-9)
-                & (F.col("rest") >= need)
-                & (F.col("p_rest") >= need),
-            )
-            .select(F.col("p_cls").alias("pivot"), F.col("cls").alias("member"))
-            .distinct(),
-            "pairs",
+    sizes = (
+        named.groupBy("value")
+        .agg(
+            F.count("*").alias("members"),
+            F.min("label").alias("low"),
+            F.max("label").alias("high"),
+            F.min("cls").alias("first"),
         )
-        if not pairs.isEmpty():
-            new = stored(_confirmed(pairs, sets, k, similarity, deviations), "links")
-            if not new.isEmpty():
-                edges = new if edges is None else edges.unionByName(new)
-                labels = components(edges)
-        # a pivot has been compared with its whole list
-        lists = marked.filter("not pivot").select("value", "cls", "n", "rest")
-        chance *= GROWTH
+        .filter("low < high")
+        .drop("low", "high")
+    )
+    lot = F.pmod(F.xxhash64("cls"), F.lit(1 << 20)) / F.lit(float(1 << 20))
+    pivot = (F.col("cls") == F.col("first")) | (F.col("members") <= SMALL)
+    if chance > 1:
+        pivot = pivot | (lot * F.col("members") < float(chance))
+    return stored(named.join(sizes, "value").withColumn("pivot", pivot), "marked")
+
+
+def _candidates(marked: DataFrame, k: int, similarity: float, deviations: float) -> DataFrame:
+    """Pairs ``(pivot, member)`` of different components that may be similar enough."""
+    chosen = marked.filter("pivot").select(
+        "value", *(F.col(c).alias(f"p_{c}") for c in ("cls", "n", "rest", "label"))
+    )
+    need = _shared(F.col("n"), F.col("p_n"), k, similarity, deviations)
+    members = marked.select(F.col("value").alias("at"), "cls", "n", "rest", "label", "pivot")
+    met = members.join(
+        chosen,
+        (F.col("at") == F.col("value"))
+        & (F.col("label") != F.col("p_label"))
+        & (~F.col("pivot") | (F.col("cls") > F.col("p_cls")))
+        & (F.least("n", "p_n") >= F.greatest("n", "p_n") * F.lit(similarity) - 1e-9)
+        & (F.col("rest") >= need)
+        & (F.col("p_rest") >= need),
+    )
+    return stored(met.select(F.col("p_cls").alias("pivot"), F.col("cls").alias("member")).distinct(), "pairs")
