@@ -96,9 +96,9 @@ def _softmax(x: np.ndarray) -> np.ndarray:
 
 
 def train(
-    rows: list[tuple[str, np.ndarray]], *, epochs: int = 4, steps: int = 600, rate: float = 0.5, seed: int = 7
+    rows: list[tuple[str, np.ndarray, np.ndarray]], *, epochs: int = 4, steps: int = 600, rate: float = 0.5, seed: int = 7
 ) -> Model | None:
-    """A model from ``(language, buckets)`` examples, after both so many epochs and steps; None without any."""
+    """A model from ``(language, buckets, counts)`` examples, after both so many epochs and steps; None without any."""
     if not rows:
         return None
     languages = sorted({r[0] for r in rows})
@@ -112,7 +112,7 @@ def train(
     def dense(chosen: np.ndarray) -> np.ndarray:
         x = np.zeros((len(chosen), BUCKETS), np.float32)
         for k, i in enumerate(chosen):
-            x[k] = np.bincount(rows[i][1], minlength=BUCKETS)
+            x[k, rows[i][1]] = rows[i][2]
         return x / np.maximum(x.sum(1, keepdims=True), 1)
 
     table = rng.normal(0, 0.1, (BUCKETS, DIMENSION)).astype(np.float32)
@@ -194,10 +194,13 @@ def fit(labelled: DataFrame, *, per_language: int = PER_LANGUAGE, languages: int
         .select("text", "lang", "lot")
         .limit(2 * per_language * languages)
     )
-    found = sample.mapInArrow(_examples, "lang string, buckets array<int>, counts array<int>").collect()
-    examples = [(r[0], np.repeat(np.array(r[1]), np.array(r[2]))) for r in found]
+    found = sample.mapInArrow(_examples, "lang string, buckets array<int>, counts array<int>").toArrow()
+    examples = [
+        (name.as_py(), buckets.values.to_numpy(), counts.values.to_numpy())
+        for name, buckets, counts in zip(*(found.column(c) for c in ("lang", "buckets", "counts")), strict=True)
+    ]
     # the order of collected rows may differ from run to run, the model must not
-    examples.sort(key=lambda e: (e[0], len(e[1]), e[1].tobytes()))
+    examples.sort(key=lambda e: (e[0], len(e[1]), e[1].tobytes(), e[2].tobytes()))
     return train(examples)
 
 

@@ -23,7 +23,7 @@ from hazardlake.llm.span_dedup import sentences_of
 
 BUCKETS = 1 << 18
 #: Bound of the training sample, rows of each label.
-PER_LABEL = 4000
+PER_LABEL = 2000
 THRESHOLD = 0.3
 
 #: ASCII letters and whatever is not ASCII make words.
@@ -66,8 +66,8 @@ BIAS = -6.0
 
 def _odds(sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Logistic values of sentences, and the logarithms of their chances not to be toxic."""
-    p = _logistic(np.maximum(sums, 0) + BIAS)
-    return p, np.log1p(-p) + np.log1p(np.exp(BIAS))
+    z = np.maximum(sums, 0) + BIAS
+    return _logistic(z), np.log1p(np.exp(BIAS)) - np.logaddexp(0, z)
 
 
 @dataclass
@@ -85,39 +85,51 @@ class Model:
         return np.clip(1 - (1 - self.leak) * np.exp(silent), 0, 1)
 
 
+@dataclass
+class Sample:
+    """Documents as flat arrays, one behind the other."""
+
+    label: np.ndarray
+    importance: np.ndarray
+    words: np.ndarray  # hashed words of all documents
+    n_words: np.ndarray  # of each document
+    sizes: np.ndarray  # words of each sentence
+    n_sentences: np.ndarray  # of each document
+
+
 def train(
-    documents: list[tuple[int, float, np.ndarray, np.ndarray]],
+    sample: Sample,
     *,
     steps: int = 300,
     rate: float = 0.3,
     penalty: float = 1e-5,
     evidence: float = 16.0,
 ) -> Model:
-    """A model from ``(label, weight, words, words of each sentence)``.
+    """A model of the sample.
 
     Full gradients of the likelihood of the labels, adaptive steps, and soft thresholds that
     pull weights to zero. A word gets a weight only if its share of toxic documents differs
     from that of all documents more than chance explains (Chernoff bound ``evidence``, about
     one in ten million), so that wrong labels are left to the leak.
     """
-    if not documents:
+    n_documents = len(sample.label)
+    if not n_documents:
         return Model(np.zeros(BUCKETS, np.float32), 0.0)
-    y = np.array([d[0] for d in documents], np.float64)
-    importance = np.array([d[1] for d in documents], np.float64)
-    importance /= importance.sum()
-    words = np.concatenate([d[2] for d in documents])
-    document = np.repeat(np.arange(len(documents)), [len(d[2]) for d in documents])
-    sizes = np.concatenate([d[3] for d in documents])
-    sentence = np.repeat(np.arange(len(sizes)), sizes)
-    owner = np.repeat(np.arange(len(documents)), [len(d[3]) for d in documents])
-    pairs = np.unique(words.astype(np.int64) * len(documents) + document)
-    n = np.bincount(pairs // len(documents), minlength=BUCKETS)
-    toxic_n = np.bincount(pairs // len(documents), y[pairs % len(documents)], BUCKETS)
+    y = sample.label.astype(np.float64)
+    importance = sample.importance / sample.importance.sum()
+    words, sizes = sample.words, sample.sizes
+    document = np.repeat(np.arange(n_documents, dtype=np.int64), sample.n_words)
+    pairs = np.unique(words * np.int64(n_documents) + document)
+    n = np.bincount(pairs // n_documents, minlength=BUCKETS)
+    toxic_n = np.bincount(pairs // n_documents, y[pairs % n_documents], BUCKETS)
+    del pairs, document
     known = np.flatnonzero(n * _divergence(toxic_n / np.maximum(n, 1), y.mean()) > evidence)
     place = np.full(BUCKETS, -1, np.int64)
     place[known] = np.arange(len(known))
-    use = place[words] >= 0
-    word, sentence = place[words[use]], sentence[use]
+    use = np.flatnonzero(place[words] >= 0)
+    word = place[words[use]]
+    sentence = np.searchsorted(np.cumsum(sizes), use, "right")
+    owner = np.repeat(np.arange(n_documents), sample.n_sentences)
     w = np.zeros(len(known))
     leak = -3.0
     past, past_leak = np.full(len(known), 1e-10), 1e-10
@@ -126,7 +138,7 @@ def train(
         p, quiet = _odds(sums)
         p = np.where(sums >= 0, p, 0)
         base = _logistic(np.array([leak]))[0]
-        silent = np.bincount(owner, quiet, len(documents)) + np.log1p(-base)
+        silent = np.bincount(owner, quiet, n_documents) + np.log1p(-base)
         toxic = np.maximum(-np.expm1(silent), 1e-9)
         # derivative of the loss by the log-odds of a sentence is this, times its score
         pull = importance * np.where(y > 0, -np.exp(silent) / toxic, 1.0)
@@ -153,12 +165,13 @@ def _bagged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = range(batch.num_rows)
         yield pa.RecordBatch.from_arrays(
             [
+                batch.column("doc_id"),
                 batch.column("label"),
                 batch.column("importance"),
                 pa.array([bags.word[at[first[k]] : at[first[k + 1]]] for k in rows], pa.list_(pa.int32())),
                 pa.array([per_sentence[first[k] : first[k + 1]] for k in rows], pa.list_(pa.int32())),
             ],
-            names=["label", "importance", "words", "sizes"],
+            names=["doc_id", "label", "importance", "words", "sizes"],
         )
 
 
@@ -185,15 +198,22 @@ def fit(docs: DataFrame, labels: DataFrame, *, per_label: int = PER_LABEL) -> Mo
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
         .join(F.broadcast(chosen), "doc_id")
         .dropDuplicates(["doc_id"])
-        .select("label", "importance", "text")
-        .mapInArrow(_bagged, "label int, importance double, words array<int>, sizes array<int>")
+        .select("doc_id", "label", "importance", "text")
+        .mapInArrow(_bagged, "doc_id long, label int, importance double, words array<int>, sizes array<int>")
         .toArrow()
+        # the order of collected rows may differ from run to run, the model must not
+        .sort_by("doc_id")
+        .combine_chunks()
     )
-    columns = [rows.column(c).to_pylist() for c in ("label", "importance", "words", "sizes")]
-    documents = [(a, b, np.array(w, np.int32), np.array(s, np.int64)) for a, b, w, s in zip(*columns, strict=True)]
-    # the order of collected rows may differ from run to run, the model must not
-    documents.sort(key=lambda d: (d[0], len(d[2]), d[2].tobytes()))
-    return train(documents)
+
+    def flat(name: str) -> tuple[np.ndarray, np.ndarray]:
+        lists = pa.concat_arrays(rows.column(name).chunks or [pa.array([], pa.list_(pa.int32()))])
+        return lists.flatten().to_numpy(), lists.value_lengths().to_numpy()
+
+    words, n_words = flat("words")
+    sizes, n_sentences = flat("sizes")
+    label, importance = (rows.column(c).to_numpy() for c in ("label", "importance"))
+    return train(Sample(label, importance, words, n_words, sizes, n_sentences))
 
 
 def score_documents(docs: DataFrame, model: Model, *, threshold: float = THRESHOLD) -> DataFrame:
