@@ -46,6 +46,7 @@ HEADLINE = [
     "quality_report",
     # streams
     "stream_quake_silver",
+    "stream_all_outputs",
     "stream_quake_gold",
     "stream_volcano_gold_running",
 ]

@@ -26,7 +26,7 @@ def round_exact(value: Column, digits: int) -> Column:
     slightly below the tie). The value is therefore split in two parts whose products with
     the scale are exact. Their distance to the first guess, less one half, shows on which
     side of the tie the value lies; one half goes first, as the sum with it would round.
-    NaN and very large numbers stay as they are.
+    NaN stays as it is, and so do numbers from 2**52 on, which have no fraction.
     """
     scale = float(10**digits)
     guess = F.rint(value * scale)
@@ -35,7 +35,7 @@ def round_exact(value: Column, digits: int) -> Column:
     main, rest = high * scale - guess, (value - high) * scale
     step = F.when((main - 0.5) + rest > 0, 1.0).when((main + 0.5) + rest < 0, -1.0)
     rounded = (guess + step.otherwise(0.0)) / scale
-    return F.when(F.abs(value) < 1e15, rounded).otherwise(value)
+    return F.when(F.abs(value) < float(2**52), rounded).otherwise(value)
 
 
 def age_minutes(ts: Column, now: Column) -> Column:
@@ -47,7 +47,12 @@ def yes_no(flag: Column) -> Column:
 
 
 def title_case(text: Column) -> Column:
-    return F.initcap(text)
+    """A capital after everything that is no letter, small letters elsewhere.
+
+    ``initcap`` knows white space only; a mark before each letter run makes it see all.
+    """
+    words = F.regexp_extract_all(text, F.lit(r"\p{L}+|[^\p{L}]+"), F.lit(0))
+    return F.array_join(F.transform(words, F.initcap), "")
 
 
 def fixed(value: Column, digits: int) -> Column:
@@ -69,7 +74,7 @@ def quake_label(
         F.lit(" - "),
         _shown(place),
         F.lit("<br>Time: "),
-        fmt_ts(ts, "HH:mm:ss"),
+        _shown(fmt_ts(ts, "HH:mm:ss")),
         F.lit("<br>Severity: "),
         _shown(severity),
         F.lit("<br>Age: "),
@@ -103,8 +108,9 @@ def series_title(indicator: Column, entity: Column | None = None) -> Column:
     return F.concat(F.lit(" "), indicator, F.lit(" - "), entity, F.lit(f" {span}"))
 
 
-# Snapshots are named <kind>_<yyyymmdd>_<hhmmss>.
-SNAPSHOT_NAME = r"([A-Za-z]+)_(\d{8}_\d{6})"
+# Snapshots are named <kind>_<yyyymmdd>_<hhmmss>. Folders above may have such
+# names too, so only the last part of a path that is a snapshot counts: one that ends in .json.
+SNAPSHOT_NAME = r"(?:^|/)([A-Za-z]+)_(\d{8}_\d{6})[^/]*\.json(?:/[^/]*)?$"
 
 
 def snapshot_kind(path: Column) -> Column:

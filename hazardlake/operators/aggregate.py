@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 GROUP = ("region", "severity_level")
 TITLES_PER_ROW = 10_000
+#: Copies of a group's total that its titles are spread over.
+SALTS = 64
 
 
 def mean(column: str | Column, exact_scale: int | None = None) -> Column:
@@ -23,8 +25,10 @@ def mean(column: str | Column, exact_scale: int | None = None) -> Column:
     if exact_scale is None:
         return F.avg(value)
     scale = float(10**exact_scale)
-    total = F.sum(F.rint(value * scale).cast("bigint")).cast("double")
-    return total / scale / F.nullif(F.count(value), F.lit(0))
+    total = F.sum(F.rint(value * scale).try_cast("bigint")).cast("double")
+    # NaN and infinite values give what F.avg gives
+    odd = F.sum(F.when(~(F.abs(value) < float("inf")), value))
+    return F.coalesce(odd, total / scale / F.nullif(F.count(value), F.lit(0)))
 
 
 def event_stats(
@@ -71,14 +75,18 @@ def pack_titles(
 ) -> DataFrame:
     """Title lists out of title counts, split into rows of about ``per_row`` titles.
 
-    A group that fits gives one row with ``part`` 0. A larger one is dealt out by title
-    hash over as many parts as it needs, and a title with more copies than fit into a row
-    is cut into pieces first, so no row or task ever holds a whole hot group. The counts of
-    the parts add up to the count of the group, and their lists to its titles.
+    ``volcano_count`` is the count of the whole group on each of its rows, ``part_count`` that of
+    the row. A group that fits gives one row with ``part`` 0. A larger one is dealt out by
+    title hash over as many parts as it needs, and a title with more copies than fit into a
+    row is cut into pieces first, so no row or task ever holds a whole hot group: the titles
+    meet the total of their group at one of ``SALTS`` copies of it.
     """
     size = F.lit(int(per_row)).cast("bigint")
-    totals = counted.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(
-        F.ceil(F.sum("copies") / size).alias("_parts")
+    totals = (
+        counted.groupBy(*[F.col(k).alias(f"_{k}") for k in keys])
+        .agg(F.sum("copies").alias("_count"))
+        .withColumn("_parts", F.ceil(F.col("_count") / size))
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     )
     last_piece = F.expr(f"(copies - 1) div {int(per_row)}")
     pieces = counted.withColumn(
@@ -86,16 +94,19 @@ def pack_titles(
     ).withColumn("copies", F.least(size, F.col("copies") - F.col("_piece") * size))
     digest = F.md5(F.concat_ws("#", F.coalesce(title, F.lit("")), F.col("_piece").cast("string")))
     slot = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
+    salt = F.pmod(F.xxhash64(title, "_piece"), F.lit(SALTS)).cast("int")
     same_group = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
     repeated = F.array_repeat(F.col(title), F.col("copies").cast("int"))
-    dealt = pieces.join(totals, same_group).select(
+    dealt = pieces.withColumn("_at", salt).join(totals, same_group & (F.col("_at") == F.col("_salt"))).select(
         *keys,
         (slot % F.col("_parts")).alias("part"),
+        "_count",
         "copies",
         F.when(F.col(title).isNotNull(), repeated).alias("_titles"),
     )
     return dealt.groupBy(*keys, "part").agg(
-        F.sum("copies").alias("volcano_count"),
+        F.max("_count").alias("volcano_count"),
+        F.sum("copies").alias("part_count"),
         F.sort_array(F.flatten(F.collect_list("_titles"))).alias("volcano_titles"),
     )
 
@@ -115,6 +126,7 @@ def entity_year_mean(df: DataFrame, exact_scale: int | None = None) -> DataFrame
 
 
 def layer_counts(layers: Mapping[str, DataFrame]) -> DataFrame:
+    """Rows of each layer, for layers that are stored; see ``observed_counts`` for chained ones."""
     counts = [
         df.agg(F.count(F.lit(1)).alias("records")).select(F.lit(name).alias("layer"), "records")
         for name, df in layers.items()
@@ -122,6 +134,23 @@ def layer_counts(layers: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+def observed_counts(
+    source: DataFrame, steps: Mapping[str, Callable[[DataFrame], DataFrame]]
+) -> DataFrame:
+    """Rows of the source (``raw``) and behind each step, counted in one pass.
+
+    Each layer is observed on the way to the next one, so chained layers are not computed
+    again for each count.
+    """
+    seen, rows = {}, source
+    for name, step in {"raw": lambda df: df, **steps}.items():
+        seen[name] = Observation(name)
+        rows = step(rows).observe(seen[name], F.count(F.lit(1)).alias("records"))
+    rows.write.format("noop").mode("overwrite").save()
+    counts = [(name, seen[name].get["records"]) for name in seen]
+    return source.sparkSession.createDataFrame(counts, "layer STRING, records BIGINT")
+
+
 def profile(
     df: DataFrame,
     entity: str = "country_name",

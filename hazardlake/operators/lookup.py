@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hazardlake import constants as K
+from hazardlake.functions.classify import style_lookup
 from hazardlake.functions.display import region_label
 from hazardlake.operators.clean import entity_kind, matches
 
@@ -63,6 +64,11 @@ def indicator_name(df: DataFrame, indicator: str) -> Column:
     return F.coalesce(names.scalar(), F.lit(indicator))
 
 
+def map_country_name(code: Column) -> Column:
+    """Name of a country on the map, the code where none is known."""
+    return F.coalesce(style_lookup(code, K.MAP_COUNTRY_NAMES, None), code)
+
+
 def entity_pairs(
     df: DataFrame, code: str = "country_code", name: str = "country_name"
 ) -> DataFrame:

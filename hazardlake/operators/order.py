@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -49,10 +49,36 @@ def preview(df: DataFrame, n: int = 10) -> DataFrame:
 def page(
     df: DataFrame, order: Sequence[tuple[str, str]], number: int, size: int
 ) -> DataFrame:
-    """Page ``number`` (from 0) of the sorted rows."""
+    """Page ``number`` (from 0) of the sorted rows, for the first few pages.
+
+    All rows before a page are kept on the way to it; further on, use ``page_after``.
+    """
     return sort_rows(df, order).offset(number * size).limit(size)
 
 
+def page_after(
+    df: DataFrame, order: Sequence[tuple[str, str]], last: Mapping[str, object], size: int
+) -> DataFrame:
+    """The page behind the row with the key ``last``; no task keeps more than a page.
+
+    The columns of ``order`` must tell rows apart. As in ``sort_rows``, nulls come first in
+    ascending and last in descending order.
+    """
+    behind, equal = F.lit(False), F.lit(True)
+    for name, direction in order:
+        column, value = F.col(name), last[name]
+        down = direction == "desc"
+        if value is None:
+            here, same = (F.lit(False) if down else column.isNotNull()), column.isNull()
+        elif down:
+            here, same = (column < F.lit(value)) | column.isNull(), column == F.lit(value)
+        else:
+            here, same = column > F.lit(value), column == F.lit(value)
+        behind = behind | (equal & here)
+        equal = equal & same
+    return sort_rows(df.filter(F.coalesce(behind, F.lit(False))), order).limit(size)
+
+
 def newest_per_prefix(
     files: DataFrame,
     n: int = K.SNAPSHOTS_KEPT,
@@ -81,8 +107,11 @@ def expired_snapshots(
     A prefix with most of the files never meets in one task: only the kept files are
     ranked, the rest is what is not among them.
     """
-    kept = newest_per_prefix(files, n, prefix, mtime, path).select(prefix, path)
-    return files.join(kept, [prefix, path], "left_anti")
+    kept = newest_per_prefix(files, n, prefix, mtime, path).select(
+        F.col(prefix).alias("_prefix"), F.col(path).alias("_path")
+    )
+    same = F.col(prefix).eqNullSafe(F.col("_prefix")) & F.col(path).eqNullSafe(F.col("_path"))
+    return files.join(kept, same, "left_anti")
 
 
 def expired_by_age(

@@ -25,19 +25,13 @@ from hazardlake.operators.project import (
     add_processing_meta,
     gold_projection,
 )
-from hazardlake.schemas import INDICATOR_GOLD, INDICATOR_RAW
+from hazardlake.schemas import INDICATOR_GOLD, INDICATOR_RAW, INDICATOR_SILVER
 from hazardlake.sources.tables import export_csv, read_table, write_table
 
+# Columns that an observation must have.
 CRITICAL = ["country_code", "indicator_id", "year", "value"]
-GOLD_REQUIRED = [
-    "country_code",
-    "country_name",
-    "indicator_id",
-    "indicator_name",
-    "indicator_category",
-    "year",
-    "value",
-]
+# Gold is a projection of all silver columns.
+GOLD_REQUIRED = INDICATOR_SILVER.fieldNames()
 
 
 def bronze(df: DataFrame, now: Column | None = None) -> DataFrame:

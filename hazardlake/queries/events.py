@@ -38,6 +38,17 @@ def region_counts(spark, sf_dir):
     return classed(spark, sf_dir).groupBy("region").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(
+    f"""WITH {sql.CLASSED} SELECT region, severity_level, round(AVG(magnitude), 6) AS avg_magnitude,
+    round(AVG(depth), 6) AS avg_depth FROM classed GROUP BY region, severity_level"""
+)
+def event_averages(spark, sf_dir):
+    """The plain averages of the statistics."""
+    stats = G.event_stats(classed(spark, sf_dir))
+    rounded = [F.round(c, 6).alias(c) for c in ("avg_magnitude", "avg_depth")]
+    return stats.select("region", "severity_level", *rounded)
+
+
 @query(
     f"""WITH {sql.CLASSED} SELECT region, severity_level, COUNT(*) AS earthquake_count,
     {sql.exact_mean("magnitude", 5)} AS avg_magnitude, MAX(magnitude) AS max_magnitude,
@@ -70,7 +81,9 @@ def _titles_sql(per_row: int) -> str:
         FROM (SELECT *, unnest(range((copies - 1) // {per_row} + 1)) AS piece FROM counted)),
     dealt AS (SELECT p.*, CAST('0x' || substr(md5(title || '#' || piece), 1, 8) AS BIGINT) % parts
         AS part FROM pieces p JOIN totals USING (region, severity_level))
-    SELECT region, severity_level, part, CAST(SUM(copies) AS BIGINT) AS volcano_count,
+    SELECT region, severity_level, part,
+        CAST(SUM(SUM(copies)) OVER (PARTITION BY region, severity_level) AS BIGINT) AS volcano_count,
+        CAST(SUM(copies) AS BIGINT) AS part_count,
         array_to_string(list_sort(flatten(list(list_transform(range(copies), lambda i: title)))),
         '|') AS titles FROM dealt GROUP BY region, severity_level, part"""
 
@@ -83,6 +96,7 @@ def _titles(spark, sf_dir, per_row):
         "severity_level",
         "part",
         "volcano_count",
+        "part_count",
         F.array_join("volcano_titles", "|").alias("titles"),
     )
 
@@ -154,7 +168,9 @@ def detail_table(spark, sf_dir):
 
 
 @query(
-    f"""WITH {_DETAIL}, flagged AS (SELECT concat_ws(',',
+    f"""WITH {_DETAIL.replace("upper(severity_level[1]) || severity_level[2:] AS severity_level",
+    "CASE event_id % 5 WHEN 0 THEN 'Critical' WHEN 1 THEN 'High' ELSE 'Minor' END AS severity_level")},
+    flagged AS (SELECT concat_ws(',',
     CASE WHEN severity_level = 'Critical' THEN 'critical' END,
     CASE WHEN severity_level = 'High' THEN 'high' END,
     CASE WHEN magnitude >= 5 THEN 'strong' END,
@@ -162,7 +178,11 @@ def detail_table(spark, sf_dir):
     SELECT highlights, COUNT(*) AS n FROM flagged GROUP BY highlights"""
 )
 def highlight_flags(spark, sf_dir):
-    flagged = R.highlight_flags(views.detail_rows(classed(spark, sf_dir)))
+    """Two fifths of the events get the severities that are highlighted."""
+    key = F.col("event_id") % 5
+    severity = F.when(key == 0, "critical").when(key == 1, "high").otherwise("minor")
+    rows = classed(spark, sf_dir).withColumn("severity_level", severity)
+    flagged = R.highlight_flags(views.detail_rows(rows))
     names = F.array_join("highlights", ",").alias("highlights")
     return flagged.groupBy(names).agg(F.count(F.lit(1)).alias("n"))
 
@@ -227,18 +247,23 @@ def rounding(spark, sf_dir):
 
 @query(
     f"""WITH {sql.CLASSED} SELECT event_id,
-    CASE severity_level WHEN 'moderate' THEN 15 ELSE 12 END AS size, '#cccccc' AS colour,
+    CASE severity_level WHEN 'moderate' THEN 15 ELSE 12 END AS size,
+    CASE event_id % 7 WHEN 0 THEN 30 WHEN 1 THEN 22 WHEN 4 THEN 8 ELSE 12 END AS word_size,
+    CASE event_id % 7 WHEN 0 THEN '#800000' WHEN 1 THEN '#cc0000' WHEN 2 THEN '#ff6600'
+        WHEN 4 THEN '#00ff00' ELSE '#cccccc' END AS colour,
     CASE WHEN tsunami = 1 THEN 'Yes' ELSE 'No' END AS tsunami,
     upper(severity_level[1]) || severity_level[2:] AS severity FROM classed"""
 )
 def styles(spark, sf_dir):
+    """All five severity words of the map, one that is none, and null, in turn."""
     severity = F.col("severity_level")
+    words = F.array(*[F.lit(w) for w in ("critical", "high", "medium", "unknown", "low", "other", None)])
+    word = F.get(words, F.col("event_id") % 7)
     return classed(spark, sf_dir).select(
         "event_id",
+        C.style_lookup(word, K.SEVERITY_SIZE, K.SEVERITY_SIZE_DEFAULT).alias("word_size"),
         C.style_lookup(severity, K.SEVERITY_SIZE, K.SEVERITY_SIZE_DEFAULT).alias("size"),
-        C.style_lookup(
-            F.when(severity == "unknown", severity), K.SEVERITY_COLOUR, K.SEVERITY_COLOUR_DEFAULT
-        ).alias("colour"),
+        C.style_lookup(word, K.SEVERITY_COLOUR, K.SEVERITY_COLOUR_DEFAULT).alias("colour"),
         D.yes_no(F.col("tsunami")).alias("tsunami"),
         D.title_case(severity).alias("severity"),
     )
@@ -344,6 +369,18 @@ def page(spark, sf_dir):
     return O.page(rows, [("magnitude", "desc"), ("event_id", "asc")], number=2, size=15)
 
 
+@query(
+    f"""WITH {sql.QUAKES} SELECT event_id, place, magnitude FROM quakes
+    ORDER BY magnitude DESC NULLS LAST, event_id LIMIT 15 OFFSET 30"""
+)
+def page_after(spark, sf_dir):
+    """The third page again, from the last row of the second."""
+    rows = A.quakes(spark, sf_dir).select("event_id", "place", "magnitude")
+    order = [("magnitude", "desc"), ("event_id", "asc")]
+    last = O.page(rows, order, number=1, size=15).collect()[-1]
+    return O.page_after(rows, order, last.asDict(), size=15)
+
+
 @query(f"WITH {sql.QUAKES} SELECT event_id, place FROM quakes ORDER BY event_id LIMIT 10")
 def preview(spark, sf_dir):
     rows = A.quakes(spark, sf_dir).select("event_id", "place")

@@ -55,14 +55,34 @@ def compacted_table(spark, sf_dir):
     return _groups(tables.read_table(spark, target))
 
 
-@query(f"WITH {sql.QUAKES} SELECT event_id, magnitude, place, latitude FROM quakes")
+_CSV_TEXT = """CASE event_id % 5 WHEN 0 THEN 'He said "' || place || '", then left'
+    WHEN 1 THEN 'line one' || chr(10) || place || chr(10) WHEN 2 THEN ''
+    WHEN 3 THEN place || ', "" and \\' END"""
+
+
+@query(f"WITH {sql.QUAKES} SELECT event_id, magnitude, {_CSV_TEXT} AS place, latitude FROM quakes")
 def csv_round_trip(spark, sf_dir):
+    """Text with quotes, commas and line breaks, the empty text, and null."""
     path = scratch_path(spark, "csv")
-    rows = A.quakes(spark, sf_dir).select("event_id", "magnitude", "place", "latitude")
+    key = F.col("event_id") % 5
+    text = F.when(key == 0, F.concat(F.lit('He said "'), "place", F.lit('", then left')))
+    text = text.when(key == 1, F.concat(F.lit("line one\n"), "place", F.lit("\n")))
+    text = text.when(key == 2, "").when(key == 3, F.concat("place", F.lit(', "" and \\')))
+    rows = A.quakes(spark, sf_dir).select("event_id", "magnitude", text.alias("place"), "latitude")
     tables.export_csv(rows, path)
     return tables.read_csv(spark, path, rows.schema)
 
 
+@query(f"WITH {sql.QUAKES} SELECT event_id, place, NULL::DOUBLE AS absent, magnitude FROM quakes")
+def csv_other_order(spark, sf_dir):
+    """Files whose columns stand in another order than the schema that reads them."""
+    path = scratch_path(spark, "csv")
+    rows = A.quakes(spark, sf_dir).select("event_id", "place", "magnitude")
+    tables.export_csv(rows.select("magnitude", "event_id", "place"), path)
+    schema = S.struct(event_id=S.LONG, place=S.STRING, absent=S.DOUBLE, magnitude=S.DOUBLE)
+    return tables.read_csv(spark, path, schema)
+
+
 @query(
     f"""WITH {sql.CLEAN} SELECT country_code, COUNT(*) AS n FROM clean GROUP BY country_code"""
 )
@@ -97,6 +117,46 @@ def indicator_files(spark, sf_dir):
     return rows.select("country_code", "indicator_id", "year", "value")
 
 
+@query(
+    f"""WITH {sql.PANEL} SELECT country_code, indicator_id, 'unparseable' AS reason, COUNT(*) AS n
+    FROM (SELECT DISTINCT country_code, indicator_id FROM panel) GROUP BY ALL"""
+)
+def bad_indicator_responses(spark, sf_dir):
+    """Each response also comes cut off; those give no entries and are reported."""
+    path = scratch_path(spark, "responses")
+    documents = A.indicator_documents(spark, sf_dir).select("value", "country_code", "indicator_id")
+    cut = documents.withColumn("value", F.expr("left(value, length(value) - 3)"))
+    documents.unionByName(cut).write.partitionBy("country_code", "indicator_id").text(path)
+    bad = feeds.unreadable_indicators(spark, path, multi_line=False)
+    return bad.groupBy("country_code", "indicator_id", "reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    f"""SELECT 'quakes' AS feed, COUNT(DISTINCT event_id // {A.DOCUMENT_SIZE}) AS bad,
+    COUNT(*) AS good FROM events
+    UNION ALL SELECT 'volcanoes', COUNT(DISTINCT event_id // {A.DOCUMENT_SIZE}), COUNT(*) FROM events"""
+)
+def bad_landed_documents(spark, sf_dir):
+    """Each landed document also comes broken: good records and reported documents."""
+    feeds_of = {
+        "quakes": (A.quake_documents, S.FEATURES_DOC, "features"),
+        "volcanoes": (A.volcano_documents, S.EVENTS_DOC, "events"),
+    }
+    results = []
+    for name, (documents, schema, items) in feeds_of.items():
+        path = scratch_path(spark, name)
+        values = documents(spark, sf_dir).select("value")
+        broken = values.select(F.concat(F.lit("[{not json"), "value").alias("value"))
+        values.unionByName(broken).write.text(path)
+        bad = feeds.unreadable_documents(spark, path, schema, items, multi_line=False)
+        good = feeds.read_documents(spark, path, schema, multi_line=False)
+        counted = bad.agg(F.count(F.lit(1)).alias("bad")).join(
+            good.agg(F.coalesce(F.sum(F.size(items)), F.lit(0)).alias("good"))
+        )
+        results.append(counted.select(F.lit(name).alias("feed"), "bad", "good"))
+    return results[0].unionByName(results[1])
+
+
 @query(
     f"""WITH {sql.FLAT} SELECT id, time, magnitude FROM flat
     WHERE timestamp BETWEEN TIMESTAMP '2024-01-19 00:00:00' AND TIMESTAMP '2024-01-20 00:00:00'

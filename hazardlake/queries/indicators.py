@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import functions as F
 
 from hazardlake import adapters as A
@@ -76,14 +78,26 @@ def conform(spark, sf_dir):
 
 
 @query(
-    f"""WITH {sql.CLEAN} SELECT o_orderkey, value, {sql.QUALITY_FLAG} AS data_quality_flag,
-    TRUE AS is_complete FROM clean"""
+    f"""WITH {sql.PANEL}, gaps AS (SELECT * REPLACE (
+        CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE indicator_id END AS indicator_id,
+        CASE WHEN isnan(value) THEN NULL ELSE value END AS value,
+        CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE country_code END AS country_code) FROM panel)
+    SELECT o_orderkey, {sql.QUALITY_FLAG} AS data_quality_flag,
+    country_code IS NOT NULL AND indicator_id IS NOT NULL AND year IS NOT NULL
+        AND value IS NOT NULL AS is_complete FROM gaps"""
 )
 def quality_flags(spark, sf_dir):
-    rows = R.year_between(R.drop_incomplete(A.panel(spark, sf_dir), ["value"]))
+    """Flags of rows with gaps: no filter goes before them."""
+    key, value = F.col("o_orderkey"), F.col("value")
+    rows = A.panel(spark, sf_dir).withColumns(
+        {
+            "indicator_id": F.when(key % 7 != 0, F.col("indicator_id")),
+            "country_code": F.when(key % 11 != 0, F.col("country_code")),
+            "value": F.when(~F.isnan(value), value),
+        }
+    )
     return rows.select(
         "o_orderkey",
-        "value",
         C.quality_flag(F.col("value"), F.col("indicator_id")).alias("data_quality_flag"),
         C.is_complete(*[F.col(c) for c in batch.CRITICAL]).alias("is_complete"),
     )
@@ -145,6 +159,16 @@ def flag_summary(spark, sf_dir):
     return summarise_flags(batch.silver(A.panel(spark, sf_dir)))
 
 
+@query(
+    f"""WITH {sql.CLEAN} SELECT country_code, year, round(AVG(value), 6) AS value
+    FROM clean GROUP BY country_code, year"""
+)
+def entity_year_average(spark, sf_dir):
+    """The plain average of each entity and year."""
+    rows = R.year_between(R.drop_incomplete(A.panel(spark, sf_dir), ["value"]))
+    return G.entity_year_mean(rows).withColumn("value", F.round("value", 6))
+
+
 @query(
     f"""WITH {sql.CLEAN} SELECT country_code, year, {sql.exact_mean("value", 2)} AS value
     FROM clean GROUP BY country_code, year"""
@@ -160,11 +184,18 @@ def entity_year_mean(spark, sf_dir):
     SELECT layer, COUNT(*) AS records FROM layers GROUP BY layer"""
 )
 def layer_counts(spark, sf_dir):
-    raw = A.panel(spark, sf_dir)
-    bronze = batch.bronze(raw)
-    silver = batch.silver(bronze)
-    layers = {"raw": raw, "bronze": bronze, "silver": silver, "gold": batch.gold(silver)}
-    return G.layer_counts(layers)
+    steps = {"bronze": batch.bronze, "silver": batch.silver, "gold": batch.gold}
+    return G.observed_counts(A.panel(spark, sf_dir), steps)
+
+
+@query("SELECT 0::BIGINT AS n, 24 AS n_columns")
+def gold_without_columns(spark, sf_dir):
+    """A silver table that lacks a column gives an empty gold table of the full layout."""
+    silver = batch.silver(batch.bronze(A.panel(spark, sf_dir))).drop("unit")
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        gold = batch.gold(silver)
+    return gold.agg(F.count(F.lit(1)).alias("n")).withColumn("n_columns", F.lit(len(gold.columns)))
 
 
 @query(

@@ -35,6 +35,19 @@ def lookup_names(spark, sf_dir):
     return J.lookup(rows, _dimension(spark, sf_dir), "country_code", "known_name")
 
 
+@query(
+    """SELECT c_custkey, CASE c_custkey % 8 WHEN 0 THEN 'Australia' WHEN 1 THEN 'Brazil'
+    WHEN 2 THEN 'United Kingdom' WHEN 3 THEN 'South Korea' WHEN 4 THEN 'Chile'
+    WHEN 5 THEN 'United States' WHEN 6 THEN 'XX' END AS country_name FROM customer"""
+)
+def map_country_names(spark, sf_dir):
+    """Codes of the wider and the narrower list, an unknown one, and null."""
+    codes = F.array(*[F.lit(c) for c in ("AU", "BR", "GB", "KR", "CL", "US", "XX", None)])
+    code = F.get(codes, F.col("c_custkey") % 8)
+    customers = A.table(spark, sf_dir, "customer").select("c_custkey", code.alias("code"))
+    return customers.select("c_custkey", J.map_country_name(F.col("code")).alias("country_name"))
+
+
 @query(
     f"""WITH {sql.PANEL} SELECT o_orderkey, CASE indicator_id WHEN 'F' THEN 'Filled orders'
     WHEN 'O' THEN 'Open orders' ELSE indicator_id END AS label,

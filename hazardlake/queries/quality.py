@@ -106,12 +106,13 @@ def freshness(spark, sf_dir):
 
 
 @query(
-    """SELECT 'events' AS layer, COUNT(*) > 0 AS ok FROM events
-    UNION ALL SELECT 'orders', COUNT(*) > 0 FROM orders UNION ALL SELECT 'absent', FALSE"""
+    """SELECT 'events' AS layer, 3::BIGINT AS files, COUNT(*) > 0 AS ok FROM events
+    UNION ALL SELECT 'orders', 1, COUNT(*) > 0 FROM orders UNION ALL SELECT 'absent', 0, FALSE"""
 )
 def volume_check(spark, sf_dir):
     root = scratch_path(spark, "volume")
-    for name in ("events", "orders"):
-        write_table(A.table(spark, sf_dir, name), f"{root}/{name}")
+    for name, files in (("events", 3), ("orders", 1)):
+        rows = A.table(spark, sf_dir, name).repartition(files)
+        write_table(rows, f"{root}/{name}", files=files)
     paths = {name: f"{root}/{name}" for name in ("events", "orders", "absent")}
-    return Q.volume_check(spark, paths).select("layer", "ok")
+    return Q.volume_check(spark, paths)

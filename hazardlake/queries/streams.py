@@ -85,7 +85,7 @@ def _gold(spark, documents, hazard, topic=False, **settings):
     """Silver messages of the documents through the gold stream; paths of its outputs."""
     silver = _landed(spark, H.silver_messages(documents, hazard))
     root = scratch_path(spark, "gold")
-    H.gold_stream(
+    started = H.gold_stream(
         read_stream(spark, silver, maxFilesPerTrigger="4"),
         hazard,
         f"{root}/table",
@@ -93,7 +93,9 @@ def _gold(spark, documents, hazard, topic=False, **settings):
         topic=f"{root}/topic" if topic else None,
         trigger=H.ONCE,
         **settings,
-    ).awaitTermination()
+    )
+    for running in started.values():
+        running.awaitTermination()
     return root
 
 
@@ -110,8 +112,8 @@ def stream_quake_gold(spark, sf_dir):
 @query(f"WITH {sql.FLAT} SELECT region, severity_level, {_QUAKE_STATS} FROM flat GROUP BY 1, 2")
 def stream_quake_gold_running(spark, sf_dir):
     documents = A.quake_documents(spark, sf_dir)
-    root = _gold(spark, documents, H.QUAKE, mode="running", exact_scale=5)
-    return H.read_snapshot(spark, f"{root}/table").drop("analytics_timestamp")
+    root = _gold(spark, documents, H.QUAKE, mode="running", exact_scale=5, compact_every=2)
+    return H.read_running(spark, f"{root}/table", H.QUAKE).drop("analytics_timestamp")
 
 
 _TITLES = """COUNT(*) AS volcano_count, array_to_string(list_sort(list(title)), '|') AS titles"""
@@ -138,8 +140,8 @@ def stream_volcano_gold(spark, sf_dir):
 def stream_volcano_gold_running(spark, sf_dir):
     """The running title lists, taken apart again; long lists come in several rows."""
     documents = A.volcano_documents(spark, sf_dir)
-    root = _gold(spark, documents, H.VOLCANO, mode="running", per_row=200)
-    gold = H.read_snapshot(spark, f"{root}/table")
+    root = _gold(spark, documents, H.VOLCANO, mode="running", compact_every=2)
+    gold = H.read_running(spark, f"{root}/table", H.VOLCANO, per_row=200)
     titles = gold.select(*GROUP, F.explode("volcano_titles").alias("title"))
     return titles.groupBy(*GROUP, "title").agg(F.count(F.lit(1)).alias("copies"))
 
@@ -170,15 +172,81 @@ def publish_records(spark, sf_dir):
 
 
 @query(
-    f"""WITH {sql.FLAT} SELECT region, severity_level, COUNT(*) AS n,
-    CAST(SUM(event_id) AS BIGINT) AS ids, COUNT(depth) AS depths FROM flat GROUP BY 1, 2"""
+    """SELECT 'once' AS kind, COUNT(*) AS n FROM events
+    UNION ALL SELECT 'without id', COUNT(*) FROM events
+    UNION ALL SELECT 'without time', COUNT(*) FROM events
+    UNION ALL SELECT 'late', COUNT(*) FROM events"""
 )
 def stream_deduplicated(spark, sf_dir):
-    """Every document is sent twice; the span covers all events, so each id counts once."""
+    """Every document is sent twice, and once each without ids, without times, and long after.
+
+    The span covers all events but the last kind, so each id counts once; nothing is lost.
+    """
     documents = A.quake_documents(spark, sf_dir)
-    again = documents.withColumn("message_id", F.concat("message_id", F.lit("-again")))
-    paths = _silver(spark, documents.unionByName(again), H.QUAKE, dedup="60 days")
-    return _silver_groups(spark.read.parquet(paths["table"]))
+
+    def changed(tag, old, new):
+        return documents.withColumns(
+            {
+                "message_id": F.concat("message_id", F.lit(f"-{tag}")),
+                "value": F.regexp_replace("value", old, new),
+            }
+        )
+
+    topic, root = scratch_path(spark, "topic"), scratch_path(spark, "silver")
+    first = documents.unionByName(changed("again", "^", "")).unionByName(changed("idless", '"id":', '"no":'))
+    # one run each, so that the last documents come after the others
+    for sent in (
+        first.unionByName(changed("timeless", '"time":', '"when":')),
+        changed("late", r'"id":"?(\d+)"?', '"id":"late-$1"').withColumn(
+            "value", F.regexp_replace("value", r'"time":1[67]', '"time":15')
+        ),
+    ):
+        publish(sent, topic)
+        H.silver_stream(
+            read_stream(spark, topic), H.QUAKE, f"{root}/table", f"{root}/checkpoint",
+            dedup="60 days", late=f"{root}/late", trigger=H.ONCE,
+        )["table"].awaitTermination()
+    kind = F.when(F.col("id").isNull(), "without id").when(F.col("timestamp").isNull(), "without time")
+    kept = spark.read.parquet(f"{root}/table").select(kind.otherwise("once").alias("kind"))
+    late = spark.read.parquet(f"{root}/late").select(F.lit("late").alias("kind"))
+    return kept.unionByName(late).groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    f"""SELECT 'good' AS kind, COUNT(*) AS n FROM events
+    UNION ALL SELECT 'unparseable', COUNT(DISTINCT event_id // {A.DOCUMENT_SIZE}) FROM events"""
+)
+def stream_bad_silver(spark, sf_dir):
+    """Each silver message also comes cut off; those end up in the quarantine of the gold stream."""
+    silver = H.silver_messages(A.quake_documents(spark, sf_dir), H.QUAKE)
+    broken = silver.withColumn("value", F.concat(F.lit("[{not json"), "value"))
+    topic, root = _landed(spark, silver.unionByName(broken)), scratch_path(spark, "gold")
+    H.gold_stream(
+        read_stream(spark, topic), H.QUAKE, f"{root}/table", f"{root}/checkpoint", trigger=H.ONCE
+    )["table"].awaitTermination()
+    good = spark.read.parquet(f"{root}/table").agg(F.sum("earthquake_count").alias("n"))
+    bad = spark.read.schema("reason STRING").json(f"{root}/table_quarantine")
+    return good.select(F.lit("good").alias("kind"), "n").unionByName(
+        bad.groupBy(F.col("reason").alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+    )
+
+
+@query(
+    f"""WITH {sql.FLAT}, wide AS (SELECT DISTINCT {_DOC} AS message_id FROM flat)
+    SELECT (SELECT COUNT(*) FROM flat) AS records, COUNT(*) AS messages, COUNT(*) AS bad FROM wide"""
+)
+def stream_all_outputs(spark, sf_dir):
+    """Table, topic and quarantine out of one reading of the topic."""
+    documents = A.quake_documents(spark, sf_dir)
+    broken = documents.withColumn("value", F.concat(F.lit("{bad "), "value"))
+    paths = _silver(spark, documents.unionByName(broken), H.QUAKE, "topic", "quarantine")
+    counts = {
+        "records": spark.read.parquet(paths["table"]),
+        "messages": read_messages(spark, paths["topic"]),
+        "bad": spark.read.schema("reason STRING").json(paths["quarantine"]),
+    }
+    one_row = [df.agg(F.count(F.lit(1)).alias(name)) for name, df in counts.items()]
+    return one_row[0].join(one_row[1]).join(one_row[2])
 
 
 @query(
@@ -194,7 +262,8 @@ def stream_quarantine(spark, sf_dir):
         }
     )
     paths = _silver(spark, documents.unionByName(broken), H.QUAKE, "quarantine")
-    return spark.read.schema("message_id STRING, reason STRING").json(paths["quarantine"])
+    bad = spark.read.schema("message_id STRING, reason STRING").json(paths["quarantine"])
+    return bad.select("message_id", "reason")
 
 
 @query("SELECT COUNT(*) AS messages, CAST(SUM(n) AS BIGINT) AS features FROM "

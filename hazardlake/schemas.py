@@ -160,7 +160,9 @@ QUAKE_GOLD = struct(
 VOLCANO_GOLD = struct(
     region=STRING,
     severity_level=STRING,
+    part=LONG,
     volcano_count=LONG,
+    part_count=LONG,
     volcano_titles=ArrayType(STRING),
     analytics_timestamp=TIMESTAMP,
     layer=STRING,

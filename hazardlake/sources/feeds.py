@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from hazardlake import constants as K
 from hazardlake.operators.clean import feed_window
 from hazardlake.operators.flatten import (
+    corrupt_documents,
     flatten_events_latest_geom,
     flatten_features,
     indicator_entries,
+    parse_documents,
 )
 from hazardlake.schemas import EVENTS_DOC, FEATURES_DOC
 
@@ -23,13 +25,35 @@ def read_indicator_json(spark: SparkSession, path: str, multi_line: bool = True)
     or one per line without ``multi_line``. The partition columns are declared, because
     inference would read codes such as ``1D`` as numbers.
     """
-    layout = "value STRING, country_code STRING, indicator_id STRING"
-    documents = spark.read.schema(layout).text(path, wholetext=multi_line)
+    documents = _responses(spark, path, multi_line)
     return documents.select(
         "country_code", "indicator_id", indicator_entries(F.col("value")).alias("entries")
     )
 
 
+def _responses(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
+    layout = "value STRING, country_code STRING, indicator_id STRING"
+    return spark.read.schema(layout).text(path, wholetext=multi_line)
+
+
+def unreadable_indicators(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Landed responses that give no entries, unchanged, with the reason.
+
+    ``unparseable`` is no JSON, or no list of entries where one belongs; ``no entries`` is a
+    response without a second element, as the service sends for unknown codes.
+    """
+    value = F.col("value")
+    entries = F.explode(F.array(indicator_entries(value))).alias("entries")
+    whole = F.get_json_object(value, "$").isNotNull() & F.get_json_object(value, "$[1]").isNull()
+    documents = _responses(spark, path, multi_line).select("*", entries)
+    return documents.filter(F.col("entries").isNull()).select(
+        "country_code",
+        "indicator_id",
+        "value",
+        F.when(whole, F.lit("no entries")).otherwise(F.lit("unparseable")).alias("reason"),
+    )
+
+
 def read_documents(
     spark: SparkSession, path: str, schema: StructType, multi_line: bool = True
 ) -> DataFrame:
@@ -37,6 +61,19 @@ def read_documents(
     return spark.read.schema(schema).option("multiLine", multi_line).json(path)
 
 
+def unreadable_documents(
+    spark: SparkSession, path: str, schema: StructType, items: str, multi_line: bool = True
+) -> DataFrame:
+    """Landed documents that could not be read in full, unchanged, with the reason.
+
+    ``partial`` ones also give records.
+    """
+    layout = StructType([StructField("value", StringType())])
+    documents = spark.read.schema(layout).text(path, wholetext=multi_line)
+    bad = corrupt_documents(parse_documents(documents.filter(F.trim("value") != ""), schema), items)
+    return bad.select("value", "reason")
+
+
 def read_quake_feed(
     spark: SparkSession,
     path: str,

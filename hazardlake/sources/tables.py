@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterable, Sequence
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -18,8 +18,37 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     return spark.read.format(fmt).load(path)
 
 
+# Quotes are doubled within quotes and a field may hold line breaks, as spreadsheets and
+# other writers do. Null is an empty field, the empty text a pair of quotes.
+_CSV = {
+    "header": True,
+    "quote": '"',
+    "escape": '"',
+    "nullValue": "",
+    "emptyValue": '""',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
+
+# What the reader puts for a pair of quotes: were it the empty text, it would be taken for null.
+_EMPTY = "\x01"
+
+
 def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    return spark.read.schema(schema).option("header", True).option("nullValue", "").csv(path)
+    """Columns by the names in the header, in the order of the schema; an absent one is null.
+
+    The header of the files decides, so they may differ in order. Files are read whole, as
+    a record may span lines.
+    """
+    found = spark.read.options(**_CSV | {"emptyValue": _EMPTY}, multiLine=True).csv(path)
+
+    def field(name: str) -> Column:
+        if name not in found.columns:
+            return F.lit(None).cast("string")
+        text = F.col(f"`{name}`")
+        return F.when(text == _EMPTY, "").otherwise(text)
+
+    return found.select(*[field(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def empty_like(spark: SparkSession, schema: StructType) -> DataFrame:
@@ -85,7 +114,7 @@ def append_partitioned(
 
 
 def export_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").options(**_CSV).csv(path)
 
 
 def list_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
@@ -140,6 +169,12 @@ def read_latest_csv(spark: SparkSession, path: str, schema: StructType) -> DataF
     return empty_like(spark, schema) if newest is None else read_csv(spark, newest, schema)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, wherever Spark's file systems reach."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def archive_snapshot(
     df: DataFrame, path: str, kind: str, taken: datetime, batch: int = 0
 ) -> None:

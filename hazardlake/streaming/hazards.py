@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,12 +18,14 @@ from hazardlake.operators import flatten as flat
 from hazardlake.operators.aggregate import (
     GROUP,
     count_titles,
+    TITLES_PER_ROW,
     document_titles,
     event_stats,
     pack_titles,
 )
 from hazardlake.operators.project import add_analytics_meta, processing_meta
-from hazardlake.sources.tables import archive_snapshot, write_table
+from hazardlake.sources.tables import archive_snapshot, read_first_available, remove, write_table
+from hazardlake.schemas import LONG, STRING, TIMESTAMP, struct
 from hazardlake.sources.topics import FILES, as_message, publish, read_stream
 
 Trigger = Mapping[str, object]
@@ -67,9 +70,11 @@ def parse(messages: DataFrame, hazard: Hazard) -> DataFrame:
 
 def silver_rows(messages: DataFrame, hazard: Hazard, now: Column | None = None) -> DataFrame:
     """Classified records of all documents, with the id of the message they came in."""
-    rows = flat.flatten(
-        parse(messages, hazard), f"doc.{hazard.items}", hazard.fields, "message_id"
-    )
+    return _rows(parse(messages, hazard), hazard, now)
+
+
+def _rows(parsed: DataFrame, hazard: Hazard, now: Column | None) -> DataFrame:
+    rows = flat.flatten(parsed, f"doc.{hazard.items}", hazard.fields, "message_id")
     classes = hazard.classes({name: F.col(name) for name in rows.columns})
     meta = processing_meta(now=now)
     wide = rows.select("*", *[c.alias(n) for n, c in classes.items()], *meta)
@@ -82,13 +87,15 @@ def silver_messages(messages: DataFrame, hazard: Hazard, now: Column | None = No
     Built inside the row, so no document is regrouped. Documents without records send
     nothing.
     """
+    return _messages(parse(messages, hazard), hazard, now)
 
+
+def _messages(parsed: DataFrame, hazard: Hazard, now: Column | None) -> DataFrame:
     def extra(record):
         meta = processing_meta(now=now)
         names = ["processing_timestamp", "layer", "processing_version"]
         return {**hazard.classes(record), **dict(zip(names, meta))}
 
-    parsed = parse(messages, hazard)
     items = F.col(f"doc.{hazard.items}")
     names = hazard.silver.fieldNames()
     value = F.to_json(flat.records_array(items, hazard.fields, extra, names))
@@ -99,14 +106,33 @@ def silver_messages(messages: DataFrame, hazard: Hazard, now: Column | None = No
 
 def quarantined(messages: DataFrame, hazard: Hazard) -> DataFrame:
     """Documents that could not be read in full, unchanged, with the reason."""
-    bad = flat.corrupt_documents(parse(messages, hazard), hazard.items)
+    return _bad_documents(parse(messages, hazard), hazard)
+
+
+def _bad_documents(parsed: DataFrame, hazard: Hazard) -> DataFrame:
+    bad = flat.corrupt_documents(parsed, hazard.items)
     return bad.select("message_id", "key", "value", "reason")
 
 
+def _silver_array(hazard: Hazard) -> Column:
+    return F.from_json("value", f"ARRAY<{hazard.silver.simpleString()}>")
+
+
 def silver_records(messages: DataFrame, hazard: Hazard) -> DataFrame:
     """Records of silver messages, with the id of their message."""
-    array = F.from_json("value", f"ARRAY<{hazard.silver.simpleString()}>")
-    return flat.items_of(messages, array, "message_id").select("message_id", "_item.*")
+    return flat.items_of(messages, _silver_array(hazard), "message_id").select("message_id", "_item.*")
+
+
+def unreadable_records(messages: DataFrame, hazard: Hazard) -> DataFrame:
+    """Silver messages that give no record although they are not an empty array."""
+    records = messages.select(
+        "message_id", "key", "value", F.explode(F.array(_silver_array(hazard))).alias("_records")
+    )
+    empty = F.coalesce(F.col("value").rlike(r"^\s*\[\s*\]\s*$"), F.lit(False))
+    usable = F.coalesce(F.exists("_records", lambda r: r.isNotNull()), F.lit(False))
+    return records.filter(~usable & ~empty).select(
+        "message_id", "key", "value", F.lit("unparseable").alias("reason")
+    )
 
 
 def gold_per_message(
@@ -138,36 +164,64 @@ def gold_messages(gold: DataFrame, hazard: Hazard) -> DataFrame:
 
 
 # --- streaming queries ----------------------------------------------------------------
-def _file_sink(
+def _each_batch(
     df: DataFrame,
-    fmt: str,
-    path: str,
+    handle: Callable[[DataFrame, int], None],
     checkpoint: str,
     trigger: Trigger,
-    partition_by: Sequence[str] = (),
-    options: Mapping[str, str] | None = None,
+    mode: str = "append",
 ) -> StreamingQuery:
-    """Append to files; the sink's log makes each batch count exactly once."""
-    writer = df.writeStream.format(fmt).options(**options or {})
-    writer = writer.option("checkpointLocation", checkpoint)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    return writer.trigger(**trigger).start(path)
+    writer = df.writeStream.outputMode(mode).foreachBatch(handle)
+    return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
-def _topic_sink(
-    df: DataFrame,
-    fmt: str,
-    topic: str,
-    checkpoint: str,
-    trigger: Trigger,
-    options: Mapping[str, str] | None,
-) -> StreamingQuery:
-    if fmt != "kafka":
-        return _file_sink(df, fmt, topic, checkpoint, trigger, options=options)
-    writer = df.select("key", "value").writeStream.format("kafka").options(**options or {})
-    writer = writer.option("topic", topic).option("checkpointLocation", checkpoint)
-    return writer.trigger(**trigger).start()
+def _batch_folder(path: str, batch_id: int) -> str:
+    """Each batch has its folder and replaces it when it runs again after a failure."""
+    return f"{path.rstrip('/')}/batch_id={batch_id}"
+
+
+def _beside(path: str, name: str) -> str:
+    return f"{path.rstrip('/')}_{name}"
+
+
+def _publish_batch(out, topic, fmt, batch_id, options) -> None:
+    if fmt == "kafka":
+        publish(out, topic, "kafka", **options)
+    else:
+        publish(out, _batch_folder(topic, batch_id), fmt, "overwrite", **options)
+
+
+def _keep_bad(bad: DataFrame, quarantine: str, batch_id: int) -> None:
+    if not bad.isEmpty():
+        bad.write.mode("overwrite").json(_batch_folder(quarantine, batch_id))
+
+
+def _first_sent(
+    rows: DataFrame, seen: str, batch_id: int, span: str, late: str
+) -> DataFrame:
+    """Rows whose id was not seen within the time span before; the rest of what comes in.
+
+    The ids and times of earlier batches lie in ``seen``. Rows without an id or a time
+    cannot be told apart and all stay. Events older than the newest event of earlier batches by more than
+    the span may have been seen already: they go to ``late`` and nowhere else.
+    """
+    spark = rows.sparkSession
+    told = F.col("id").isNotNull() & F.col("timestamp").isNotNull()
+    layout = struct(id=STRING, timestamp=TIMESTAMP, batch_id=LONG)
+    earlier = read_first_available(spark, [lambda: spark.read.schema(layout).parquet(seen)], layout)
+    earlier = earlier.filter(F.col("batch_id") < batch_id)
+    newest = earlier.agg(F.max("timestamp")).first()[0]
+    on_time = rows.filter(told)
+    if newest is not None:
+        horizon = F.lit(newest) - F.expr(f"INTERVAL {span}")
+        behind = on_time.filter(F.col("timestamp") < horizon)
+        if not behind.isEmpty():
+            write_table(behind, _batch_folder(late, batch_id))
+        known = earlier.filter(F.col("timestamp") >= horizon).select("id").distinct()
+        on_time = on_time.filter(F.col("timestamp") >= horizon).join(known, "id", "left_anti")
+    fresh = on_time.dropDuplicates(["id"]).select(*rows.columns).persist()
+    fresh.select("id", "timestamp").write.mode("overwrite").parquet(_batch_folder(seen, batch_id))
+    return fresh.unionByName(rows.filter(~told))
 
 
 def silver_stream(
@@ -178,49 +232,42 @@ def silver_stream(
     topic: str | None = None,
     quarantine: str | None = None,
     dedup: str | None = None,
+    late: str | None = None,
     trigger: Trigger = POLL,
     topic_format: str = FILES,
     topic_options: Mapping[str, str] | None = None,
     table_format: str = "parquet",
     now: Column | None = None,
 ) -> dict[str, StreamingQuery]:
-    """Documents to the silver table, and if asked to the silver topic and a quarantine.
+    """Documents to the silver table, the quarantine and, if asked, the silver topic.
 
-    Every output is a stateless query with its own checkpoint. The table is partitioned by
-    region and severity; rebalancing on both keeps the files few and splits the severity
-    that most events share. Re-sent events are all kept, unless ``dedup`` gives the time
-    span within which an id counts once; events later than that span are then dropped.
-    """
-    rows = silver_rows(messages, hazard, now)
-    if dedup:
-        rows = rows.withWatermark("timestamp", dedup).dropDuplicatesWithinWatermark(["id"])
-    else:
-        rows = rows.hint("rebalance", *GROUP)
-    queries = {
-        "table": _file_sink(rows, table_format, table, f"{checkpoint}/table", trigger, GROUP)
-    }
-    if topic:
-        out = silver_messages(messages, hazard, now)
-        queries["topic"] = _topic_sink(
-            out, topic_format, topic, f"{checkpoint}/topic", trigger, topic_options
-        )
-    if quarantine:
-        bad = quarantined(messages, hazard)
-        queries["quarantine"] = _file_sink(
-            bad, "json", quarantine, f"{checkpoint}/quarantine", trigger
-        )
-    return queries
+    One query reads and parses each document once for all outputs. Every output has a
+    folder for each batch, ``batch_id=<n>``, which the batch replaces if it runs again; the
+    rows of a batch are rebalanced, so its files are few. Kafka output is at least once.
 
+    What cannot be read goes to ``quarantine`` (by default ``<table>_quarantine``). Re-sent
+    events are all kept, unless ``dedup`` gives the time span within which an id counts
+    once; events later than that span then go to ``late`` (by default ``<table>_late``).
+    Events without an id or a time are never taken for re-sent ones.
+    """
+    quarantine = quarantine or _beside(table, "quarantine")
+    late = late or _beside(table, "late")
 
-def _each_batch(
-    df: DataFrame,
-    handle: Callable[[DataFrame, int], None],
-    checkpoint: str,
-    trigger: Trigger,
-    mode: str = "append",
-) -> StreamingQuery:
-    writer = df.writeStream.outputMode(mode).foreachBatch(handle)
-    return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        parsed = parse(batch, hazard).persist()
+        rows = _rows(parsed, hazard, now)
+        if dedup:
+            rows = _first_sent(rows, _beside(checkpoint, "seen"), batch_id, dedup, late)
+        if not parsed.isEmpty():
+            out = rows.hint("rebalance")
+            write_table(out, _batch_folder(table, batch_id), fmt=table_format)
+            if topic:
+                sent = _messages(parsed, hazard, now)
+                _publish_batch(sent, topic, topic_format, batch_id, topic_options or {})
+            _keep_bad(_bad_documents(parsed, hazard), quarantine, batch_id)
+        parsed.unpersist()
+
+    return {"table": _each_batch(messages, handle, f"{checkpoint}/table", trigger)}
 
 
 def gold_stream(
@@ -230,47 +277,70 @@ def gold_stream(
     checkpoint: str,
     topic: str | None = None,
     mode: str = "per_batch",
+    quarantine: str | None = None,
     trigger: Trigger = POLL,
     topic_format: str = FILES,
     topic_options: Mapping[str, str] | None = None,
     exact_scale: int | None = None,
-    per_row: int | None = None,
+    compact_every: int = 50,
     now: Column | None = None,
-) -> StreamingQuery:
-    """Silver messages to gold statistics.
+) -> dict[str, StreamingQuery]:
+    """Silver messages to gold statistics, and unreadable ones to the quarantine.
 
     ``per_batch`` writes the groups of every message, never merged across messages.
-    ``running`` keeps totals over all messages and writes them as a new snapshot per batch;
-    ``read_snapshot`` gives the latest. Both write to ``batch_id=<n>`` folders and replace
-    that folder when a batch is repeated after a failure.
+    ``running`` keeps totals over all messages; each batch writes the groups that changed, and
+    every ``compact_every`` batches all of them, after which older folders go.
+    ``read_running`` gives the latest totals. Both write to ``batch_id=<n>`` folders and
+    replace that folder when a batch is repeated after a failure.
+
+    The result has the query ``table`` and, in running mode, also ``quarantine``, as totals
+    are all that comes out of the first one.
     """
+    quarantine = quarantine or _beside(table, "quarantine")
     if mode == "running":
-        return _running_gold(messages, hazard, table, checkpoint, trigger, exact_scale, per_row, now)
+        return _running_gold(
+            messages, hazard, table, checkpoint, quarantine, trigger, exact_scale, compact_every, now
+        )
     if mode != "per_batch":
         raise ValueError(f"unknown mode: {mode}")
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        gold = gold_per_message(batch, hazard, exact_scale, now)
-        if topic:
-            gold = gold.persist()
-        write_table(gold, f"{table}/batch_id={batch_id}", partition_by=GROUP)
-        if topic:
-            out, options = gold_messages(gold, hazard), topic_options or {}
-            if topic_format == "kafka":
-                publish(out, topic, "kafka", **options)
-            else:
-                folder = f"{topic}/batch_id={batch_id}"
-                publish(out, folder, topic_format, "overwrite", **options)
-            gold.unpersist()
+        batch = batch.persist()
+        if not batch.isEmpty():
+            gold = gold_per_message(batch, hazard, exact_scale, now)
+            if topic:
+                gold = gold.persist()
+            write_table(gold.hint("rebalance"), _batch_folder(table, batch_id))
+            if topic:
+                _publish_batch(
+                    gold_messages(gold, hazard), topic, topic_format, batch_id, topic_options or {}
+                )
+                gold.unpersist()
+            _keep_bad(unreadable_records(batch, hazard), quarantine, batch_id)
+        batch.unpersist()
 
-    return _each_batch(messages, handle, checkpoint, trigger)
+    return {"table": _each_batch(messages, handle, checkpoint, trigger)}
+
+
+def _state_key(hazard: Hazard) -> list[str]:
+    return list(GROUP) if hazard is QUAKE else [*GROUP, "title"]
+
+
+def _newest_rows(rows: DataFrame, hazard: Hazard) -> DataFrame:
+    """The row of the highest batch for each key of the running state."""
+    keys = _state_key(hazard)
+    rest = [c for c in rows.columns if c not in keys]
+    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch_id").alias("_row"))
+    return newest.select(*keys, "_row.*")
+
+
+def _commits(spark: SparkSession, table: str) -> DataFrame:
+    return spark.read.schema("complete BOOLEAN, batch_id BIGINT").json(_beside(table, "commits"))
 
 
 def _running_gold(
-    messages, hazard, table, checkpoint, trigger, exact_scale, per_row, now
-) -> StreamingQuery:
+    messages, hazard, table, checkpoint, quarantine, trigger, exact_scale, compact_every, now
+) -> dict[str, StreamingQuery]:
     records = silver_records(messages, hazard)
     if hazard is QUAKE:
         totals = event_stats(records, exact_scale=exact_scale)
@@ -279,36 +349,89 @@ def _running_gold(
         totals = count_titles(records)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        state = batch.persist()
-        if not state.isEmpty():
-            if hazard is QUAKE:
-                rows = state
-            elif per_row:
-                rows = pack_titles(state, per_row=per_row)
-            else:
-                rows = pack_titles(state)
-            gold = add_analytics_meta(rows, hazard.name, now=now)
-            write_table(gold, f"{table}/batch_id={batch_id}")
-        state.unpersist()
+        spark = batch.sparkSession
+        batch = batch.persist()
+        changed = add_analytics_meta(batch, hazard.name, now=now)
+        complete = batch_id == 0
+        older = []
+        if not complete and (batch_id + 1) % compact_every == 0:
+            commits = _commits(spark, table).filter(F.col("batch_id") < batch_id)
+            older = sorted(r.batch_id for r in commits.filter("complete").collect())
+            before = _committed(spark, table, commits)
+            here = changed.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+            changed = _newest_rows(before.unionByName(here), hazard).drop("batch_id")
+            complete = True
+        if complete or not batch.isEmpty():
+            write_table(changed.hint("rebalance"), _batch_folder(table, batch_id))
+            # readers trust a batch only once this is there
+            mark = spark.range(1).select(F.lit(complete).alias("complete"))
+            write_table(mark, _batch_folder(_beside(table, "commits"), batch_id), files=1, fmt="json")
+        if older:
+            # a reader may still use the last complete state, none before it
+            gone = [r.batch_id for r in commits.filter(F.col("batch_id") < older[-1]).collect()]
+            for number in gone:
+                remove(spark, _batch_folder(_beside(table, "commits"), number))
+                remove(spark, _batch_folder(table, number))
+        batch.unpersist()
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        _keep_bad(unreadable_records(batch, hazard), quarantine, batch_id)
+
+    return {
+        "table": _each_batch(totals, handle, checkpoint, trigger, "update"),
+        "quarantine": _each_batch(messages, keep, _beside(checkpoint, "quarantine"), trigger),
+    }
 
-    return _each_batch(totals, handle, checkpoint, trigger, "complete")
 
+def _committed(spark: SparkSession, table: str, commits: DataFrame) -> DataFrame:
+    """Rows of the batches from the last complete one to the last committed one."""
+    last = commits.agg(
+        F.max("batch_id").alias("newest"), F.max(F.when(F.col("complete"), F.col("batch_id"))).alias("base")
+    ).first()
+    return spark.read.parquet(table).filter(F.col("batch_id").between(last.base, last.newest)).withColumn(
+        "batch_id", F.col("batch_id").cast("bigint")
+    )
 
-def read_snapshot(spark: SparkSession, table: str) -> DataFrame:
-    """Latest snapshot of a table written by a running gold stream."""
-    rows = spark.read.parquet(table)
-    newest = rows.select("batch_id").agg(F.max("batch_id")).scalar()
-    return rows.filter(F.col("batch_id") == newest).drop("batch_id")
+
+def read_running(
+    spark: SparkSession, table: str, hazard: Hazard, per_row: int = TITLES_PER_ROW
+) -> DataFrame:
+    """Latest totals of a table written by a running gold stream, of committed batches only."""
+    rows = _newest_rows(_committed(spark, table, _commits(spark, table)), hazard).drop("batch_id")
+    if hazard is QUAKE:
+        return rows
+    meta = [c for c in rows.columns if c not in (*_state_key(hazard), "copies")]
+    lists = pack_titles(rows, per_row=per_row)
+    newest = rows.groupBy(*GROUP).agg(F.max_by(F.struct(*meta), "analytics_timestamp").alias("_meta"))
+    # at most one row for each region and severity
+    same = reduce(lambda a, b: a & b, [F.col(f"l.{k}").eqNullSafe(F.col(f"m.{k}")) for k in GROUP])
+    return lists.alias("l").join(F.broadcast(newest.alias("m")), same).select("l.*", "_meta.*")
 
 
 def archive_stream(
     messages: DataFrame, folder: str, kind: str, checkpoint: str, trigger: Trigger = POLL
 ) -> StreamingQuery:
-    """Keep every raw document as a snapshot of its batch."""
+    """Keep every raw document as a snapshot of its batch.
+
+    The time in a snapshot's name is noted before the first attempt, so that a batch that
+    runs again replaces its snapshot instead of leaving a second one.
+    """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            archive_snapshot(batch, folder, kind, datetime.now(timezone.utc), batch_id)
+        if batch.isEmpty():
+            return
+        spark = batch.sparkSession
+        note = _batch_folder(_beside(checkpoint, "taken"), batch_id)
+        layout = struct(taken=TIMESTAMP)
+        noted = read_first_available(spark, [lambda: spark.read.schema(layout).parquet(note)], layout)
+        noted = noted.collect()
+        if noted:
+            taken = noted[0].taken
+        else:
+            taken = datetime.now(timezone.utc).replace(microsecond=0, tzinfo=None)
+            row = spark.range(1).select(F.lit(taken.isoformat()).cast("timestamp").alias("taken"))
+            write_table(row, note, files=1)
+        archive_snapshot(batch, folder, kind, taken, batch_id)
 
     return _each_batch(messages, handle, checkpoint, trigger)
 

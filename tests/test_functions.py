@@ -168,3 +168,28 @@ def test_small_display_functions(label):
     assert label(["great", "x y"], "t string", D.title_case) == ["Great", "X Y"]
     title = label(["A"], "t string", lambda c: D.series_title(c, F.lit("B")))
     assert title == [" A - B (2015-2025)"]
+
+
+def test_snapshot_names_of_the_last_part_only(label):
+    paths = [
+        "/lake/backup_20200101_000000/earthquakes_20240101_120000.json",
+        "/lake/earthquakes_20240101_120000_7.json/part-0",
+        "/lake/backup_20200101_000000/readme.txt",
+    ]
+    assert label(paths, "p string", D.snapshot_kind) == ["earthquakes", "earthquakes", ""]
+
+
+def test_labels_without_a_time(spark):
+    row = spark.sql("SELECT 4.5D m, 'here' p, cast(null as timestamp) t, 'high' s, cast(null as double) a")
+    text = row.select(D.quake_label(row.m, row.p, row.t, row.s, row.a)).first()[0]
+    assert text == "M4.5 - here<br>Time: None<br>Severity: high<br>Age: nan min ago"
+
+
+def test_title_case_after_every_mark(label):
+    texts = ["semi-strong o'clock", "ABC def", "", None, "élan 3rd"]
+    assert label(texts, "t string", D.title_case) == ["Semi-Strong O'Clock", "Abc Def", "", None, "Élan 3Rd"]
+
+
+def test_large_numbers_keep_their_fraction_until_there_is_none(label):
+    values = [1.5e15 + 0.5, 2.0**51 + 0.25, 2.0**52 + 1, 1e300]
+    assert label(values, "v double", lambda v: D.round_exact(v, 0)) == [1.5e15, 2.0**51, 2.0**52 + 1, 1e300]

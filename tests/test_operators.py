@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import random
 import warnings
-from collections import Counter
+from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import functions as F
@@ -157,11 +157,14 @@ def test_title_lists_stay_whole_when_split(spark, per_row):
     rows += [(None, "x", "lost")]
     df = spark.createDataFrame(rows, "region string, severity_level string, title string")
     got = G.event_titles(df, per_row=per_row).collect()
-    count, titles = Counter(), Counter()
+    count, titles, whole = Counter(), Counter(), defaultdict(set)
     for r in got:
-        count[r.region, r.severity_level] += r.volcano_count
+        count[r.region, r.severity_level] += r.part_count
+        whole[r.region, r.severity_level].add(r.volcano_count)
         titles.update((r.region, r.severity_level, t) for t in r.volcano_titles or [])
     assert count == Counter((r[0], r[1]) for r in rows)
+    # every part of a group carries the count of the group
+    assert whole == {k: {n} for k, n in count.items()}
     assert titles == Counter(r for r in rows if r[2] is not None)
     if per_row == 1000:
         assert len(got) == len(count) and all(r.part == 0 for r in got)
@@ -351,3 +354,68 @@ def test_map_and_detail_frames(spark):
     assert (second.timestamp, second.magnitude, second.latitude, second.depth, second.tsunami) == (
         "1970-01-01 00:29:00", 4.4, 35.123, 1.2, "Yes",
     )
+
+
+def test_titles_meet_their_totals_in_many_tasks(spark):
+    """No shuffle on region and severity alone carries the titles."""
+    rows = [("A", "x", f"t{i}") for i in range(50)]
+    df = spark.createDataFrame(rows, "region string, severity_level string, title string")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = G.event_titles(df, per_row=5)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    joins = [line for line in plan.splitlines() if "SortMergeJoin" in line]
+    assert len(joins) == 1 and "_at" in joins[0] and "_salt" in joins[0]
+
+
+def test_exact_mean_of_odd_values(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [("n", nan), ("n", 1.0), ("i", inf), ("i", 2.0), ("m", -inf), ("p", 1.25), ("p", 2.5), ("e", None)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    got = {r.k: (r.plain, r.exact) for r in df.groupBy("k").agg(G.mean("v").alias("plain"), G.mean("v", 2).alias("exact")).collect()}
+    assert {k: str(a) for k, (a, _) in got.items()} == {k: str(b) for k, (_, b) in got.items()}
+
+
+def test_pages_after_a_key(spark):
+    values = [3.0, None, 1.0, 3.0, 2.0, None, 1.0, 5.0]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id int, v double")
+    for order in ([("v", "desc"), ("id", "asc")], [("v", "asc"), ("id", "desc")]):
+        whole = O.sort_rows(df, order).collect()
+        page, seen = O.page(df, order, 0, 3).collect(), []
+        while page:
+            seen += page
+            page = O.page_after(df, order, page[-1].asDict(), 3).collect()
+        assert seen == whole
+
+
+def test_retention_of_files_without_a_prefix(spark):
+    import datetime as dt
+
+    rows = [(None, f"f{i}", dt.datetime(2024, 1, i)) for i in range(1, 9)]
+    files = spark.createDataFrame(rows, "prefix string, path string, modification_time timestamp")
+    assert sorted(r.path for r in O.expired_snapshots(files).collect()) == ["f1", "f2", "f3"]
+
+
+def test_counts_of_chained_layers_take_one_pass(spark):
+    source = spark.range(100)
+    steps = {"even": lambda df: df.filter("id % 2 = 0"), "tens": lambda df: df.filter("id % 10 = 0")}
+    got = {r.layer: r.records for r in G.observed_counts(source, steps).collect()}
+    assert got == {"raw": 100, "even": 50, "tens": 10}
+
+
+def test_series_of_all_entities_in_two_passes(spark):
+    from hazardlake.plans.series import indicator_series
+
+    rows = [(f"{a}{b}", f"Land {a}{b}", "I", "Name", str(2015 + y), 1.0 * y) for a in "ABC" for b in "ABCDEFGHIJ" for y in range(2)]
+    rows += [("ZZ", "Other", "J", "Else", "2016", 1.0)]
+    df = spark.createDataFrame(rows, "country_code string, country_name string, indicator_id string, indicator_name string, year string, value double")
+    assert indicator_series(df, "I").select("country_code").distinct().count() == 20
+    whole = indicator_series(df, "I", n=None)
+    assert whole.count() == 60 and "Name" in whole.first().title
+    single = indicator_series(df, "I", entity="AA").collect()
+    assert [(r.country_code, r.year, r.value) for r in single] == [("AA", 2015, 0.0), ("AA", 2016, 1.0)]
+    plan = whole._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") <= 3

@@ -186,3 +186,22 @@ def test_schema_check(spark):
         ("n", "bigint", "int", False, 1, 1),
         ("absent", "double", None, False, 0, 0),
     ]
+
+
+def test_csv_written_elsewhere(spark, folder):
+    from pathlib import Path
+
+    Path(folder, "a.csv").write_text('b,a\n"He said ""hi"", then left",1\n"two\nlines",2\n,3\n"",x\n')
+    got = T.read_csv(spark, f"{folder}/a.csv", S.struct(a=S.LONG, b=S.STRING, c=S.STRING))
+    rows = [tuple(r) for r in got.collect()]
+    assert rows == [(1, 'He said "hi", then left', None), (2, "two\nlines", None), (3, None, None), (None, "", None)]
+
+
+def test_responses_without_entries_are_named(spark, folder):
+    from hazardlake.sources import feeds
+
+    rows = [("A", "I", '[{"page":1},[{"value":1.0}]]'), ("B", "I", '[{"page":1},[{"val'), ("C", "I", '[{"message":"x"}]'), ("D", "I", "{bad")]
+    df = spark.createDataFrame(rows, "country_code string, indicator_id string, value string")
+    df.write.partitionBy("country_code", "indicator_id").text(f"{folder}/r")
+    got = {r.country_code: r.reason for r in feeds.unreadable_indicators(spark, f"{folder}/r", multi_line=False).collect()}
+    assert got == {"B": "unparseable", "C": "no entries", "D": "unparseable"}

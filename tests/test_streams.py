@@ -1,11 +1,13 @@
 from __future__ import annotations
 
 import json
+import time
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from hazardlake.schemas import VOLCANO_GOLD
 from hazardlake.sources.topics import publish, read_messages, read_stream
 from hazardlake.streaming import hazards as H
 
@@ -76,7 +78,7 @@ def test_quake_silver(spark, folder):
 def test_topic_options_reach_the_sinks(spark, folder):
     settings = {"topic_format": "json", "topic_options": {"compression": "gzip"}}
     paths = run_silver(spark, folder, documents(), **settings)
-    assert list(Path(paths["topic"]).glob("*.json.gz"))
+    assert list(Path(paths["topic"]).glob("batch_id=*/*.json.gz"))
     silver = silver_messages(spark, documents(), H.QUAKE)
     run_gold(spark, f"{folder}/g", silver, H.QUAKE, topic=f"{folder}/goldtopic", **settings)
     assert list(Path(f"{folder}/goldtopic").glob("batch_id=*/*.json.gz"))
@@ -129,9 +131,11 @@ def run_gold(spark, folder, silver, hazard, **settings):
     topic = f"{folder}/silver"
     for i, message in enumerate(silver):
         publish(message.coalesce(1), topic)
-    H.gold_stream(
+    started = H.gold_stream(
         stream(spark, topic), hazard, f"{folder}/gold", f"{folder}/cg", trigger=H.ONCE, **settings
-    ).awaitTermination()
+    )
+    for query in started.values():
+        query.awaitTermination()
 
 
 def silver_messages(spark, docs, hazard):
@@ -168,7 +172,7 @@ def test_gold_running(spark, folder):
     run_gold(spark, folder, silver_messages(spark, documents() * 2, H.QUAKE), H.QUAKE, mode="running")
     got = {
         (r.region, r.severity_level): r.earthquake_count
-        for r in H.read_snapshot(spark, f"{folder}/gold").collect()
+        for r in H.read_running(spark, f"{folder}/gold", H.QUAKE).collect()
     }
     assert got == {
         ("Tropical", "minor"): 2, ("Arctic", "great"): 2, ("Unknown", "unknown"): 2,
@@ -194,7 +198,7 @@ def test_volcano_gold(spark, folder):
     run_gold(spark, f"{folder}/run", running, H.VOLCANO, mode="running")
     got = {
         (r.severity_level, r.part): (r.volcano_count, r.volcano_titles)
-        for r in H.read_snapshot(spark, f"{folder}/run/gold").collect()
+        for r in H.read_running(spark, f"{folder}/run/gold", H.VOLCANO).collect()
     }
     assert got == {
         ("minor", 0): (3, ["Small w", "Small x", "Small x"]), ("major", 0): (1, ["Large"]),
@@ -221,7 +225,7 @@ def test_repeated_batch_replaces_itself(spark, folder):
             query = H.gold_stream(
                 stream(spark, f"{folder}/silver"), H.QUAKE, f"{folder}/gold", f"{folder}/cg",
                 trigger=H.ONCE,
-            )
+            )["table"]
             try:
                 query.awaitTermination()
             except Exception:
@@ -259,3 +263,91 @@ def test_archive_stream(spark, folder):
         stream(spark, f"{folder}/bronze"), f"{folder}/raw", "earthquakes", f"{folder}/c", H.ONCE
     ).awaitTermination()
     assert spark.read.text(f"{folder}/raw/*").count() == 3
+
+
+def test_a_repeated_batch_is_archived_once(spark, folder, monkeypatch):
+    send(spark, f"{folder}/bronze", documents()[:1])
+    original, times = H.archive_snapshot, []
+
+    def failing(df, path, kind, taken, batch):
+        original(df, path, kind, taken, batch)
+        times.append(taken)
+        if len(times) == 1:
+            raise RuntimeError("lost after the write")
+
+    monkeypatch.setattr(H, "archive_snapshot", failing)
+    for attempt in range(2):
+        query = H.archive_stream(
+            stream(spark, f"{folder}/bronze"), f"{folder}/raw", "earthquakes", f"{folder}/c", H.ONCE
+        )
+        try:
+            query.awaitTermination()
+        except Exception:
+            assert attempt == 0
+        time.sleep(1.1)
+    assert len(times) == 2 and times[0] == times[1]
+    assert len(list(Path(f"{folder}/raw").iterdir())) == 1
+
+
+def test_nothing_is_lost_by_deduplication(spark, folder):
+    nameless = [{"features": [quake(None, mag=float(i)) for i in range(5)]}]
+    timeless = [{"features": [quake("t", time=None)]}] * 3
+    day = 86_400_000
+    on_time = [{"features": [quake("a"), quake("b", time=1_704_067_200_000 + 5 * day)]}]
+    late = [{"features": [quake("a"), quake("c", time=1_704_067_200_000 + 5 * day)]}]
+    paths = run_silver(
+        spark, folder, nameless + timeless + on_time + late, dedup="1 day", late=f"{folder}/late"
+    )
+    ids = [r.id for r in spark.read.parquet(paths["table"]).collect()]
+    assert sorted(map(str, ids)) == ["None"] * 5 + ["a", "b", "c"] + ["t"] * 3
+    assert [r.id for r in spark.read.parquet(f"{folder}/late").collect()] == ["a"]
+
+
+def test_a_message_is_read_once_for_all_outputs(spark, folder):
+    send(spark, f"{folder}/bronze", documents())
+    started = H.silver_stream(
+        stream(spark, f"{folder}/bronze"), H.QUAKE, f"{folder}/table", f"{folder}/c",
+        topic=f"{folder}/topic", trigger=H.ONCE,
+    )
+    assert list(started) == ["table"]
+    started["table"].awaitTermination()
+    assert sum(p.numInputRows for p in started["table"].recentProgress) == 3
+
+
+@pytest.mark.parametrize("hazard", [H.QUAKE, H.VOLCANO])
+def test_running_totals_write_what_changed(spark, folder, hazard):
+    items = "features" if hazard is H.QUAKE else "events"
+
+    def one(i):
+        return quake(f"q{i}", lat=[10.0, 70.0][i % 2]) if hazard is H.QUAKE else volcano(f"v{i}", f"Large {i % 3}")
+
+    docs = [{items: [one(i)]} for i in range(10)]
+    run_gold(
+        spark, folder, silver_messages(spark, docs, hazard), hazard, mode="running", compact_every=4
+    )
+    batches = sorted(int(p.name.split("=")[1]) for p in Path(f"{folder}/gold").glob("batch_id=*"))
+    assert batches == [3, 4, 5, 6, 7, 8, 9]
+    rows = spark.read.parquet(f"{folder}/gold").groupBy("batch_id").count().collect()
+    sizes = {r.batch_id: r["count"] for r in rows}
+    assert all(sizes[b] == 1 for b in (4, 5, 6, 8, 9)) and sizes[7] == (2 if hazard is H.QUAKE else 3)
+    gold = H.read_running(spark, f"{folder}/gold", hazard)
+    if hazard is H.QUAKE:
+        assert {r.earthquake_count for r in gold.collect()} == {5}
+    else:
+        (row,) = gold.collect()
+        assert row.volcano_count == 10 and sorted(row.volcano_titles) == sorted(f"Large {i % 3}" for i in range(10))
+        assert set(gold.columns) == set(VOLCANO_GOLD.fieldNames())
+    # a batch that is not committed is not read
+    extra = spark.read.parquet(f"{folder}/gold/batch_id=9")
+    extra.write.parquet(f"{folder}/gold/batch_id=10")
+    assert H.read_running(spark, f"{folder}/gold", hazard).collect() == gold.collect()
+
+
+def test_unreadable_silver_messages_are_kept(spark, folder):
+    good = next(iter(silver_messages(spark, documents(), H.QUAKE)))
+    bad = good.withColumn("value", F.lit("[{not json"))
+    empty = good.withColumn("value", F.lit(" [ ] "))
+    for mode in ("per_batch", "running"):
+        run_gold(spark, f"{folder}/{mode}", [good, bad, empty], H.QUAKE, mode=mode)
+        kept = spark.read.json(f"{folder}/{mode}/gold_quarantine").collect()
+        assert [(r.value, r.reason) for r in kept] == [("[{not json", "unparseable")]
