@@ -23,7 +23,7 @@ SHARD = 8192
 BLOCK = 1024
 WIDTH = 12
 BREADTH_BUILD = 64
-BREADTH_SEARCH = 96
+BREADTH_SEARCH = 160
 
 
 class Graph:

@@ -19,6 +19,28 @@ def _query(function):
     return function
 
 
+#: Sets of shingles, all pairs that share one, and what can be reached over the similar ones.
+_NEAR = r"""WITH RECURSIVE split AS (SELECT doc_id, list_filter(string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words FROM documents),
+    listed AS (SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5
+        THEN [array_to_string(words, ' ')] ELSE list_transform(range(1, len(words) - 3),
+        lambda i: array_to_string(words[i:i + 4], ' ')) END AS shingles FROM split),
+    sets AS (SELECT DISTINCT doc_id, unnest(shingles) AS shingle FROM listed),
+    sizes AS (SELECT doc_id, COUNT(*) AS n FROM sets GROUP BY doc_id),
+    shared AS (SELECT a.doc_id AS a, b.doc_id AS b, COUNT(*) AS met FROM sets a
+        JOIN sets b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2),
+    links AS (SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+        WHERE 100 * met >= 75 * (x.n + y.n - met)),
+    steps AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+    reached AS (SELECT a AS doc_id, a AS other FROM steps
+        UNION SELECT r.doc_id, s.b FROM reached r JOIN steps s ON r.other = s.a),
+    least AS (SELECT doc_id, MIN(other) AS low FROM reached GROUP BY doc_id)
+    SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(low, d.doc_id) AS component_id,
+        coalesce(low, d.doc_id) = d.doc_id AS kept
+    FROM documents d LEFT JOIN sizes USING (doc_id) LEFT JOIN least USING (doc_id)"""
+
+
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
@@ -37,6 +59,9 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+ORACLES["op2_near_duplicates"] = _NEAR
+
+
 @_query
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(_documents(spark, sf_dir)).drop("text_hash")

@@ -161,3 +161,10 @@ def test_nothing_else_imports_the_subpackage():
         for node in ast.walk(ast.parse(path.read_text())):
             names = [node.module or ""] if isinstance(node, ast.ImportFrom) else [a.name for a in node.names] if isinstance(node, ast.Import) else []
             assert not any(n.startswith("hazardlake.llm") for n in names), path
+
+
+def test_op2_equals_sql(spark):
+    from oracle import compare, connect
+
+    name = "op2_near_duplicates"
+    assert compare(spark, connect(data.SF), name, queries.QUERIES[name], queries.ORACLES[name], data.SF) == ""
