@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hazardlake import adapters as A
@@ -132,9 +134,9 @@ def bad_indicator_responses(spark, sf_dir):
 
 
 @query(
-    f"""SELECT 'quakes' AS feed, COUNT(DISTINCT event_id // {A.DOCUMENT_SIZE}) AS bad,
-    COUNT(*) AS good FROM events
-    UNION ALL SELECT 'volcanoes', COUNT(DISTINCT event_id // {A.DOCUMENT_SIZE}), COUNT(*) FROM events"""
+    f"""WITH counts AS (SELECT COUNT(DISTINCT event_id // {A.DOCUMENT_SIZE}) AS bad, COUNT(*) AS good
+    FROM events), feeds AS (SELECT unnest(['quakes', 'volcanoes']) AS feed, bad, good FROM counts)
+    SELECT feed, 'unparseable' AS kind, bad AS n FROM feeds UNION ALL SELECT feed, 'good', good FROM feeds"""
 )
 def bad_landed_documents(spark, sf_dir):
     """Each landed document also comes broken: good records and reported documents."""
@@ -150,11 +152,11 @@ def bad_landed_documents(spark, sf_dir):
         values.unionByName(broken).write.text(path)
         bad = feeds.unreadable_documents(spark, path, schema, items, multi_line=False)
         good = feeds.read_documents(spark, path, schema, multi_line=False)
-        counted = bad.agg(F.count(F.lit(1)).alias("bad")).join(
-            good.agg(F.coalesce(F.sum(F.size(items)), F.lit(0)).alias("good"))
-        )
-        results.append(counted.select(F.lit(name).alias("feed"), "bad", "good"))
-    return results[0].unionByName(results[1])
+        records = good.select(F.explode(items)).agg(F.count(F.lit(1)).alias("n"))
+        results.append(records.select(F.lit(name).alias("feed"), F.lit("good").alias("kind"), "n"))
+        reasons = bad.groupBy(F.col("reason").alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+        results.append(reasons.select(F.lit(name).alias("feed"), "kind", "n"))
+    return reduce(DataFrame.unionByName, results)
 
 
 @query(

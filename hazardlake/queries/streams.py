@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from hazardlake import adapters as A
 from hazardlake import schemas as S
 from hazardlake.operators import flatten as flat
+from hazardlake.operators import aggregate as G
 from hazardlake.operators.aggregate import GROUP
 from hazardlake.queries import sql
 from hazardlake.queries.registry import query
@@ -233,7 +234,8 @@ def stream_bad_silver(spark, sf_dir):
 
 @query(
     f"""WITH {sql.FLAT}, wide AS (SELECT DISTINCT {_DOC} AS message_id FROM flat)
-    SELECT (SELECT COUNT(*) FROM flat) AS records, COUNT(*) AS messages, COUNT(*) AS bad FROM wide"""
+    SELECT 'records' AS output, COUNT(*) AS n FROM flat
+    UNION ALL SELECT 'messages', COUNT(*) FROM wide UNION ALL SELECT 'bad', COUNT(*) FROM wide"""
 )
 def stream_all_outputs(spark, sf_dir):
     """Table, topic and quarantine out of one reading of the topic."""
@@ -245,8 +247,7 @@ def stream_all_outputs(spark, sf_dir):
         "messages": read_messages(spark, paths["topic"]),
         "bad": spark.read.schema("reason STRING").json(paths["quarantine"]),
     }
-    one_row = [df.agg(F.count(F.lit(1)).alias(name)) for name, df in counts.items()]
-    return one_row[0].join(one_row[1]).join(one_row[2])
+    return G.layer_counts(counts).select(F.col("layer").alias("output"), F.col("records").alias("n"))
 
 
 @query(
