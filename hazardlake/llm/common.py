@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from hazardlake.session import scratch_path
 
@@ -83,23 +85,57 @@ def crc_part(value, parts: int) -> int:
     return zlib.crc32(b"" if value is None else str(value).encode()) % parts
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """The rows written to the shared folder and read again: lineage ends, executors may go."""
+def stored(df: DataFrame, label: str, folder: str | None = None) -> DataFrame:
+    """The rows written to the shared folder and read again: lineage ends, executors may go.
+
+    Tables below ``folder`` can be removed together once nothing reads them any more.
+    """
     spark = df.sparkSession
-    path = scratch_path(spark, label)
+    path = f"{folder}/{label}-{uuid.uuid4().hex}" if folder else scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bits of the filter that ``maybe_in`` broadcasts, 8 MB whatever the data.
+FILTER_BITS = 1 << 26
+
+
+def maybe_in(ids: DataFrame) -> Callable[[Column], Column]:
+    """A test of an id column: false where the id is surely not among ``ids`` (one column).
+
+    Rows that fail it need not move for a join with ``ids``. The ids set bits of a filter of
+    fixed size; where there are more of them than bits, it lets everything pass and the join
+    decides alone. Only the ids' hashes go to Python, not the rows.
+    """
+    slot = lambda c: F.pmod(F.xxhash64(c.cast("long")), F.lit(FILTER_BITS))
+    hit = slot(F.col(ids.columns[0]))
+    words = (
+        ids.select(F.floor(hit / 64).cast("int").alias("word"), F.expr("1L").alias("one"), (hit % 64).cast("int").alias("bit"))
+        .groupBy("word")
+        .agg(F.bit_or(F.expr("shiftleft(one, bit)")).alias("mask"))
+        .toArrow()
+    )
+    masks = np.zeros(FILTER_BITS // 64, np.int64)
+    masks[words.column("word").to_numpy()] = words.column("mask").to_numpy()
+    shared = ids.sparkSession.sparkContext.broadcast(masks)
+
+    @F.pandas_udf("boolean")
+    def test(slots: pd.Series) -> pd.Series:
+        s = slots.to_numpy()
+        return pd.Series((shared.value[s >> 6] >> (s & 63)) & 1 == 1)
+
+    return lambda column: test(slot(column))
+
+
 @contextmanager
-def bucketed(df: DataFrame, key: str, label: str) -> Iterator[DataFrame]:
+def bucketed(df: DataFrame, key: str, label: str, folder: str) -> Iterator[DataFrame]:
     """The rows written to the shared folder in buckets of ``key``: joins on it move the other side only."""
     spark = df.sparkSession
     name = f"{label}_{uuid.uuid4().hex}"
     (
         df.write.bucketBy(width(df), key)
         .sortBy(key)
-        .option("path", scratch_path(spark, label))
+        .option("path", f"{folder}/{label}")
         .saveAsTable(name)
     )
     try:

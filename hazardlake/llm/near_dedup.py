@@ -29,8 +29,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazardlake.llm.common import LOWER, bucketed, mix, slices, span_hashes, stored, texts_of
+from hazardlake.llm.common import LOWER, bucketed, maybe_in, mix, slices, span_hashes, stored, texts_of
 from hazardlake.llm.graph import components
+from hazardlake.session import scratch_path
+from hazardlake.sources.tables import remove
 
 SHINGLE = 5
 SIMILARITY = 0.75
@@ -265,16 +267,20 @@ def near_groups(
     found = sums.toArrow()  # SLOTS rows at most, whatever the data
     load[found.column("slot").to_numpy()] = found.column("n").to_numpy()
     poster = _poster(words, k, similarity, deviations, spark.sparkContext.broadcast(load))
-    postings = stored(texts.mapInArrow(poster, "value long, cls long, n long, rest long"), "postings")
+    folder = scratch_path(spark, "near")
+    postings = stored(texts.mapInArrow(poster, "value long, cls long, n long, rest long"), "postings", folder)
     shared = (
         postings.groupBy("value")
         .agg(F.min("cls").alias("low"), F.max("cls").alias("high"))
         .filter("low < high")
         .select("value")
     )
-    lists = stored(postings.join(shared, "value", "left_semi").dropDuplicates(["value", "cls"]), "lists")
-
-    links = _links(texts, classes, lists, words, similarity, k, deviations)
+    lists = stored(
+        postings.join(shared, "value", "left_semi").dropDuplicates(["value", "cls"]), "lists", folder
+    )
+    links = _links(texts, classes, lists, words, similarity, k, deviations, folder)
+    # what the links came from is not read any more
+    remove(spark, folder)
     if links is None:
         groups = classes.select("cls", F.col("least").alias("component_id"))
     else:
@@ -295,41 +301,43 @@ def near_groups(
     )
 
 
-def _links(texts, classes, lists, words, similarity, k, deviations) -> DataFrame | None:
+def _links(texts, classes, lists, words, similarity, k, deviations, folder) -> DataFrame | None:
     """``(node, label)`` of the classes that are linked with others."""
-    marked = _marked(lists, None, 1)
+    marked = _marked(lists, None, 1, folder)
     if marked.isEmpty():
         return None
-    pairs = _candidates(marked, k, similarity, deviations)
+    pairs = _candidates(marked, k, similarity, deviations, folder)
     # short lists are done after these pairs; of long ones any member may be compared later
     ends = pairs.select(F.explode(F.array("pivot", "member")).alias("cls"))
     active = ends.unionByName(marked.filter(F.col("members") > SMALL).select("cls")).distinct()
     wanted = active.join(classes, "cls").select(F.col("least").alias("wanted")).distinct()
     glance = min(GLANCE, k)
+    wanted = stored(wanted, "wanted", folder)
     sets = (
-        texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi")
+        texts.filter(maybe_in(wanted)(F.col("doc_id")))
+        .join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi")
         .mapInArrow(_setter(words, glance), "cls long, glance array<int>, n int, items array<long>")
         .dropDuplicates(["cls"])
     )
     labels, edges, chance = None, None, 1
-    with bucketed(sets, "cls", "sets") as sets:
+    with bucketed(sets, "cls", "sets", folder) as sets:
         while True:
             if not pairs.isEmpty():
-                likely = stored(_likely(pairs, sets, similarity, deviations, glance), "likely")
-                new = stored(_confirmed(likely, sets, similarity), "links")
+                likely = stored(_likely(pairs, sets, similarity, deviations, glance), "likely", folder)
+                new = stored(_confirmed(likely, sets, similarity), "links", folder)
                 if not new.isEmpty():
                     edges = new if edges is None else edges.unionByName(new)
                     labels = components(edges)
             # a pivot has been compared with its whole list
             lists = marked.filter("not pivot").select("value", "cls", "n", "rest")
             chance *= GROWTH
-            marked = _marked(lists, labels, chance)
+            marked = _marked(lists, labels, chance, folder)
             if marked.isEmpty():
                 return labels
-            pairs = _candidates(marked, k, similarity, deviations)
+            pairs = _candidates(marked, k, similarity, deviations, folder)
 
 
-def _marked(lists: DataFrame, labels: DataFrame | None, chance: int) -> DataFrame:
+def _marked(lists: DataFrame, labels: DataFrame | None, chance: int, folder: str) -> DataFrame:
     """Members of the lists that hold several components, with their pivots marked.
 
     A pivot is the least member, every member of a short list, and from the second round on
@@ -356,10 +364,10 @@ def _marked(lists: DataFrame, labels: DataFrame | None, chance: int) -> DataFram
     pivot = (F.col("cls") == F.col("first")) | (F.col("members") <= SMALL)
     if chance > 1:
         pivot = pivot | (lot * F.col("members") < float(chance))
-    return stored(named.join(sizes, "value").withColumn("pivot", pivot), "marked")
+    return stored(named.join(sizes, "value").withColumn("pivot", pivot), "marked", folder)
 
 
-def _candidates(marked: DataFrame, k: int, similarity: float, deviations: float) -> DataFrame:
+def _candidates(marked: DataFrame, k: int, similarity: float, deviations: float, folder: str) -> DataFrame:
     """Pairs ``(pivot, member)`` of different components that may be similar enough."""
     chosen = marked.filter("pivot").select(
         "value", *(F.col(c).alias(f"p_{c}") for c in ("cls", "n", "rest", "label"))
@@ -375,4 +383,4 @@ def _candidates(marked: DataFrame, k: int, similarity: float, deviations: float)
         & (F.col("rest") >= need)
         & (F.col("p_rest") >= need),
     )
-    return stored(met.select(F.col("p_cls").alias("pivot"), F.col("cls").alias("member")).distinct(), "pairs")
+    return stored(met.select(F.col("p_cls").alias("pivot"), F.col("cls").alias("member")).distinct(), "pairs", folder)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hazardlake.llm.common import LOWER, mix, slices, span_hashes, stored, texts_of
+from hazardlake.llm.common import LOWER, maybe_in, mix, slices, span_hashes, stored, texts_of
 
 SENTENCES = 3
 LEAST = 20
@@ -188,8 +188,9 @@ def without_repeats(
             T.StructField("removed", T.IntegerType()),
         ]
     )
-    return (
-        whole.join(later, "id", "left")
-        .select("row", "text", "repeated")
-        .mapInArrow(_cutter(sentences, least, enough), shape)
-    )
+    # texts without a span that an earlier document has stay where they are
+    some = maybe_in(later.select("id"))(F.col("id"))
+    moved = whole.filter(some).join(later, "id", "left").select("row", "text", "repeated")
+    others = whole.filter(~some).select("row", "text", F.lit(None).cast("array<bigint>").alias("repeated"))
+    cutter = _cutter(sentences, least, enough)
+    return others.mapInArrow(cutter, shape).unionByName(moved.mapInArrow(cutter, shape))
