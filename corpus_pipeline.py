@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hazardlake.llm import packing, surrogates, toxicity
-from hazardlake.llm.common import stored
+from hazardlake.llm.common import maybe_in, stored
 from hazardlake.llm.near_dedup import near_groups
 from hazardlake.llm.queries import SURROGATE_KEY, toxicity_model
 from hazardlake.llm.span_dedup import without_repeats
@@ -41,8 +41,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, the one of least ``doc_id``."""
     dropped = near_groups(docs).filter("not kept").select("doc_id", "text_hash").distinct()
+    dropped = stored(dropped, "dropped")
     same = docs["doc_id"].eqNullSafe(dropped["doc_id"]) & (F.xxhash64(docs["text"].cast("string")) == dropped["text_hash"])
-    return docs.join(dropped, same, "left_anti")
+    some = maybe_in(dropped.select("doc_id"))(docs["doc_id"])
+    return docs.filter(~some).unionByName(docs.filter(some).join(dropped, same, "left_anti"))
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
