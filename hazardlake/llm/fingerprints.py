@@ -14,13 +14,13 @@ from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hazardlake.llm.common import BYTE_VALUES, slices, span_hashes, stored, texts_of
+from hazardlake.llm.common import BYTE_VALUES, slices, span_hashes, texts_of
 
 SHORTEST, NORMAL, LONGEST = 16, 64, 256
 _BITS = NORMAL.bit_length() - 1
@@ -117,52 +117,45 @@ _RESULT = T.StructType(
         T.StructField("edited_fingerprint", T.StringType()),
         T.StructField("near_edited", T.DoubleType()),
         T.StructField("near_next", T.DoubleType()),
-        # of rows at the edge of a partition only
-        T.StructField("part", T.IntegerType()),
-        T.StructField("edge", T.StringType()),
-        T.StructField("text", T.StringType()),
     ]
 )
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.int32(), pa.string(), pa.string())
+    kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64())
     columns = list(zip(*rows, strict=True)) if rows else [[] for _ in kinds]
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=_RESULT.names)
 
 
-def _compare(keys: list, texts: list[str], after: list[str], chained: bool) -> list[tuple]:
-    """Results for texts and their next texts; with ``chained`` the next of each is the one behind it."""
+def _compare(keys: list, texts: list[str], after: list[str]) -> list[tuple]:
+    """Results for texts and their next texts, most of which are the text behind it."""
     edited = [t[: len(t) - len(t) // 3] + n[: len(t) // 3] for t, n in zip(texts, after, strict=True)]
-    own = fingerprint_sets([t.encode() for t in texts])
-    next_ones = fingerprint_sets([t.encode() for t in (after[-1:] if chained else after)])
-    if chained:
-        next_ones = own[1:] + next_ones
+    known: dict[str, np.ndarray] = {}
+    whole = list(dict.fromkeys([*texts, *after]))
+    known.update(zip(whole, fingerprint_sets([t.encode() for t in whole]), strict=True))
     changed = fingerprint_sets([t.encode() for t in edited])
     return [
         (
-            key, len(text), hashlib.sha256(e.encode()).hexdigest(), as_text(o), as_text(c),
-            likeness(o, c), likeness(o, n), None, None, None,
+            key, len(text), hashlib.sha256(e.encode()).hexdigest(), as_text(known[text]), as_text(c),
+            likeness(known[text], c), likeness(known[text], known[n]),
         )
-        for key, text, e, o, c, n in zip(keys, texts, edited, own, changed, next_ones, strict=True)
+        for key, text, e, c, n in zip(keys, texts, edited, changed, after, strict=True)
     ]
 
 
 def _run_in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A sorted partition: all rows but the last have their next row here."""
-    part, last = TaskContext.get().partitionId(), None
+    """Sorted ranges, each with the first text of the next range behind its rows."""
+    last = None
     for batch in slices(batches):
-        ids = batch.column("doc_id").to_pylist()
-        texts = [t or "" for t in batch.column("text").to_pylist()]
-        rows = []
-        if last is None:
-            rows.append((None,) * 7 + (part, "head", texts[0]))
-        else:
-            ids, texts = [last[0], *ids], [last[1], *texts]
-        last = (ids[-1], texts[-1])
-        yield _batch(rows + _compare(ids[:-1], texts[:-1], texts[1:], True))
-    if last is not None:
-        yield _batch([(last[0],) + (None,) * 6 + (part, "tail", last[1])])
+        keys, texts, after = [], [], []
+        columns = (batch.column(c).to_pylist() for c in ("doc_id", "text", "behind"))
+        for key, text, behind in zip(*columns, strict=True):
+            if last is not None:
+                keys.append(last[0])
+                texts.append(last[1])
+                after.append(text)
+            last = None if behind else (key, text)
+        yield _batch(_compare(keys, texts, after))
 
 
 def against_edits(docs: DataFrame) -> DataFrame:
@@ -170,34 +163,48 @@ def against_edits(docs: DataFrame) -> DataFrame:
 
     The edited text replaces the last third (rounded down, in code points) of a text by the
     first as many code points of the next document, by descending ``doc_id``; the first comes
-    after the last, and a lone document is its own next. Rows are put in order by one range
-    shuffle; only the rows at the edges of its partitions meet again.
+    after the last, and a lone document is its own next. The ids alone are put into ranges first;
+    then one shuffle brings the texts of a range together with a copy of the first text of the
+    next range.
 
     A null text counts as empty. Null ids come last, equal ids in the order of their texts.
     An empty table gives an empty result.
     """
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    order = [F.desc_nulls_last("doc_id"), F.asc("text")]
-    found = stored(
-        texts.repartitionByRange(order[0]).sortWithinPartitions(*order).mapInArrow(_run_in_order, _RESULT), "fingerprints"
+    lowest = F.lit(-(1 << 63))
+    texts = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.coalesce(F.col("doc_id").cast("long"), lowest).alias("key"),
+        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
-    heads = found.filter("edge = 'head'").select("part", F.col("text").alias("after"))
-    # as many numbers as partitions
-    parts = sorted(r[0] for r in heads.select("part").collect())
-    results = found.filter("edge is null")
-    if parts:
-        following = dict(zip(parts, parts[1:] + parts[:1], strict=True))
-        pairs = [F.struct(F.lit(a).alias("part"), F.lit(b).alias("following")) for a, b in following.items()]
-        steps = found.sparkSession.range(1).select(F.inline(F.array(*pairs)))
-        tails = (
-            found.filter("edge = 'tail'").join(steps, "part").drop("part").withColumnRenamed("following", "part").join(heads, "part")
+    ranges = texts.select("key").repartitionByRange(F.desc("key")).groupBy(F.spark_partition_id()).agg(F.max("key"))
+    # as many numbers as ranges, and every range begins with one
+    firsts = np.array(sorted(r[1] for r in ranges.collect()), np.int64)
+    count = len(firsts)
+    if not count:
+        return docs.sparkSession.createDataFrame([], _RESULT)
+
+    @F.pandas_udf("int")
+    def range_of(keys: pd.Series) -> pd.Series:
+        # ranges are numbered in the order of their rows, from the largest key on
+        return pd.Series((count - 1 - np.searchsorted(firsts, keys.to_numpy(), "left")).astype(np.int32))
+
+    rows = texts.withColumn("range", range_of("key")).withColumn("behind", F.lit(False))
+    heads = (
+        texts.join(F.broadcast(docs.sparkSession.createDataFrame([(int(f),) for f in firsts], "key long")), "key", "left_semi")
+        .groupBy("key")
+        .agg(F.min("text").alias("text"))
+        .select(
+            F.lit(None).cast("long").alias("doc_id"),
+            "key",
+            "text",
+            F.pmod(range_of("key") - 1, F.lit(count)).alias("range"),
+            F.lit(True).alias("behind"),
         )
-        results = results.unionByName(
-            tails.select("doc_id", "text", "after").mapInArrow(_pairs, _RESULT)
-        )
-    return results.drop("part", "edge", "text")
-
-
-def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches):
-        yield _batch(_compare(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "after")), False))
+    )
+    return (
+        rows.unionByName(heads)
+        .repartitionByRange("range")
+        .sortWithinPartitions("range", "behind", F.desc("key"), "text")
+        .select("doc_id", "text", "behind")
+        .mapInArrow(_run_in_order, _RESULT)
+    )
