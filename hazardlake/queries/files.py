@@ -121,7 +121,8 @@ def indicator_files(spark, sf_dir):
 
 @query(
     f"""WITH {sql.PANEL} SELECT country_code, indicator_id, 'unparseable' AS reason, COUNT(*) AS n
-    FROM (SELECT DISTINCT country_code, indicator_id FROM panel) GROUP BY ALL"""
+    FROM (SELECT DISTINCT country_code, indicator_id, o_orderkey // {A.PAGE_SIZE} FROM panel)
+    GROUP BY ALL"""
 )
 def bad_indicator_responses(spark, sf_dir):
     """Each response also comes cut off; those give no entries and are reported."""
