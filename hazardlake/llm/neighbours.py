@@ -188,7 +188,10 @@ def build_index(rows: DataFrame, k: int, shard: int = SHARD) -> DataFrame:
     dealt = entries.join(sizes, "dimension").withColumn(
         "shard", F.pmod(F.xxhash64("entry", F.lit(1)), F.col("shards")).cast("int")
     )
-    return stored(dealt.drop("shards").groupBy("dimension", "shard").applyInPandas(_build, _INDEX), "index")
+    # a shard is much work for few bytes: adaptive execution would put many of them into one task
+    total = sizes.agg(F.coalesce(F.sum("shards"), F.lit(1))).first()[0]
+    alone = dealt.drop("shards").repartition(max(1, int(total)), "dimension", "shard")
+    return stored(alone.groupBy("dimension", "shard").applyInPandas(_build, _INDEX), "index")
 
 
 _FOUND = "query long, vec_id long, score double"
