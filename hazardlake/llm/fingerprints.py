@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hazardlake.llm.common import BYTE_VALUES, slices, span_hashes, texts_of
+from hazardlake.llm.common import BYTE_VALUES, slices, span_hashes, texts_of, width
 
 SHORTEST, NORMAL, LONGEST = 16, 64, 256
 _BITS = NORMAL.bit_length() - 1
@@ -176,7 +176,13 @@ def against_edits(docs: DataFrame) -> DataFrame:
         F.coalesce(F.col("doc_id").cast("long"), lowest).alias("key"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
-    ranges = texts.select("key").repartitionByRange(F.desc("key")).groupBy(F.spark_partition_id()).agg(F.max("key"))
+    # ids are few bytes: without a number, adaptive execution would make one range of them
+    ranges = (
+        texts.select("key")
+        .repartitionByRange(width(docs), F.desc("key"))
+        .groupBy(F.spark_partition_id())
+        .agg(F.max("key"))
+    )
     # as many numbers as ranges, and every range begins with one
     firsts = np.array(sorted(r[1] for r in ranges.collect()), np.int64)
     count = len(firsts)
