@@ -1,9 +1,11 @@
 """Removal of passages that repeat across documents, by hashes of sentence runs.
 
-A span is a run of consecutive sentences. From every sentence one span starts: the shortest
-run that has ``sentences`` sentences and ``least`` words, or else ``enough`` words. Spans are
-hashed and joined over the whole table. Whatever a repeated span covers is removed, except
-where it stands first: in the document of least ``doc_id``, at its first place there.
+A span is a run of consecutive sentences that has ``sentences`` sentences and ``least`` words,
+or else ``enough`` words. Hashed are from every sentence the shortest span that starts there, and
+the shortest one that ends there: together those within any span cover all of it, so what they
+remove is what all spans would. They are joined over the whole table. Whatever a repeated span
+covers is removed, except where it stands first: in the document of least ``doc_id``, at its
+first place there.
 """
 
 from __future__ import annotations
@@ -56,26 +58,37 @@ class Spans:
         own = span_hashes(np.frombuffer(b"".join(plain), np.uint8), starts, starts + lengths)
         total = np.concatenate(([0], np.cumsum(np.array(words, np.int64))))
         index = np.arange(n)
-        by_words = np.searchsorted(total, total[:-1] + least, "left")
-        self.to = np.minimum(
-            np.maximum(index + sentences, by_words), np.searchsorted(total, total[:-1] + enough, "left")
-        )
         document = np.repeat(np.arange(len(texts)), np.diff(self.first))
-        self.whole = self.to <= self.first[1:][document] if n else np.zeros(0, bool)
-        self.to = np.minimum(self.to, n)
+        # the shortest span from each sentence on, and the shortest one up to it
+        to = np.minimum(
+            np.maximum(index + sentences, np.searchsorted(total, total[:-1] + least, "left")),
+            np.searchsorted(total, total[:-1] + enough, "left"),
+        )
+        back = np.maximum(
+            np.minimum(index + 1 - sentences, np.searchsorted(total, total[1:] - least, "right") - 1),
+            np.searchsorted(total, total[1:] - enough, "right") - 1,
+        )
+        whole = to <= self.first[1:][document] if n else np.zeros(0, bool)
+        ended = back >= self.first[:-1][document] if n else np.zeros(0, bool)
+        # those that are both count once
+        ended[ended] = to[back[ended]] != index[ended] + 1
+        start = np.concatenate((index[whole], back[ended]))
+        stop = np.concatenate((to[whole], index[ended] + 1))
+        order = np.argsort(start, kind="stable")
+        self.start, self.stop = start[order], stop[order]
+        self.bounds = np.searchsorted(self.start, self.first, "left")
         power = np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(n, _STEP, np.uint64))))
         inverse = np.cumprod(
             np.concatenate((np.ones(1, np.uint64), np.full(n, pow(int(_STEP), -1, 1 << 64), np.uint64)))
         )
         sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(own * power[:n])))
-        runs = (sums[self.to] - sums[:-1]) * inverse[:n] + (self.to - index).astype(np.uint64)
+        runs = (sums[self.stop] - sums[self.start]) * inverse[self.start] + (self.stop - self.start).astype(np.uint64)
         self.hashes = mix(runs).view(np.int64)
 
     def of(self, document: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """First sentence, end and hash of the spans of one document."""
-        a, b = self.first[document], self.first[document + 1]
-        at = np.flatnonzero(self.whole[a:b]) + a
-        return at - a, self.to[at] - a, self.hashes[at]
+        """First sentence, end and hash of the spans of one document, by first sentence."""
+        at = slice(self.bounds[document], self.bounds[document + 1])
+        return self.start[at] - self.first[document], self.stop[at] - self.first[document], self.hashes[at]
 
 
 def _first_places(hashes: np.ndarray) -> np.ndarray:

@@ -170,6 +170,48 @@ def test_a_passage_stays_in_its_first_document(spark):
     assert got == {1: "First of all. " + passage, 2: "Tail.", 3: "Own start. Own end.", None: ""}
 
 
+def _all_runs_cut(rows, sentences=3, least=20, enough=45):
+    """``{doc_id: text}`` by every run that is long enough, of whatever length."""
+    parts, runs = {}, {}
+    for i, text in rows:
+        ends = [m.end() for m in data._END.finditer(text)]
+        p = parts[i] = [text[a:b] for a, b in zip([0, *ends], [*ends, len(text)], strict=True) if a < b]
+        words = [x.encode().translate(data._LOWER).split() for x in p]
+        runs[i] = []
+        for a in range(len(p)):
+            n, run = 0, hashlib.sha256()
+            for b in range(a + 1, len(p) + 1):
+                n += len(words[b - 1])
+                run.update(b" ".join(words[b - 1]) + b"|")
+                if n >= enough or (n >= least and b - a >= sentences):
+                    runs[i].append((a, b, run.digest()))
+    first = {}
+    for i in sorted(runs):
+        for a, _, run in runs[i]:
+            first.setdefault(run, (i, a))
+    gone = {i: {k for a, b, run in found if first[run] != (i, a) for k in range(a, b)} for i, found in runs.items()}
+    return {i: "".join(x for k, x in enumerate(p) if k not in gone[i]) for i, p in parts.items()}
+
+
+def test_repeats_equal_all_runs(spark):
+    rng = np.random.default_rng(3)
+    pool = [" ".join(f"s{k}w{j}" for j in range(n)) + ". " for k, n in enumerate([46, 20, 20, 1, 2, 5, 7, 9, 12, 15, 30, 44, 45, 60])]
+    passages = [[pool[k] for k in rng.integers(0, len(pool), rng.integers(1, 8))] for _ in range(12)]
+    lone = lambda i, k: [f"lone{i}x{k}. "]
+    rows = [(1, "".join(pool[:3])), (2, "Another start. " + "".join(pool[:3]) + "Another end. ")]
+    for i in range(3, 120):
+        rows.append((i, "".join(sum((passages[rng.integers(12)] + lone(i, k) * rng.integers(0, 2) for k in range(5)), []))))
+    got = span_dedup.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).select("row.doc_id", "kept_text").collect()
+    assert {r.doc_id: r.kept_text for r in got} == (want := _all_runs_cut(rows))
+    # a short end behind a long sentence goes, too
+    assert want[2] == "Another start. Another end. "
+
+
+def test_op3_equals_all_runs(spark, texts):
+    rows = queries.QUERIES["op3_substring_dedup"](spark, data.SF).collect()
+    assert {r.doc_id: r.text for r in rows} == _all_runs_cut(texts)
+
+
 # languages
 
 
