@@ -6,6 +6,9 @@ the shortest one that ends there: together those within any span cover all of it
 remove is what all spans would. They are joined over the whole table. Whatever a repeated span
 covers is removed, except where it stands first: in the document of least ``doc_id``, at its
 first place there.
+
+Sentences end in the marks of many scripts. Where a script does not put spaces between words, two
+characters count as a word, and of a longer string than words are, six.
 """
 
 from __future__ import annotations
@@ -25,19 +28,61 @@ SENTENCES = 3
 LEAST = 20
 ENOUGH = 45
 
+#: Marks that end a sentence without white space behind them, and brackets and quotes that may close it.
+MARKS = (
+    "\u0589\u061d-\u061f\u06d4\u0700-\u0702\u07f9\u0964\u0965\u0f0d-\u0f12\u104a\u104b\u1362\u1367\u1368\u166e\u1735\u1736"
+    "\u17d4\u17d5\u1803\u1809\u1944\u1945\u1aa8-\u1aab\u1b5a\u1b5b\u1b5e\u1b5f\u1c3b\u1c3c\u1c7e\u1c7f\u203c\u203d\u2047-\u2049"
+    "\u2e2e\u2e3c\u3002\ua4ff\ua60e\ua60f\ua6f3\ua6f7\ua876\ua877\ua8ce\ua8cf\ua92f\ua9c8\ua9c9\uaa5d-\uaa5f\uaaf0\uaaf1\uabeb"
+    "\ufe12\ufe15\ufe16\ufe52\ufe56\ufe57\uff01\uff0e\uff1f\uff61\U000104a0\U00011047\U00011048\U000110be-\U000110c1"
+)
+CLOSING = "\u00bb\u2019\u201d\u3009\u300b\u300d\u300f\u3011\u3015\u3017\uff09\uff3d\uff63"
+#: Line and paragraph ends besides the line feed.
+LINES = "\u0085\u2028\u2029"
+#: Scripts that put spaces behind clauses only.
+CLAUSES = "\u0e01-\u0eff"
+#: Scripts that do not put spaces between words.
+UNSPACED = CLAUSES + "\u0f00-\u109f\u1780-\u17ff\u1950-\u19ff\u1a20-\u1aaf\u3040-\u312f\u31a0-\u31ff\u3400-\u9fff\ua9e0-\ua9ff\uaa60-\uaa7f\uf900-\ufaff\uff66-\uff9f\U0001b000-\U0001b16f\U00020000-\U0003ffff"
+#: Characters of such a script that count as a word, and of a string too long for a word.
+PER_WORD, PER_LONG_WORD, LONG_WORD = 2, 6, 40
+
 #: A sentence ends after marks followed by white space, and at a line's end.
 _END = re.compile(rb"[.!?]+\s+|\n\s*")
+#: The same in any script.
+_ANY_END = re.compile(
+    rf"[.!?]+[ \t-\r]+|\n[ \t-\r]*|[{MARKS}][{MARKS}.!?]*[{CLOSING}]*[ \t-\r\u3000]*|[{LINES}][ \t-\r{LINES}]*|(?<=[{CLAUSES}])[ \t-\r]+"
+)
+_UNSPACED = re.compile(f"[{UNSPACED}]")
+_OTHER_ENDS = re.compile(f"[{MARKS}{LINES}{CLAUSES}]")
 _STEP = np.uint64(0xD1342543DE82EF95)
 
 
 def sentences_of(text: bytes) -> list[int]:
     """Where sentences end; each begins where the one before ends, white space belongs to it."""
-    ends = [m.end() for m in _END.finditer(text)]
+    wide = None if text.isascii() else text.decode(errors="surrogateescape")
+    if wide and _OTHER_ENDS.search(wide):
+        ends, at = [], 0
+        for m in _ANY_END.finditer(wide):
+            size = len(wide[at : m.end()].encode(errors="surrogateescape"))
+            ends.append(size + (ends[-1] if ends else 0))
+            at = m.end()
+    else:
+        ends = [m.end() for m in _END.finditer(text)]
     if not ends or ends[-1] < len(text):
         ends.append(len(text))
     return ends
 
 
+def words_in(found: list[bytes]) -> int:
+    """Length in words of strings between white space; where words are not spaced, characters count."""
+    n = 0
+    for string in found:
+        wide = string.decode(errors="surrogateescape")
+        dense = len(_UNSPACED.findall(wide))
+        rest = len(wide) - dense
+        n += max(1, dense // PER_WORD + (rest // PER_LONG_WORD if rest > LONG_WORD else min(rest, 1)))
+    return n
+
+
 class Spans:
     """Spans of a slice of documents, as arrays over all its sentences."""
 
@@ -47,10 +92,12 @@ class Spans:
         plain, words = [], []
         for text, ends in zip(texts, self.ends, strict=True):
             low, at = text.translate(LOWER), 0
+            dense = not text.isascii() and _UNSPACED.search(text.decode(errors="surrogateescape"))
             for end in ends:
                 found = low[at:end].split()
                 plain.append(b" ".join(found))
-                words.append(len(found))
+                odd = dense or max(map(len, found), default=0) > LONG_WORD
+                words.append(words_in(found) if odd else len(found))
                 at = end
         n = len(plain)
         lengths = np.fromiter((len(p) for p in plain), np.int64, n)
@@ -162,7 +209,8 @@ def without_repeats(
     ``row`` holds all columns as they were, ``kept_text`` the text that remains, ``sentences``
     and ``removed`` the number of sentences before and of those cut out. A text without a
     repeated span stays byte for byte. Sentences are compared after lower-casing A-Z and
-    joining words by single spaces.
+    joining words by single spaces. Thai and Lao text also ends at white space, which stands behind
+    clauses there.
 
     A null text stays null and an empty one empty, both with no sentence. A text shorter than a
     span has none and stays. Of equal spans the least ``doc_id`` has the first; for a null ``doc_id``

@@ -212,6 +212,26 @@ def test_op3_equals_all_runs(spark, texts):
     assert {r.doc_id: r.text for r in rows} == _all_runs_cut(texts)
 
 
+def test_repeats_in_scripts_without_spaces(spark):
+    chinese = "".join("".join(chr(0x4E00 + 37 * k + j) for j in range(18)) + "\u3002" for k in range(4))
+    japanese = "\u300c" + "\u3042\u308b\u65e5\u306e\u4e8b" * 8 + "\uff01\u300d" + "\u8a71" * 30 + "\uff1f" + "\u7d42\u308f\u308a\u3067\u3059\u3002"
+    thai = " ".join("".join(chr(0x0E01 + (7 * k + j) % 40) for j in range(20)) for k in range(6)) + " "
+    hindi = " ".join(f"\u0915{k} \u0916 \u0917 \u0918 \u0919 \u091a \u091b \u091c\u0964" for k in range(4)) + " "
+    string = "".join(f"{k:04x}" for k in range(200)) + "\n"
+    rows = []
+    for k, passage in enumerate([chinese, japanese, thai, hindi, string]):
+        rows += [(2 * k, passage), (2 * k + 1, f"Own start {k}.\n{passage}\u672b\u5c3e{k}")]
+    got = span_dedup.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).select("row.doc_id", "kept_text").collect()
+    want = {i: t if i % 2 == 0 else f"Own start {i // 2}.\n\u672b\u5c3e{i // 2}" for i, t in rows}
+    assert {r.doc_id: r.kept_text for r in got} == want
+
+
+def test_short_lines_without_spaces_stay(spark):
+    rows = [(k, f"\u7b2c{k}\u56de\u3002\u7b80\u77ed\u7684\u4e00\u53e5\u3002\u518d\u89c1\u3002") for k in range(2)]
+    got = span_dedup.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).select("row.doc_id", "kept_text").collect()
+    assert {r.doc_id: r.kept_text for r in got} == dict(rows)
+
+
 # languages
 
 
