@@ -37,29 +37,35 @@ SYLLABLES = {
 #: Draws from the space of the entity's own format; later ones may be longer.
 DRAWS = 6
 
-_EMAIL = r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}"
+#: A name has 127 labels at most; a bound, as Java recurses over such groups.
+_EMAIL = r"[A-Za-z0-9][A-Za-z0-9._%+-]*+@(?:[A-Za-z0-9-]++\.){1,126}[A-Za-z]{2,}+"
 _IP = r"(?:\d{1,3}\.){3}\d{1,3}"
 _PHONE = r"\+\d{1,3}(?:[ .-]?\(?\d{2,4}\)?){2,4}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}-\d{3}-\d{4}"
 _SSN = r"\d{3}-\d{2}-\d{4}"
 _CARD = r"\d(?:[ -]?\d){12,18}"
-_SECRET = r"[0-9A-Za-z_+/-]{16,128}"
+_SECRET = r"[0-9A-Za-z_+/-]++(?:\.[0-9A-Za-z_+/-]++)*+"
 _SECRET_BEFORE = r"(?<=(?i:token|secret|password|passwd|api_key|apikey|api-key|access_key)[\"']?\s{0,3}[=:]\s{0,3}[\"']?)"
+#: Behind a label of a password stands one, however short; in quotes it goes up to the closing one.
+_PASSWORD = r"(?:(?<=\")[^\"\n]++(?=\")|(?<=')[^'\n]++(?=')|[^\s\"'<>]*[^\s\"'<>.,;:)])"
+_PASSWORD_BEFORE = r"(?<=[=:][\s\"']{0,4})(?<=(?i:password|passwd)[\"']?\s{0,3}[=:]\s{0,3}[\"']?)"
 
 
 def _patterns() -> tuple[str, str]:
-    """What may hold an entity at all, and the entities."""
+    """What may hold an entity at all, and the entities; the group is a secret."""
     given = "|".join(n for names in GIVEN.values() for n in names)
     titles = "|".join(TITLES)
-    word = r"\p{Lu}[\p{Ll}]+(?:[-'’]\p{Lu}?\p{Ll}+)?"
+    # more parts may follow, but not the s of a genitive
+    word = r"\p{Lu}(?:['’]\p{Lu})?\p{Ll}[\p{L}\p{M}]*+(?:[-'’](?!s(?!\p{L}))\p{L}[\p{L}\p{M}]*+)*+"
     first = rf"(?<!\p{{L}})(?=\p{{Lu}})(?:{given})(?= {word})"
     last = rf"(?=\p{{Lu}})(?<=(?<!\p{{L}})(?:{given}) |(?<!\p{{L}})(?:{titles})\.? ){word}"
     numbers = rf"(?<![\w.+@-])(?=[+(\d])(?:{_PHONE}|{_SSN}|{_IP}|{_CARD})(?![\w@]|[.-]\d)"
     email = rf"(?<![A-Za-z0-9._%+-])(?=[A-Za-z0-9]){_EMAIL}"
-    secret = rf"(?<![0-9A-Za-z_+/-])(?=[0-9A-Za-z_+/-]{{16}}){_SECRET_BEFORE}{_SECRET}"
+    secret = rf"(?<![0-9A-Za-z_+/-])(?=[0-9A-Za-z_+/.-]{{16}}){_SECRET_BEFORE}{_SECRET}"
+    password = rf"(?<=[=:\s\"'])(?=[^\s\"'<>]){_PASSWORD_BEFORE}{_PASSWORD}"
     maybe = (
         rf"@|\d[\d ().-]{{5,}}\d|(?i:token|secret|passw|api.?key|access_key)|(?<!\p{{L}})(?=\p{{Lu}})(?:{titles}|{given})\.? \p{{Lu}}"
     )
-    return maybe, rf"{email}|{secret}|{numbers}|{first}|{last}"
+    return maybe, rf"{email}|({password}|{secret})|{numbers}|{first}|{last}"
 
 
 MAYBE, ENTITY = _patterns()
@@ -69,11 +75,14 @@ def _digits(raw: Column) -> Column:
     return F.regexp_replace(raw, r"\D", "")
 
 
-def kind_of(raw: Column) -> Column:
-    """Type of a match, null if a check says that it is none."""
+def kind_of(raw: Column, secret: Column) -> Column:
+    """Type of a match, null if it is a number that a check says to be none.
+
+    What is not a ``secret`` by its place is an address or number by its form, or else a name.
+    """
     whole = lambda p: raw.rlike(rf"^(?:{p})$")
     octets = F.transform(F.split(raw, r"\."), lambda o: o.cast("int"))
-    kind = F.when(whole(_EMAIL), F.lit("email"))
+    kind = F.when(secret, F.lit("secret")).when(whole(_EMAIL), F.lit("email"))
     kind = kind.when(whole(_IP), F.when(F.forall(octets, lambda o: o < 256), F.lit("ip")))
     kind = kind.when(whole(_SSN), F.lit("ssn"))
     kind = kind.when(whole(_PHONE) & F.length(_digits(raw)).between(9, 15), F.lit("phone"))
@@ -81,10 +90,10 @@ def kind_of(raw: Column) -> Column:
     kind = kind.when(whole(_CARD), F.when(_digits(raw).rlike("^[2-6]") & F.call_function("luhn_check", _digits(raw)), F.lit("card")))
     for name, names in GIVEN.items():
         kind = kind.when(raw.isin(*names), F.lit(name))
-    kind = kind.when(whole(r"\p{IsLatin}[\p{L}'’-]{1,14}"), F.lit("family-latin"))
-    kind = kind.when(whole(r"\p{IsCyrillic}[\p{L}'’-]+"), F.lit("family-cyrillic"))
-    kind = kind.when(whole(r"\p{IsGreek}[\p{L}'’-]+"), F.lit("family-greek"))
-    return kind.when(whole(_SECRET), F.lit("secret"))
+    kind = kind.when(raw.rlike(r"^\p{IsCyrillic}"), F.lit("family-cyrillic"))
+    kind = kind.when(raw.rlike(r"^\p{IsGreek}"), F.lit("family-greek"))
+    # names in other scripts get a Latin one
+    return kind.when(raw.rlike(r"^\p{L}"), F.lit("family-latin"))
 
 
 def _normal(kind: Column, raw: Column) -> Column:
@@ -104,7 +113,7 @@ def _draw(kind: Column, value: Column, attempt: Column, key: str) -> Column:
     run = lambda n, f: F.array_join(F.transform(F.sequence(F.lit(1), n), f), "")
 
     def alike(text: Column, hexadecimal: Column) -> Column:
-        """Digits for digits, letters for letters, everything else as it is."""
+        """Digits for digits, letters for letters (Latin ones), everything else as it is."""
         lower = lambda i: F.when(hexadecimal, one_of("abcdef", i)).otherwise(one_of("abcdefghijklmnopqrstuvwxyz", i))
         return F.array_join(
             F.transform(
@@ -112,6 +121,7 @@ def _draw(kind: Column, value: Column, attempt: Column, key: str) -> Column:
                 lambda c, i: F.when(c.rlike("[0-9]"), one_of("0123456789", i))
                 .when(c.rlike("[a-z]"), lower(i))
                 .when(c.rlike("[A-Z]"), F.upper(lower(i)))
+                .when(c.rlike(r"\p{L}"), lower(i))
                 .otherwise(c),
             ),
             "",
@@ -210,7 +220,12 @@ def with_surrogates(docs: DataFrame, key: str) -> DataFrame:
     stays null, an empty one empty, and a text without entities as it is. Copies of a text are
     replaced alike. An empty table gives an empty result.
     """
-    matches = F.regexp_extract_all("text", F.lit(ENTITY), F.lit(0))
+    # each match behind a sign that says whether it is a secret by its place
+    matches = F.zip_with(
+        F.regexp_extract_all("text", F.lit(ENTITY), F.lit(0)),
+        F.regexp_extract_all("text", F.lit(ENTITY), F.lit(1)),
+        lambda m, secret: F.concat(F.when(secret != "", F.lit("s")).otherwise(F.lit("-")), m),
+    )
     whole = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text").cast("string").alias("text")
     )
@@ -223,14 +238,15 @@ def with_surrogates(docs: DataFrame, key: str) -> DataFrame:
         "matches",
     )
     raws = found.select(F.explode(F.array_distinct("matches")).alias("raw")).distinct()
+    match = F.expr("substring(raw, 2)")
     entities = stored(
-        raws.withColumn("kind", kind_of(F.col("raw")))
+        raws.withColumn("kind", kind_of(match, F.col("raw").startswith("s")))
         .filter("kind is not null")
-        .withColumn("value", _normal(F.col("kind"), F.col("raw"))),
+        .withColumn("value", _normal(F.col("kind"), match)),
         "raws",
     )
     written = entities.join(assign(entities, key), ["kind", "value"]).select(
-        "raw", _written(F.col("kind"), F.col("raw"), F.col("surrogate")).alias("other")
+        "raw", _written(F.col("kind"), match, F.col("surrogate")).alias("other")
     )
     maps = (
         found.dropDuplicates(["key"])
@@ -245,7 +261,7 @@ def with_surrogates(docs: DataFrame, key: str) -> DataFrame:
         F.array_join(
             F.transform(
                 "matches",
-                lambda m, i: F.concat(F.coalesce(F.element_at("others", m), m), F.element_at("gaps", (i + 2).cast("int"))),
+                lambda m, i: F.concat(F.coalesce(F.element_at("others", m), F.substr(m, F.lit(2))), F.element_at("gaps", (i + 2).cast("int"))),
             ),
             "",
         ),

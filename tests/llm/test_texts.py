@@ -488,6 +488,26 @@ def test_surrogates_keep_type_format_and_reference(spark):
     assert other.masked != text[5]
 
 
+def test_surrogates_of_long_entities(spark):
+    jwt = ".".join(["eyJhbGciOiJIUzI1NiIsInR5cCI6IkpXVCJ9", "eyJzdWIiOiIxMjM0NTY3ODkwIn0", "dBjftJeZ4CVPmB92K27uhbUJU1p1rwW1gFWFOEjXk"])
+    rows = [
+        (1, f"token={'a1B2' * 50} and token={jwt}."),
+        (2, 'password: hunter2, and "password": "p@ss w" or passwd=Longpasswordwithletters.'),
+        (3, "Herr Müller-Lüdenscheidt, Mrs Featherstonehaughton, Mr O'Brien, Mr McDonald and Mr Smith-Jones-Brown's dog."),
+        (4, f"Write to {'b7' * 40}@{'x.' * 12}org today. Mr Աբգարյան too."),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.masked for r in surrogates.with_surrogates(docs, "k").select("row.doc_id", "masked").collect()}
+    m = re.fullmatch(r"token=([a-z]\d[A-Z]\d){50} and token=([\w-]{36}\.[\w-]{27}\.[\w-]{41})\.", got[1])
+    assert m and not [x for x in [*jwt.split("."), "a1B2" * 18] if x in got[1]]
+    m = re.fullmatch(r'password: ([a-z]{6}\d), and "password": "([a-z]@[a-z]{2} [a-z])" or passwd=([A-Z][a-z]{22})\.', got[2])
+    assert m and m[1] != "hunter2" and m[2] != "p@ss w" and m[3] != "Longpasswordwithletters"
+    m = re.fullmatch(r"Herr (\w+), Mrs (\w+), Mr (\w+), Mr (\w+) and Mr (\w+)'s dog\.", got[3])
+    assert m and all(re.fullmatch(f"(?i)({'|'.join(surrogates.SYLLABLES['latin'])})+", x) for x in m.groups())
+    m = re.fullmatch(r"Write to (\w{80})@[a-z]+\.example\.org today\. Mr ([A-Z][a-z]+) too\.", got[4])
+    assert m and m[1] != "b7" * 40
+
+
 def test_surrogates_stay_distinct_in_a_small_space(spark):
     # 36 addresses of one letter or digit: draws collide at once
     names = [f"{c}@x.org" for c in "abcdefghijklmnopqrstuvwxyz0123456789"]
