@@ -5,7 +5,8 @@ the table gets one surrogate from a keyed hash: of the same type, format and scr
 the same gender. Surrogates are compared over the whole table; an entity whose surrogate
 is taken, or is itself an entity of the table, draws again, and after some draws from a larger
 space. So different entities stay different, and one entity is the same everywhere, in
-whatever format it is written.
+whatever format it is written. A name that is found once in a text is replaced in all of it, also
+where it stands alone.
 """
 
 from __future__ import annotations
@@ -70,6 +71,9 @@ def _patterns() -> tuple[str, str]:
 
 MAYBE, ENTITY = _patterns()
 
+#: Words that may be a name: with parts joined by hyphens, without the s of a genitive.
+NAME = r"(?<![\p{L}\p{M}])\p{Lu}['’]?[\p{L}\p{M}]++(?:[-'’](?!s(?!\p{L}))\p{L}[\p{L}\p{M}]*+)*+"
+
 
 def _digits(raw: Column) -> Column:
     return F.regexp_replace(raw, r"\D", "")
@@ -246,16 +250,36 @@ def with_surrogates(docs: DataFrame, key: str) -> DataFrame:
         "raws",
     )
     written = entities.join(assign(entities, key), ["kind", "value"]).select(
-        "raw", _written(F.col("kind"), match, F.col("surrogate")).alias("other")
+        "raw",
+        _written(F.col("kind"), match, F.col("surrogate")).alias("other"),
+        (F.col("kind").startswith("family-") | F.col("kind").isin(*GIVEN)).alias("named"),
     )
     maps = (
         found.dropDuplicates(["key"])
         .select("key", F.explode(F.array_distinct("matches")).alias("raw"))
         .join(written, "raw")
         .groupBy("key")
-        .agg(F.map_from_entries(F.collect_list(F.struct("raw", "other"))).alias("others"))
+        .agg(
+            F.map_from_entries(F.collect_list(F.struct("raw", "other"))).alias("others"),
+            F.map_from_entries(
+                F.collect_list(F.when(F.col("named"), F.struct(match.alias("name"), "other")))
+            ).alias("names"),
+        )
     )
-    gaps = F.split("text", ENTITY, -1)
+    known = lambda w: F.element_at("names", w)
+    # a word of several parts is looked up whole, then by its parts
+    parts = lambda w: F.split(w, r"(?<=[-'’])|(?=[-'’])")
+    renamed = lambda w: F.coalesce(known(w), F.array_join(F.transform(parts(w), lambda x: F.coalesce(known(x), x)), ""))
+    hits = lambda w: F.when(known(w).isNotNull(), 1).otherwise(F.size(F.filter(parts(w), lambda x: known(x).isNotNull())))
+    words_of = lambda gap: F.regexp_extract_all(gap, F.lit(NAME), F.lit(0))
+
+    def without_names(gap: Column) -> Column:
+        """Text between matches, with the names that were found in the same text replaced."""
+        between = F.split(gap, NAME, -1)
+        words = F.concat(F.transform(words_of(gap), renamed), F.array(F.lit("")))
+        return F.array_join(F.zip_with(between, words, lambda x, w: F.concat(x, w)), "")
+
+    some = F.size("names") > 0
     masked = F.concat(
         F.element_at("gaps", 1),
         F.array_join(
@@ -268,12 +292,17 @@ def with_surrogates(docs: DataFrame, key: str) -> DataFrame:
     )
     changed = (
         found.join(maps, "key", "left")
-        .withColumn("gaps", gaps)
+        .withColumn("gaps", F.split("text", ENTITY, -1))
+        .withColumn(
+            "again",
+            F.when(some, F.aggregate(F.flatten(F.transform("gaps", words_of)), F.lit(0), lambda n, w: n + hits(w))).otherwise(0),
+        )
+        .withColumn("gaps", F.when(some, F.transform("gaps", without_names)).otherwise(F.col("gaps")))
         .select(
             "row",
             F.when(F.col("others").isNull(), F.col("text")).otherwise(masked).alias("masked"),
             F.when(F.col("others").isNull(), F.lit(0))
-            .otherwise(F.size(F.filter("matches", lambda m: F.element_at("others", m).isNotNull())))
+            .otherwise(F.size(F.filter("matches", lambda m: F.element_at("others", m).isNotNull())) + F.col("again"))
             .alias("replaced"),
         )
     )

@@ -508,6 +508,24 @@ def test_surrogates_of_long_entities(spark):
     assert m and m[1] != "b7" * 40
 
 
+def test_names_are_replaced_in_the_whole_text(spark):
+    rows = [
+        (1, "Mrs. Anna Smith met Herr Müller. Müller left, Anna smiled, and Smith's Müller-Anna saw Müllerei."),
+        (2, "Before, Müller-Lüdenscheidt sat. Then Herr Müller-Lüdenscheidt rose; Lüdenscheidt is a town."),
+        (3, "Here Müller and Anna are not told to be names, mail a1@x.org."),
+        (4, "Mr Smith, Mr Smith and mr. Smith; Анна Иванова знает. Иванова и Анна."),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in surrogates.with_surrogates(docs, "k").select("row.doc_id", "masked", "replaced").collect()}
+    m = re.fullmatch(r"Mrs\. (\w+) (\w+) met Herr (\w+)\. \3 left, \1 smiled, and \2's \3-\1 saw Müllerei\.", got[1].masked)
+    assert m and not {"Anna", "Smith", "Müller"} & set(m.groups()) and got[1].replaced == 8
+    m = re.fullmatch(r"Before, (\w+) sat\. Then Herr \1 rose; Lüdenscheidt is a town\.", got[2].masked)
+    assert m and got[2].replaced == 2
+    assert got[3].masked.startswith("Here Müller and Anna are") and got[3].replaced == 1
+    m = re.fullmatch(r"Mr (\w+), Mr \1 and mr\. \1; (\w+) (\w+) знает\. \3 и \2\.", got[4].masked)
+    assert m and got[4].replaced == 7
+
+
 def test_surrogates_stay_distinct_in_a_small_space(spark):
     # 36 addresses of one letter or digit: draws collide at once
     names = [f"{c}@x.org" for c in "abcdefghijklmnopqrstuvwxyz0123456789"]
