@@ -199,11 +199,12 @@ def _keep_bad(bad: DataFrame, quarantine: str, batch_id: int) -> None:
 def _first_sent(
     rows: DataFrame, seen: str, batch_id: int, span: str, late: str
 ) -> DataFrame:
-    """Rows whose id was not seen within the time span before; the rest of what comes in.
+    """Rows whose id did not count within the time span around their own time; the rest of what comes in.
 
-    The ids and times of earlier batches lie in ``seen``. Rows without an id or a time
-    cannot be told apart and all stay. Events older than the newest event of earlier batches by more than
-    the span may have been seen already: they go to ``late`` and nowhere else.
+    Of the times of an id, in order, each counts that is further than the span from every one that
+    counted, whatever batches they come in. The ids and times that counted lie in ``seen``. Rows
+    without an id or a time cannot be told apart and all stay. Events older than the newest event of
+    earlier batches by more than the span may have been seen already: they go to ``late`` and nowhere else.
     """
     spark = rows.sparkSession
     told = F.col("id").isNotNull() & F.col("timestamp").isNotNull()
@@ -212,14 +213,33 @@ def _first_sent(
     earlier = earlier.filter(F.col("batch_id") < batch_id)
     newest = earlier.agg(F.max("timestamp")).first()[0]
     on_time = rows.filter(told)
+    gap = F.expr(f"INTERVAL {span}")
     if newest is not None:
-        horizon = F.lit(newest) - F.expr(f"INTERVAL {span}")
+        horizon = F.lit(newest) - gap
         behind = on_time.filter(F.col("timestamp") < horizon)
         if not behind.isEmpty():
             write_table(behind, _batch_folder(late, batch_id))
-        known = earlier.filter(F.col("timestamp") >= horizon).select("id").distinct()
-        on_time = on_time.filter(F.col("timestamp") >= horizon).join(known, "id", "left_anti")
-    fresh = on_time.dropDuplicates(["id"]).select(*rows.columns).persist()
+        on_time = on_time.filter(F.col("timestamp") >= horizon)
+        known = earlier.filter(F.col("timestamp") >= horizon - gap)
+    else:
+        known = earlier
+    known = known.groupBy("id").agg(F.collect_set("timestamp").alias("known"))
+    apart = lambda x, y: (x > y + gap) | (y > x + gap)
+
+    def counted(times, known):
+        """Of the sorted times, those apart from the known ones and from the one that counted before."""
+        fits = lambda done, t: (F.size(done) == 0) | apart(t, F.element_at(done, -1))
+        free = F.filter(times, lambda t: F.forall(known, lambda k: apart(t, k)))
+        none = F.array().cast("array<timestamp>")
+        return F.aggregate(free, none, lambda done, t: F.when(fits(done, t), F.concat(done, F.array(t))).otherwise(done))
+
+    first = (
+        on_time.groupBy("id")
+        .agg(F.array_sort(F.collect_set("timestamp")).alias("times"))
+        .join(known, "id", "left")
+        .select("id", F.explode(counted(F.col("times"), F.coalesce("known", F.array().cast("array<timestamp>")))).alias("timestamp"))
+    )
+    fresh = on_time.dropDuplicates(["id", "timestamp"]).join(first, ["id", "timestamp"]).select(*rows.columns).persist()
     fresh.select("id", "timestamp").write.mode("overwrite").parquet(_batch_folder(seen, batch_id))
     return fresh.unionByName(rows.filter(~told))
 

@@ -303,6 +303,19 @@ def test_nothing_is_lost_by_deduplication(spark, folder):
     assert [r.id for r in spark.read.parquet(f"{folder}/late").collect()] == ["a"]
 
 
+@pytest.mark.parametrize("size", [1, 3, 8])
+def test_an_id_counts_again_after_the_span_in_batches_of_any_size(spark, folder, size):
+    start, hour = 1_704_067_200_000, 3_600_000
+    sent = [("a", 0), ("b", 0), ("a", 12), ("a", 24), ("a", 36), ("b", 40), ("a", 50), ("a", 61)]
+    events = [quake(key, time=start + h * hour) for key, h in sent]
+    documents = [{"features": events[i : i + size]} for i in range(0, len(events), size)]
+    paths = run_silver(spark, folder, documents, dedup="1 day", late=f"{folder}/late")
+    kept = spark.read.parquet(paths["table"]).select("id", F.unix_millis("timestamp").alias("ms")).collect()
+    # 24 hours are within the span; 50 and 61 hours count or not by those that counted before
+    assert sorted((r.id, (r.ms - start) // hour) for r in kept) == [("a", 0), ("a", 36), ("a", 61), ("b", 0), ("b", 40)]
+    assert not Path(f"{folder}/late").exists()
+
+
 def test_a_message_is_read_once_for_all_outputs(spark, folder):
     send(spark, f"{folder}/bronze", documents())
     started = H.silver_stream(
