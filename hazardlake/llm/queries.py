@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardlake.llm import fingerprints, language, licenses, neighbours, packing, surrogates, toxicity
+from hazardlake.llm import alignment, fingerprints, language, licenses, neighbours, packing, surrogates, toxicity
 from hazardlake.llm.near_dedup import near_groups
 from hazardlake.llm.pieces import encode_texts
 from hazardlake.llm.span_dedup import without_repeats
@@ -137,3 +137,12 @@ def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.against_edits(_documents(spark, sf_dir))
+
+
+@_query
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    models = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    found = alignment.align(_documents(spark, sf_dir).select("doc_id", "text"), *models, keep=["doc_id"])
+    return found.select("row.doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
