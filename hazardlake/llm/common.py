@@ -19,9 +19,9 @@ from hazardlake.session import scratch_path
 #: Maps the bytes A-Z to a-z and leaves every other byte.
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
-_MASK = (1 << 64) - 1
-_BASE = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_BASE, -1, 1 << 64)
+#: The Mersenne prime that span and prefix hashes are taken modulo, and their base.
+PRIME = (1 << 61) - 1
+BASE = 0x1E3779B97F4A7C15
 
 
 def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
@@ -33,31 +33,76 @@ def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
 
 
 #: A 64-bit value for every byte, made by rule.
-BYTE_VALUES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))
+BYTE_VALUES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
+def fold(x: np.ndarray) -> np.ndarray:
+    """Any uint64 modulo the prime."""
+    x = (x & np.uint64(PRIME)) + (x >> np.uint64(61))
+    return np.where(x >= PRIME, x - np.uint64(PRIME), x)
+
+
+def shifted(x: np.ndarray, bits: int) -> np.ndarray:
+    """``x`` times a power of two modulo the prime: its 61 bits turned round."""
+    return ((x << np.uint64(bits)) & np.uint64(PRIME)) | (x >> np.uint64(61 - bits))
+
+
+def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Products modulo the prime, from halves of 32 bits."""
+    low = np.uint64(0xFFFFFFFF)
+    a1, a0, b1, b0 = a >> np.uint64(32), a & low, b >> np.uint64(32), b & low
+    middle = fold(a1 * b0 + a0 * b1)
+    # 2 ** 64 is 8 modulo the prime
+    return fold(fold(a1 * b1 * np.uint64(8)) + shifted(middle, 32) + fold(a0 * b0))
+
+
+def powers_of(base: int, n: int) -> np.ndarray:
+    """The powers of a number modulo the prime, from the zeroth on."""
+    out = np.ones(n, np.uint64)
+    known = 1
+    while known < n:
+        step = np.uint64(pow(base, known, PRIME))
+        more = min(known, n - known)
+        out[known : known + more] = product(out[:more], step)
+        known += more
+    return out
+
+
+#: Bits of the limbs that powers are kept in, so that sums over 2 ** 35 bytes do not overflow.
+_LIMB = 21
 
 
 class _Powers:
-    """Powers of the base and of its inverse, grown on demand."""
+    """Limbs of the powers of the base, and the powers of its inverse, grown on demand."""
 
-    up = down = np.ones(1, np.uint64)
+    limbs = np.zeros((3, 0), np.uint64)
+    down = np.zeros(0, np.uint64)
 
     @classmethod
     def to(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(cls.up) < n:
+        if len(cls.down) < n:
             size = max(n, 1 << 16)
-            up, down = np.full(size, _BASE, np.uint64), np.full(size, _INVERSE, np.uint64)
-            up[0] = down[0] = 1
-            cls.up, cls.down = np.cumprod(up), np.cumprod(down)
-        return cls.up[:n], cls.down[:n]
+            up = powers_of(BASE, size)
+            cls.limbs = np.stack([(up >> np.uint64(_LIMB * k)) & np.uint64((1 << _LIMB) - 1) for k in range(3)])
+            cls.down = powers_of(pow(BASE, -1, PRIME), size)
+        return cls.limbs[:, :n], cls.down[:n]
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each span of bytes, the same for equal spans wherever they stand."""
+    """64-bit hash of each span of bytes, the same for equal spans wherever they stand.
+
+    A polynomial modulo a prime of 61 bits: two different spans of ``n`` bytes agree for at most ``n`` of
+    all bases. (Modulo 2 ** 64 there are texts that agree for every base.)
+    """
     n = len(data)
-    up, down = _Powers.to(n + 1)
+    limbs, down = _Powers.to(n + 1)
+    values = data.astype(np.uint64) + np.uint64(1)
+    total = np.zeros(len(starts), np.uint64)
     sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(BYTE_VALUES[data] * up[:n], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    for k in range(3):
+        np.cumsum(values * limbs[k, :n], out=sums[1:])
+        total = fold(total + shifted(fold(sums[ends] - sums[starts]), _LIMB * k))
+    return mix(product(total, down[starts]) + ((ends - starts).astype(np.uint64) << np.uint64(61)), 0)
 
 
 def slices(batches: Iterator[pa.RecordBatch], text: str = "text", size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
@@ -100,33 +145,51 @@ def stored(df: DataFrame, label: str, folder: str | None = None) -> DataFrame:
 FILTER_BITS = 1 << 26
 
 
-def maybe_in(ids: DataFrame) -> Callable[[Column], Column]:
-    """A test of an id column: false where the id is surely not among ``ids`` (one column).
-
-    Rows that fail it need not move for a join with ``ids``. The ids set bits of a filter of
-    fixed size; where there are more of them than bits, it lets everything pass and the join
-    decides alone. Only the ids' hashes go to Python, not the rows.
-    """
-    slot = lambda c: F.pmod(F.xxhash64(c.cast("long")), F.lit(FILTER_BITS))
-    hit = slot(F.col(ids.columns[0]))
+def bit_set(slots: DataFrame, bits: int) -> Callable[[Column], Column]:
+    """A test whether a slot is among ``slots`` (one long column, below ``bits``), by one bit for each."""
+    slot = F.col(slots.columns[0])
     words = (
-        ids.select(F.floor(hit / 64).cast("int").alias("word"), F.expr("1L").alias("one"), (hit % 64).cast("int").alias("bit"))
+        slots.select(F.floor(slot / 64).cast("int").alias("word"), F.expr("1L").alias("one"), (slot % 64).cast("int").alias("bit"))
         .groupBy("word")
         .agg(F.bit_or(F.expr("shiftleft(one, bit)")).alias("mask"))
         .toArrow()
     )
-    masks = np.zeros(FILTER_BITS // 64, np.int64)
+    masks = np.zeros((bits + 63) // 64, np.int64)
     masks[words.column("word").to_numpy()] = words.column("mask").to_numpy()
-    shared = ids.sparkSession.sparkContext.broadcast(masks)
+    shared = slots.sparkSession.sparkContext.broadcast(masks)
 
     @F.pandas_udf("boolean")
     def test(slots: pd.Series) -> pd.Series:
         s = slots.to_numpy()
         return pd.Series((shared.value[s >> 6] >> (s & 63)) & 1 == 1)
 
+    return test
+
+
+def maybe_in(ids: DataFrame) -> Callable[[Column], Column]:
+    """A test of an id column: false where the id is surely not among ``ids`` (one column).
+
+    Rows that fail it need not move for a join with ``ids``. The ids set bits of a filter of
+    fixed size; where there are more of them than bits, it lets everything pass and the join
+    decides alone. Only the ids' hashes go to Python, not the rows.
+    """
+    bits = FILTER_BITS
+    slot = lambda c: F.pmod(F.xxhash64(c.cast("long")), F.lit(bits))
+    test = bit_set(ids.select(slot(F.col(ids.columns[0]))), bits)
     return lambda column: test(slot(column))
 
 
+#: Copies of what belongs to one key that rows of that key are dealt to.
+SALTS = 64
+
+
+def spread_join(rows: DataFrame, by: DataFrame, keys: list[str], salt: Column) -> DataFrame:
+    """``rows`` left-joined with ``by`` on ``keys``: what belongs to a key is sent to each salt that its rows have."""
+    salted = rows.withColumn("_salt", salt)
+    sent = salted.select(*keys, "_salt").distinct().join(by, keys)
+    return salted.join(sent, [*keys, "_salt"], "left").drop("_salt")
+
+
 @contextmanager
 def bucketed(df: DataFrame, key: str, label: str, folder: str) -> Iterator[DataFrame]:
     """The rows written to the shared folder in buckets of ``key``: joins on it move the other side only."""

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hazardlake.llm.common import mix, slices
+from hazardlake.llm.common import slices, span_hashes
 
 MARK = "▁"
 _MARK = ord(MARK)
@@ -75,7 +75,6 @@ class Vocabulary:
         self.merges = merges
         self._table(merges)
         self._forget()
-        self.values = mix(np.arange(1, _CODES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
         for probe in ("", "  a  b ", "A b\tc\n", "é x́ ① \U0001f642", f"{MARK}a {MARK}"):
             if probe and self.encode([probe], "texts")[0].tolist() != sp.encode(probe):
                 raise ValueError("the model's normalisation is not supported")
@@ -202,24 +201,33 @@ class Vocabulary:
         cut[begin[lengths > 0]] = True
         starts = np.flatnonzero(cut)
         ends = np.append(starts[1:], len(codes))
-        up, down = _powers(len(codes) + 1)
-        sums = np.zeros(len(codes) + 1, np.uint64)
-        np.cumsum(self.values[codes] * up[:-1], out=sums[1:])
-        hashes = mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+        hashes = span_hashes(codes.view(np.uint8), starts * 4, ends * 4)
         distinct, where, segment = np.unique(hashes, return_index=True, return_inverse=True)
+        same = _equal_spans(codes, starts, ends - starts, codes, starts[where][segment], (ends - starts)[where][segment])
         at = np.searchsorted(self.seen, distinct)
         new = np.ones(len(distinct), bool) if not len(self.seen) else self.seen[np.minimum(at, len(self.seen) - 1)] != distinct
-        if new.any():
-            fresh = where[new]
-            found, sizes = self._segments(codes, starts[fresh], ends[fresh])
+        old, known = where[~new], at[~new]
+        same = same and _equal_spans(
+            codes, starts[old], (ends - starts)[old], self.seen_codes, self.seen_starts[known], self.seen_lengths[known]
+        )
+        if not same:
+            # two segments of one hash: every segment is worked for itself
+            found, each = self._segments(codes, starts, ends)
             if check == "segments":
-                self._compare(codes, starts[fresh], ends[fresh], found, sizes)
-            self._remember(distinct[new], found, sizes)
-            at = np.searchsorted(self.seen, distinct)
-        ids, offsets = self.seen_ids, self.seen_offsets[at]
-        each = self.seen_counts[at][segment]
-        done = np.cumsum(each)
-        tokens = ids[np.repeat(offsets[segment] - (done - each), each) + np.arange(done[-1])]
+                self._compare(codes, starts, ends, found, each)
+            tokens, done = found, np.cumsum(each)
+        else:
+            if new.any():
+                fresh = where[new]
+                found, sizes = self._segments(codes, starts[fresh], ends[fresh])
+                if check == "segments":
+                    self._compare(codes, starts[fresh], ends[fresh], found, sizes)
+                self._remember(distinct[new], found, sizes, codes, starts[fresh], (ends - starts)[fresh])
+                at = np.searchsorted(self.seen, distinct)
+            ids, offsets = self.seen_ids, self.seen_offsets[at]
+            each = self.seen_counts[at][segment]
+            done = np.cumsum(each)
+            tokens = ids[np.repeat(offsets[segment] - (done - each), each) + np.arange(done[-1])]
         # first segment of each text
         at = np.searchsorted(starts, begin)
         bounds = np.append(np.concatenate(([0], done))[at], len(tokens))
@@ -234,15 +242,21 @@ class Vocabulary:
         self.seen = np.zeros(0, np.uint64)
         self.seen_offsets = self.seen_counts = np.zeros(0, np.int64)
         self.seen_ids = np.zeros(0, np.int32)
+        self.seen_codes = np.zeros(0, np.uint32)
+        self.seen_starts = self.seen_lengths = np.zeros(0, np.int64)
 
-    def _remember(self, hashes: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> None:
-        """Add worked segments to those of earlier slices."""
+    def _remember(self, hashes, ids, counts, codes, starts, lengths) -> None:
+        """Add worked segments, with their characters, to those of earlier slices."""
         seen = np.concatenate((self.seen, hashes))
         order = np.argsort(seen, kind="stable")  # two sorted runs
         offsets = np.concatenate((self.seen_offsets, len(self.seen_ids) + np.cumsum(counts) - counts))
         self.seen, self.seen_offsets = seen[order], offsets[order]
         self.seen_counts = np.concatenate((self.seen_counts, counts))[order]
         self.seen_ids = np.concatenate((self.seen_ids, ids))
+        first = len(self.seen_codes) + np.cumsum(lengths) - lengths
+        self.seen_starts = np.concatenate((self.seen_starts, first))[order]
+        self.seen_lengths = np.concatenate((self.seen_lengths, lengths))[order]
+        self.seen_codes = np.concatenate((self.seen_codes, codes[_inside(starts, lengths)]))
 
     def _segments(self, codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of segments in their order, flat, and the number of ids of each."""
@@ -294,10 +308,16 @@ class Vocabulary:
                 raise ValueError(f"differs from the library: {text[:200]!r}")
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    from hazardlake.llm.common import _Powers
+def _inside(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Places of all elements of the spans, one span behind the other."""
+    return np.repeat(starts - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
 
-    return _Powers.to(n)
+
+def _equal_spans(codes, starts, lengths, others, other_starts, other_lengths) -> bool:
+    """Whether each span of ``codes`` is the same as its one of ``others``."""
+    if not np.array_equal(lengths, other_lengths):
+        return False
+    return np.array_equal(codes[_inside(starts, lengths)], others[_inside(other_starts, lengths)])
 
 
 @cache

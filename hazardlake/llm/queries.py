@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardlake.llm import alignment, fingerprints, language, licenses, neighbours, packing, surrogates, toxicity
+from hazardlake.llm import alignment, archive, fingerprints, language, licenses, neighbours, packing, surrogates, toxicity, trie
 from hazardlake.llm.near_dedup import near_groups
 from hazardlake.llm.pieces import encode_texts
 from hazardlake.llm.span_dedup import without_repeats
@@ -146,3 +146,64 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     models = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
     found = alignment.align(_documents(spark, sf_dir).select("doc_id", "text"), *models, keep=["doc_id"])
     return found.select("row.doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+ORACLES["op13_warc"] = """WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+    named AS (SELECT page_id, strlen(html)::BIGINT AS payload_bytes, sha256(html) AS payload_digest FROM p),
+    firsts AS (SELECT *, MIN(page_id) OVER (PARTITION BY payload_digest) AS first FROM named)
+    SELECT page_id, payload_bytes, payload_digest,
+        CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+        CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to
+    FROM firsts"""
+
+
+@_query
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = archive.archived(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    return records.select(
+        "page_id",
+        F.col("size").alias("payload_bytes"),
+        F.col("digest").alias("payload_digest"),
+        F.col("kind").alias("record_type"),
+        "refers_to",
+    )
+
+
+#: Sequences are told apart by a digest of all turns up to each; the crc32 is taken bit by bit.
+_TRIE = """WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS i
+        FROM conversations WHERE conv_id IS NOT NULL),
+    c AS (SELECT conv_id, list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(
+            string_split(conv_id::VARCHAR, ''), lambda d: [unicode(d)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+            lambda x, y: CASE WHEN y >= 0 THEN xor(x, y) WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)
+        AS crc FROM (SELECT DISTINCT conv_id FROM t)),
+    h AS (SELECT conv_id, xor(crc, 4294967295) % 6 AS h FROM c),
+    r AS (SELECT h.conv_id, 0 AS kind, t.i, role, text FROM h JOIN t
+            ON t.conv_id = h.conv_id - h.conv_id % 100 AND t.i <= h
+        UNION ALL SELECT conv_id, 1, i, role, text FROM t JOIN h USING (conv_id) WHERE i > h),
+    n AS (SELECT conv_id, row_number() OVER w AS depth, length(text) AS size,
+            sha256(string_agg(sha256(role) || sha256(text), '') OVER w) AS key
+        FROM r WINDOW w AS (PARTITION BY conv_id ORDER BY kind, i)),
+    s AS (SELECT * FROM n UNION ALL SELECT conv_id, 0, 0, '' FROM h),
+    ends AS (SELECT conv_id, MAX(depth) AS depth FROM s GROUP BY conv_id),
+    nodes AS (SELECT s.depth, key, MIN(s.conv_id) AS conv_id, COUNT(*) AS n_convs, MIN(size) AS size,
+            sha256(coalesce(string_agg(ends.conv_id::VARCHAR, ',' ORDER BY ends.conv_id), '')) AS ends_sha256
+        FROM s LEFT JOIN ends ON ends.conv_id = s.conv_id AND ends.depth = s.depth GROUP BY s.depth, key),
+    up AS (SELECT nodes.*, p.conv_id AS parent_conv_id, p.key AS parent_key FROM nodes
+        LEFT JOIN s ON s.conv_id = nodes.conv_id AND s.depth = nodes.depth - 1
+        LEFT JOIN nodes p ON p.depth = s.depth AND p.key = s.key),
+    kids AS (SELECT depth - 1 AS depth, parent_key AS key, COUNT(*) AS n_children FROM up
+        WHERE parent_key IS NOT NULL GROUP BY 1, 2),
+    whole AS (SELECT up.*, coalesce(n_children, 0) AS n_children FROM up LEFT JOIN kids USING (depth, key)),
+    below AS (SELECT s.depth, s.key, COUNT(*) FILTER (n_children = 0) AS n_leaves,
+            SUM((w.n_convs - 1) * w.size) AS saved_tokens
+        FROM whole w JOIN s ON s.conv_id = w.conv_id AND s.depth <= w.depth GROUP BY s.depth, s.key)
+    SELECT conv_id, depth::BIGINT AS depth, parent_conv_id, n_convs, n_children, n_leaves,
+        saved_tokens::BIGINT AS saved_tokens, ends_sha256 FROM whole JOIN below USING (depth, key)"""
+
+ORACLES["op12_prefix_trie"] = _TRIE
+
+
+@_query
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"), trie.borrowed_openings)

@@ -139,7 +139,7 @@ def test_a_document_of_repeats_only_goes(spark):
 
 def test_queries_are_registered():
     found = entry.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in found) == 1
     assert "pipeline" in found and set(entry.oracle_sql()) <= set(found)
 
