@@ -49,6 +49,79 @@ def event_stats(
     )
 
 
+#: Columns of ``event_parts`` besides the keys, and how two rows of one group make one.
+EVENT_PARTS = {
+    "events": F.sum,
+    "measure_sum": F.sum,
+    "measure_odd": F.sum,
+    "measure_count": F.sum,
+    "measure_max": F.max,
+    "measure_min": F.min,
+    "depth_sum": F.sum,
+    "depth_odd": F.sum,
+    "depth_count": F.sum,
+    "flags": F.sum,
+    "scale": F.max,
+}
+
+
+def event_parts(
+    df: DataFrame,
+    keys: Sequence[str] = GROUP,
+    measure: str = "magnitude",
+    depth: str = "depth",
+    flag: str = "tsunami",
+    exact_scale: int | None = None,
+) -> DataFrame:
+    """What ``event_stats`` can be put together from, for rows that come in several portions.
+
+    Parts of different portions merge with ``merge_event_parts`` in any order and grouping. With
+    ``exact_scale`` sums are integers of ``column * 10**exact_scale``, as in ``mean``.
+    """
+    scale = float(10**exact_scale) if exact_scale is not None else 1.0
+
+    def sums(column: str, name: str) -> list[Column]:
+        value = F.col(column).cast("double")
+        odd = ~(F.abs(value) < float("inf"))
+        whole = F.rint(value * scale).try_cast("bigint") if exact_scale is not None else value
+        return [
+            F.sum(F.when(~odd, whole)).alias(f"{name}_sum"),
+            F.sum(F.when(odd, value)).alias(f"{name}_odd"),
+            F.count(value).alias(f"{name}_count"),
+        ]
+
+    return df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("events"),
+        *sums(measure, "measure"),
+        F.max(measure).alias("measure_max"),
+        F.min(measure).alias("measure_min"),
+        *sums(depth, "depth"),
+        F.sum(F.when(F.col(flag) == 1, 1).otherwise(0)).alias("flags"),
+        F.lit(scale).alias("scale"),
+    )
+
+
+def merge_event_parts(parts: DataFrame, keys: Sequence[str] = GROUP, *more: Column) -> DataFrame:
+    """``event_stats`` of all rows behind the parts; ``more`` are further aggregates of theirs."""
+    merged = parts.groupBy(*keys).agg(*[how(c).alias(c) for c, how in EVENT_PARTS.items()], *more)
+
+    def average(name: str) -> Column:
+        count = F.nullif(F.col(f"{name}_count"), F.lit(0))
+        return F.coalesce(f"{name}_odd", F.col(f"{name}_sum").cast("double") / F.col("scale") / count)
+
+    given = [*keys, *EVENT_PARTS]
+    return merged.select(
+        *keys,
+        F.col("events").alias("earthquake_count"),
+        average("measure").alias("avg_magnitude"),
+        F.col("measure_max").alias("max_magnitude"),
+        F.col("measure_min").alias("min_magnitude"),
+        average("depth").alias("avg_depth"),
+        F.col("flags").alias("tsunami_count"),
+        *[c for c in merged.columns if c not in given],
+    )
+
+
 def document_titles(df: DataFrame, keys: Sequence[str], title: str = "title") -> DataFrame:
     """Count and sorted titles per group, for keys that include the source document.
 

@@ -48,6 +48,19 @@ def partitioned_append(spark, sf_dir):
     return _groups(tables.read_table(spark, path))
 
 
+@query(_GROUPS)
+def repeated_append(spark, sf_dir):
+    """Two runs appended under their names, the first once more with other groups, then once more as it was."""
+    path = scratch_path(spark, "repeated")
+    rows = classify_quakes(A.quakes(spark, sf_dir))
+    even = F.col("event_id") % 2 == 0
+    for run, portion in (("even", rows.filter(even)), ("odd", rows.filter(~even))):
+        tables.append_partitioned(portion, path, run=run)
+    for portion in (rows.filter(even & (F.col("region") != "Tropical")), rows.filter(even)):
+        tables.append_partitioned(portion, path, run="even")
+    return _groups(tables.read_table(spark, path))
+
+
 @query(_GROUPS)
 def compacted_table(spark, sf_dir):
     source, target = scratch_path(spark, "loose"), scratch_path(spark, "compact")

@@ -113,7 +113,7 @@ def stream_quake_gold(spark, sf_dir):
 @query(f"WITH {sql.FLAT} SELECT region, severity_level, {_QUAKE_STATS} FROM flat GROUP BY 1, 2")
 def stream_quake_gold_running(spark, sf_dir):
     documents = A.quake_documents(spark, sf_dir)
-    root = _gold(spark, documents, H.QUAKE, mode="running", exact_scale=5, compact_every=2)
+    root = _gold(spark, documents, H.QUAKE, mode="running", exact_scale=5)
     return H.read_running(spark, f"{root}/table", H.QUAKE).drop("analytics_timestamp")
 
 
@@ -141,7 +141,7 @@ def stream_volcano_gold(spark, sf_dir):
 def stream_volcano_gold_running(spark, sf_dir):
     """The running title lists, taken apart again; long lists come in several rows."""
     documents = A.volcano_documents(spark, sf_dir)
-    root = _gold(spark, documents, H.VOLCANO, mode="running", compact_every=2)
+    root = _gold(spark, documents, H.VOLCANO, mode="running")
     gold = H.read_running(spark, f"{root}/table", H.VOLCANO, per_row=200)
     titles = gold.select(*GROUP, F.explode("volcano_titles").alias("title"))
     return titles.groupBy(*GROUP, "title").agg(F.count(F.lit(1)).alias("copies"))

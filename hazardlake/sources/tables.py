@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable, Sequence
 from datetime import datetime
 
@@ -108,9 +109,32 @@ def write_table(
 
 
 def append_partitioned(
-    df: DataFrame, path: str, keys: Sequence[str] = GROUP, fmt: str = "parquet"
+    df: DataFrame,
+    path: str,
+    keys: Sequence[str] = GROUP,
+    fmt: str = "parquet",
+    run: int | str | None = None,
+    run_column: str = "run_id",
 ) -> None:
-    write_table(df, path, mode="append", partition_by=keys, fmt=fmt)
+    """Add rows to a table partitioned by ``keys``.
+
+    With ``run`` the append can be repeated: the rows of a run lie below ``<run_column>=<run>``,
+    partitioned by the keys, and a run written again replaces all of its rows and no others,
+    whatever groups it has this time. Readers see ``run_column`` as one more column, and a
+    condition on a key opens only the files of its groups in every run. Without ``run`` every
+    call adds its rows.
+    """
+    if run is None:
+        write_table(df, path, mode="append", partition_by=keys, fmt=fmt)
+    else:
+        write_table(df, run_folder(path, run, run_column), partition_by=keys, fmt=fmt)
+
+
+def run_folder(path: str, run: int | str, run_column: str = "run_id") -> str:
+    """Folder of one run below a table."""
+    if not re.fullmatch(r"[\w.-]+", str(run)):
+        raise ValueError(f"not a name of a run: {run!r}")
+    return f"{path.rstrip('/')}/{run_column}={run}"
 
 
 def export_csv(df: DataFrame, path: str) -> None:

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections import defaultdict
+from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass
 from datetime import datetime, timezone
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.types import LongType, StructField, StructType, TimestampType
 
 from hazardlake import constants as K
 from hazardlake import schemas as S
@@ -20,12 +23,20 @@ from hazardlake.operators.aggregate import (
     count_titles,
     TITLES_PER_ROW,
     document_titles,
+    event_parts,
     event_stats,
+    merge_event_parts,
     pack_titles,
 )
 from hazardlake.operators.project import add_analytics_meta, processing_meta
-from hazardlake.sources.tables import archive_snapshot, read_first_available, remove, write_table
-from hazardlake.schemas import LONG, STRING, TIMESTAMP, struct
+from hazardlake.sources.tables import (
+    archive_snapshot,
+    read_first_available,
+    read_table,
+    run_folder,
+    write_table,
+)
+from hazardlake.schemas import TIMESTAMP, struct
 from hazardlake.sources.topics import FILES, as_message, publish, read_stream
 
 Trigger = Mapping[str, object]
@@ -43,6 +54,7 @@ class Hazard:
     fields: flat.Fields
     classes: Callable
     silver: StructType
+    time: Callable[[], Column]
 
 
 QUAKE = Hazard(
@@ -52,6 +64,7 @@ QUAKE = Hazard(
     flat.quake_fields,
     flat.quake_classes,
     S.QUAKE_SILVER,
+    lambda: F.col("timestamp"),
 )
 VOLCANO = Hazard(
     "volcano",
@@ -60,6 +73,7 @@ VOLCANO = Hazard(
     flat.volcano_fields,
     flat.volcano_classes,
     S.VOLCANO_SILVER,
+    lambda: F.col("date").try_cast("timestamp"),
 )
 
 
@@ -175,9 +189,18 @@ def _each_batch(
     return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
+#: Column, and name of folders, of the number of a micro-batch.
+BATCH = "batch_id"
+
+
 def _batch_folder(path: str, batch_id: int) -> str:
     """Each batch has its folder and replaces it when it runs again after a failure."""
-    return f"{path.rstrip('/')}/batch_id={batch_id}"
+    return run_folder(path, batch_id, BATCH)
+
+
+def _add(rows: DataFrame, table: str, batch_id: int, fmt: str = "parquet") -> None:
+    """Rows of a batch into a table partitioned by region and severity, once however often it runs."""
+    write_table(rows, _batch_folder(table, batch_id), partition_by=GROUP, fmt=fmt)
 
 
 def _beside(path: str, name: str) -> str:
@@ -196,52 +219,76 @@ def _keep_bad(bad: DataFrame, quarantine: str, batch_id: int) -> None:
         bad.write.mode("overwrite").json(_batch_folder(quarantine, batch_id))
 
 
-def _first_sent(
-    rows: DataFrame, seen: str, batch_id: int, span: str, late: str
-) -> DataFrame:
-    """Rows whose id did not count within the time span around their own time; the rest of what comes in.
+#: Groups of ids, each one entry of the state store.
+ID_GROUPS = 256
+_FIRST, _LAST = datetime(1700, 1, 1), datetime(2200, 1, 1)
+_SEEN = "ids array<string>, times array<bigint>"
+_COUNTED = "row string, late boolean"
+
+
+def _count_once(gap: int):
+    """Rows of a group of ids that count, given the times that counted before, as the state has them."""
+
+    def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        # before the second batch there is no watermark and nothing can be late
+        horizon = state.getCurrentWatermarkMs() * 1000 or None
+        known = defaultdict(list)
+        if state.exists:
+            for name, at in zip(*state.get, strict=True):
+                if horizon is None or at >= horizon - gap:
+                    known[name].append(at)
+        waiting = {}
+        for frame in frames:
+            late = frame["told"] & (frame["at"] < horizon) if horizon is not None else frame["told"] & False
+            done = frame[late | ~frame["told"]]
+            if len(done):
+                yield pd.DataFrame({"row": done["row"], "late": late[done.index]})
+            for name, at, row in frame.loc[frame["told"] & ~late, ["id", "at", "row"]].itertuples(index=False):
+                waiting[name, at] = min(row, waiting.get((name, at), row))
+        counted = []
+        for name, at in sorted(waiting):
+            if all(abs(at - t) > gap for t in known[name]):
+                known[name].append(at)
+                counted.append(waiting[name, at])
+        kept = [(name, at) for name, times in known.items() for at in times]
+        state.update(([name for name, _ in kept], [at for _, at in kept]))
+        if counted:
+            yield pd.DataFrame({"row": counted, "late": False})
+
+    return run
+
+
+def deduplicated(rows: DataFrame, span: str, time: Column, groups: int = ID_GROUPS) -> DataFrame:
+    """Streamed rows of which an ``id`` counts once within a time span, and ``late`` beside them.
 
     Of the times of an id, in order, each counts that is further than the span from every one that
-    counted, whatever batches they come in. The ids and times that counted lie in ``seen``. Rows
-    without an id or a time cannot be told apart and all stay. Events older than the newest event of
-    earlier batches by more than the span may have been seen already: they go to ``late`` and nowhere else.
+    counted, whatever batches they come in. The times that counted are state of the query: they
+    lie in Spark's state store, one entry for a group of ids, are restored with its
+    checkpoint, and go once the watermark has passed them by the span, so the state is as
+    large as the ids of two spans. Of rows that agree in id and time one stays. Rows without an id or a
+    time cannot be told apart and all stay. Events older than the watermark (the newest event of earlier batches,
+    less the span) may have counted before: they come out with ``late`` set, all of them.
     """
     spark = rows.sparkSession
-    told = F.col("id").isNotNull() & F.col("timestamp").isNotNull()
-    layout = struct(id=STRING, timestamp=TIMESTAMP, batch_id=LONG)
-    earlier = read_first_available(spark, [lambda: spark.read.schema(layout).parquet(seen)], layout)
-    earlier = earlier.filter(F.col("batch_id") < batch_id)
-    newest = earlier.agg(F.max("timestamp")).first()[0]
-    on_time = rows.filter(told)
-    gap = F.expr(f"INTERVAL {span}")
-    if newest is not None:
-        horizon = F.lit(newest) - gap
-        behind = on_time.filter(F.col("timestamp") < horizon)
-        if not behind.isEmpty():
-            write_table(behind, _batch_folder(late, batch_id))
-        on_time = on_time.filter(F.col("timestamp") >= horizon)
-        known = earlier.filter(F.col("timestamp") >= horizon - gap)
-    else:
-        known = earlier
-    known = known.groupBy("id").agg(F.collect_set("timestamp").alias("known"))
-    apart = lambda x, y: (x > y + gap) | (y > x + gap)
-
-    def counted(times, known):
-        """Of the sorted times, those apart from the known ones and from the one that counted before."""
-        fits = lambda done, t: (F.size(done) == 0) | apart(t, F.element_at(done, -1))
-        free = F.filter(times, lambda t: F.forall(known, lambda k: apart(t, k)))
-        none = F.array().cast("array<timestamp>")
-        return F.aggregate(free, none, lambda done, t: F.when(fits(done, t), F.concat(done, F.array(t))).otherwise(done))
-
-    first = (
-        on_time.groupBy("id")
-        .agg(F.array_sort(F.collect_set("timestamp")).alias("times"))
-        .join(known, "id", "left")
-        .select("id", F.explode(counted(F.col("times"), F.coalesce("known", F.array().cast("array<timestamp>")))).alias("timestamp"))
+    gap = spark.range(1).select(F.unix_micros(F.timestamp_seconds(F.lit(0)) + F.expr(f"INTERVAL {span}"))).first()[0]
+    # the row is one text while it is outside the JVM; times are numbers in it, to the microsecond
+    times = [f.name for f in rows.schema if isinstance(f.dataType, TimestampType)]
+    flat_type = StructType([StructField(f.name, LongType() if f.name in times else f.dataType) for f in rows.schema])
+    told = F.col("id").isNotNull() & F.col("_time").isNotNull()
+    text = F.to_json(F.struct(*[F.unix_micros(c).alias(c) if c in times else F.col(c) for c in rows.columns]))
+    keyed = rows.withColumns({"_time": time, "_row": text}).select(
+        F.col("_row").alias("row"),
+        # pandas has no times beyond these; the watermark does not need them
+        F.when(told, F.greatest(F.least("_time", F.lit(_LAST)), F.lit(_FIRST))).alias("_time"),
+        "id",
+        F.coalesce(F.unix_micros("_time"), F.lit(0).cast("bigint")).alias("at"),
+        told.alias("told"),
+        F.pmod(F.when(told, F.xxhash64("id")).otherwise(F.xxhash64("_row")), F.lit(groups)).alias("lot"),
     )
-    fresh = on_time.dropDuplicates(["id", "timestamp"]).join(first, ["id", "timestamp"]).select(*rows.columns).persist()
-    fresh.select("id", "timestamp").write.mode("overwrite").parquet(_batch_folder(seen, batch_id))
-    return fresh.unionByName(rows.filter(~told))
+    grouped = keyed.withWatermark("_time", span).groupBy("lot")
+    out = grouped.applyInPandasWithState(_count_once(gap), _COUNTED, _SEEN, "append", GroupStateTimeout.NoTimeout)
+    back = out.select(F.from_json("row", flat_type).alias("r"), "late")
+    return back.select(*[F.timestamp_micros(f"r.{c}").alias(c) if c in times else F.col(f"r.{c}") for c in rows.columns], "late")
 
 
 def silver_stream(
@@ -261,33 +308,50 @@ def silver_stream(
 ) -> dict[str, StreamingQuery]:
     """Documents to the silver table, the quarantine and, if asked, the silver topic.
 
-    One query reads and parses each document once for all outputs. Every output has a
-    folder for each batch, ``batch_id=<n>``, which the batch replaces if it runs again; the
-    rows of a batch are rebalanced, so its files are few. Kafka output is at least once.
+    One query reads and parses each document once for all outputs. The table is partitioned by
+    batch, region and severity; topic and quarantine have a folder for each batch. A batch
+    that runs again replaces what it wrote; its rows are rebalanced, so its files are few. Kafka
+    output is at least once.
 
     What cannot be read goes to ``quarantine`` (by default ``<table>_quarantine``). Re-sent
     events are all kept, unless ``dedup`` gives the time span within which an id counts
-    once; events later than that span then go to ``late`` (by default ``<table>_late``).
-    Events without an id or a time are never taken for re-sent ones.
+    once (see ``deduplicated``); events later than that span then go to ``late`` (by default
+    ``<table>_late``). As that table is all that comes out of a query with state, topic and
+    quarantine then have a query of their own, ``documents``.
     """
     quarantine = quarantine or _beside(table, "quarantine")
     late = late or _beside(table, "late")
 
+    def outputs(parsed: DataFrame, batch_id: int) -> None:
+        if topic:
+            sent = _messages(parsed, hazard, now)
+            _publish_batch(sent, topic, topic_format, batch_id, topic_options or {})
+        _keep_bad(_bad_documents(parsed, hazard), quarantine, batch_id)
+
     def handle(batch: DataFrame, batch_id: int) -> None:
         parsed = parse(batch, hazard).persist()
-        rows = _rows(parsed, hazard, now)
-        if dedup:
-            rows = _first_sent(rows, _beside(checkpoint, "seen"), batch_id, dedup, late)
         if not parsed.isEmpty():
-            out = rows.hint("rebalance")
-            write_table(out, _batch_folder(table, batch_id), fmt=table_format)
-            if topic:
-                sent = _messages(parsed, hazard, now)
-                _publish_batch(sent, topic, topic_format, batch_id, topic_options or {})
-            _keep_bad(_bad_documents(parsed, hazard), quarantine, batch_id)
+            if not dedup:
+                _add(_rows(parsed, hazard, now), table, batch_id, table_format)
+            outputs(parsed, batch_id)
         parsed.unpersist()
 
-    return {"table": _each_batch(messages, handle, f"{checkpoint}/table", trigger)}
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        if not batch.isEmpty():
+            _add(batch.filter("NOT late").drop("late"), table, batch_id, table_format)
+            behind = batch.filter("late").drop("late")
+            if not behind.isEmpty():
+                write_table(behind, _batch_folder(late, batch_id), fmt=table_format)
+        batch.unpersist()
+
+    if not dedup:
+        return {"table": _each_batch(messages, handle, f"{checkpoint}/table", trigger)}
+    counted = deduplicated(silver_rows(messages, hazard, now), dedup, hazard.time())
+    return {
+        "table": _each_batch(counted, keep, f"{checkpoint}/table", trigger),
+        "documents": _each_batch(messages, handle, f"{checkpoint}/documents", trigger),
+    }
 
 
 def gold_stream(
@@ -302,130 +366,71 @@ def gold_stream(
     topic_format: str = FILES,
     topic_options: Mapping[str, str] | None = None,
     exact_scale: int | None = None,
-    compact_every: int = 50,
     now: Column | None = None,
 ) -> dict[str, StreamingQuery]:
     """Silver messages to gold statistics, and unreadable ones to the quarantine.
 
     ``per_batch`` writes the groups of every message, never merged across messages.
-    ``running`` keeps totals over all messages; each batch writes the groups that changed, and
-    every ``compact_every`` batches all of them, after which older folders go.
-    ``read_running`` gives the latest totals. Both write to ``batch_id=<n>`` folders and
-    replace that folder when a batch is repeated after a failure.
-
-    The result has the query ``table`` and, in running mode, also ``quarantine``, as totals
-    are all that comes out of the first one.
+    ``running`` writes what the records of each batch add to the totals over all messages, in
+    parts that merge; ``read_running`` gives the totals. No state is kept: a title costs a row
+    in the batches it occurs in, nothing in memory. Both tables are partitioned by batch,
+    region and severity, and a batch that is repeated after a failure replaces its rows.
     """
     quarantine = quarantine or _beside(table, "quarantine")
-    if mode == "running":
-        return _running_gold(
-            messages, hazard, table, checkpoint, quarantine, trigger, exact_scale, compact_every, now
-        )
-    if mode != "per_batch":
+    if mode not in ("per_batch", "running"):
         raise ValueError(f"unknown mode: {mode}")
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         if not batch.isEmpty():
-            gold = gold_per_message(batch, hazard, exact_scale, now)
-            if topic:
-                gold = gold.persist()
-            write_table(gold.hint("rebalance"), _batch_folder(table, batch_id))
-            if topic:
-                _publish_batch(
-                    gold_messages(gold, hazard), topic, topic_format, batch_id, topic_options or {}
-                )
-                gold.unpersist()
+            if mode == "running":
+                _add(running_parts(batch, hazard, exact_scale, now), table, batch_id)
+            else:
+                gold = gold_per_message(batch, hazard, exact_scale, now)
+                if topic:
+                    gold = gold.persist()
+                _add(gold, table, batch_id)
+                if topic:
+                    sent = gold_messages(gold, hazard)
+                    _publish_batch(sent, topic, topic_format, batch_id, topic_options or {})
+                    gold.unpersist()
             _keep_bad(unreadable_records(batch, hazard), quarantine, batch_id)
         batch.unpersist()
 
     return {"table": _each_batch(messages, handle, checkpoint, trigger)}
 
 
-def _state_key(hazard: Hazard) -> list[str]:
-    return list(GROUP) if hazard is QUAKE else [*GROUP, "title"]
-
-
-def _newest_rows(rows: DataFrame, hazard: Hazard) -> DataFrame:
-    """The row of the highest batch for each key of the running state."""
-    keys = _state_key(hazard)
-    rest = [c for c in rows.columns if c not in keys]
-    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch_id").alias("_row"))
-    return newest.select(*keys, "_row.*")
-
-
-def _commits(spark: SparkSession, table: str) -> DataFrame:
-    return spark.read.schema("complete BOOLEAN, batch_id BIGINT").json(_beside(table, "commits"))
-
-
-def _running_gold(
-    messages, hazard, table, checkpoint, quarantine, trigger, exact_scale, compact_every, now
-) -> dict[str, StreamingQuery]:
+def running_parts(
+    messages: DataFrame, hazard: Hazard, exact_scale: int | None = None, now: Column | None = None
+) -> DataFrame:
+    """What silver messages add to the running totals: sums of statistics, or copies of titles."""
     records = silver_records(messages, hazard)
-    if hazard is QUAKE:
-        totals = event_stats(records, exact_scale=exact_scale)
-    else:
-        # State holds one counter per title, spread over all partitions, not a list.
-        totals = count_titles(records)
-
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        batch = batch.persist()
-        changed = add_analytics_meta(batch, hazard.name, now=now)
-        complete = batch_id == 0
-        older = []
-        if not complete and (batch_id + 1) % compact_every == 0:
-            commits = _commits(spark, table).filter(F.col("batch_id") < batch_id)
-            older = sorted(r.batch_id for r in commits.filter("complete").collect())
-            before = _committed(spark, table, commits)
-            here = changed.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-            changed = _newest_rows(before.unionByName(here), hazard).drop("batch_id")
-            complete = True
-        if complete or not batch.isEmpty():
-            write_table(changed.hint("rebalance"), _batch_folder(table, batch_id))
-            # readers trust a batch only once this is there
-            mark = spark.range(1).select(F.lit(complete).alias("complete"))
-            write_table(mark, _batch_folder(_beside(table, "commits"), batch_id), files=1, fmt="json")
-        if older:
-            # a reader may still use the last complete state, none before it
-            gone = [r.batch_id for r in commits.filter(F.col("batch_id") < older[-1]).collect()]
-            for number in gone:
-                remove(spark, _batch_folder(_beside(table, "commits"), number))
-                remove(spark, _batch_folder(table, number))
-        batch.unpersist()
+    parts = event_parts(records, exact_scale=exact_scale) if hazard is QUAKE else count_titles(records)
+    return add_analytics_meta(parts, hazard.name, now=now)
 
-    def keep(batch: DataFrame, batch_id: int) -> None:
-        _keep_bad(unreadable_records(batch, hazard), quarantine, batch_id)
 
-    return {
-        "table": _each_batch(totals, handle, checkpoint, trigger, "update"),
-        "quarantine": _each_batch(messages, keep, _beside(checkpoint, "quarantine"), trigger),
-    }
+_META = ("layer", "analytics_version", "data_type")
 
 
-def _committed(spark: SparkSession, table: str, commits: DataFrame) -> DataFrame:
-    """Rows of the batches from the last complete one to the last committed one."""
-    last = commits.agg(
-        F.max("batch_id").alias("newest"), F.max(F.when(F.col("complete"), F.col("batch_id"))).alias("base")
-    ).first()
-    return spark.read.parquet(table).filter(F.col("batch_id").between(last.base, last.newest)).withColumn(
-        "batch_id", F.col("batch_id").cast("bigint")
-    )
+def merge_running(parts: DataFrame, hazard: Hazard, per_row: int = TITLES_PER_ROW) -> DataFrame:
+    """Totals out of running parts, with the time of the last part of each group."""
+    meta = [F.max(c).alias(c) for c in ("analytics_timestamp", *_META)]
+    if hazard is QUAKE:
+        return merge_event_parts(parts, GROUP, *meta)
+    counted = parts.groupBy(*GROUP, "title").agg(F.sum("copies").alias("copies"))
+    lists = pack_titles(counted, per_row=per_row)
+    newest = parts.groupBy(*GROUP).agg(*meta)
+    # at most one row for each region and severity
+    same = reduce(lambda a, b: a & b, [F.col(f"l.{k}").eqNullSafe(F.col(f"m.{k}")) for k in GROUP])
+    columns = [f"m.{c}" for c in ("analytics_timestamp", *_META)]
+    return lists.alias("l").join(F.broadcast(newest.alias("m")), same).select("l.*", *columns)
 
 
 def read_running(
     spark: SparkSession, table: str, hazard: Hazard, per_row: int = TITLES_PER_ROW
 ) -> DataFrame:
-    """Latest totals of a table written by a running gold stream, of committed batches only."""
-    rows = _newest_rows(_committed(spark, table, _commits(spark, table)), hazard).drop("batch_id")
-    if hazard is QUAKE:
-        return rows
-    meta = [c for c in rows.columns if c not in (*_state_key(hazard), "copies")]
-    lists = pack_titles(rows, per_row=per_row)
-    newest = rows.groupBy(*GROUP).agg(F.max_by(F.struct(*meta), "analytics_timestamp").alias("_meta"))
-    # at most one row for each region and severity
-    same = reduce(lambda a, b: a & b, [F.col(f"l.{k}").eqNullSafe(F.col(f"m.{k}")) for k in GROUP])
-    return lists.alias("l").join(F.broadcast(newest.alias("m")), same).select("l.*", "_meta.*")
+    """Totals of a table written by a running gold stream: one aggregation over its parts."""
+    return merge_running(read_table(spark, table).drop(BATCH), hazard, per_row)
 
 
 def archive_stream(

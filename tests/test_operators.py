@@ -419,3 +419,20 @@ def test_series_of_all_entities_in_two_passes(spark):
     assert [(r.country_code, r.year, r.value) for r in single] == [("AA", 2015, 0.0), ("AA", 2016, 1.0)]
     plan = whole._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("LogicalRDD") <= 3
+
+
+@pytest.mark.parametrize("scale", [None, 2])
+def test_event_parts_merge_to_the_statistics_of_all(spark, scale):
+    odd = [float("nan"), float("inf"), None, -0.5]
+    rows = [("A" if k % 3 else None, "x", float(k) / 4 if k % 7 else odd[k % 4], k / 2, k % 2, k % 5) for k in range(90)]
+    rows += [("B", "y", None, None, None, 0)]
+    df = spark.createDataFrame(rows, "region string, severity_level string, magnitude double, depth double, tsunami int, portion int")
+    keys = ["region", "severity_level"]
+    whole = {str(r[:2]): r for r in G.event_stats(df, keys, exact_scale=scale).collect()}
+    parts = G.event_parts(df, [*keys, "portion"], exact_scale=scale)
+    # parts of parts merge as well
+    merged = G.merge_event_parts(parts, keys)
+    got = {str(r[:2]): r for r in merged.collect()}
+    assert merged.columns == G.event_stats(df, keys).columns and set(got) == set(whole)
+    for key, row in whole.items():
+        assert repr(got[key]) == repr(row) if scale else got[key][2:] == pytest.approx(row[2:], nan_ok=True)

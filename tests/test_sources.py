@@ -38,6 +38,23 @@ def test_write_modes(spark, folder):
     assert "PartitionFilters: [isnotnull(region" in plan
 
 
+def test_a_repeated_run_replaces_itself_and_nothing_else(spark, folder):
+    path = f"{folder}/runs"
+    T.append_partitioned(sample(spark), path, run=1)
+    T.append_partitioned(sample(spark), path, run=2)
+    # the run is written again with fewer groups: what it no longer has goes
+    T.append_partitioned(sample(spark).filter("region = 'A'"), path, run=2)
+    table = T.read_table(spark, path)
+    rows = sorted((r.run_id, r.region or "", r.severity_level, r.v) for r in table.collect())
+    assert rows == [(1, "", "x", 4), (1, "A", "x", 1), (1, "A", "y", 2), (1, "B", "x", 3), (2, "A", "x", 1), (2, "A", "y", 2)]
+    plan = table.filter("region = 'A' AND severity_level = 'x'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(region" in plan
+    opened = table.filter("region = 'B'").select("_metadata.file_path").distinct().collect()
+    assert len(opened) == 1 and "run_id=1/region=B/severity_level=x" in opened[0].file_path
+    with pytest.raises(ValueError, match="not a name of a run"):
+        T.append_partitioned(sample(spark), path, run="../2")
+
+
 def test_csv(spark, folder):
     T.export_csv(sample(spark), f"{folder}/c")
     back = T.read_csv(spark, f"{folder}/c", ROWS)

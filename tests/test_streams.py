@@ -1,6 +1,10 @@
 from __future__ import annotations
 
+import contextlib
+import io
 import json
+import random
+import re
 import time
 from pathlib import Path
 
@@ -328,21 +332,18 @@ def test_a_message_is_read_once_for_all_outputs(spark, folder):
 
 
 @pytest.mark.parametrize("hazard", [H.QUAKE, H.VOLCANO])
-def test_running_totals_write_what_changed(spark, folder, hazard):
+def test_running_totals_merge_what_batches_add(spark, folder, hazard):
     items = "features" if hazard is H.QUAKE else "events"
 
     def one(i):
         return quake(f"q{i}", lat=[10.0, 70.0][i % 2]) if hazard is H.QUAKE else volcano(f"v{i}", f"Large {i % 3}")
 
     docs = [{items: [one(i)]} for i in range(10)]
-    run_gold(
-        spark, folder, silver_messages(spark, docs, hazard), hazard, mode="running", compact_every=4
-    )
-    batches = sorted(int(p.name.split("=")[1]) for p in Path(f"{folder}/gold").glob("batch_id=*"))
-    assert batches == [3, 4, 5, 6, 7, 8, 9]
-    rows = spark.read.parquet(f"{folder}/gold").groupBy("batch_id").count().collect()
-    sizes = {r.batch_id: r["count"] for r in rows}
-    assert all(sizes[b] == 1 for b in (4, 5, 6, 8, 9)) and sizes[7] == (2 if hazard is H.QUAKE else 3)
+    run_gold(spark, folder, silver_messages(spark, docs, hazard), hazard, mode="running")
+    parts = spark.read.parquet(f"{folder}/gold")
+    assert sorted(r.batch_id for r in parts.collect()) == list(range(10))
+    # nothing but the table and its own bookkeeping by Spark
+    assert {p.name for p in Path(folder).iterdir()} == {"silver", "gold", "cg"}
     gold = H.read_running(spark, f"{folder}/gold", hazard)
     if hazard is H.QUAKE:
         assert {r.earthquake_count for r in gold.collect()} == {5}
@@ -350,10 +351,95 @@ def test_running_totals_write_what_changed(spark, folder, hazard):
         (row,) = gold.collect()
         assert row.volcano_count == 10 and sorted(row.volcano_titles) == sorted(f"Large {i % 3}" for i in range(10))
         assert set(gold.columns) == set(VOLCANO_GOLD.fieldNames())
-    # a batch that is not committed is not read
-    extra = spark.read.parquet(f"{folder}/gold/batch_id=9")
-    extra.write.parquet(f"{folder}/gold/batch_id=10")
-    assert H.read_running(spark, f"{folder}/gold", hazard).collect() == gold.collect()
+
+
+def test_a_repeated_batch_adds_to_running_totals_once(spark, folder, monkeypatch):
+    original, seen = H.write_table, []
+
+    def failing(df, path, *args, **kwargs):
+        original(df, path, *args, **kwargs)
+        seen.append(path)
+        if len(seen) == 2:
+            raise RuntimeError("lost after the write")
+
+    monkeypatch.setattr(H, "write_table", failing)
+    for message in silver_messages(spark, documents() * 2, H.QUAKE):
+        publish(message.coalesce(1), f"{folder}/silver")
+    for attempt in range(2):
+        query = H.gold_stream(
+            stream(spark, f"{folder}/silver"), H.QUAKE, f"{folder}/gold", f"{folder}/cg", mode="running", trigger=H.ONCE
+        )["table"]
+        try:
+            query.awaitTermination()
+        except Exception:
+            assert attempt == 0
+    assert len(seen) > 2 and seen[1] == seen[2]
+    got = {r.region: r.earthquake_count for r in H.read_running(spark, f"{folder}/gold", H.QUAKE).collect() if r.region != "Tropical"}
+    assert got == {"Arctic": 2, "Unknown": 2}
+
+
+@pytest.mark.parametrize("mode", ["silver", "per_batch", "running"])
+def test_a_condition_on_the_region_opens_its_files_only(spark, folder, mode):
+    if mode == "silver":
+        table = run_silver(spark, folder, documents())["table"]
+    else:
+        run_gold(spark, folder, silver_messages(spark, documents(), H.QUAKE), H.QUAKE, mode=mode)
+        table = f"{folder}/gold"
+    arctic = spark.read.parquet(table).filter("region = 'Arctic' AND severity_level = 'great'")
+    rows = arctic.collect()
+    shown = io.StringIO()
+    with contextlib.redirect_stdout(shown):
+        arctic.explain("formatted")
+    (filters,) = re.findall(r"PartitionFilters: \[(.*)\]", shown.getvalue())
+    assert "region" in filters and "severity_level" in filters and len(rows) == 1
+    files = {p for p in Path(table).rglob("*.parquet") if "region=Arctic/severity_level=great" in str(p)}
+    opened = spark.read.parquet(table).filter("region = 'Arctic'").select("_metadata.file_path").distinct().collect()
+    assert {Path(r.file_path.removeprefix("file:")) for r in opened} == files and len(files) == 1
+
+
+def test_deduplication_goes_on_after_a_restart(spark, folder):
+    """The ids that counted come back with the checkpoint; nothing else is written for them."""
+    start, day = 1_704_067_200_000, 86_400_000
+    sent = [[("a", 0), ("b", 0)], [("a", 0), ("c", 1)], [("a", 0), ("b", 1), ("a", 2)], [("c", 1), ("a", 2), ("b", 2)]]
+    for i, portion in enumerate(sent):
+        events = [quake(key, time=start + d * day) for key, d in portion]
+        send(spark, f"{folder}/bronze", [{"features": events}], first=i)
+        for q in H.silver_stream(
+            stream(spark, f"{folder}/bronze"), H.QUAKE, f"{folder}/table", f"{folder}/c", dedup="36 hours",
+            topic=f"{folder}/topic", trigger=H.ONCE,
+        ).values():
+            q.awaitTermination()
+    kept = spark.read.parquet(f"{folder}/table").select("id", F.unix_millis("timestamp").alias("ms")).collect()
+    assert sorted((r.id, (r.ms - start) // day) for r in kept) == [("a", 0), ("a", 2), ("b", 0), ("b", 2), ("c", 1)]
+    assert {p.name for p in Path(folder).iterdir()} == {"bronze", "table", "topic", "c"}
+
+
+@pytest.mark.parametrize("size", [4, 40])
+def test_deduplication_does_not_depend_on_batches(spark, folder, size):
+    """Shuffled re-sent snapshots: what is kept is the same for batches of any size."""
+    rng = random.Random(size)
+    start, hour = 1_704_067_200_000, 3_600_000
+    events = [(f"e{k % 7}", 5 * k) for k in range(40)]
+    order = [e for k in range(0, 40, 4) for e in rng.sample(events[max(0, k - 4) : k + 4], len(events[max(0, k - 4) : k + 4]))]
+    docs = [quake(name, time=start + h * hour) for name, h in order]
+    run_silver(
+        spark, folder, [{"features": docs[i : i + size]} for i in range(0, len(docs), size)], dedup="3 days", late=f"{folder}/late"
+    )
+    kept = spark.read.parquet(f"{folder}/table").select("id", F.unix_millis("timestamp").alias("ms")).collect()
+    want = {}
+    for name, h in sorted(events):
+        if all(abs(h - t) > 72 for t in want.setdefault(name, [])):
+            want[name].append(h)
+    assert sorted((r.id, (r.ms - start) // hour) for r in kept) == sorted((n, h) for n, hs in want.items() for h in hs)
+
+
+def test_values_pass_the_state_unchanged(spark, folder):
+    odd = quake("x", mag=-0.0, time=253_370_764_800_000)  # the year 9999
+    odd["properties"] |= {"place": 'quo"ted \n \U0001f642', "sig": 2_147_483_647}
+    paths = run_silver(spark, f"{folder}/a", [{"features": [odd]}], dedup="1 day")
+    plain = run_silver(spark, f"{folder}/b", [{"features": [odd]}])
+    rows = [spark.read.parquet(p["table"]).drop("processing_timestamp").first() for p in (paths, plain)]
+    assert repr(rows[0]) == repr(rows[1])
 
 
 def test_unreadable_silver_messages_are_kept(spark, folder):
