@@ -5,7 +5,6 @@ from __future__ import annotations
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -145,8 +144,8 @@ def stored(df: DataFrame, label: str, folder: str | None = None) -> DataFrame:
 FILTER_BITS = 1 << 26
 
 
-def bit_set(slots: DataFrame, bits: int) -> Callable[[Column], Column]:
-    """A test whether a slot is among ``slots`` (one long column, below ``bits``), by one bit for each."""
+def bits_of(slots: DataFrame, bits: int) -> np.ndarray:
+    """One bit for each slot (one long column, below ``bits``), 64 to a word; no longer than ``bits``."""
     slot = F.col(slots.columns[0])
     words = (
         slots.select(F.floor(slot / 64).cast("int").alias("word"), F.expr("1L").alias("one"), (slot % 64).cast("int").alias("bit"))
@@ -156,7 +155,12 @@ def bit_set(slots: DataFrame, bits: int) -> Callable[[Column], Column]:
     )
     masks = np.zeros((bits + 63) // 64, np.int64)
     masks[words.column("word").to_numpy()] = words.column("mask").to_numpy()
-    shared = slots.sparkSession.sparkContext.broadcast(masks)
+    return masks
+
+
+def bit_set(slots: DataFrame, bits: int) -> Callable[[Column], Column]:
+    """A test whether a slot is among ``slots``, as ``bits_of`` takes them."""
+    shared = slots.sparkSession.sparkContext.broadcast(bits_of(slots, bits))
 
     @F.pandas_udf("boolean")
     def test(slots: pd.Series) -> pd.Series:
@@ -190,23 +194,6 @@ def spread_join(rows: DataFrame, by: DataFrame, keys: list[str], salt: Column) -
     return salted.join(sent, [*keys, "_salt"], "left").drop("_salt")
 
 
-@contextmanager
-def bucketed(df: DataFrame, key: str, label: str, folder: str) -> Iterator[DataFrame]:
-    """The rows written to the shared folder in buckets of ``key``: joins on it move the other side only."""
-    spark = df.sparkSession
-    name = f"{label}_{uuid.uuid4().hex}"
-    (
-        df.write.bucketBy(width(df), key)
-        .sortBy(key)
-        .option("path", f"{folder}/{label}")
-        .saveAsTable(name)
-    )
-    try:
-        yield spark.table(name)
-    finally:
-        spark.sql(f"DROP TABLE {name}")
-
-
 def width(df: DataFrame) -> int:
     """Shuffle partitions of the session."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

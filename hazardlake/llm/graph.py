@@ -34,17 +34,18 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return tied.unionByName(low.select(F.col("low").alias("a"), F.col("node").alias("b"))).distinct()
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, folder: str | None = None) -> DataFrame:
     """``(node, label)`` for every end of the edges ``(a, b)``, label the component's least node.
 
     ``a < b`` in every row. Each round halves the depth of the trees or better; rounds go
     through the shared folder. The hot centre of a star is a key of a join only, which
-    adaptive execution can split, and its minimum is combined before the shuffle.
+    adaptive execution can split, and its minimum is combined before the shuffle. Tables go below
+    ``folder`` if there is one.
     """
-    edges = stored(edges.select("a", "b").distinct(), "edges")
+    edges = stored(edges.select("a", "b").distinct(), "edges", folder)
     before = None
     while True:
-        edges = stored(_small_star(_large_star(edges)), "edges")
+        edges = stored(_small_star(_large_star(edges)), "edges", folder)
         state = edges.agg(
             F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)")), F.bit_xor(F.xxhash64("b", "a"))
         ).first()

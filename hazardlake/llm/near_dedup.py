@@ -11,13 +11,15 @@ estimates their similarity, and the full sets decide.
   of the hypergeometric count (six: a chance below 1e-8 for a pair right at the threshold).
   So the pair meets in the lists of the first few values of both sketches, in any common
   order, and what is left of both sketches from there on is at least as long. Both conditions
-  are part of the join. The order puts frequent values last, which keeps boilerplate and what
-  all copies of a text have out of the lists of those that differ.
-* A list is not expanded into all pairs. Each round compares some members of a list (pivots,
-  one at first or a whole short list, 32 times as many each further round) with all others. What is linked becomes
-  one component; lists with a single component left are finished, pivots leave their lists. A
-  list of copies of one text ends after a round or two, and any list ends after a number of
-  rounds that is the logarithm of its size, with every pair of different components compared.
+  are part of the join. The order puts frequent values last: how often each value stands among
+  the first ones is counted exactly, and the most frequent ones, as many as a filter of fixed size
+  tells apart, make three levels. So boilerplate stays out of the lists, at any size.
+* Seeds come first: texts that agree in two of their four smallest values are compared with one
+  text of each such list. That links nearly all copies with a few pairs for each text.
+* What is linked is one component, named by one of its texts, and a list with a single component
+  is finished without any pair. In the others texts of different components are compared: all
+  of short lists, and of longer ones with growing numbers of pivots (32 times as many each
+  round) until none is left. New links join the names of components, not all links again.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazardlake.llm.common import LOWER, bucketed, maybe_in, mix, slices, span_hashes, stored, texts_of
+from hazardlake.llm.common import LOWER, bits_of, maybe_in, mix, slices, span_hashes, stored, texts_of
 from hazardlake.llm.graph import components
 from hazardlake.session import scratch_path
 from hazardlake.sources.tables import remove
@@ -40,13 +42,19 @@ SKETCH = 256
 DEVIATIONS = 6.0
 #: Values of a sketch that the estimate of a pair looks at, and bits of each.
 GLANCE = 128
-#: Counters that tell frequent values from rare ones; each value counts in one of them.
-SLOTS = 1 << 19
-_BLOCK = 1 << 12
-#: Pivots of a list in the first round are one, or all of a list of this size, and this many
-#: times as many in each further round.
-SMALL = 8
+#: Values that a level of frequent ones may hold, bits of its filter, and the least frequent of them.
+FREQUENT = 1 << 22
+BITS = 1 << 26
+OFTEN = 8
+#: Each level is so many times as frequent as the one before it.
+LEVELS = (1, 8, 64)
+#: Which of the smallest values of a sketch make a seed together.
+SEEDS = ((0, 1), (2, 3), (0, 2), (1, 3))
+#: Lists up to this size are compared at once; pivots of longer ones, and how their number grows.
+SMALL = 16
 GROWTH = 32
+#: A sketch that holds any set whole.
+WHOLE = 1 << 30
 
 
 def shingle_sets(texts: list[bytes], words: int = SHINGLE) -> Iterator[np.ndarray]:
@@ -88,51 +96,36 @@ def set_key(values: np.ndarray) -> int | None:
         return int((mix(both[:1], len(v)) ^ both[1:]).view(np.int64)[0])
 
 
-def _slot(values: np.ndarray) -> np.ndarray:
-    return (values.view(np.uint64) % np.uint64(SLOTS)).astype(np.int64)
+_KEYS = "doc_id long, text_hash long, n_shingles long, cls long, firsts array<long>"
 
 
-_KEYS = "doc_id long, text_hash long, n_shingles long, cls long, block int, counts array<int>"
-
-
-def _keyed(words: int, k: int):
-    """Rows (doc_id, n_shingles, cls) of the documents, and a task's counts of retained values."""
-
-    def batch_of(ids, hashes, sizes, classes, blocks, counts):
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(ids, pa.int64()),
-                pa.array(hashes, pa.int64()),
-                pa.array(sizes, pa.int64()),
-                pa.array(classes, pa.int64()),
-                pa.array(blocks, pa.int32()),
-                pa.array(counts, pa.list_(pa.int32())),
-            ],
-            names=["doc_id", "text_hash", "n_shingles", "cls", "block", "counts"],
-        )
+def _keyed(words: int, k: int, similarity: float, deviations: float):
+    """Rows (doc_id, n_shingles, cls) of the documents, with the first values of their sketches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(SLOTS, np.int32)
         for batch in slices(batches):
             sets = list(shingle_sets(texts_of(batch), words))
-            counts += np.bincount(_slot(np.concatenate([s[:k] for s in sets])), minlength=SLOTS).astype(np.int32)
-            nothing = [None] * len(sets)
-            yield batch_of(
-                batch.column("doc_id"),
-                batch.column("text_hash"),
-                [len(s) for s in sets],
-                [set_key(s) for s in sets],
-                nothing,
-                nothing,
+            firsts = [s[: _kept(s, k, similarity, deviations)] for s in sets]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id"),
+                    batch.column("text_hash"),
+                    pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array([set_key(s) for s in sets], pa.int64()),
+                    pa.array(firsts, pa.list_(pa.int64())),
+                ],
+                names=["doc_id", "text_hash", "n_shingles", "cls", "firsts"],
             )
-        if counts.any():
-            parts = range(0, SLOTS, _BLOCK)
-            none = [None] * len(parts)
-            yield batch_of(none, none, none, none, [p // _BLOCK for p in parts], [counts[p : p + _BLOCK] for p in parts])
 
     return run
 
 
+def _kept(values: np.ndarray, k: int, similarity: float, deviations: float) -> int:
+    """How many values of a set's sketch a similar set meets at least one of, in any order."""
+    n = len(values)
+    return min(n, k) - int(_least(np.array([n]), k, similarity, deviations)[0]) + 1 if n else 0
+
+
 def _least(n: np.ndarray, k: int, similarity: float, deviations: float) -> np.ndarray:
     """Retained values that a text of ``n`` shingles shares with any text as similar as asked."""
     exact = np.ceil(n * similarity - 1e-9)
@@ -153,30 +146,55 @@ def _shared(n, m, k: int, similarity: float, deviations: float):
     )
 
 
-def _poster(words: int, k: int, similarity: float, deviations: float, load):
-    """Texts to the postings of the first values of their sketches, rare ones first."""
+def _seeds(values: np.ndarray) -> np.ndarray:
+    """One value for each pair of small values that a seed is made of; a lone value is a pair with itself."""
+    v = values[:4].view(np.uint64)
+    chosen = [(i, j) for i, j in SEEDS if j < len(v)] or [(0, 0)]
+    with np.errstate(over="ignore"):
+        return np.array([mix(v[i : i + 1], 31) + mix(v[j : j + 1], 37) for i, j in chosen], np.uint64).ravel().view(np.int64)
+
+
+def _poster(words: int, k: int, similarity: float, deviations: float, levels):
+    """Texts to the postings of the first values of their sketches, frequent ones last, and of their seeds."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            values, classes, sizes, rests = [], [], [], []
+            values, classes, sizes, rests, seeds = [], [], [], [], []
             for s in shingle_sets(texts_of(batch), words):
                 if not len(s):
                     continue
                 v = s[:k]
-                kept = len(v) - int(_least(np.array([len(s)]), k, similarity, deviations)[0]) + 1
-                values.append(v[np.lexsort((v, load.value[_slot(v)]))[:kept]])
-                classes.append(np.full(kept, set_key(s), np.int64))
-                sizes.append(np.full(kept, len(s), np.int64))
-                rests.append(np.arange(len(v), len(v) - kept, -1))
+                kept = _kept(s, k, similarity, deviations)
+                slot = v & (BITS - 1)
+                level = sum(((m[slot >> 6] >> (slot & 63)) & 1 for m in levels.value), np.zeros(len(v), np.int64))
+                start = _seeds(s)
+                values += [v[np.lexsort((v, level))[:kept]], start]
+                classes.append(np.full(kept + len(start), set_key(s), np.int64))
+                sizes.append(np.full(kept + len(start), len(s), np.int64))
+                rests += [np.arange(len(v), len(v) - kept, -1), np.zeros(len(start), np.int64)]
+                seeds.append(np.arange(kept + len(start)) >= kept)
             if values:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(x)) for x in (values, classes, sizes, rests)],
-                    names=["value", "cls", "n", "rest"],
+                    [pa.array(np.concatenate(x)) for x in (values, classes, sizes, rests, seeds)],
+                    names=["value", "cls", "n", "rest", "seed"],
                 )
 
     return run
 
 
+def _levels(firsts: DataFrame, folder: str) -> list[np.ndarray]:
+    """Filters of the values that stand often among the first ones of sketches, each a level rarer than the next."""
+    counts = firsts.groupBy("value").agg(F.count("*").alias("n")).filter(F.col("n") >= OFTEN)
+    counts = stored(counts, "frequent", folder)
+    # one row for each power of two
+    tally = {r.power: r["count"] for r in counts.groupBy(F.floor(F.log2("n")).alias("power")).count().collect()}
+    least = OFTEN.bit_length() - 1
+    while sum(n for power, n in tally.items() if power >= least) > FREQUENT:
+        least += 1
+    slot = F.pmod(F.col("value"), F.lit(BITS))
+    return [bits_of(counts.filter(F.col("n") >= (1 << least) * times).select(slot), BITS) for times in LEVELS]
+
+
 def _setter(words: int, glance: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -239,15 +257,17 @@ def near_groups(
     similarity: float = SIMILARITY,
     k: int = SKETCH,
     deviations: float = DEVIATIONS,
+    exact: bool = False,
 ) -> DataFrame:
     """``(doc_id, text_hash, n_shingles, component_id, kept)``, one row for each row of ``docs``.
 
     Documents are linked when their shingle sets reach the similarity (Jaccard, in hundredths,
-    confirmed on the full sets of 64-bit hashes); ``text_hash`` is the text's ``xxhash64``,
+    confirmed on the full sets of 61-bit polynomial hashes); ``text_hash`` is the text's ``xxhash64``,
     which tells rows of one ``doc_id`` apart; ``component_id`` is the least ``doc_id`` that
     links reach and ``kept`` says whether it is the row's own. Texts are compared after
     lower-casing A-Z, words are split at ASCII white space, and a text of fewer words than a
-    shingle is one shingle.
+    shingle is one shingle. ``exact`` takes whole sets as sketches and rules no pair out by
+    an estimate, for those who cannot live with the chance that ``deviations`` leave.
 
     Null, empty and blank texts have no shingle, are linked with nothing and are kept. Rows
     that repeat a ``doc_id`` with the same text are the same document and are kept or dropped
@@ -255,40 +275,64 @@ def near_groups(
     Other columns of ``docs`` are ignored. An empty table gives an empty result.
     """
     spark = docs.sparkSession
+    if exact:
+        k = WHOLE
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     hashed = texts.withColumn("text_hash", F.xxhash64("text"))
-    rows = stored(hashed.mapInArrow(_keyed(words, k), _KEYS), "classes")
-    keyed = rows.filter("block is null").select("doc_id", "text_hash", "n_shingles", "cls")
-    classes = keyed.filter("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("least"))
-
-    load = np.zeros(SLOTS, np.int64)
-    counted = rows.filter("block is not null").select("block", F.posexplode("counts").alias("at", "count"))
-    sums = counted.groupBy((F.col("block") * _BLOCK + F.col("at")).alias("slot")).agg(F.sum("count").alias("n"))
-    found = sums.toArrow()  # SLOTS rows at most, whatever the data
-    load[found.column("slot").to_numpy()] = found.column("n").to_numpy()
-    poster = _poster(words, k, similarity, deviations, spark.sparkContext.broadcast(load))
     folder = scratch_path(spark, "near")
-    postings = stored(texts.mapInArrow(poster, "value long, cls long, n long, rest long"), "postings", folder)
+    rows = stored(hashed.mapInArrow(_keyed(words, k, similarity, deviations), _KEYS), "classes")
+    keyed = rows.drop("firsts")
+    classes = keyed.filter("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("least"))
+
+    levels = _levels(rows.select(F.explode("firsts").alias("value")), folder)
+    poster = _poster(words, k, similarity, deviations, spark.sparkContext.broadcast(levels))
+    postings = stored(texts.mapInArrow(poster, "value long, cls long, n long, rest long, seed boolean"), "postings", folder)
     shared = (
-        postings.groupBy("value")
+        postings.filter("NOT seed")
+        .groupBy("value")
         .agg(F.min("cls").alias("low"), F.max("cls").alias("high"))
         .filter("low < high")
         .select("value")
     )
-    lists = stored(
-        postings.join(shared, "value", "left_semi").dropDuplicates(["value", "cls"]), "lists", folder
-    )
-    links = _links(texts, classes, lists, words, similarity, k, deviations, folder)
+    lists = postings.filter("NOT seed").drop("seed").join(shared, "value", "left_semi").dropDuplicates(["value", "cls"])
+    lists = stored(lists, "lists", folder)
+
+    glance = 0 if exact else min(GLANCE, k)
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        """Edges of the pairs that are similar."""
+        ends = pairs.select(F.explode(F.array("pivot", "member")).alias("cls")).distinct()
+        wanted = stored(ends.join(classes, "cls").select(F.col("least").alias("wanted")).distinct(), "wanted", folder)
+        sets = (
+            texts.filter(maybe_in(wanted)(F.col("doc_id")))
+            .join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi")
+            .mapInArrow(_setter(words, glance), "cls long, glance array<int>, n int, items array<long>")
+            .dropDuplicates(["cls"])
+        )
+        sets = stored(sets, "sets", folder)
+        likely = pairs if exact else stored(_likely(pairs, sets, similarity, deviations, glance), "likely", folder)
+        return stored(_confirmed(likely, sets, similarity), "links", folder)
+
+    labels = _joined(None, linked(_seed_pairs(postings, similarity, folder)), folder)
+    chance = GROWTH
+    while True:
+        marked = _marked(lists, labels, chance, folder)
+        if marked.isEmpty():
+            break
+        pairs = _candidates(marked, k, similarity, deviations, folder)
+        labels = _joined(labels, linked(pairs), folder)
+        # a pivot has been compared with its whole list
+        lists = marked.filter("NOT pivot").select("value", "cls", "n", "rest")
+        chance *= GROWTH
+
+    labels = stored(labels, "labels")
     # what the links came from is not read any more
     remove(spark, folder)
-    if links is None:
-        groups = classes.select("cls", F.col("least").alias("component_id"))
-    else:
-        labelled = classes.join(links, classes.cls == links.node, "left").select(
-            "cls", "least", F.coalesce("label", "cls").alias("label")
-        )
-        lowest = labelled.groupBy("label").agg(F.min("least").alias("component_id"))
-        groups = labelled.join(lowest, "label").select("cls", "component_id")
+    labelled = classes.join(labels, classes.cls == labels.node, "left").select(
+        "cls", "least", F.coalesce("label", "cls").alias("label")
+    )
+    lowest = labelled.groupBy("label").agg(F.min("least").alias("component_id"))
+    groups = labelled.join(lowest, "label").select("cls", "component_id")
     return (
         keyed.join(groups, "cls", "left")
         .select(
@@ -301,54 +345,45 @@ def near_groups(
     )
 
 
-def _links(texts, classes, lists, words, similarity, k, deviations, folder) -> DataFrame | None:
-    """``(node, label)`` of the classes that are linked with others."""
-    marked = _marked(lists, None, 1, folder)
-    if marked.isEmpty():
-        return None
-    pairs = _candidates(marked, k, similarity, deviations, folder)
-    # short lists are done after these pairs; of long ones any member may be compared later
-    ends = pairs.select(F.explode(F.array("pivot", "member")).alias("cls"))
-    active = ends.unionByName(marked.filter(F.col("members") > SMALL).select("cls")).distinct()
-    wanted = active.join(classes, "cls").select(F.col("least").alias("wanted")).distinct()
-    glance = min(GLANCE, k)
-    wanted = stored(wanted, "wanted", folder)
-    sets = (
-        texts.filter(maybe_in(wanted)(F.col("doc_id")))
-        .join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi")
-        .mapInArrow(_setter(words, glance), "cls long, glance array<int>, n int, items array<long>")
-        .dropDuplicates(["cls"])
-    )
-    labels, edges, chance = None, None, 1
-    with bucketed(sets, "cls", "sets", folder) as sets:
-        while True:
-            if not pairs.isEmpty():
-                likely = stored(_likely(pairs, sets, similarity, deviations, glance), "likely", folder)
-                new = stored(_confirmed(likely, sets, similarity), "links", folder)
-                if not new.isEmpty():
-                    edges = new if edges is None else edges.unionByName(new)
-                    labels = components(edges)
-            # a pivot has been compared with its whole list
-            lists = marked.filter("not pivot").select("value", "cls", "n", "rest")
-            chance *= GROWTH
-            marked = _marked(lists, labels, chance, folder)
-            if marked.isEmpty():
-                return labels
-            pairs = _candidates(marked, k, similarity, deviations, folder)
-
-
-def _marked(lists: DataFrame, labels: DataFrame | None, chance: int, folder: str) -> DataFrame:
+def _seed_pairs(postings: DataFrame, similarity: float, folder: str) -> DataFrame:
+    """Each text with the least one of its seeds' lists; no list is expanded."""
+    seeds = postings.filter("seed").select("value", "cls", "n").distinct()
+    lows = seeds.groupBy("value").agg(F.min(F.struct("cls", "n")).alias("low"), F.max("cls").alias("high"))
+    lows = lows.filter("low.cls < high").select("value", "low")
+    near = F.least("n", "low.n") >= F.greatest("n", "low.n") * F.lit(similarity) - 1e-9
+    met = seeds.join(lows, "value").filter((F.col("cls") != F.col("low.cls")) & near)
+    return stored(met.select(F.col("low.cls").alias("pivot"), F.col("cls").alias("member")).distinct(), "pairs", folder)
+
+
+def _joined(labels: DataFrame | None, edges: DataFrame, folder: str) -> DataFrame:
+    """``(node, label)`` of all texts that are linked with others, after more links."""
+    if labels is None:
+        return stored(components(edges, folder), "labels", folder)
+    if edges.isEmpty():
+        return labels
+    # links between components: names in place of their texts
+    names = {}
+    named = edges
+    for end in ("a", "b"):
+        of = labels.select(F.col("node").alias(end), F.col("label").alias(f"{end}_label"))
+        named = named.join(of, end, "left")
+        names[end] = F.coalesce(f"{end}_label", end)
+    between = named.select(F.least(*names.values()).alias("a"), F.greatest(*names.values()).alias("b")).filter("a < b")
+    moved = stored(components(between, folder), "moved", folder).select(F.col("node").alias("old"), F.col("label").alias("new"))
+    known = labels.join(moved, labels.label == moved.old, "left").select("node", F.coalesce("new", "label").alias("label"))
+    fresh = moved.join(labels, moved.old == labels.node, "left_anti").select(F.col("old").alias("node"), F.col("new").alias("label"))
+    return stored(known.unionByName(fresh), "labels", folder)
+
+
+def _marked(lists: DataFrame, labels: DataFrame, chance: int, folder: str) -> DataFrame:
     """Members of the lists that hold several components, with their pivots marked.
 
-    A pivot is the least member, every member of a short list, and from the second round on
-    about ``chance`` members; the same classes in all their lists, as far as list sizes allow.
+    A pivot is the least member, every member of a short list, and about ``chance`` members of a
+    long one; the same classes in all their lists, as far as list sizes allow.
     """
-    if labels is None:
-        named = lists.withColumn("label", F.col("cls"))
-    else:
-        named = lists.join(labels, lists.cls == labels.node, "left").select(
-            "value", "cls", "n", "rest", F.coalesce("label", "cls").alias("label")
-        )
+    named = lists.join(labels, lists.cls == labels.node, "left").select(
+        "value", "cls", "n", "rest", F.coalesce("label", "cls").alias("label")
+    )
     sizes = (
         named.groupBy("value")
         .agg(
@@ -361,9 +396,7 @@ def _marked(lists: DataFrame, labels: DataFrame | None, chance: int, folder: str
         .drop("low", "high")
     )
     lot = F.pmod(F.xxhash64("cls"), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    pivot = (F.col("cls") == F.col("first")) | (F.col("members") <= SMALL)
-    if chance > 1:
-        pivot = pivot | (lot * F.col("members") < float(chance))
+    pivot = (F.col("cls") == F.col("first")) | (F.col("members") <= SMALL) | (lot * F.col("members") < float(chance))
     return stored(named.join(sizes, "value").withColumn("pivot", pivot), "marked", folder)
 
 

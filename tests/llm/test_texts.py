@@ -15,7 +15,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from hazardlake.llm import fingerprints, language, licenses, near_dedup, packing, queries, span_dedup, surrogates, toxicity
+from hazardlake.llm import common, fingerprints, language, licenses, near_dedup, packing, pieces, queries, span_dedup, surrogates, toxicity
 from hazardlake.llm.pieces import Vocabulary, decode_ids, encode_texts
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -170,29 +170,6 @@ def test_a_passage_stays_in_its_first_document(spark):
     assert got == {1: "First of all. " + passage, 2: "Tail.", 3: "Own start. Own end.", None: ""}
 
 
-def _all_runs_cut(rows, sentences=3, least=20, enough=45):
-    """``{doc_id: text}`` by every run that is long enough, of whatever length."""
-    parts, runs = {}, {}
-    for i, text in rows:
-        ends = [m.end() for m in data._END.finditer(text)]
-        p = parts[i] = [text[a:b] for a, b in zip([0, *ends], [*ends, len(text)], strict=True) if a < b]
-        words = [x.encode().translate(data._LOWER).split() for x in p]
-        runs[i] = []
-        for a in range(len(p)):
-            n, run = 0, hashlib.sha256()
-            for b in range(a + 1, len(p) + 1):
-                n += len(words[b - 1])
-                run.update(b" ".join(words[b - 1]) + b"|")
-                if n >= enough or (n >= least and b - a >= sentences):
-                    runs[i].append((a, b, run.digest()))
-    first = {}
-    for i in sorted(runs):
-        for a, _, run in runs[i]:
-            first.setdefault(run, (i, a))
-    gone = {i: {k for a, b, run in found if first[run] != (i, a) for k in range(a, b)} for i, found in runs.items()}
-    return {i: "".join(x for k, x in enumerate(p) if k not in gone[i]) for i, p in parts.items()}
-
-
 def test_repeats_equal_all_runs(spark):
     rng = np.random.default_rng(3)
     pool = [" ".join(f"s{k}w{j}" for j in range(n)) + ". " for k, n in enumerate([46, 20, 20, 1, 2, 5, 7, 9, 12, 15, 30, 44, 45, 60])]
@@ -202,14 +179,14 @@ def test_repeats_equal_all_runs(spark):
     for i in range(3, 120):
         rows.append((i, "".join(sum((passages[rng.integers(12)] + lone(i, k) * rng.integers(0, 2) for k in range(5)), []))))
     got = span_dedup.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).select("row.doc_id", "kept_text").collect()
-    assert {r.doc_id: r.kept_text for r in got} == (want := _all_runs_cut(rows))
+    assert {r.doc_id: r.kept_text for r in got} == (want := data.cut_repeats(rows))
     # a short end behind a long sentence goes, too
     assert want[2] == "Another start. Another end. "
 
 
 def test_op3_equals_all_runs(spark, texts):
     rows = queries.QUERIES["op3_substring_dedup"](spark, data.SF).collect()
-    assert {r.doc_id: r.text for r in rows} == _all_runs_cut(texts)
+    assert {r.doc_id: r.text for r in rows} == data.cut_repeats(texts)
 
 
 def test_repeats_in_scripts_without_spaces(spark):
@@ -559,3 +536,67 @@ def test_native_operators_run_no_python(spark, hostile):
         plan = frame._jdf.queryExecution().executedPlan().toString()
         for word in ("Python", "Pandas", "Arrow"):
             assert word not in plan
+
+
+# hashes that no pair of texts defeats
+
+
+def _thue_morse(n, letters):
+    """A text and its complement whose polynomial hashes agree modulo any power of two."""
+    bits = [bin(k).count("1") % 2 for k in range(n)]
+    return "".join(letters[b] for b in bits), "".join(letters[1 - b] for b in bits)
+
+
+@pytest.mark.parametrize("n", [1024, 2048, 4096])
+def test_complements_have_hashes_of_their_own(spark, n):
+    a, b = _thue_morse(n, "ab")
+    both = np.frombuffer((a + b).encode(), np.uint8)
+    hashes = common.span_hashes(both, np.array([0, n]), np.array([n, 2 * n]))
+    assert hashes[0] != hashes[1]
+    sets = list(near_dedup.shingle_sets([a.encode(), b.encode()]))
+    assert near_dedup.set_key(sets[0]) != near_dedup.set_key(sets[1])
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    vocabulary = pieces.Vocabulary(open(model, "rb").read())
+    assert [i.tolist() for i in vocabulary.encode([a, b], "segments")] == vocabulary.library.encode([a, b])
+    passages = [" ".join(_thue_morse(n, (f"w{k} ", f"v{k} "))[i] for k in range(3)) + ". " for i in (0, 1)]
+    docs = spark.createDataFrame([(1, a), (2, b), (3, passages[0]), (4, passages[1])], "doc_id long, text string")
+    assert {r.kept for r in near_dedup.near_groups(docs).collect()} == {True}
+    assert [r.removed for r in span_dedup.without_repeats(docs).collect()] == [0] * 4
+
+
+def test_segments_of_one_hash_are_worked_each(monkeypatch):
+    # remembered segments and those of a slice are compared letter by letter
+    monkeypatch.setattr(pieces, "span_hashes", lambda data, starts, ends: (ends - starts).astype(np.uint64))
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    vocabulary = pieces.Vocabulary(open(model, "rb").read())
+    for texts in (["alpha beta gamma", "gamma alpha betas"], ["delta", "omega"], ["delta", "delta"], ["sigma"]):
+        assert [i.tolist() for i in vocabulary.encode(texts, "segments")] == vocabulary.library.encode(texts)
+
+
+def test_near_duplicates_without_estimates(spark):
+    """Whole sets as sketches and no margins: the same links, for long texts as well."""
+    rng = np.random.default_rng(12)
+    rows = []
+    for g in range(6):
+        base = [f"g{g}w{k}" for k in range(900)]
+        for i in range(5):
+            own = list(base)
+            for k in rng.choice(900, rng.integers(0, 36), replace=False):
+                own[k] = f"x{rng.integers(10**9)}"
+            rows.append((g * 10 + i, " ".join(own)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    component, _ = data.near_components(rows)
+    for exact in (True, False):
+        got = near_dedup.near_groups(docs, exact=exact).collect()
+        assert {r.doc_id: r.component_id for r in got} == component
+
+
+def test_frequent_values_come_last_at_any_size(spark, monkeypatch, folder):
+    rows = [(v, ) for v in range(40) for _ in range(9 if v < 10 else 70 if v < 13 else 2)]
+    found = near_dedup._levels(spark.createDataFrame(rows, "value long"), folder)
+    held = lambda m, v: bool(m[(v & (near_dedup.BITS - 1)) >> 6] >> (v & 63) & 1)
+    assert [[v for v in range(40) if held(m, v)] for m in found] == [list(range(13)), [10, 11, 12], []]
+    # more frequent values than a level may hold: only the most frequent are told apart
+    monkeypatch.setattr(near_dedup, "FREQUENT", 4)
+    found = near_dedup._levels(spark.createDataFrame(rows, "value long"), folder)
+    assert [v for v in range(40) if held(found[0], v)] == [10, 11, 12]
