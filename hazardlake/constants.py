@@ -147,3 +147,4 @@ FIRST_ENTITIES = 20
 SNAPSHOTS_KEPT = 5
 RETENTION_HOURS = 168
 POLL_INTERVAL = "5 minutes"
+RETRY_SECONDS = 60

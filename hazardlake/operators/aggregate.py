@@ -246,6 +246,48 @@ def profile(
     )
 
 
+#: Log of the number of registers of distinct-count sketches: errors of about 1.6 % (one deviation).
+SKETCH_REGISTERS = 12
+
+
+def profile_sketch(
+    df: DataFrame,
+    keys: Sequence[str] = (),
+    entity: str = "country_name",
+    indicator: str = "indicator_name",
+    year: str = "year",
+    registers: int = SKETCH_REGISTERS,
+) -> DataFrame:
+    """A profile that can be stored and merged with others: a few kilobytes for any number of rows.
+
+    Like ``profile``, with distinct-count sketches in place of the distinct counts, one row for each
+    group of ``keys``.
+    """
+    return df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.lit(len(df.columns)).alias("n_columns"),
+        F.hll_sketch_agg(F.col(entity).cast("string"), registers).alias("entities"),
+        F.hll_sketch_agg(F.col(indicator).cast("string"), registers).alias("indicators"),
+        F.min(year).alias("first_year"),
+        F.max(year).alias("last_year"),
+    )
+
+
+def merge_profiles(sketches: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Profiles out of stored sketches of parts; parts may overlap in entities and indicators.
+
+    Distinct counts are estimates of the same error however the rows were divided.
+    """
+    return sketches.groupBy(*keys).agg(
+        F.coalesce(F.sum("n_rows"), F.lit(0).cast("bigint")).alias("n_rows"),
+        F.max("n_columns").alias("n_columns"),
+        F.coalesce(F.hll_sketch_estimate(F.hll_union_agg("entities")), F.lit(0).cast("bigint")).alias("n_entities"),
+        F.coalesce(F.hll_sketch_estimate(F.hll_union_agg("indicators")), F.lit(0).cast("bigint")).alias("n_indicators"),
+        F.min("first_year").alias("first_year"),
+        F.max("last_year").alias("last_year"),
+    )
+
+
 def batch_sizes(df: DataFrame, key: str, items: str) -> DataFrame:
     """Number of features in each message; zero where there are none."""
     size = F.when(F.col(items).isNotNull(), F.size(items)).otherwise(F.lit(0))

@@ -377,8 +377,9 @@ def page_after(spark, sf_dir):
     """The third page again, from the last row of the second."""
     rows = A.quakes(spark, sf_dir).select("event_id", "place", "magnitude")
     order = [("magnitude", "desc"), ("event_id", "asc")]
-    last = O.page(rows, order, number=1, size=15).collect()[-1]
-    return O.page_after(rows, order, last.asDict(), size=15)
+    second = O.page(rows, order, number=1, size=15).collect()
+    # behind a page that is not full there is nothing
+    return O.page_after(rows, order, second[-1].asDict(), size=15) if len(second) == 15 else rows.limit(0)
 
 
 @query(f"WITH {sql.QUAKES} SELECT event_id, place FROM quakes ORDER BY event_id LIMIT 10")

@@ -70,6 +70,21 @@ def compacted_table(spark, sf_dir):
     return _groups(tables.read_table(spark, target))
 
 
+@query(_GROUPS)
+def compacted_partitions(spark, sf_dir):
+    """Two partitions of many small files are rewritten in place, the others stay as they are."""
+    path = scratch_path(spark, "partitions")
+    rows = classify_quakes(A.quakes(spark, sf_dir))
+    tables.append_partitioned(rows, path)
+    loose = rows.filter("region = 'Tropical' AND severity_level IN ('minor', 'light')").repartition(6, "event_id")
+    for folder in ("Tropical/severity_level=minor", "Tropical/severity_level=light"):
+        level = folder.split("=")[1]
+        part = loose.filter(F.col("severity_level") == level).drop("region", "severity_level")
+        part.write.mode("overwrite").parquet(f"{path}/region={folder}")
+    tables.compact_partitions(spark, path, ["region", "severity_level"])
+    return _groups(tables.read_table(spark, path))
+
+
 _CSV_TEXT = """CASE event_id % 5 WHEN 0 THEN 'He said "' || place || '", then left'
     WHEN 1 THEN 'line one' || chr(10) || place || chr(10) WHEN 2 THEN ''
     WHEN 3 THEN place || ', "" and \\' END"""
@@ -98,6 +113,21 @@ def csv_other_order(spark, sf_dir):
     return tables.read_csv(spark, path, schema)
 
 
+@query(
+    f"""WITH {sql.QUAKES} SELECT event_id, place, CASE WHEN event_id % 2 = 0 THEN latitude END AS latitude,
+    magnitude FROM quakes"""
+)
+def csv_split(spark, sf_dir):
+    """Files with headers of their own, one without a column and all in another order, read in splits."""
+    path = scratch_path(spark, "csv")
+    rows = A.quakes(spark, sf_dir).select("event_id", "place", "magnitude", "latitude")
+    even = F.col("event_id") % 2 == 0
+    tables.export_csv(rows.filter(even).select("latitude", "magnitude", "event_id", "place"), f"{path}/part=0")
+    tables.export_csv(rows.filter(~even).select("place", "event_id", "magnitude"), f"{path}/part=1")
+    schema = S.struct(event_id=S.LONG, place=S.STRING, latitude=S.DOUBLE, magnitude=S.DOUBLE)
+    return tables.read_csv(spark, path, schema, split=True)
+
+
 @query(
     f"""WITH {sql.CLEAN} SELECT country_code, COUNT(*) AS n FROM clean GROUP BY country_code"""
 )
@@ -186,6 +216,22 @@ def quake_feed(spark, sf_dir):
     return rows.select("id", F.unix_millis("timestamp").alias("time"), "magnitude")
 
 
+@query(
+    f"""WITH {sql.FLAT} SELECT id, time, magnitude FROM flat
+    WHERE timestamp BETWEEN TIMESTAMP '2024-01-19 00:00:00' AND TIMESTAMP '2024-01-20 00:00:00'
+    AND magnitude >= 2.5"""
+)
+def quake_feed_snapshots(spark, sf_dir):
+    """Two archived snapshots hold the same events; the one from before the window is not opened."""
+    path = scratch_path(spark, "archive")
+    documents = A.quake_documents(spark, sf_dir)
+    for day in (10, 20):
+        tables.archive_snapshot(documents, path, "earthquakes", datetime(2024, 1, day, 1))
+    end = F.to_timestamp(F.lit("2024-01-20 00:00:00"))
+    rows = feeds.read_quake_feed(spark, f"{path}/*", end, multi_line=False, dated_by="name")
+    return rows.select("id", F.unix_millis("timestamp").alias("time"), "magnitude")
+
+
 @query(
     f"""WITH {sql.VOLCANOES} SELECT id, title, latitude, longitude, date FROM volcanoes
     WHERE category = 'volcanoes' AND status = 'open'"""

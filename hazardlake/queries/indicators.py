@@ -19,6 +19,8 @@ from hazardlake.operators.quality import flag_summary as summarise_flags
 from hazardlake.plans import batch, series
 from hazardlake.queries import sql
 from hazardlake.queries.registry import query
+from hazardlake.session import scratch_path
+from hazardlake.sources import tables
 
 _CATEGORIES = f"""{sql.QUALITY_FLAG} AS data_quality_flag, TRUE AS is_complete,
     {sql.VALUE_CATEGORY} AS value_category, {sql.YEAR_CATEGORY} AS year_category"""
@@ -188,14 +190,48 @@ def layer_counts(spark, sf_dir):
     return G.observed_counts(A.panel(spark, sf_dir), steps)
 
 
-@query("SELECT 0::BIGINT AS n, 24 AS n_columns")
+@query(
+    f"""WITH {sql.CLEAN} SELECT 'complete' AS silver, COUNT(*) AS n, 24 AS n_columns FROM clean
+    UNION ALL SELECT 'lacks a column', 0, 24"""
+)
 def gold_without_columns(spark, sf_dir):
-    """A silver table that lacks a column gives an empty gold table of the full layout."""
-    silver = batch.silver(batch.bronze(A.panel(spark, sf_dir))).drop("unit")
-    with warnings.catch_warnings():
-        warnings.simplefilter("ignore")
-        gold = batch.gold(silver)
-    return gold.agg(F.count(F.lit(1)).alias("n")).withColumn("n_columns", F.lit(len(gold.columns)))
+    """A stored silver table that lacks a column gives an empty gold table of the full layout."""
+    silver = batch.silver(batch.bronze(A.panel(spark, sf_dir)))
+    counts = []
+    for name, layer in (("complete", silver), ("lacks a column", silver.drop("unit"))):
+        path = scratch_path(spark, "silver")
+        tables.write_table(layer, path)
+        with warnings.catch_warnings():
+            warnings.simplefilter("ignore")
+            gold = batch.gold(tables.read_table(spark, path))
+        n = gold.agg(F.count(F.lit(1)).alias("n"))
+        counts.append(n.select(F.lit(name).alias("silver"), "n", F.lit(len(gold.columns)).alias("n_columns")))
+    return counts[0].unionByName(counts[1])
+
+
+@query(
+    f"""WITH {sql.CLEAN} SELECT COUNT(*) AS n_rows, 15 AS n_columns, TRUE AS entities_close,
+    TRUE AS indicators_close, MIN(year) AS first_year, MAX(year) AS last_year
+    FROM clean"""
+)
+def merged_profile(spark, sf_dir):
+    """Sketches of four portions, stored and merged, against the exact profile."""
+    rows = batch.bronze(A.panel(spark, sf_dir))
+    path = scratch_path(spark, "profiles")
+    portion = F.pmod(F.xxhash64("country_name", "year"), F.lit(4)).alias("portion")
+    parts = G.profile_sketch(rows.withColumn("portion", portion), ["portion"])
+    tables.write_table(parts.withColumn("n_columns", F.lit(len(rows.columns))), path)
+    merged = G.merge_profiles(tables.read_table(spark, path))
+    exact = G.profile(rows).select(F.struct("n_entities", "n_indicators").alias("exact"))
+    close = lambda c: (F.abs(F.col(c) - F.col(f"exact.{c}")) <= 0.05 * F.col(f"exact.{c}"))
+    return merged.withColumn("exact", exact.scalar()).select(
+        "n_rows",
+        "n_columns",
+        close("n_entities").alias("entities_close"),
+        close("n_indicators").alias("indicators_close"),
+        "first_year",
+        "last_year",
+    )
 
 
 @query(

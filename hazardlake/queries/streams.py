@@ -13,8 +13,10 @@ from hazardlake.queries import sql
 from hazardlake.queries.registry import query
 from hazardlake.session import scratch_path
 from hazardlake.sources.feeds import read_documents
+from hazardlake.sources.tables import run_folder, write_table
 from hazardlake.sources.topics import publish, read_messages, read_stream, records_as_messages
 from hazardlake.streaming import hazards as H
+from hazardlake.streaming.supervise import ProgressLog, supervise
 
 _QUAKE_SILVER = f"""WITH {sql.FLAT} SELECT region, severity_level, COUNT(*) AS n,
     CAST(SUM(event_id) AS BIGINT) AS ids, COUNT(depth) AS depths FROM flat GROUP BY 1, 2"""
@@ -288,6 +290,42 @@ def stream_tail(spark, sf_dir):
     )
 
 
+@query(
+    f"""WITH {sql.FLAT} SELECT region, severity_level, COUNT(*) AS n FROM flat GROUP BY 1, 2
+    UNION ALL SELECT 'failures', '', 1
+    UNION ALL SELECT 'messages in the log', '', COUNT(DISTINCT {_DOC}) FROM flat"""
+)
+def stream_supervised(spark, sf_dir):
+    """A stream whose first attempt fails after its write is started again and counts nothing twice."""
+    topic = _landed(spark, A.quake_documents(spark, sf_dir))
+    root = scratch_path(spark, "supervised")
+    attempts = []
+    log = ProgressLog()
+
+    def keep(batch, batch_id):
+        rows = H.silver_rows(batch, H.QUAKE)
+        write_table(rows, run_folder(f"{root}/table", batch_id, H.BATCH), partition_by=GROUP)
+        attempts.append(batch_id)
+        if len(attempts) == 1:
+            raise RuntimeError("lost after the write")
+
+    def start():
+        messages = read_stream(spark, topic)
+        return H.tail_stream(messages, f"{root}/checkpoint", keep, H.ONCE)
+
+    spark.streams.addListener(log)
+    try:
+        failures = supervise(start, wait_seconds=0.1, attempts=3)
+        log.wait_for("ended")
+    finally:
+        spark.streams.removeListener(log)
+    seen = log.rows(spark).filter("event = 'progress'").agg(F.sum("input_rows").alias("n"))
+    groups = spark.read.parquet(f"{root}/table").groupBy(*GROUP).agg(F.count(F.lit(1)).alias("n"))
+    known = spark.range(1).select(F.lit("failures").alias("region"), F.lit("").alias("severity_level"), F.lit(failures).cast("bigint").alias("n"))
+    counted = seen.select(F.lit("messages in the log").alias("region"), F.lit("").alias("severity_level"), "n")
+    return groups.unionByName(known).unionByName(counted)
+
+
 @query(f"WITH {sql.FLAT} SELECT id, magnitude FROM flat")
 def stream_archive(spark, sf_dir):
     topic = _landed(spark, A.quake_documents(spark, sf_dir))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from hazardlake import constants as K
+from hazardlake.functions.display import snapshot_time
 from hazardlake.operators.clean import feed_window
 from hazardlake.operators.flatten import (
     corrupt_documents,
@@ -54,11 +55,35 @@ def unreadable_indicators(spark: SparkSession, path: str, multi_line: bool = Tru
     )
 
 
+def landed_since(files: DataFrame, since: Column, dated_by: str = "modified") -> DataFrame:
+    """Rows of the files that landed at ``since`` or later; the others are listed and never opened.
+
+    ``dated_by`` is ``"modified"`` (modification time) or ``"name"`` (the time in a snapshot's name; files
+    without one are kept). ``files`` comes straight from a reader of files.
+    """
+    if dated_by == "modified":
+        landed = F.col("_metadata.file_modification_time")
+    elif dated_by == "name":
+        landed = F.coalesce(snapshot_time(F.col("_metadata.file_path")), since)
+    else:
+        raise ValueError(f"unknown way to date files: {dated_by}")
+    return files.filter(landed >= since)
+
+
 def read_documents(
-    spark: SparkSession, path: str, schema: StructType, multi_line: bool = True
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    multi_line: bool = True,
+    since: Column | None = None,
+    dated_by: str = "modified",
 ) -> DataFrame:
-    """Landed JSON documents, one per file, or one per line without ``multi_line``."""
-    return spark.read.schema(schema).option("multiLine", multi_line).json(path)
+    """Landed JSON documents, one per file, or one per line without ``multi_line``.
+
+    With ``since``, only of files that landed from then on (see ``landed_since``).
+    """
+    documents = spark.read.schema(schema).option("multiLine", multi_line).json(path)
+    return documents if since is None else landed_since(documents, since, dated_by)
 
 
 def unreadable_documents(
@@ -81,10 +106,18 @@ def read_quake_feed(
     hours: int = K.FEED_HOURS,
     min_magnitude: float = K.FEED_MIN_MAGNITUDE,
     multi_line: bool = True,
+    dated_by: str | None = "modified",
+    slack_hours: int = 1,
 ) -> DataFrame:
-    """Events of landed feature collections inside the trailing window."""
-    events = flatten_features(read_documents(spark, path, FEATURES_DOC, multi_line), "features")
-    return feed_window(events, end, hours, min_magnitude)
+    """Events of landed feature collections inside the trailing window.
+
+    A document holds what happened before it landed, so one that landed before the window (by
+    more than ``slack_hours``, for clocks that differ) has nothing to add: its file is not opened.
+    ``dated_by`` says how files are dated (see ``landed_since``); None opens them all.
+    """
+    since = end - F.expr(f"INTERVAL {int(hours) + int(slack_hours)} HOURS") if dated_by else None
+    documents = read_documents(spark, path, FEATURES_DOC, multi_line, since, dated_by or "modified")
+    return feed_window(flatten_features(documents, "features"), end, hours, min_magnitude)
 
 
 def read_volcano_feed(

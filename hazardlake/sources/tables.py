@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import csv
 import re
 from collections.abc import Callable, Iterable, Sequence
 from datetime import datetime
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from hazardlake.operators.aggregate import GROUP
 from hazardlake.schemas import LISTING
@@ -35,14 +38,21 @@ _CSV = {
 _EMPTY = "\x01"
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: StructType, split: bool = False) -> DataFrame:
     """Columns by the names in the header, in the order of the schema; an absent one is null.
 
-    The header of the files decides, so they may differ in order. Files are read whole, as
-    a record may span lines.
+    By default the header of one file counts for all of them, and files are read whole, as a
+    record may span lines. With ``split`` a record is one line: a large file is read by many
+    tasks, and each file goes by its own header, whatever order or columns it has. The headers
+    take a pass over the lines of the files' first blocks.
     """
-    found = spark.read.options(**_CSV | {"emptyValue": _EMPTY}, multiLine=True).csv(path)
+    options = _CSV | {"emptyValue": _EMPTY}
+    if split:
+        return _split_csv(spark, path, schema, options)
+    return _typed_csv(spark.read.options(**options, multiLine=True).csv(path), schema)
 
+
+def _typed_csv(found: DataFrame, schema: StructType) -> DataFrame:
     def field(name: str) -> Column:
         if name not in found.columns:
             return F.lit(None).cast("string")
@@ -52,6 +62,32 @@ def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return found.select(*[field(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
+def csv_headers(spark: SparkSession, path: str) -> DataFrame:
+    """``(path, header)``: the first line of each CSV file below a folder."""
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start")
+    )
+    first = lines.filter("start = 0").withColumn("at", F.monotonically_increasing_id())
+    return first.groupBy("path").agg(F.min_by("value", "at").alias("header"))
+
+
+def _split_csv(spark: SparkSession, path: str, schema: StructType, options: dict) -> DataFrame:
+    """Files of equal headers are one scan each, and the scans one table."""
+    grouped = csv_headers(spark, path).groupBy("header").agg(F.collect_list("path").alias("paths"))
+    # the driver lists the files of a scan in any case
+    scans = []
+    for header, paths in sorted((r.header, sorted(r.paths)) for r in grouped.collect()):
+        names = next(csv.reader([header]), [])
+        wanted = {f.name for f in schema.fields}
+        # columns that nobody asks for may repeat or be nameless
+        layout = StructType(
+            [StructField(n if n in wanted and n not in names[:k] else f"_unread_{k}", StringType()) for k, n in enumerate(names)]
+        )
+        files = [unquote(p) for p in paths]
+        scans.append(_typed_csv(spark.read.schema(layout).options(**options, enforceSchema=True).csv(files), schema))
+    return reduce(DataFrame.unionByName, scans) if scans else empty_like(spark, schema)
+
+
 def empty_like(spark: SparkSession, schema: StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
@@ -227,3 +263,46 @@ def compact(
     if files is None and not partition_by:
         table = table.hint("rebalance")
     write_table(table, target, "errorifexists", partition_by, files, fmt)
+
+
+#: Files below this size are worth putting together.
+SMALL_FILE = 32 << 20
+
+
+def small_partitions(
+    spark: SparkSession, path: str, small: int = SMALL_FILE, fmt: str = "parquet"
+) -> DataFrame:
+    """``(folder, files, small_files)`` of the partitions that hold several small files."""
+    files = list_files(spark, path, f"*.{fmt}").withColumn("folder", F.regexp_extract("path", "^(.*)/[^/]*$", 1))
+    sizes = files.groupBy("folder").agg(
+        F.count(F.lit(1)).alias("files"), F.count_if(F.col("length") < small).alias("small_files")
+    )
+    return sizes.filter("small_files > 1")
+
+
+def compact_partitions(
+    spark: SparkSession,
+    path: str,
+    partition_by: Sequence[str],
+    small: int = SMALL_FILE,
+    fmt: str = "parquet",
+) -> list[str]:
+    """Rewrite, in place, the partitions of a table that hold several small files; their folders.
+
+    Only those partitions are read and replaced (dynamic partition overwrite), all others keep
+    their files. ``partition_by`` names all partition columns in the order of the folders; their values
+    are taken as text, so that ``01`` stays ``01``. The new files are complete before the old
+    ones go; nobody should append to the same partitions meanwhile.
+    """
+    folders = sorted(r.folder for r in small_partitions(spark, path, small, fmt).collect())
+    if folders:
+        inferred = "spark.sql.sources.partitionColumnTypeInference.enabled"
+        before = spark.conf.get(inferred)
+        spark.conf.set(inferred, "false")
+        try:
+            rows = spark.read.format(fmt).option("basePath", path).load(folders)
+        finally:
+            spark.conf.set(inferred, before)
+        writer = rows.hint("rebalance", *partition_by).write.format(fmt).mode("overwrite")
+        writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).save(path)
+    return folders

@@ -436,3 +436,18 @@ def test_event_parts_merge_to_the_statistics_of_all(spark, scale):
     assert merged.columns == G.event_stats(df, keys).columns and set(got) == set(whole)
     for key, row in whole.items():
         assert repr(got[key]) == repr(row) if scale else got[key][2:] == pytest.approx(row[2:], nan_ok=True)
+
+
+def test_profiles_merge_like_their_rows(spark):
+    rows = [(f"entity {k % 1700}", f"i{k % 40}", 1990 + k % 30, k % 5) for k in range(6000)] + [(None, None, None, 0)]
+    df = spark.createDataFrame(rows, "country_name string, indicator_name string, year int, portion int")
+    parts = G.profile_sketch(df, ["portion"])
+    assert parts.count() == 5
+    merged, whole = G.merge_profiles(parts).first(), G.merge_profiles(G.profile_sketch(df)).first()
+    assert abs(merged.n_entities - whole.n_entities) <= 0.08 * whole.n_entities
+    exact = G.profile(df).first()
+    assert (merged.n_rows, merged.first_year, merged.last_year) == (exact.n_rows, exact.first_year, exact.last_year)
+    # five times the standard error of the sketch
+    assert abs(merged.n_entities - exact.n_entities) <= 0.08 * exact.n_entities and merged.n_indicators == exact.n_indicators
+    nothing = G.merge_profiles(G.profile_sketch(df.limit(0))).first()
+    assert (nothing.n_rows, nothing.n_entities, nothing.first_year) == (0, 0, None)

@@ -2,7 +2,8 @@ from __future__ import annotations
 
 import json
 import os
-from datetime import datetime
+import re
+from datetime import datetime, timezone
 from pathlib import Path
 
 import pytest
@@ -14,6 +15,7 @@ from hazardlake.operators import quality as Q
 from hazardlake.operators.order import expired_snapshots
 from hazardlake.session import scratch_path
 from hazardlake.sources import tables as T
+from hazardlake.sources.feeds import read_quake_feed
 from hazardlake.sources.topics import publish, read_messages, records_as_messages
 
 ROWS = S.struct(region=S.STRING, severity_level=S.STRING, v=S.INT)
@@ -222,3 +224,92 @@ def test_responses_without_entries_are_named(spark, folder):
     df.write.partitionBy("country_code", "indicator_id").text(f"{folder}/r")
     got = {r.country_code: r.reason for r in feeds.unreadable_indicators(spark, f"{folder}/r", multi_line=False).collect()}
     assert got == {"B": "unparseable", "C": "no entries", "D": "unparseable"}
+
+
+def feed(key, ms):
+    return json.dumps({"features": [{"properties": {"id": key, "mag": 5.0, "time": ms}, "geometry": {"coordinates": [1.0, 2.0, 3.0]}}]})
+
+
+@pytest.mark.parametrize("dated_by", ["modified", "name"])
+def test_documents_from_before_the_window_are_not_opened(spark, folder, dated_by):
+    end = datetime(2024, 1, 20)
+    hour = 3600
+    stamp = lambda t: datetime.fromtimestamp(t, timezone.utc).strftime("%Y%m%d_%H%M%S")
+    at = end.replace(tzinfo=timezone.utc).timestamp()
+    # the old file would have an event within the window; the one without a date in its name is kept
+    for name, landed, key in (("old", at - 26 * hour, "old"), ("edge", at - 24.5 * hour, "edge"), ("late", at + 9 * hour, "late")):
+        path = Path(folder) / (f"{name}_{stamp(landed)}_0.json" if dated_by == "name" else f"{name}.json")
+        path.write_text(feed(key, int(at - hour) * 1000))
+        if dated_by == "modified":
+            os.utime(path, (landed, landed))
+    if dated_by == "name":
+        (Path(folder) / "undated.json").write_text(feed("undated", int(at - hour) * 1000))
+    found = read_quake_feed(spark, folder, F.lit(end), dated_by=dated_by)
+    assert sorted(r.id for r in found.collect()) == ["edge", "late"] + ["undated"] * (dated_by == "name")
+    scan = re.search(r"number of files read: (\d+)", metrics(found))
+    assert int(scan.group(1)) == 2 + (dated_by == "name")
+    every = read_quake_feed(spark, folder, F.lit(end), dated_by=None)
+    assert len(every.collect()) == 3 + (dated_by == "name")
+
+
+def metrics(df):
+    """Names and values of the metrics of all nodes of a plan that has run."""
+    out, todo = [], [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        if node.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+            node = node.executedPlan()
+        if node.getClass().getSimpleName().endswith("QueryStageExec"):
+            todo.append(node.plan())
+        values = node.metrics().iterator()
+        while values.hasNext():
+            metric = values.next()._2()
+            out.append(f"{metric.name().get()}: {metric.value()}")
+        children = node.children().iterator()
+        while children.hasNext():
+            todo.append(children.next())
+    return "\n".join(out)
+
+
+def test_csv_files_are_read_in_splits_by_their_own_headers(spark, folder):
+    lines = [f'{k},"text, ""{k}""",{k / 2}' for k in range(2000)]
+    (Path(folder) / "a.csv").write_text("\n".join(["number,word,share", *lines]) + "\n")
+    (Path(folder) / "b with blank.csv").write_text("share,extra,number,extra\n0.5,x,-1,y\n,x,-2,\n")
+    (Path(folder) / "c.csv").write_text('"word","number"\n"",-3\nNULL,-4\n')
+    schema = S.struct(number=S.INT, word=S.STRING, share=S.DOUBLE)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16384")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        split = T.read_csv(spark, folder, schema, split=True)
+        got = {r.number: (r.word, r.share) for r in split.collect()}
+        assert split.count() == len(got) == 2004
+        alone = T.read_csv(spark, f"{folder}/a.csv", schema, split=True)
+        assert alone.rdd.getNumPartitions() >= 2 and alone.count() == 2000
+        whole = T.read_csv(spark, f"{folder}/a.csv", schema)
+        assert whole.rdd.getNumPartitions() == 1 and sorted(whole.collect()) == sorted(alone.collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert got[7] == ('text, "7"', 3.5) and got[-1] == (None, 0.5) and got[-2] == (None, None)
+    assert got[-3] == ("", None) and got[-4] == ("NULL", None)
+
+
+def test_only_partitions_of_small_files_are_rewritten(spark, folder):
+    path = f"{folder}/t"
+    rows = spark.range(4000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN '01' WHEN id % 3 = 1 THEN 'b c' END AS region", "'x' AS level")
+    T.write_table(rows, path, partition_by=["region", "level"])
+    rows.filter("region = '01'").repartition(5).write.mode("append").partitionBy("region", "level").parquet(path)
+    before = {p: p.stat().st_mtime_ns for p in Path(path).rglob("*.parquet")}
+    folders = T.compact_partitions(spark, path, ["region", "level"])
+    assert [f.split("/")[-2:] for f in folders] == [["region=01", "level=x"]]
+    after = {p: p.stat().st_mtime_ns for p in Path(path).rglob("*.parquet")}
+    other = lambda files: {p: t for p, t in files.items() if "region=01" not in str(p)}
+    assert other(before) == other(after) and len([p for p in after if "region=01" in str(p)]) == 1
+    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
+    try:
+        got = T.read_table(spark, path).groupBy("region").count().collect()
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionColumnTypeInference.enabled")
+    assert {r.region: r["count"] for r in got} == {"01": 2 * 1334, "b c": 1333, None: 1333}
+    assert T.compact_partitions(spark, path, ["region", "level"]) == []

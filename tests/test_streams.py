@@ -9,11 +9,13 @@ import time
 from pathlib import Path
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from hazardlake.schemas import VOLCANO_GOLD
 from hazardlake.sources.topics import publish, read_messages, read_stream
 from hazardlake.streaming import hazards as H
+from hazardlake.streaming.supervise import ProgressLog, supervise
 
 
 def quake(key, mag=3.0, lat=10.0, tsunami=0, time=1_704_067_200_000):
@@ -450,3 +452,47 @@ def test_unreadable_silver_messages_are_kept(spark, folder):
         run_gold(spark, f"{folder}/{mode}", [good, bad, empty], H.QUAKE, mode=mode)
         kept = spark.read.json(f"{folder}/{mode}/gold_quarantine").collect()
         assert [(r.value, r.reason) for r in kept] == [("[{not json", "unparseable")]
+
+
+def test_a_failing_stream_is_started_again(spark, folder):
+    send(spark, f"{folder}/bronze", documents())
+    seen, failures, log = [], [], ProgressLog()
+
+    def keep(batch, batch_id):
+        seen.append((batch_id, batch.count()))
+        if len(seen) in (2, 3):
+            raise RuntimeError("gone")
+
+    def start():
+        return {"tail": H.tail_stream(stream(spark, f"{folder}/bronze"), f"{folder}/c", keep, H.ONCE)}
+
+    spark.streams.addListener(log)
+    try:
+        waits = []
+        count = supervise(start, wait_seconds=60, on_failure=lambda name, error: failures.append(name), sleep=waits.append)
+        assert count == 2 and failures == ["tail"] * 2 and waits == [60, 60]
+        assert log.wait_for("ended")
+    finally:
+        spark.streams.removeListener(log)
+    # the batch that failed twice came a third time, all others once
+    assert seen == [(0, 1), (1, 1), (1, 1), (1, 1), (2, 1)]
+    rows = log.rows(spark).collect()
+    assert [r.event for r in rows].count("failed") == 2 and [r.event for r in rows].count("ended") == 1
+    assert sorted((r.batch_id, r.input_rows) for r in rows if r.event == "progress") == [(0, 1), (1, 1), (2, 1)]
+    assert log.write(spark, f"{folder}/log") == len(rows) and log.rows(spark).count() == 0
+    assert spark.read.parquet(f"{folder}/log").filter("event = 'failed' AND message LIKE '%gone%'").count() == 2
+
+
+def test_too_many_failures_end_the_supervision(spark, folder):
+    send(spark, f"{folder}/bronze", documents()[:1])
+
+    def fail(batch, batch_id):
+        raise RuntimeError("always")
+
+    waits = []
+    with pytest.raises(StreamingQueryException, match="always"):
+        supervise(
+            lambda: H.tail_stream(stream(spark, f"{folder}/bronze"), f"{folder}/c", fail, H.ONCE),
+            attempts=2, sleep=waits.append,
+        )
+    assert waits == [60]
