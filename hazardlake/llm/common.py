@@ -97,9 +97,10 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     limbs, down = _Powers.to(n + 1)
     values = data.astype(np.uint64) + np.uint64(1)
     total = np.zeros(len(starts), np.uint64)
-    sums = np.zeros(n + 1, np.uint64)
+    sums, terms = np.zeros(n + 1, np.uint64), np.empty(n, np.uint64)
     for k in range(3):
-        np.cumsum(values * limbs[k, :n], out=sums[1:])
+        np.multiply(values, limbs[k, :n], out=terms)
+        np.cumsum(terms, out=sums[1:])
         total = fold(total + shifted(fold(sums[ends] - sums[starts]), _LIMB * k))
     return mix(product(total, down[starts]) + ((ends - starts).astype(np.uint64) << np.uint64(61)), 0)
 

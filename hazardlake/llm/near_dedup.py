@@ -43,8 +43,8 @@ DEVIATIONS = 6.0
 #: Values of a sketch that the estimate of a pair looks at, and bits of each.
 GLANCE = 128
 #: Values that a level of frequent ones may hold, bits of its filter, and the least frequent of them.
-FREQUENT = 1 << 22
-BITS = 1 << 26
+FREQUENT = 1 << 20
+BITS = 1 << 24
 OFTEN = 8
 #: Each level is so many times as frequent as the one before it.
 LEVELS = (1, 8, 64)
@@ -53,6 +53,8 @@ SEEDS = ((0, 1), (2, 3), (0, 2), (1, 3))
 #: Lists up to this size are compared at once; pivots of longer ones, and how their number grows.
 SMALL = 16
 GROWTH = 32
+#: Bytes of text that a worker makes sets of at a time.
+SLICE = 1 << 19
 #: A sketch that holds any set whole.
 WHOLE = 1 << 30
 
@@ -103,7 +105,7 @@ def _keyed(words: int, k: int, similarity: float, deviations: float):
     """Rows (doc_id, n_shingles, cls) of the documents, with the first values of their sketches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, size=SLICE):
             sets = list(shingle_sets(texts_of(batch), words))
             firsts = [s[: _kept(s, k, similarity, deviations)] for s in sets]
             yield pa.RecordBatch.from_arrays(
@@ -158,7 +160,7 @@ def _poster(words: int, k: int, similarity: float, deviations: float, levels):
     """Texts to the postings of the first values of their sketches, frequent ones last, and of their seeds."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, size=SLICE):
             values, classes, sizes, rests, seeds = [], [], [], [], []
             for s in shingle_sets(texts_of(batch), words):
                 if not len(s):
@@ -197,7 +199,7 @@ def _levels(firsts: DataFrame, folder: str) -> list[np.ndarray]:
 
 def _setter(words: int, glance: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, size=SLICE):
             sets = [s for s in shingle_sets(texts_of(batch), words) if len(s)]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -298,17 +300,22 @@ def near_groups(
     lists = stored(lists, "lists", folder)
 
     glance = 0 if exact else min(GLANCE, k)
+    # ids that stand in several rows
+    again = stored(keyed.groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("again")), "again", folder)
+    repeated = not again.isEmpty()
 
     def linked(pairs: DataFrame) -> DataFrame:
         """Edges of the pairs that are similar."""
         ends = pairs.select(F.explode(F.array("pivot", "member")).alias("cls")).distinct()
         wanted = stored(ends.join(classes, "cls").select(F.col("least").alias("wanted")).distinct(), "wanted", folder)
-        sets = (
-            texts.filter(maybe_in(wanted)(F.col("doc_id")))
-            .join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi")
-            .mapInArrow(_setter(words, glance), "cls long, glance array<int>, n int, items array<long>")
-            .dropDuplicates(["cls"])
-        )
+        some = texts.filter(maybe_in(wanted)(F.col("doc_id"))).join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi")
+        setter, schema = _setter(words, glance), "cls long, glance array<int>, n int, items array<long>"
+        if repeated:
+            same = F.col("doc_id").eqNullSafe(F.col("again"))
+            twice = some.join(again, same, "left_semi").mapInArrow(setter, schema).dropDuplicates(["cls"])
+            sets = some.join(again, same, "left_anti").mapInArrow(setter, schema).unionByName(twice)
+        else:
+            sets = some.mapInArrow(setter, schema)
         sets = stored(sets, "sets", folder)
         likely = pairs if exact else stored(_likely(pairs, sets, similarity, deviations, glance), "likely", folder)
         return stored(_confirmed(likely, sets, similarity), "links", folder)
