@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hazardlake.llm.common import stored
@@ -35,8 +35,10 @@ SYLLABLES = {
     "cyrillic": "бар вел гор дан жел зор кам лот мир нор пет руд сав тол".split(),
     "greek": "βαρ γορ δελ ζαν καλ λον μαρ νικ παν ρος σαλ τιμ".split(),
 }
-#: Draws from the space of the entity's own format; later ones may be longer.
+#: Draws from the space of the entity's own format; as many later ones may be longer or from a larger space.
 DRAWS = 6
+#: What comes before a name of whatever list, in any letter case; a fixed list.
+CUES = "my name is|name:|author:|attn:|signed by|contact person:|written by"
 
 #: A name has 127 labels at most; a bound, as Java recurses over such groups.
 _EMAIL = r"[A-Za-z0-9][A-Za-z0-9._%+-]*+@(?:[A-Za-z0-9-]++\.){1,126}[A-Za-z]{2,}+"
@@ -45,10 +47,22 @@ _PHONE = r"\+\d{1,3}(?:[ .-]?\(?\d{2,4}\)?){2,4}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3
 _SSN = r"\d{3}-\d{2}-\d{4}"
 _CARD = r"\d(?:[ -]?\d){12,18}"
 _SECRET = r"[0-9A-Za-z_+/-]++(?:\.[0-9A-Za-z_+/-]++)*+"
-_SECRET_BEFORE = r"(?<=(?i:token|secret|password|passwd|api_key|apikey|api-key|access_key)[\"']?\s{0,3}[=:]\s{0,3}[\"']?)"
+#: White space that may stand between a label and its secret (a bound, as Java looks back so far at most).
+_GAP = r"\s{0,200}"
+_SECRET_LABEL = r"(?i:token|secret|password|passwd|api[ _-]?key|access[ _-]?key)"
+_SECRET_BEFORE = rf"(?:(?<={_SECRET_LABEL}[\"']?{_GAP}[=:]{_GAP}[\"']?)|(?<=(?i:bearer)\s{_GAP}))"
+#: Secrets known by their form: key ids, access tokens, signed tokens.
+_FORMED = (
+    r"(?:AKIA|ASIA)[0-9A-Z]{16}(?![0-9A-Za-z])|gh[pousr]_[0-9A-Za-z]{30,}+"
+    r"|eyJ[0-9A-Za-z_-]{8,}+\.[0-9A-Za-z_-]++(?:\.[0-9A-Za-z_-]++)?+"
+)
+_IP6 = r"(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6}"
+#: Country, check digits and up to 30 more, in groups of four or together.
+_IBAN = r"[A-Z]{2}\d{2}(?: ?[0-9A-Z]{4}){2,7}(?: ?[0-9A-Z]{1,3})?"
 #: Behind a label of a password stands one, however short; in quotes it goes up to the closing one.
-_PASSWORD = r"(?:(?<=\")[^\"\n]++(?=\")|(?<=')[^'\n]++(?=')|[^\s\"'<>]*[^\s\"'<>.,;:)])"
-_PASSWORD_BEFORE = r"(?<=[=:][\s\"']{0,4})(?<=(?i:password|passwd)[\"']?\s{0,3}[=:]\s{0,3}[\"']?)"
+#: A word of small letters with another behind it is prose ("password: reset it"), in no quotes.
+_PASSWORD = r"(?:(?<=\")[^\"\n]++(?=\")|(?<=')[^'\n]++(?=')|(?![a-z]++ ++[a-z])[^\s\"'<>]*[^\s\"'<>.,;:)])"
+_PASSWORD_BEFORE = rf"(?<=(?i:password|passwd)[\"']?{_GAP}[=:]{_GAP}[\"']?)"
 
 
 def _patterns() -> tuple[str, str]:
@@ -59,14 +73,19 @@ def _patterns() -> tuple[str, str]:
     word = r"\p{Lu}(?:['’]\p{Lu})?\p{Ll}[\p{L}\p{M}]*+(?:[-'’](?!s(?!\p{L}))\p{L}[\p{L}\p{M}]*+)*+"
     first = rf"(?<!\p{{L}})(?=\p{{Lu}})(?:{given})(?= {word})"
     last = rf"(?=\p{{Lu}})(?<=(?<!\p{{L}})(?:{given}) |(?<!\p{{L}})(?:{titles})\.? ){word}"
+    # behind a cue stand up to three words of a name
+    part, cue = r"\p{Lu}[\p{L}'’-]{1,40} ", rf"(?<!\p{{L}})(?i:{CUES})\s{{1,3}}"
+    cued = rf"(?=\p{{Lu}})(?:(?<={cue})|(?<={cue}{part})|(?<={cue}{part}{part})){word}"
     numbers = rf"(?<![\w.+@-])(?=[+(\d])(?:{_PHONE}|{_SSN}|{_IP}|{_CARD})(?![\w@]|[.-]\d)"
+    coded = rf"(?<![\w:.])(?:(?=[0-9A-Fa-f]{{1,4}}:)(?:{_IP6})(?![\w:])|(?=[A-Z]{{2}}\d{{2}})(?:{_IBAN})(?![0-9A-Za-z]))"
+    formed = rf"(?<![0-9A-Za-z_])(?=AKIA|ASIA|gh|eyJ)(?:{_FORMED})"
     email = rf"(?<![A-Za-z0-9._%+-])(?=[A-Za-z0-9]){_EMAIL}"
     secret = rf"(?<![0-9A-Za-z_+/-])(?=[0-9A-Za-z_+/.-]{{16}}){_SECRET_BEFORE}{_SECRET}"
     password = rf"(?<=[=:\s\"'])(?=[^\s\"'<>]){_PASSWORD_BEFORE}{_PASSWORD}"
     maybe = (
-        rf"@|\d[\d ().-]{{5,}}\d|(?i:token|secret|passw|api.?key|access_key)|(?<!\p{{L}})(?=\p{{Lu}})(?:{titles}|{given})\.? \p{{Lu}}"
+        rf"@|\d[\d ().-]{{5,}}\d|(?i:token|secret|passw|api.?key|access.?key|bearer|{CUES})|AKIA|ASIA|gh[pousr]_|eyJ|[0-9A-Fa-f]:[0-9A-Fa-f:]{{1,4}}:|[A-Z]{{2}}\d\d ?[0-9A-Z]{{4}}|(?<!\p{{L}})(?=\p{{Lu}})(?:{titles}|{given})\.? \p{{Lu}}"
     )
-    return maybe, rf"{email}|({password}|{secret})|{numbers}|{first}|{last}"
+    return maybe, rf"{email}|({password}|{secret}|{formed})|{coded}|{numbers}|{first}|{last}|{cued}"
 
 
 MAYBE, ENTITY = _patterns()
@@ -79,6 +98,25 @@ def _digits(raw: Column) -> Column:
     return F.regexp_replace(raw, r"\D", "")
 
 
+def _mod97(text: Column) -> Column:
+    """Digits and capitals as one number (A is 10), modulo 97."""
+    digit = lambda c: F.when(c.rlike("[0-9]"), c.cast("int")).otherwise(F.ascii(c) - 55)
+    return F.aggregate(
+        F.filter(F.split(text, ""), lambda c: c != ""),
+        F.lit(0),
+        lambda sum_, c: ((sum_ * F.when(digit(c) < 10, 10).otherwise(100) + digit(c)) % 97).cast("int"),
+    )
+
+
+def _plain(raw: Column) -> Column:
+    return F.replace(raw, F.lit(" "))
+
+
+def _iban_rest(value: Column, checks: Column) -> Column:
+    """What the check of an account number is over: its country and check digits go last."""
+    return F.concat(F.substring(value, F.lit(5), F.length(value)), F.substring(value, 1, 2), checks)
+
+
 def kind_of(raw: Column, secret: Column) -> Column:
     """Type of a match, null if it is a number that a check says to be none.
 
@@ -88,6 +126,8 @@ def kind_of(raw: Column, secret: Column) -> Column:
     octets = F.transform(F.split(raw, r"\."), lambda o: o.cast("int"))
     kind = F.when(secret, F.lit("secret")).when(whole(_EMAIL), F.lit("email"))
     kind = kind.when(whole(_IP), F.when(F.forall(octets, lambda o: o < 256), F.lit("ip")))
+    kind = kind.when(whole(_IP6), F.lit("ip6"))
+    kind = kind.when(whole(_IBAN), F.when(_mod97(_iban_rest(_plain(raw), F.substring(_plain(raw), 3, 2))) == 1, F.lit("iban")))
     kind = kind.when(whole(_SSN), F.lit("ssn"))
     kind = kind.when(whole(_PHONE) & F.length(_digits(raw)).between(9, 15), F.lit("phone"))
     # issuers begin with 2 to 6, and the last digit is a check digit
@@ -105,6 +145,8 @@ def _normal(kind: Column, raw: Column) -> Column:
     return (
         F.when(kind == "email", F.lower(raw))
         .when(kind.isin("phone", "card", "ssn"), _digits(raw))
+        .when(kind == "iban", _plain(raw))
+        .when(kind == "ip6", F.lower(raw))
         .otherwise(raw)
     )
 
@@ -145,9 +187,21 @@ def _draw(kind: Column, value: Column, attempt: Column, key: str) -> Column:
     code = F.greatest(F.lit(0), size - 10)
     phone = F.when(
         size >= 10,
-        F.concat(F.substring(value, F.lit(1), code), one_of("23456789", F.lit(1)), one_of("0123456789", F.lit(2)), one_of("0123456789", F.lit(3)), F.lit("555"), run(F.lit(4), lambda i: digit(i + 3))),
+        F.concat(
+            F.substring(value, F.lit(1), code),
+            one_of("23456789", F.lit(1)),
+            digit(F.lit(2)),
+            digit(F.lit(3)),
+            F.when(attempt < DRAWS, F.lit("555")).otherwise(run(F.lit(3), lambda i: digit(i + 7))),
+            run(F.lit(4), lambda i: digit(i + 3)),
+        ),
     ).otherwise(F.concat(one_of("23456789", F.lit(0)), run(size - 1, digit)))
-    ssn = F.concat(F.lit("9"), run(size - 1, digit))
+    ssn = F.concat(F.when(attempt < DRAWS, F.lit("9")).otherwise(digit(F.lit(0))), run(size - 1, digit))
+    ip6 = F.concat(F.when(value.rlike("^[0-9a-f]{4}:"), F.lit("fd")).otherwise(F.lit("")), alike(F.when(value.rlike("^[0-9a-f]{4}:"), F.substring(value, F.lit(3), size)).otherwise(value), F.lit(True)))
+    account = alike(F.substring(value, F.lit(5), size), F.lit(False))
+    account = F.concat(F.substring(value, 1, 2), F.lit("00"), account)
+    checks = F.lpad((98 - _mod97(_iban_rest(account, F.lit("00")))).cast("string"), 2, "0")
+    iban = F.concat(F.substring(value, 1, 2), checks, F.substring(account, F.lit(5), size))
     start = F.concat(F.substring(value, 1, 1), run(F.greatest(size - 2, F.lit(1)), digit))
     card = F.concat(
         start, F.element_at(F.filter(F.array(*[F.lit(str(d)) for d in range(10)]), lambda d: F.call_function("luhn_check", F.concat(start, d))), 1)
@@ -167,7 +221,7 @@ def _draw(kind: Column, value: Column, attempt: Column, key: str) -> Column:
             name = F.concat(name, F.regexp_extract(value, "(ова|ева|ина|ская|ов|ев|ин|ский)$", 1))
         made[script] = name
     result = F.when(kind == "email", email).when(kind == "phone", phone).when(kind == "card", card)
-    result = result.when(kind == "ip", ip).when(kind == "ssn", ssn)
+    result = result.when(kind == "ip", ip).when(kind == "ssn", ssn).when(kind == "ip6", ip6).when(kind == "iban", iban)
     for script, name in made.items():
         result = result.when(kind == f"family-{script}", name)
     for kind_name, names in GIVEN.items():
@@ -187,6 +241,9 @@ def _written(kind: Column, raw: Column, surrogate: Column) -> Column:
     )
     return (
         F.when(kind.isin("phone", "card", "ssn"), filled)
+        # groups of four as the match has them
+        .when((kind == "iban") & raw.contains(" "), F.rtrim(F.regexp_replace(surrogate, "(.{4})", "$1 ")))
+        .when((kind == "ip6") & (raw == F.upper(raw)), F.upper(surrogate))
         .when((kind == "email") & (raw == F.upper(raw)), F.upper(surrogate))
         .otherwise(surrogate)
     )
@@ -196,14 +253,16 @@ def assign(entities: DataFrame, key: str) -> DataFrame:
     """``(kind, value, surrogate)`` for the distinct ``(kind, value)``, without collisions.
 
     Given names are moved along a keyed ring of their list, which has no collisions but reuses
-    names that occur; all other surrogates differ from each other and from every entity.
+    names that occur; all other surrogates differ from each other and from every entity. Where a
+    space is used up (numbers of one length and country, say), what is left after three
+    times ``DRAWS`` draws exchanges its values, which differ from all other surrogates.
     """
     values = entities.select("kind", "value").distinct()
     rings = F.col("kind").isin(*GIVEN)
     done = values.filter(rings).withColumn("surrogate", _draw(F.col("kind"), F.col("value"), F.lit(0), key))
     taken = stored(values.filter(~rings), "entities")
     todo, attempt = taken, 0
-    while not todo.isEmpty():
+    while attempt < 3 * DRAWS and not todo.isEmpty():
         drawn = todo.withColumn("surrogate", _draw(F.col("kind"), F.col("value"), F.lit(attempt), key))
         free = drawn.join(
             taken.select("kind", F.col("value").alias("surrogate")), ["kind", "surrogate"], "left_anti"
@@ -213,7 +272,31 @@ def assign(entities: DataFrame, key: str) -> DataFrame:
         done = done.unionByName(won)
         todo = stored(todo.join(won, ["kind", "value"], "left_anti"), "entities")
         attempt += 1
-    return done
+    if todo.isEmpty():
+        return done
+    return done.unionByName(_exchanged(todo, key))
+
+
+#: Parts that what is left is dealt to; a bound on no more than how many tasks work at it.
+_PARTS = 1 << 10
+
+
+def _exchanged(left: DataFrame, key: str) -> DataFrame:
+    """Entities of an exhausted space exchange their values along keyed rings.
+
+    No surrogate is an entity of the table, so the values of what is left are free. Entities of a
+    ring are of one kind, length and beginning; a lone one gets its digits and letters turned by one.
+    """
+    order = F.sha2(F.concat_ws("|", F.lit(key), "kind", "value"), 256)
+    alike = [F.col("kind"), F.length("value").alias("size"), F.substring("value", 1, 1).alias("start")]
+    ring = Window.partitionBy("kind", "size", "start", "part").orderBy("order")
+    size = left.groupBy(*alike).agg(F.ceil(F.count("*") / 4096).alias("parts"))
+    dealt = left.select("*", *alike[1:], order.alias("order")).join(size, ["kind", "size", "start"])
+    dealt = dealt.withColumn("part", F.pmod(F.xxhash64("order"), F.least("parts", F.lit(_PARTS)))).select(
+        "kind", "value", F.coalesce(F.lead("value").over(ring), F.first("value").over(ring)).alias("next")
+    )
+    turned = F.translate("value", "0123456789abcdefghijklmnopqrstuvwxyz", "1234567890bcdefghijklmnopqrstuvwxyza")
+    return dealt.select("kind", "value", F.when(F.col("next") == F.col("value"), turned).otherwise(F.col("next")).alias("surrogate"))
 
 
 def with_surrogates(docs: DataFrame, key: str) -> DataFrame:
