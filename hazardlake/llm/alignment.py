@@ -42,7 +42,7 @@ from tokenizers import Tokenizer
 from hazardlake.llm.common import slices, stored, texts_of
 
 #: Bytes of text in a slice, and runs that a slice is cut into.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 RADIXES = 16
 #: Packed bytes that a group of runs has on average.
 GROUP_BYTES = 8 << 20
