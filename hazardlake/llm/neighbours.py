@@ -22,10 +22,74 @@ from hazardlake.llm.common import stored
 SHARD = 8192
 BLOCK = 1024
 WIDTH = 12
-BREADTH_BUILD = 64
+#: Near nodes that the links of a node are chosen from, and nodes that are joined at a time.
+FOUND_BUILD = 48
+JOINED = 512
 BREADTH_SEARCH = 160
 
 
+def _spread(units: np.ndarray, scores: np.ndarray, nodes: np.ndarray, most: int) -> np.ndarray:
+    """For rows of nodes (-1 for none, best first): near ones, but none that is nearer to a chosen one than
+    to the row's centre; then the nearest of the rest."""
+    n, width = nodes.shape
+    near = units[np.maximum(nodes, 0)]
+    among = near @ near.transpose(0, 2, 1)
+    there = nodes >= 0
+    blocked = np.full((n, width), -2.0)
+    kept = np.zeros((n, width), bool)
+    for k in range(width):
+        take = there[:, k] & (kept.sum(1) < most) & (blocked[:, k] < scores[:, k])
+        kept[:, k] = take
+        blocked = np.where(take[:, None], np.maximum(blocked, among[:, k]), blocked)
+    # chosen ones first, then others in their order, then nothing
+    order = np.argsort(np.where(kept, 0, np.where(there, 1, 2)), axis=1, kind="stable")[:, :most]
+    return np.take_along_axis(nodes, order, 1)
+
+
+def _join(units: np.ndarray, members: np.ndarray, done: int, upto: int, links: np.ndarray, found: int) -> None:
+    """Link ``members[done:upto]`` with near ones of ``members[:upto]``, both ways."""
+    known = units[members[:upto]]
+    some = min(found, upto - 1)
+    for first in range(done, upto, JOINED):
+        at = np.arange(first, min(first + JOINED, upto))
+        scores = units[members[at]] @ known.T
+        scores[np.arange(len(at)), at] = -3.0
+        near = np.argpartition(-scores, some - 1, axis=1)[:, :some]
+        near = np.sort(near, axis=1)  # ties in order of the nodes
+        order = np.argsort(-np.take_along_axis(scores, near, 1), axis=1, kind="stable")
+        near = np.take_along_axis(near, order, 1)
+        chosen = _spread(units, np.take_along_axis(scores, near, 1), members[near], WIDTH)
+        links[members[at], : chosen.shape[1]] = chosen
+    new = members[done:upto]
+    ends = links[new][:, :WIDTH]
+    target, source = ends.ravel(), np.repeat(new, ends.shape[1])
+    source, target = source[target >= 0], target[target >= 0]
+    # what a node has already and what comes to it, once each, best first
+    own = np.unique(target)
+    have = links[own]
+    target = np.concatenate((target, np.repeat(own, have.shape[1])))
+    source = np.concatenate((source, have.ravel()))
+    target, source = target[source >= 0], source[source >= 0]
+    pairs = np.unique(target.astype(np.int64) * len(units) + source)
+    target, source = pairs // len(units), pairs % len(units)
+    scores = np.einsum("ij,ij->i", units[target], units[source])
+    order = np.lexsort((source, -scores, target))
+    target, source, scores = target[order], source[order], scores[order]
+    start = np.searchsorted(target, own)
+    place = np.arange(len(target)) - start[np.searchsorted(own, target)]
+    # of a node that very many come to, the nearest ones compete
+    width = min(int(place.max()) + 1, 3 * links.shape[1])
+    inside = place < width
+    nodes, values = np.full((len(own), width), -1), np.full((len(own), width), -3.0)
+    row = np.searchsorted(own, target[inside])
+    nodes[row, place[inside]], values[row, place[inside]] = source[inside], scores[inside]
+    for first in range(0, len(own), JOINED):
+        rows = slice(first, first + JOINED)
+        chosen = _spread(units, values[rows], nodes[rows], links.shape[1])
+        links[own[rows]] = -1
+        links[own[rows], : chosen.shape[1]] = chosen
+
+
 class Graph:
     """Layered graph over unit vectors; the lowest layer has twice the width."""
 
@@ -35,55 +99,25 @@ class Graph:
         self.round = 0
 
     @classmethod
-    def build(cls, units: np.ndarray, lots: np.ndarray, breadth: int = BREADTH_BUILD) -> Graph:
-        """``lots`` in (0, 1] draw the levels, so that a repeated task builds the same graph."""
+    def build(cls, units: np.ndarray, lots: np.ndarray, found: int = FOUND_BUILD) -> Graph:
+        """``lots`` in (0, 1] draw the levels, so that a repeated task builds the same graph.
+
+        Nodes come in rounds, each as many as all before it. Every node of a round is linked with
+        near ones among those so far, by one product of matrices for a block of nodes, and they with
+        it: so early nodes keep the long links that later walks begin with.
+        """
         levels = np.minimum((-np.log(lots) / np.log(WIDTH)).astype(np.int64), 8)
-        layers = [np.full((len(units), WIDTH * (2 if l == 0 else 1)), -1, np.int32) for l in range(int(levels.max()) + 1)]
-        graph = cls(units, levels, layers, 0)
-        for node in range(1, len(units)):
-            graph._insert(node, breadth)
-        return graph
-
-    def _insert(self, node: int, breadth: int) -> None:
-        vector, level, top = self.units[node], int(self.levels[node]), int(self.levels[self.entry])
-        at = [(float(vector @ self.units[self.entry]), self.entry)]
-        for layer in range(top, level, -1):
-            at = self._walk(vector, at, 1, layer)
-        for layer in range(min(level, top), -1, -1):
-            at = self._walk(vector, at, breadth, layer)
-            links = self.layers[layer]
-            chosen = self._spread(sorted(at, reverse=True), WIDTH)
-            links[node, : len(chosen)] = chosen
-            for other in chosen:
-                self._link(other, node, links)
-        if level > top:
-            self.entry = node
-
-    def _spread(self, found: list[tuple[float, int]], most: int) -> list[int]:
-        """Near nodes, but none that is nearer to a chosen one than to the centre; then the nearest rest."""
-        nodes = np.array([n for _, n in found])
-        near = self.units[nodes]
-        among = near @ near.T
-        blocked = np.full(len(found), -2.0)
-        kept, rest = [], []
-        for k, (score, _) in enumerate(found):
-            if len(kept) < most and blocked[k] < score:
-                kept.append(k)
-                np.maximum(blocked, among[k], out=blocked)
-            else:
-                rest.append(k)
-        return nodes[kept + rest[: most - len(kept)]].tolist()
-
-    def _link(self, node: int, new: int, links: np.ndarray) -> None:
-        row = links[node]
-        free = np.flatnonzero(row < 0)
-        if len(free):
-            row[free[0]] = new
-            return
-        others = np.append(row, new)
-        scores = self.units[others] @ self.units[node]
-        order = np.argsort(-scores, kind="stable")
-        row[:] = self._spread([(float(scores[k]), int(others[k])) for k in order], len(row))
+        layers = []
+        for layer in range(int(levels.max()) + 1):
+            members = np.flatnonzero(levels >= layer)
+            links = np.full((len(units), WIDTH * (2 if layer == 0 else 1)), -1, np.int32)
+            done = 1
+            while done < len(members):
+                upto = min(2 * done, len(members))
+                _join(units, members, done, upto, links, found)
+                done = upto
+            layers.append(links)
+        return cls(units, levels, layers, int(np.argmax(levels)))
 
     def _walk(self, vector: np.ndarray, at: list[tuple[float, int]], breadth: int, layer: int) -> list[tuple[float, int]]:
         """Up to ``breadth`` nearest nodes that a best-first walk from ``at`` meets."""
@@ -116,10 +150,13 @@ class Graph:
         return best
 
     def search(self, vector: np.ndarray, k: int, breadth: int = BREADTH_SEARCH) -> list[int]:
+        """The nearest nodes that a walk meets, twice ``k`` of them; of all nodes if it meets too few."""
         at = [(float(vector @ self.units[self.entry]), self.entry)]
         for layer in range(len(self.layers) - 1, 0, -1):
             at = self._walk(vector, at, 1, layer)
         at = self._walk(vector, at, max(breadth, 2 * k), 0)
+        if len(at) < min(2 * k, len(self.units)):
+            at = list(zip((self.units @ vector).tolist(), range(len(self.units)), strict=True))
         return [n for _, n in heapq.nlargest(2 * k, at)]
 
 
@@ -249,6 +286,9 @@ def search(
         queries.select(F.col("vec_id").alias("query_id"), F.col("entry").alias("query"))
         .join(merged, "query")
         .filter("vec_id <> query_id")
+        # an id that has several vectors counts with its best
+        .groupBy("query_id", "vec_id")
+        .agg(F.max("score").alias("score"))
         .withColumn("rank", F.row_number().over(nearest))
         .filter(F.col("rank") <= k)
         .select("query_id", "rank", "vec_id", "score")
@@ -261,7 +301,7 @@ def nearest_neighbours(vectors: DataFrame, chosen, k: int = 5) -> DataFrame:
     ``vectors`` has ``vec_id`` and ``embedding``. Rows with a null id, and vectors that are null,
     empty, zero or hold a null or non-finite component take no part. A query meets vectors of
     its own length only. Ties go to the least ``vec_id``; a query with fewer candidates gets
-    all. Repeated rows count once. Other columns are ignored; an empty table gives an empty result.
+    all. Repeated rows count once, and an id that has several vectors counts with its best score. Other columns are ignored; an empty table gives an empty result.
     """
     rows = usable(vectors)
     index = build_index(rows, k)

@@ -47,6 +47,32 @@ def test_op9_recall(spark):
     assert met >= 0.9 * 5 * len(got)
 
 
+def test_an_id_of_several_vectors_comes_once(spark):
+    rows = [(50, [1.0, 0.0]), (50, [0.0, 1.0]), (1, [1.0, 0.1]), (2, [0.1, 1.0]), (2, [1.0, 0.05])]
+    got = neighbours.nearest_neighbours(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") == 50).collect()
+    assert sorted((r["rank"], r.vec_id) for r in got) == [(1, 2), (2, 1)]
+
+
+def test_graphs_reach_every_cluster():
+    """Tight clusters far from each other: walks end in the right one."""
+    rng = np.random.default_rng(9)
+    centres = rng.normal(size=(40, 16))
+    vectors = np.concatenate([c + 0.01 * rng.normal(size=(50, 16)) for c in centres])
+    units = neighbours._units(vectors[rng.permutation(len(vectors))])
+    graph = neighbours.Graph.build(units, (rng.integers(0, 2**53, len(units)) + 1) / 2.0**53)
+    assert all((links.max() < len(units)) and not (links == np.arange(len(units))[:, None]).any() for links in graph.layers)
+    near = np.argsort(-(units @ units[:200].T), axis=0)[:6].T
+    met = [len(set(graph.search(units[q], 6)[:6]) & set(near[q].tolist())) for q in range(200)]
+    assert sum(met) >= 0.95 * 6 * 200
+
+
+def test_a_walk_that_meets_too_few_looks_at_all():
+    units = neighbours._units(np.random.default_rng(1).normal(size=(30, 4)))
+    graph = neighbours.Graph.build(units, np.full(30, 0.5))
+    graph.layers[0][:] = -1
+    assert graph.search(units[3], 5) == np.argsort(-(units @ units[3]), kind="stable")[:10].tolist()
+
+
 def test_recall_over_several_shards(spark):
     rng = np.random.default_rng(4)
     rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(1500, 24)))]
