@@ -13,7 +13,7 @@ The vocabulary comes from a model file whose path is a parameter; its bytes are
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import cache
 
 import numpy as np
@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hazardlake.llm.common import slices, span_hashes
+from hazardlake.llm.common import slices, span_hashes, texts_of
 
 MARK = "▁"
 _MARK = ord(MARK)
@@ -325,19 +325,23 @@ def _vocabulary(model: bytes) -> Vocabulary:
     return Vocabulary(model)
 
 
-def encode_texts(docs: DataFrame, model: str, *, check: str = "segments", round_trip: bool = False) -> DataFrame:
-    """``(row, ids)`` for each row of ``docs``: all columns as they were, and the ids with an end id.
+def encode_texts(
+    docs: DataFrame, model: str, *, check: str = "segments", round_trip: bool = False, keep: Sequence[str] | None = None
+) -> DataFrame:
+    """``(row, ids)`` for each row of ``docs``: the columns in ``keep`` (all by default) as they were, and the ids
+    with an end id.
 
     ``model`` is a path to a model file on the driver. ``check`` is ``"segments"`` (every
     distinct segment of a slice is also encoded by the library), ``"texts"`` (every text is) or
     empty; a difference fails the job. With ``round_trip`` a column ``decoded`` holds what the
     library's decoder makes of the ids. A null or empty text has the end id only and decodes to
-    the empty text. Repeated rows are encoded each; an empty table gives an empty result.
+    the empty text; bytes that are no UTF-8 count as U+FFFD. Repeated rows are encoded each; an
+    empty table gives an empty result.
     """
     with open(model, "rb") as f:
         proto = docs.sparkSession.sparkContext.broadcast(f.read())
     whole = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text").cast("string").alias("text")
+        F.struct(*[F.col(f"`{c}`") for c in keep or docs.columns]).alias("row"), F.col("text").cast("string").alias("text")
     )
     fields = [T.StructField("row", whole.schema["row"].dataType), T.StructField("ids", T.ArrayType(T.IntegerType()))]
     if round_trip:
@@ -347,7 +351,7 @@ def encode_texts(docs: DataFrame, model: str, *, check: str = "segments", round_
         vocabulary = _vocabulary(proto.value)
         end = np.array([vocabulary.library.eos_id()], np.int32)
         for batch in slices(batches, size=2 << 20):
-            texts = [t or "" for t in batch.column("text").to_pylist()]
+            texts = [t.decode("utf-8", "replace") for t in texts_of(batch)]
             ids = [np.concatenate((i, end)) for i in vocabulary.encode(texts, check)]
             columns = [batch.column("row"), pa.array(ids, pa.list_(pa.int32()))]
             if round_trip:

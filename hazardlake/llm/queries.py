@@ -50,7 +50,7 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     docs = _documents(spark, sf_dir).select("doc_id", "text")
-    encoded = encode_texts(docs, public_tokenizers.path("piece_bpe_32k.model"), round_trip=True)
+    encoded = encode_texts(docs, public_tokenizers.path("piece_bpe_32k.model"), round_trip=True, keep=["doc_id"])
     return encoded.select(
         "row.doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

@@ -191,7 +191,8 @@ def _cutter(sentences: int, least: int, enough: int):
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("row"),
-                    pa.array([None if n else t.decode() for n, (t, _) in zip(nulls, done, strict=True)], pa.string()),
+                    # bytes as they stand, whether they are UTF-8 or not
+                    pa.array([None if n else t for n, (t, _) in zip(nulls, done, strict=True)], pa.binary()).view(pa.string()),
                     pa.array([len(e) for e in spans.ends], pa.int32()),
                     pa.array([c for _, c in done], pa.int32()),
                 ],

@@ -651,3 +651,15 @@ def test_used_up_numbers_end(spark, monkeypatch):
     assert {(r.kind, r.value) for r in rows} == set(entities)
     assert all(r.value != r.surrogate for r in rows)
     assert len({r.surrogate for r in rows if r.kind == "ssn"}) == 10
+
+
+def test_bytes_that_are_no_text(spark):
+    """Rows whose bytes are not UTF-8 pass through without an error and without a change."""
+    passage = "".join(f"A sentence of a passage with number {k}. " for k in range(9))
+    docs = spark.sql(f"SELECT 1L AS doc_id, CAST(X'61FF2062' AS STRING) AS text UNION ALL SELECT 2L, concat('{passage}', CAST(X'FE2E20' AS STRING), 'end') UNION ALL SELECT 3L, '{passage}'")
+    ids = {r.row.doc_id: r.ids for r in pieces.encode_texts(docs, MODEL, keep=["doc_id"]).collect()}
+    library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    assert ids[1][:-1] == library.encode("a� b")
+    cut = {r.id: r.kept for r in span_dedup.without_repeats(docs).selectExpr("row.doc_id AS id", "hex(CAST(kept_text AS BINARY)) AS kept").collect()}
+    assert cut[1] == "61FF2062" and cut[2].endswith("FE2E20656E64") and cut[3] == ""
+    assert near_dedup.near_groups(docs).count() == 3
