@@ -45,16 +45,18 @@ GLANCE = 128
 #: Values that a level of frequent ones may hold, bits of its filter, and the least frequent of them.
 FREQUENT = 1 << 20
 BITS = 1 << 24
-OFTEN = 8
-#: Each level is so many times as frequent as the one before it.
-LEVELS = (1, 8, 64)
+OFTEN = 4
+#: How many times as frequent each level is as the first.
+LEVELS = (1, 4, 16, 64, 256)
 #: Which of the smallest values of a sketch make a seed together.
 SEEDS = ((0, 1), (2, 3), (0, 2), (1, 3))
 #: Lists up to this size are compared at once; pivots of longer ones, and how their number grows.
-SMALL = 16
+SMALL = 256
 GROWTH = 32
 #: Bytes of text that a worker makes sets of at a time.
 SLICE = 1 << 19
+#: Pairs of lists that a worker looks at in one step.
+PAIRS = 1 << 18
 #: A sketch that holds any set whole.
 WHOLE = 1 << 30
 
@@ -98,34 +100,33 @@ def set_key(values: np.ndarray) -> int | None:
         return int((mix(both[:1], len(v)) ^ both[1:]).view(np.int64)[0])
 
 
-_KEYS = "doc_id long, text_hash long, n_shingles long, cls long, firsts array<long>"
+_KEYS = "doc_id long, text_hash long, n_shingles long, cls long, sketch array<long>, seeds array<long>"
 
 
-def _keyed(words: int, k: int, similarity: float, deviations: float):
-    """Rows (doc_id, n_shingles, cls) of the documents, with the first values of their sketches."""
+def _keyed(words: int, k: int):
+    """Rows (doc_id, n_shingles, cls) of the documents, with their sketches and seeds."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, size=SLICE):
             sets = list(shingle_sets(texts_of(batch), words))
-            firsts = [s[: _kept(s, k, similarity, deviations)] for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
                     batch.column("text_hash"),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([set_key(s) for s in sets], pa.int64()),
-                    pa.array(firsts, pa.list_(pa.int64())),
+                    pa.array([s[:k] for s in sets], pa.list_(pa.int64())),
+                    pa.array([_seeds(s) if len(s) else s for s in sets], pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "text_hash", "n_shingles", "cls", "firsts"],
+                names=["doc_id", "text_hash", "n_shingles", "cls", "sketch", "seeds"],
             )
 
     return run
 
 
-def _kept(values: np.ndarray, k: int, similarity: float, deviations: float) -> int:
-    """How many values of a set's sketch a similar set meets at least one of, in any order."""
-    n = len(values)
-    return min(n, k) - int(_least(np.array([n]), k, similarity, deviations)[0]) + 1 if n else 0
+def _kept(n: int, k: int, similarity: float, deviations: float) -> int:
+    """Of how many values of the sketch of ``n`` shingles a similar set has at least one, in any order."""
+    return min(n, k) - int(_least(np.array([n]), k, similarity, deviations)[0]) + 1
 
 
 def _least(n: np.ndarray, k: int, similarity: float, deviations: float) -> np.ndarray:
@@ -156,37 +157,33 @@ def _seeds(values: np.ndarray) -> np.ndarray:
         return np.array([mix(v[i : i + 1], 31) + mix(v[j : j + 1], 37) for i, j in chosen], np.uint64).ravel().view(np.int64)
 
 
-def _poster(words: int, k: int, similarity: float, deviations: float, levels):
-    """Texts to the postings of the first values of their sketches, frequent ones last, and of their seeds."""
+def _poster(k: int, similarity: float, deviations: float, levels):
+    """Sketches to the postings of their first values, frequent ones last."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, size=SLICE):
-            values, classes, sizes, rests, seeds = [], [], [], [], []
-            for s in shingle_sets(texts_of(batch), words):
-                if not len(s):
-                    continue
-                v = s[:k]
-                kept = _kept(s, k, similarity, deviations)
+        for batch in batches:
+            values, classes, sizes, rests = [], [], [], []
+            rows = zip(*(batch.column(c).to_pylist() for c in ("cls", "n_shingles")), batch.column("sketch"), strict=True)
+            for name, n, sketch in rows:
+                v = sketch.values.to_numpy()
+                kept = _kept(n, k, similarity, deviations)
                 slot = v & (BITS - 1)
                 level = sum(((m[slot >> 6] >> (slot & 63)) & 1 for m in levels.value), np.zeros(len(v), np.int64))
-                start = _seeds(s)
-                values += [v[np.lexsort((v, level))[:kept]], start]
-                classes.append(np.full(kept + len(start), set_key(s), np.int64))
-                sizes.append(np.full(kept + len(start), len(s), np.int64))
-                rests += [np.arange(len(v), len(v) - kept, -1), np.zeros(len(start), np.int64)]
-                seeds.append(np.arange(kept + len(start)) >= kept)
+                values.append(v[np.lexsort((v, level))[:kept]])
+                classes.append(np.full(kept, name, np.int64))
+                sizes.append(np.full(kept, n, np.int64))
+                rests.append(np.arange(len(v), len(v) - kept, -1))
             if values:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(x)) for x in (values, classes, sizes, rests, seeds)],
-                    names=["value", "cls", "n", "rest", "seed"],
+                    [pa.array(np.concatenate(x)) for x in (values, classes, sizes, rests)], names=["value", "cls", "n", "rest"]
                 )
 
     return run
 
 
-def _levels(firsts: DataFrame, folder: str) -> list[np.ndarray]:
-    """Filters of the values that stand often among the first ones of sketches, each a level rarer than the next."""
-    counts = firsts.groupBy("value").agg(F.count("*").alias("n")).filter(F.col("n") >= OFTEN)
+def _levels(values: DataFrame, folder: str) -> list[np.ndarray]:
+    """Filters of the values that many sketches retain, each level rarer than the next."""
+    counts = values.groupBy("value").agg(F.count("*").alias("n")).filter(F.col("n") >= OFTEN)
     counts = stored(counts, "frequent", folder)
     # one row for each power of two
     tally = {r.power: r["count"] for r in counts.groupBy(F.floor(F.log2("n")).alias("power")).count().collect()}
@@ -282,22 +279,18 @@ def near_groups(
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     hashed = texts.withColumn("text_hash", F.xxhash64("text"))
     folder = scratch_path(spark, "near")
-    rows = stored(hashed.mapInArrow(_keyed(words, k, similarity, deviations), _KEYS), "classes")
-    keyed = rows.drop("firsts")
+    rows = stored(hashed.mapInArrow(_keyed(words, k), _KEYS), "classes", folder)
+    keyed = stored(rows.drop("sketch", "seeds"), "keyed")
     classes = keyed.filter("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("least"))
 
-    levels = _levels(rows.select(F.explode("firsts").alias("value")), folder)
-    poster = _poster(words, k, similarity, deviations, spark.sparkContext.broadcast(levels))
-    postings = stored(texts.mapInArrow(poster, "value long, cls long, n long, rest long, seed boolean"), "postings", folder)
+    levels = _levels(rows.filter("cls IS NOT NULL").select(F.explode("sketch").alias("value")), folder)
+    poster = _poster(k, similarity, deviations, spark.sparkContext.broadcast(levels))
+    sketches = rows.filter("cls IS NOT NULL").select("cls", "n_shingles", "sketch")
+    postings = stored(sketches.mapInArrow(poster, "value long, cls long, n long, rest long"), "postings", folder)
     shared = (
-        postings.filter("NOT seed")
-        .groupBy("value")
-        .agg(F.min("cls").alias("low"), F.max("cls").alias("high"))
-        .filter("low < high")
-        .select("value")
+        postings.groupBy("value").agg(F.min("cls").alias("low"), F.max("cls").alias("high")).filter("low < high").select("value")
     )
-    lists = postings.filter("NOT seed").drop("seed").join(shared, "value", "left_semi").dropDuplicates(["value", "cls"])
-    lists = stored(lists, "lists", folder)
+    lists = stored(postings.join(shared, "value", "left_semi").dropDuplicates(["value", "cls"]), "lists", folder)
 
     glance = 0 if exact else min(GLANCE, k)
     # ids that stand in several rows
@@ -320,7 +313,7 @@ def near_groups(
         likely = pairs if exact else stored(_likely(pairs, sets, similarity, deviations, glance), "likely", folder)
         return stored(_confirmed(likely, sets, similarity), "links", folder)
 
-    labels = _joined(None, linked(_seed_pairs(postings, similarity, folder)), folder)
+    labels = _joined(None, linked(_seed_pairs(rows, similarity, folder)), folder)
     chance = GROWTH
     while True:
         marked = _marked(lists, labels, chance, folder)
@@ -352,9 +345,9 @@ def near_groups(
     )
 
 
-def _seed_pairs(postings: DataFrame, similarity: float, folder: str) -> DataFrame:
+def _seed_pairs(rows: DataFrame, similarity: float, folder: str) -> DataFrame:
     """Each text with the least one of its seeds' lists; no list is expanded."""
-    seeds = postings.filter("seed").select("value", "cls", "n").distinct()
+    seeds = rows.filter("cls IS NOT NULL").select(F.explode("seeds").alias("value"), "cls", F.col("n_shingles").alias("n")).distinct()
     lows = seeds.groupBy("value").agg(F.min(F.struct("cls", "n")).alias("low"), F.max("cls").alias("high"))
     lows = lows.filter("low.cls < high").select("value", "low")
     near = F.least("n", "low.n") >= F.greatest("n", "low.n") * F.lit(similarity) - 1e-9
@@ -407,20 +400,85 @@ def _marked(lists: DataFrame, labels: DataFrame, chance: int, folder: str) -> Da
     return stored(named.join(sizes, "value").withColumn("pivot", pivot), "marked", folder)
 
 
+def _short(similarity: float, need):
+    """Pairs of the members of short lists; rows come in the order of the lists' first members.
+
+    What members of different components have in common, they have in many lists that mostly begin with
+    the same member: so a pair comes out about once.
+    """
+
+    def pairs_of(columns: dict[str, np.ndarray]) -> pa.RecordBatch:
+        value, size = columns["value"], len(columns["value"])
+        new = np.ones(size, bool)
+        new[1:] = (value[1:] != value[:-1]) | (columns["first"][1:] != columns["first"][:-1])
+        starts = np.flatnonzero(new)
+        ends = np.append(starts[1:], size)[np.cumsum(new) - 1]
+        found = np.zeros((0, 2), np.int64)
+        at = 0
+        while at < size:
+            # so many rows that their pairs fit into memory
+            counts = np.cumsum(ends[at:] - np.arange(at, size) - 1)
+            to = at + max(1, int(np.searchsorted(counts, PAIRS, "right")))
+            later = ends[at:to] - np.arange(at, to) - 1
+            left = np.repeat(np.arange(at, to), later)
+            right = left + 1 + np.arange(len(left)) - np.repeat(np.cumsum(later) - later, later)
+            n, m = columns["n"][left], columns["n"][right]
+            fits = (columns["label"][left] != columns["label"][right]) & (np.minimum(n, m) >= np.maximum(n, m) * similarity - 1e-9)
+            left, right, n, m = left[fits], right[fits], n[fits], m[fits]
+            fits = np.minimum(columns["rest"][left], columns["rest"][right]) >= need(n, m)
+            ends_of = np.stack((columns["cls"][left[fits]], columns["cls"][right[fits]]), 1)
+            found = np.unique(np.concatenate((found, np.sort(ends_of, 1))), axis=0)
+            at = to
+        return pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["pivot", "member"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            columns = {c: batch.column(c).to_numpy() for c in batch.schema.names}
+            if held is not None:
+                columns = {c: np.concatenate((held[c], x)) for c, x in columns.items()}
+            # lists of the last first member may go on
+            cut = int(np.flatnonzero(columns["first"] != columns["first"][-1])[-1:].sum()) + 1 if (columns["first"] != columns["first"][-1]).any() else 0
+            held = {c: x[cut:] for c, x in columns.items()}
+            if cut:
+                yield pairs_of({c: x[:cut] for c, x in columns.items()})
+        if held is not None:
+            yield pairs_of(held)
+
+    return run
+
+
+def _needed(n: np.ndarray, m: np.ndarray, k: int, similarity: float, deviations: float) -> np.ndarray:
+    """``_shared`` of arrays."""
+    met = (n + m) * (similarity / (1 + similarity))
+    most = np.maximum(n, m)
+    part = met / most
+    spread = np.maximum(0, part * (1 - part) * k * (1 - k / most))
+    with np.errstate(invalid="ignore"):
+        return np.where(most <= k, np.ceil(met - 1e-9), np.floor(part * k - deviations * np.sqrt(spread)))
+
+
 def _candidates(marked: DataFrame, k: int, similarity: float, deviations: float, folder: str) -> DataFrame:
     """Pairs ``(pivot, member)`` of different components that may be similar enough."""
-    chosen = marked.filter("pivot").select(
-        "value", *(F.col(c).alias(f"p_{c}") for c in ("cls", "n", "rest", "label"))
-    )
-    need = _shared(F.col("n"), F.col("p_n"), k, similarity, deviations)
-    members = marked.select(F.col("value").alias("at"), "cls", "n", "rest", "label", "pivot")
+    short = marked.filter(F.col("members") <= SMALL).select("first", "value", "cls", "n", "rest", "label")
+    need = lambda n, m: _needed(n, m, k, similarity, deviations)
+    dealt = short.repartition("first").sortWithinPartitions("first", "value", "cls")
+    short = dealt.mapInArrow(_short(similarity, need), "pivot long, member long")
+
+    long = marked.filter(F.col("members") > SMALL)
+    chosen = long.filter("pivot").select("value", *(F.col(c).alias(f"p_{c}") for c in ("cls", "n", "rest", "label")))
+    least = _shared(F.col("n"), F.col("p_n"), k, similarity, deviations)
+    members = long.select(F.col("value").alias("at"), "cls", "n", "rest", "label", "pivot")
     met = members.join(
         chosen,
         (F.col("at") == F.col("value"))
         & (F.col("label") != F.col("p_label"))
         & (~F.col("pivot") | (F.col("cls") > F.col("p_cls")))
         & (F.least("n", "p_n") >= F.greatest("n", "p_n") * F.lit(similarity) - 1e-9)
-        & (F.col("rest") >= need)
-        & (F.col("p_rest") >= need),
+        & (F.col("rest") >= least)
+        & (F.col("p_rest") >= least),
     )
-    return stored(met.select(F.col("p_cls").alias("pivot"), F.col("cls").alias("member")).distinct(), "pairs", folder)
+    pairs = short.unionByName(met.select(F.col("p_cls").alias("pivot"), F.col("cls").alias("member")))
+    return stored(pairs.distinct(), "pairs", folder)
