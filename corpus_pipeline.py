@@ -33,13 +33,22 @@ def _as_documents(rows: DataFrame, text: str | None = None) -> DataFrame:
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity model does not reject."""
+    """Documents that the toxicity model does not reject.
+
+    Null and empty texts are scored without evidence and stay; repeated rows are scored each, ties at the
+    threshold go. No documents give none, whatever their columns are called.
+    """
     scored = toxicity.score_documents(docs, toxicity_model(spark, sf_dir))
     return _as_documents(scored.filter(F.col("score") < toxicity.THRESHOLD))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, the one of least ``doc_id``."""
+    """One document of each group of near duplicates, the one of least ``doc_id``.
+
+    Null, empty and blank texts are linked with nothing and stay. Rows that repeat a ``doc_id`` and its
+    text stay or go together, other rows of that id by their own text; a group without any id stays.
+    No documents give none. Columns keep their names and values.
+    """
     dropped = near_groups(docs).filter("not kept").select("doc_id", "text_hash").distinct()
     dropped = stored(dropped, "dropped")
     same = docs["doc_id"].eqNullSafe(dropped["doc_id"]) & (F.xxhash64(docs["text"].cast("string")) == dropped["text_hash"])
@@ -48,19 +57,31 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without passages that an earlier document has; those that consist of nothing else go."""
+    """Documents without passages that an earlier document has; those that consist of nothing else go.
+
+    Null and empty texts stay, as do texts shorter than a span. Of equal passages the least ``doc_id``
+    has the first, a null id comes last; rows of one id count as one document. No documents give none.
+    """
     cut = without_repeats(docs)
     emptied = (F.col("removed") > 0) & (F.trim("kept_text") == "")
     return _as_documents(cut.filter(F.col("kept_text").isNull() | ~emptied), "kept_text")
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with surrogates for personal data."""
+    """Documents with surrogates for personal data.
+
+    Every row stays. Null stays null, texts without personal data stay as they are, copies are changed
+    alike, ``n_chars`` follows the text. No documents give none.
+    """
     return _as_documents(surrogates.with_surrogates(docs, SURROGATE_KEY), "masked")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Where the words of each document stand in the training sequences."""
+    """Where the words of each document stand in the training sequences.
+
+    Null, empty and blank texts take no room and have no row; texts longer than a sequence have several.
+    Repeated rows are packed each. No documents give no sequences.
+    """
     return packing.packed(docs, packing.word_count(F.col("text")))
 
 
