@@ -13,13 +13,15 @@ estimates their similarity, and the full sets decide.
   order, and what is left of both sketches from there on is at least as long. Both conditions
   are part of the join. The order puts frequent values last: how often each value stands among
   the first ones is counted exactly, and the most frequent ones, as many as a filter of fixed size
-  tells apart, make three levels. So boilerplate stays out of the lists, at any size.
+  tells apart, make five levels. So boilerplate stays out of the lists, at any size.
 * Seeds come first: texts that agree in two of their four smallest values are compared with one
   text of each such list. That links nearly all copies with a few pairs for each text.
 * What is linked is one component, named by one of its texts, and a list with a single component
   is finished without any pair. In the others texts of different components are compared: all
   of short lists, and of longer ones with growing numbers of pivots (32 times as many each
   round) until none is left. New links join the names of components, not all links again.
+* Pairs are verified in blocks of texts that occur together, cut into tiles of bounded size: the
+  set of a text is sent to its block once, however many pairs it stands in.
 """
 
 from __future__ import annotations
@@ -46,6 +48,9 @@ GLANCE = 128
 FREQUENT = 1 << 20
 BITS = 1 << 24
 OFTEN = 4
+#: Bits of the filter of values that several sketches retain, and the bits of a value that are counted.
+SEVERAL = 1 << 27
+KEY = (1 << 40) - 1
 #: How many times as frequent each level is as the first.
 LEVELS = (1, 4, 16, 64, 256)
 #: Which of the smallest values of a sketch make a seed together.
@@ -55,8 +60,10 @@ SMALL = 256
 GROWTH = 32
 #: Bytes of text that a worker makes sets of at a time.
 SLICE = 1 << 19
-#: Pairs of lists that a worker looks at in one step.
+#: Pairs of lists that a worker looks at in one step, and pairs of a tile.
 PAIRS = 1 << 18
+#: Shingles of the sets that meet in one tile, twice over.
+TILE = 1 << 20
 #: A sketch that holds any set whole.
 WHOLE = 1 << 30
 
@@ -157,22 +164,32 @@ def _seeds(values: np.ndarray) -> np.ndarray:
         return np.array([mix(v[i : i + 1], 31) + mix(v[j : j + 1], 37) for i, j in chosen], np.uint64).ravel().view(np.int64)
 
 
-def _poster(k: int, similarity: float, deviations: float, levels):
-    """Sketches to the postings of their first values, frequent ones last."""
+def _poster(k: int, similarity: float, deviations: float, filters):
+    """Sketches to the postings of their first values, frequent ones last.
+
+    Values that surely no other sketch retains need no list. The filter of the others has a fixed size:
+    the more values there are, the more of the rest pass, for the join of the lists to drop.
+    """
+
+    def among(bits: np.ndarray, v: np.ndarray, size: int) -> np.ndarray:
+        slot = v & (size - 1)
+        return (bits[slot >> 6] >> (slot & 63)) & 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        levels, several = filters.value
         for batch in batches:
             values, classes, sizes, rests = [], [], [], []
             rows = zip(*(batch.column(c).to_pylist() for c in ("cls", "n_shingles")), batch.column("sketch"), strict=True)
             for name, n, sketch in rows:
                 v = sketch.values.to_numpy()
                 kept = _kept(n, k, similarity, deviations)
-                slot = v & (BITS - 1)
-                level = sum(((m[slot >> 6] >> (slot & 63)) & 1 for m in levels.value), np.zeros(len(v), np.int64))
-                values.append(v[np.lexsort((v, level))[:kept]])
-                classes.append(np.full(kept, name, np.int64))
-                sizes.append(np.full(kept, n, np.int64))
-                rests.append(np.arange(len(v), len(v) - kept, -1))
+                level = sum((among(m, v, BITS) for m in levels), np.zeros(len(v), np.int64))
+                first = v[np.lexsort((v, level))[:kept]]
+                met = np.flatnonzero(among(several, first, SEVERAL))
+                values.append(first[met])
+                classes.append(np.full(len(met), name, np.int64))
+                sizes.append(np.full(len(met), n, np.int64))
+                rests.append(len(v) - met)
             if values:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(x)) for x in (values, classes, sizes, rests)], names=["value", "cls", "n", "rest"]
@@ -181,72 +198,111 @@ def _poster(k: int, similarity: float, deviations: float, levels):
     return run
 
 
-def _levels(values: DataFrame, folder: str) -> list[np.ndarray]:
+def _counted(values: DataFrame, folder: str) -> DataFrame:
+    """How many sketches retain each value that several do; values go by their low bits, which tell them apart but for few."""
+    key = F.col("value").bitwiseAND(F.lit(KEY)).alias("key")
+    return stored(values.groupBy(key).agg(F.count("*").alias("n")).filter("n > 1"), "counts", folder)
+
+
+def _filter(counts: DataFrame, bits: int) -> np.ndarray:
+    return bits_of(counts.select(F.pmod(F.col("key"), F.lit(bits))), bits)
+
+
+def _levels(counts: DataFrame) -> list[np.ndarray]:
     """Filters of the values that many sketches retain, each level rarer than the next."""
-    counts = values.groupBy("value").agg(F.count("*").alias("n")).filter(F.col("n") >= OFTEN)
-    counts = stored(counts, "frequent", folder)
     # one row for each power of two
     tally = {r.power: r["count"] for r in counts.groupBy(F.floor(F.log2("n")).alias("power")).count().collect()}
     least = OFTEN.bit_length() - 1
     while sum(n for power, n in tally.items() if power >= least) > FREQUENT:
         least += 1
-    slot = F.pmod(F.col("value"), F.lit(BITS))
-    return [bits_of(counts.filter(F.col("n") >= (1 << least) * times).select(slot), BITS) for times in LEVELS]
+    return [_filter(counts.filter(F.col("n") >= (1 << least) * times), BITS) for times in LEVELS]
 
 
-def _setter(words: int, glance: int):
+def _setter(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, size=SLICE):
             sets = [s for s in shingle_sets(texts_of(batch), words) if len(s)]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([set_key(s) for s in sets], pa.int64()),
-                    pa.array([(s[:glance] >> 32).astype(np.int32) for s in sets], pa.list_(pa.int32())),
                     pa.array([len(s) for s in sets], pa.int32()),
                     pa.array(sets, pa.list_(pa.int64())),
                 ],
-                names=["cls", "glance", "n", "items"],
+                names=["cls", "n", "items"],
             )
 
     return run
 
 
-def _beside(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs ``(pivot, member)`` with the columns of both sides, ``p_`` before those of the pivot.
+_TILE = ["block", "row", "column"]
+
+
+def _blocks(pairs: DataFrame, sets: DataFrame, folder: str) -> DataFrame:
+    """Pairs with the tile that they are compared in.
 
-    Each pair moves what belongs to its member; what belongs to a pivot is sent once for every 64th of
-    its members, so that no task gets all of them.
+    A block is named by the least text that a pair's ends meet in any pair, so texts of one group of
+    copies mostly share one block, and each set is sent to it once instead of once for each pair. Blocks
+    of more than ``TILE`` shingles, or of more pairs than ``PAIRS``, are cut into tiles by both ends.
     """
-    salted = pairs.withColumn("salt", F.pmod(F.xxhash64("member"), F.lit(64)))
-    pivots = sets.withColumnsRenamed({"cls": "pivot"} | {c: f"p_{c}" for c in sets.columns if c != "cls"})
-    sent = salted.select("pivot", "salt").distinct().join(pivots, "pivot")
-    return salted.join(sets.withColumnRenamed("cls", "member"), "member").join(sent, ["pivot", "salt"])
+    ends = pairs.select(F.col("pivot").alias("cls"), F.col("member").alias("other")).unionByName(
+        pairs.select(F.col("member").alias("cls"), F.col("pivot").alias("other"))
+    )
+    lows = ends.groupBy("cls").agg(F.min("other").alias("low")).withColumn("low", F.least("low", "cls"))
+    lows = stored(lows.join(sets.select("cls", "n"), "cls"), "lows", folder)
+    named = pairs
+    for end in ("pivot", "member"):
+        named = named.join(lows.select(*(F.col(c).alias(f"{end}_{c}") for c in lows.columns)), F.col(end) == F.col(f"{end}_cls"))
+    block = F.least("pivot_low", "member_low").alias("block")
+    named = stored(named.select(block, "pivot", "member", "pivot_n", "member_n"), "named", folder)
+
+    held = named.select(
+        "block",
+        F.explode(F.array(*(F.struct(F.col(e).alias("cls"), F.col(f"{e}_n").alias("n")) for e in ("pivot", "member")))).alias("end"),
+    )
+    weights = held.distinct().groupBy("block").agg(F.sum("end.n").alias("shingles"))
+    counts = named.groupBy("block").agg(F.count("*").alias("pairs"))
+    tiles = F.ceil(F.greatest(F.col("shingles") / TILE, F.sqrt(F.col("pairs") / PAIRS)))
+    large = weights.join(counts, "block").select("block", tiles.alias("tiles")).filter("tiles > 1")
+    large = stored(large, "large", folder)
+    part = lambda end: F.pmod(F.xxhash64(end), F.coalesce("tiles", F.lit(1)))
+    return named.join(large, "block", "left").select(
+        "block", part("pivot").alias("row"), part("member").alias("column"), "pivot", "member"
+    )
 
 
-def _likely(pairs: DataFrame, sets: DataFrame, similarity: float, deviations: float, glance: int) -> DataFrame:
-    """Pairs that the union sketch does not rule out.
+def _similar(a: np.ndarray, b: np.ndarray, similarity: float, deviations: float, glance: int) -> bool:
+    """Whether two sorted sets are similar enough: their union sketch first, then the sets, in integers.
 
     The union sketch is the ``glance`` smallest values of both; those in both, counted against its
-    size, estimate the similarity. There is no margin where it holds both sets whole. Of each
-    value 32 bits are compared, which can only add to what two sketches share.
+    size, estimate the similarity. There is no margin where it holds both sets whole, and without a
+    glance the sets decide alone.
     """
-    both = _beside(pairs, sets.select("cls", "n", "glance"))
-    union = F.array_union("glance", "p_glance")
-    whole = (F.greatest("n", "p_n") <= glance) & (F.size(union) <= glance)
-    margin = F.when(whole, F.lit(1.0)).otherwise(deviations * (similarity * (1 - similarity) * glance) ** 0.5 + 1)
-    least = F.slice(F.array_sort(union), 1, glance)
-    met = F.size(F.array_intersect(F.array_intersect("glance", "p_glance"), least))
-    return both.filter(met >= F.size(least) * F.lit(similarity) - margin).select("pivot", "member")
+    if glance:
+        least = np.union1d(a[:glance], b[:glance])
+        margin = 1.0 if len(least) <= glance and max(len(a), len(b)) <= glance else deviations * (similarity * (1 - similarity) * glance) ** 0.5 + 1
+        least = least[:glance]
+        met = len(least) and np.isin(least, a[:glance]) & np.isin(least, b[:glance])
+        if np.sum(met) < len(least) * similarity - margin:
+            return False
+    hundred = round(similarity * 100)
+    met = len(np.intersect1d(a, b, assume_unique=True))
+    return met * (100 + hundred) >= (len(a) + len(b)) * hundred
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """Pairs whose full sets are similar enough, in integers, as edges ``(a, b)``."""
-    hundred = round(similarity * 100)
-    both = _beside(pairs, sets.select("cls", "n", "items"))
-    met = F.size(F.array_intersect("items", "p_items"))
-    return both.filter(met * (100 + hundred) >= (F.col("n") + F.col("p_n")) * hundred).select(
-        F.least("pivot", "member").alias("a"), F.greatest("pivot", "member").alias("b")
-    )
+def _verified(pairs: DataFrame, sets: DataFrame, similarity: float, deviations: float, glance: int, folder: str) -> DataFrame:
+    """Pairs whose full sets are similar enough, as edges ``(a, b)``; tiles of pairs meet their sets."""
+    tiled = _blocks(pairs, sets, folder)
+    tile = [f"to_{c}" for c in _TILE]
+    ends = tiled.select(*(F.col(c).alias(f"to_{c}") for c in _TILE), F.explode(F.array("pivot", "member")).alias("cls")).distinct()
+    carried = ends.join(sets.select("cls", "items"), "cls")
+
+    def compare(pairs: pa.Table, sets: pa.Table) -> pa.Table:
+        items = dict(zip(sets.column("cls").to_pylist(), (x.values.to_numpy() for x in sets.column("items")), strict=True))
+        ends = zip(pairs.column("pivot").to_pylist(), pairs.column("member").to_pylist(), strict=True)
+        near = [(min(p, m), max(p, m)) for p, m in ends if _similar(items[p], items[m], similarity, deviations, glance)]
+        return pa.table([pa.array([e[i] for e in near], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+    return tiled.groupBy(*_TILE).cogroup(carried.groupBy(*tile)).applyInArrow(compare, "a long, b long")
 
 
 def near_groups(
@@ -283,8 +339,9 @@ def near_groups(
     keyed = stored(rows.drop("sketch", "seeds"), "keyed")
     classes = keyed.filter("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("least"))
 
-    levels = _levels(rows.filter("cls IS NOT NULL").select(F.explode("sketch").alias("value")), folder)
-    poster = _poster(k, similarity, deviations, spark.sparkContext.broadcast(levels))
+    counts = _counted(rows.filter("cls IS NOT NULL").select(F.explode("sketch").alias("value")), folder)
+    filters = _levels(counts), _filter(counts, SEVERAL)
+    poster = _poster(k, similarity, deviations, spark.sparkContext.broadcast(filters))
     sketches = rows.filter("cls IS NOT NULL").select("cls", "n_shingles", "sketch")
     postings = stored(sketches.mapInArrow(poster, "value long, cls long, n long, rest long"), "postings", folder)
     shared = (
@@ -302,7 +359,7 @@ def near_groups(
         ends = pairs.select(F.explode(F.array("pivot", "member")).alias("cls")).distinct()
         wanted = stored(ends.join(classes, "cls").select(F.col("least").alias("wanted")).distinct(), "wanted", folder)
         some = texts.filter(maybe_in(wanted)(F.col("doc_id"))).join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi")
-        setter, schema = _setter(words, glance), "cls long, glance array<int>, n int, items array<long>"
+        setter, schema = _setter(words), "cls long, n int, items array<long>"
         if repeated:
             same = F.col("doc_id").eqNullSafe(F.col("again"))
             twice = some.join(again, same, "left_semi").mapInArrow(setter, schema).dropDuplicates(["cls"])
@@ -310,8 +367,7 @@ def near_groups(
         else:
             sets = some.mapInArrow(setter, schema)
         sets = stored(sets, "sets", folder)
-        likely = pairs if exact else stored(_likely(pairs, sets, similarity, deviations, glance), "likely", folder)
-        return stored(_confirmed(likely, sets, similarity), "links", folder)
+        return stored(_verified(pairs, sets, similarity, deviations, glance, folder), "links", folder)
 
     labels = _joined(None, linked(_seed_pairs(rows, similarity, folder)), folder)
     chance = GROWTH

@@ -129,6 +129,19 @@ def test_pivots_reach_every_pair_of_a_list(spark):
     assert {r.doc_id: r.component_id for r in got} == component
 
 
+def test_tiles_change_nothing(spark, monkeypatch):
+    # one block of 60 texts, cut into tiles by the size of its sets and by its pairs
+    rng = np.random.default_rng(21)
+    base = [f"b{k}" for k in range(80)]
+    rows = [(i, " ".join(w if rng.random() > 0.02 else f"v{i}" for w in base)) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    component, _ = data.near_components(rows)
+    for name, size in (("TILE", 400), ("PAIRS", 5)):
+        with monkeypatch.context() as m:
+            m.setattr(near_dedup, name, size)
+            assert {r.doc_id: r.component_id for r in near_dedup.near_groups(docs).collect()} == component
+
+
 def test_shared_values_are_not_overrated():
     # what two similar sets share is never less than the bound, for whole sets and sketches
     rng = np.random.default_rng(2)
@@ -593,12 +606,12 @@ def test_near_duplicates_without_estimates(spark):
 
 def test_frequent_values_come_last_at_any_size(spark, monkeypatch, folder):
     rows = [(v,) for v in range(40) for _ in range(9 if v < 10 else 70 if v < 13 else 2)]
-    found = near_dedup._levels(spark.createDataFrame(rows, "value long"), folder)
+    found = near_dedup._levels(near_dedup._counted(spark.createDataFrame(rows, "value long"), folder))
     held = lambda m, v: bool(m[v >> 6] >> (v & 63) & 1)
     assert [[v for v in range(40) if held(m, v)] for m in found] == [list(range(13)), [10, 11, 12], [10, 11, 12], [], []]
     # more frequent values than a level may hold: only the most frequent are told apart
     monkeypatch.setattr(near_dedup, "FREQUENT", 4)
-    found = near_dedup._levels(spark.createDataFrame(rows, "value long"), folder)
+    found = near_dedup._levels(near_dedup._counted(spark.createDataFrame(rows, "value long"), folder))
     assert [v for v in range(40) if held(found[0], v)] == [10, 11, 12]
 
 
