@@ -205,10 +205,12 @@ def stream_deduplicated(spark, sf_dir):
         ),
     ):
         publish(sent, topic)
-        H.silver_stream(
+        started = H.silver_stream(
             read_stream(spark, topic), H.QUAKE, f"{root}/table", f"{root}/checkpoint",
             dedup="60 days", late=f"{root}/late", trigger=H.ONCE,
-        )["table"].awaitTermination()
+        )
+        for running in started.values():
+            running.awaitTermination()
     kind = F.when(F.col("id").isNull(), "without id").when(F.col("timestamp").isNull(), "without time")
     kept = spark.read.parquet(f"{root}/table").select(kind.otherwise("once").alias("kind"))
     late = spark.read.parquet(f"{root}/late").select(F.lit("late").alias("kind"))

@@ -12,6 +12,12 @@ from pyspark.sql import functions as F
 from hazardlake.schemas import MESSAGE
 
 FILES = "parquet"
+#: Bytes of landed files that a micro-batch takes; a larger backlog is several of them. Messages are about ten
+#: times as large in memory, beside what is parsed out of them.
+BATCH_BYTES = 64 << 20
+#: Bytes of a row group of landed messages, compressed. A file is split at row groups, and a reader holds the
+#: values of up to 4096 rows of one: with the usual size, hundreds of megabytes of whole documents.
+GROUP_BYTES = 2 << 20
 
 
 def _kafka_messages(df: DataFrame) -> DataFrame:
@@ -26,12 +32,16 @@ def read_stream(spark: SparkSession, topic: str, fmt: str = FILES, **options: st
     """Messages of a topic from the earliest on, as ``(message_id, key, value)``.
 
     ``topic`` is a topic name for Kafka and a folder otherwise. Progress is kept in the
-    checkpoint of the query that reads the stream.
+    checkpoint of the query that reads the stream. A micro-batch of a folder takes files of
+    ``BATCH_BYTES`` unless the options say how much, so what its tasks hold does not grow with the
+    backlog; for Kafka ``maxOffsetsPerTrigger`` says it, in messages.
     """
     if fmt == "kafka":
         reader = spark.readStream.format("kafka").option("subscribe", topic)
         reader = reader.option("startingOffsets", "earliest").options(**options)
         return _kafka_messages(reader.load())
+    if not {"maxfilespertrigger", "maxbytespertrigger"} & {name.lower() for name in options}:
+        options["maxBytesPerTrigger"] = str(BATCH_BYTES)
     return spark.readStream.schema(MESSAGE).options(**options).format(fmt).load(topic)
 
 
@@ -59,6 +69,8 @@ def publish(
             **options
         ).save()
     else:
+        if fmt == "parquet":
+            options = {"parquet.block.size": str(GROUP_BYTES)} | options
         df.select("message_id", "key", "value").write.format(fmt).mode(mode).options(
             **options
         ).save(topic)

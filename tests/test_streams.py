@@ -8,6 +8,7 @@ import re
 import time
 from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
@@ -496,3 +497,27 @@ def test_too_many_failures_end_the_supervision(spark, folder):
             attempts=2, sleep=waits.append,
         )
     assert waits == [60]
+
+
+def test_backlog_is_taken_in_batches_of_bounded_size(spark, folder, monkeypatch):
+    """What a task holds of a stream does not grow with what has landed."""
+    send(spark, f"{folder}/topic", documents()[:2] * 3)
+    largest = max(p.stat().st_size for p in Path(f"{folder}/topic").glob("*.parquet"))
+    monkeypatch.setattr("hazardlake.sources.topics.BATCH_BYTES", 2 * largest)
+    batches = []
+    H.tail_stream(
+        read_stream(spark, f"{folder}/topic"), f"{folder}/c", lambda b, i: batches.append(b.count()), H.ONCE
+    ).awaitTermination()
+    assert sum(batches) == 6 and max(batches) <= 2 < len(batches)
+
+
+def test_topic_files_can_be_split(spark, folder):
+    """One file of large messages has several row groups."""
+    text = F.expr("array_join(transform(sequence(1, 400), i -> sha2(concat(id, '-', i), 256)), '')")
+    rows = spark.range(400).select(
+        F.col("id").cast("string").alias("message_id"), F.lit("k").alias("key"), text.alias("value")
+    )
+    publish(rows.coalesce(1), f"{folder}/topic")
+    (file,) = Path(f"{folder}/topic").glob("*.parquet")
+    assert pq.ParquetFile(file).metadata.num_row_groups > 1
+    assert read_messages(spark, f"{folder}/topic").distinct().count() == 400
