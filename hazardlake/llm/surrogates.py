@@ -299,6 +299,23 @@ def _exchanged(left: DataFrame, key: str) -> DataFrame:
     return dealt.select("kind", "value", F.when(F.col("next") == F.col("value"), turned).otherwise(F.col("next")).alias("surrogate"))
 
 
+#: Stands between the parts of a text: a code point that is no character.
+_MARK = "\uffff"
+
+
+def _parts_of(text: Column) -> Column:
+    """A text taken apart by one search: a gap, then for each entity what makes it a secret (or an empty
+    text), the entity, and the gap behind it. Null without entities."""
+    once = F.split(F.regexp_replace(text, ENTITY, f"{_MARK}$1{_MARK}$0{_MARK}"), _MARK, -1)
+    # a text that holds the mark itself is searched for gaps, entities and secrets one after the other
+    secrets, entities = (F.regexp_extract_all(text, F.lit(ENTITY), F.lit(group)) for group in (1, 0))
+    behind = F.zip_with(F.arrays_zip(secrets.alias("s"), entities.alias("e")), F.slice(F.split(text, ENTITY, -1), 2, 1 << 30),
+                        lambda m, gap: F.array(m["s"], m["e"], gap))
+    apart = F.concat(F.slice(F.split(text, ENTITY, -1), 1, 1), F.flatten(behind))
+    parts = F.when(text.contains(_MARK), apart).otherwise(once)
+    return F.element_at(F.transform(F.array(parts), lambda p: F.when(F.size(p) > 1, p)), 1)
+
+
 def with_surrogates(docs: DataFrame, key: str) -> DataFrame:
     """``(row, masked, replaced)`` for each row of ``docs``: all columns as they were, the text
     with surrogates, and the number of replacements.
@@ -307,22 +324,23 @@ def with_surrogates(docs: DataFrame, key: str) -> DataFrame:
     stays null, an empty one empty, and a text without entities as it is. Copies of a text are
     replaced alike. An empty table gives an empty result.
     """
-    # each match behind a sign that says whether it is a secret by its place
-    matches = F.zip_with(
-        F.regexp_extract_all("text", F.lit(ENTITY), F.lit(0)),
-        F.regexp_extract_all("text", F.lit(ENTITY), F.lit(1)),
-        lambda m, secret: F.concat(F.when(secret != "", F.lit("s")).otherwise(F.lit("-")), m),
-    )
     whole = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text").cast("string").alias("text")
     )
-    possible = F.col("text").isNotNull() & F.col("text").rlike(MAYBE)
-    looked = whole.withColumn("matches", F.when(possible, matches).otherwise(F.array().cast("array<string>")))
-    found = stored(
-        looked.filter(F.size("matches") > 0)
+    # the patterns are most of the work, so a text is taken apart once and the parts of all rows are kept
+    looked = stored(whole.select("row", F.when(F.col("text").rlike(MAYBE), _parts_of(F.col("text"))).alias("parts")), "matches")
+    found = (
+        looked.filter("parts IS NOT NULL")
+        .withColumn("text", F.col("row.text").cast("string"))
         # copies share the work
-        .withColumn("key", F.sha2("text", 256)),
-        "matches",
+        .withColumn("key", F.sha2("text", 256))
+        # each match behind a sign that says whether it is a secret by its place
+        .withColumn(
+            "matches",
+            F.expr("transform(sequence(2, size(parts) - 2, 3), i -> if(parts[i - 1] != '', 's', '-') || parts[i])"),
+        )
+        .withColumn("gaps", F.expr("filter(parts, (part, i) -> i % 3 = 0)"))
+        .drop("parts")
     )
     raws = found.select(F.explode(F.array_distinct("matches")).alias("raw")).distinct()
     match = F.expr("substring(raw, 2)")
@@ -375,7 +393,6 @@ def with_surrogates(docs: DataFrame, key: str) -> DataFrame:
     )
     changed = (
         found.join(maps, "key", "left")
-        .withColumn("gaps", F.split("text", ENTITY, -1))
         .withColumn(
             "again",
             F.when(some, F.aggregate(F.flatten(F.transform("gaps", words_of)), F.lit(0), lambda n, w: n + hits(w))).otherwise(0),
@@ -389,5 +406,5 @@ def with_surrogates(docs: DataFrame, key: str) -> DataFrame:
             .alias("replaced"),
         )
     )
-    rest = looked.filter(F.size("matches") == 0).select("row", F.col("text").alias("masked"), F.lit(0).alias("replaced"))
+    rest = looked.filter("parts IS NULL").select("row", F.col("row.text").cast("string").alias("masked"), F.lit(0).alias("replaced"))
     return rest.unionByName(changed)

@@ -516,6 +516,18 @@ def test_names_are_replaced_in_the_whole_text(spark):
     assert m and got[4].replaced == 7
 
 
+def test_surrogates_search_each_text_once(spark):
+    text = 'Mail bob@site.org{} or card 4111 1111 1111 1111, password: "a b"; Dr Smith, Smith said'
+    docs = spark.createDataFrame([(1, text.format(" \uffff ")), (2, text.format("  "))], "doc_id int, text string")
+    found = surrogates.with_surrogates(docs, "k")
+    got = {r.doc_id: r for r in found.select("row.doc_id", "masked", "replaced").collect()}
+    # a text that holds the mark between parts is replaced like any other
+    assert got[1].masked.replace(" \uffff ", "  ") == got[2].masked and got[1].replaced == got[2].replaced == 5
+    # entities are searched for while the parts are stored, not again by those who read the result
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "(?<![A-Za-z0-9._%+-])" in surrogates.ENTITY and "(?<![A-Za-z0-9._%+-])" not in plan
+
+
 def test_surrogates_stay_distinct_in_a_small_space(spark):
     # 36 addresses of one letter or digit: draws collide at once
     names = [f"{c}@x.org" for c in "abcdefghijklmnopqrstuvwxyz0123456789"]
