@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hazardlake.llm import packing, surrogates, toxicity
-from hazardlake.llm.common import maybe_in, stored
+from hazardlake.llm.common import maybe_in, small_batches, stored
 from hazardlake.llm.near_dedup import near_groups
 from hazardlake.llm.queries import SURROGATE_KEY, toxicity_model
 from hazardlake.llm.span_dedup import without_repeats
@@ -38,6 +38,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Null and empty texts are scored without evidence and stay; repeated rows are scored each, ties at the
     threshold go. No documents give none, whatever their columns are called.
     """
+    small_batches(spark)
     scored = toxicity.score_documents(docs, toxicity_model(spark, sf_dir))
     return _as_documents(scored.filter(F.col("score") < toxicity.THRESHOLD))
 

@@ -10,7 +10,8 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hazardlake.session import scratch_path
@@ -141,6 +142,19 @@ def stored(df: DataFrame, label: str, folder: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of the batches of rows that go to Python.
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """From now on the session's Arrow batches end at ``BATCH_BYTES``.
+
+    Texts make batches of 10000 rows large, and the JVM and the Python worker of every task hold
+    some of them at once. Only memory depends on it, no result does.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 #: Bits of the filter that ``maybe_in`` broadcasts, 8 MB whatever the data.
 FILTER_BITS = 1 << 26
 
@@ -159,29 +173,48 @@ def bits_of(slots: DataFrame, bits: int) -> np.ndarray:
     return masks
 
 
-def bit_set(slots: DataFrame, bits: int) -> Callable[[Column], Column]:
-    """A test whether a slot is among ``slots``, as ``bits_of`` takes them."""
-    shared = slots.sparkSession.sparkContext.broadcast(bits_of(slots, bits))
+def is_set(bits: np.ndarray, slots: np.ndarray) -> np.ndarray:
+    """Whether the bits of the slots are set, as ``bits_of`` made them."""
+    return (bits[slots >> 6] >> (slots & 63)) & 1 == 1
 
+
+def _bit_test(shared: Broadcast) -> Callable[[Column], Column]:
     @F.pandas_udf("boolean")
     def test(slots: pd.Series) -> pd.Series:
-        s = slots.to_numpy()
-        return pd.Series((shared.value[s >> 6] >> (s & 63)) & 1 == 1)
+        return pd.Series(is_set(shared.value, slots.to_numpy()))
 
     return test
 
 
-def maybe_in(ids: DataFrame) -> Callable[[Column], Column]:
+def bit_set(slots: DataFrame, bits: int) -> Callable[[Column], Column]:
+    """A test whether a slot is among ``slots``, as ``bits_of`` takes them."""
+    return _bit_test(slots.sparkSession.sparkContext.broadcast(bits_of(slots, bits)))
+
+
+def slot_of(column: Column) -> Column:
+    """Where an id stands in the filter of ``id_bits``."""
+    return F.pmod(F.xxhash64(column.cast("long")), F.lit(FILTER_BITS))
+
+
+def id_bits(ids: DataFrame) -> Broadcast:
+    """The filter of ``maybe_in``, for functions that test the slots of their own rows.
+
+    A task that runs two Python functions, one on the rows of the other, has two workers, with
+    all that they hold: such a test inside the function that needs it saves one.
+    """
+    return ids.sparkSession.sparkContext.broadcast(bits_of(ids.select(slot_of(F.col(ids.columns[0]))), FILTER_BITS))
+
+
+def maybe_in(ids: DataFrame, bits: Broadcast | None = None) -> Callable[[Column], Column]:
     """A test of an id column: false where the id is surely not among ``ids`` (one column).
 
     Rows that fail it need not move for a join with ``ids``. The ids set bits of a filter of
     fixed size; where there are more of them than bits, it lets everything pass and the join
-    decides alone. Only the ids' hashes go to Python, not the rows.
+    decides alone. Only the ids' hashes go to Python, not the rows. ``bits`` is their filter, if
+    it is there already.
     """
-    bits = FILTER_BITS
-    slot = lambda c: F.pmod(F.xxhash64(c.cast("long")), F.lit(bits))
-    test = bit_set(ids.select(slot(F.col(ids.columns[0]))), bits)
-    return lambda column: test(slot(column))
+    test = _bit_test(bits or id_bits(ids))
+    return lambda column: test(slot_of(column))
 
 
 #: Copies of what belongs to one key that rows of that key are dealt to.

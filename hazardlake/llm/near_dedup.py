@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazardlake.llm.common import LOWER, bits_of, maybe_in, mix, slices, span_hashes, stored, texts_of
+from hazardlake.llm.common import LOWER, bits_of, maybe_in, mix, slices, small_batches, span_hashes, stored, texts_of
 from hazardlake.llm.graph import components
 from hazardlake.session import scratch_path
 from hazardlake.sources.tables import remove
@@ -330,6 +330,7 @@ def near_groups(
     Other columns of ``docs`` are ignored. An empty table gives an empty result.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     if exact:
         k = WHOLE
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -359,6 +360,9 @@ def near_groups(
         ends = pairs.select(F.explode(F.array("pivot", "member")).alias("cls")).distinct()
         wanted = stored(ends.join(classes, "cls").select(F.col("least").alias("wanted")).distinct(), "wanted", folder)
         some = texts.filter(maybe_in(wanted)(F.col("doc_id"))).join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi")
+        # one Python function a task: the test of ids is one, the setter is another
+        part = scratch_path(spark, "near")
+        some = stored(some, "texts", part)
         setter, schema = _setter(words), "cls long, n int, items array<long>"
         if repeated:
             same = F.col("doc_id").eqNullSafe(F.col("again"))
@@ -367,6 +371,7 @@ def near_groups(
         else:
             sets = some.mapInArrow(setter, schema)
         sets = stored(sets, "sets", folder)
+        remove(spark, part)
         return stored(_verified(pairs, sets, similarity, deviations, glance, folder), "links", folder)
 
     labels = _joined(None, linked(_seed_pairs(rows, similarity, folder)), folder)

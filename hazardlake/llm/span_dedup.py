@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hazardlake.llm.common import LOWER, maybe_in, mix, slices, span_hashes, stored, texts_of
+from hazardlake.llm.common import LOWER, id_bits, is_set, maybe_in, mix, slices, slot_of, small_batches, span_hashes, stored, texts_of
 
 SENTENCES = 3
 LEAST = 20
@@ -219,6 +219,7 @@ def without_repeats(
     repeats of each other, but a span that repeats within a text is cut there. An empty table
     gives an empty result.
     """
+    small_batches(docs.sparkSession)
     whole = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
         F.col("text").cast("string").alias("text"),
@@ -251,8 +252,20 @@ def without_repeats(
         ]
     )
     # texts without a span that an earlier document has stay where they are
-    some = maybe_in(later.select("id"))(F.col("id"))
-    moved = whole.filter(some).join(later, "id", "left").select("row", "text", "repeated")
-    others = whole.filter(~some).select("row", "text", F.lit(None).cast("array<bigint>").alias("repeated"))
+    ids = later.select("id")
+    bits = id_bits(ids)
+    some = maybe_in(ids, bits)(F.col("id"))
+    moved = stored(whole.filter(some).join(later, "id", "left").select("row", "text", "repeated"), "moved")
+    others = whole.select("row", "text", slot_of(F.col("id")).alias("slot"))
     cutter = _cutter(sentences, least, enough)
-    return others.mapInArrow(cutter, shape).unionByName(moved.mapInArrow(cutter, shape))
+
+    def staying(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def chosen() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                rows = batch.filter(pa.array(~is_set(bits.value, batch.column("slot").to_numpy())))
+                none = pa.nulls(rows.num_rows, pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([rows.column("row"), rows.column("text"), none], names=["row", "text", "repeated"])
+
+        return cutter(chosen())
+
+    return others.mapInArrow(staying, shape).unionByName(moved.mapInArrow(cutter, shape))

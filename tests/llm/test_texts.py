@@ -9,6 +9,7 @@ import zlib
 import data
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from hypothesis import given, settings
@@ -688,3 +689,44 @@ def test_bytes_that_are_no_text(spark):
     cut = {r.id: r.kept for r in span_dedup.without_repeats(docs).selectExpr("row.doc_id AS id", "hex(CAST(kept_text AS BINARY)) AS kept").collect()}
     assert cut[1] == "61FF2062" and cut[2].endswith("FE2E20656E64") and cut[3] == ""
     assert near_dedup.near_groups(docs).count() == 3
+
+
+# memory of tasks
+
+
+def _python_in_a_task(rows) -> int:
+    """The most Python functions that a task of the plan runs, one on the rows of the other."""
+    above, most = [], 0
+    for line in rows._jdf.queryExecution().executedPlan().toString().split("\n"):
+        name = re.search(r"[A-Za-z]\w*", line)
+        if name is None:
+            continue
+        while above and above[-1][0] >= name.start():
+            above.pop()
+        n = 0 if "Exchange" in name[0] or not above else above[-1][1]
+        n += name[0] in ("ArrowEvalPython", "MapInArrow", "FlatMapCoGroupsInArrow")
+        above.append((name.start(), n))
+        most = max(most, n)
+    return most
+
+
+def test_a_task_runs_one_python_function(spark, docs, monkeypatch):
+    counts = []
+    for module in (near_dedup, span_dedup):
+
+        def spied(rows, *a, keep=module.stored):
+            counts.append(_python_in_a_task(rows))
+            return keep(rows, *a)
+
+        monkeypatch.setattr(module, "stored", spied)
+    counts += [_python_in_a_task(near_dedup.near_groups(docs)), _python_in_a_task(span_dedup.without_repeats(docs))]
+    assert max(counts) == 1
+
+
+def test_batches_for_python_are_small(spark):
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    texts = spark.range(600).select(F.col("id").alias("doc_id"), F.repeat(F.md5(F.col("id").cast("string")), 1500).alias("text")).coalesce(1)
+    sizes = lambda batches: (pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["size"]) for b in batches)
+    rows = near_dedup.near_groups(texts)
+    assert texts.mapInArrow(sizes, "size long").agg(F.max("size")).first()[0] < 2 * common.BATCH_BYTES
+    assert rows.count() == 600
