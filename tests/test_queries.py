@@ -86,3 +86,18 @@ def test_generated_methods_stay_small_enough_to_be_compiled(spark):
             assert max(sizes, default=0) < 8000, name
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_a_layer_of_one_file_is_written_without_a_shuffle(spark, monkeypatch):
+    from hazardlake.queries import QUERIES, quality
+
+    plans, write = {}, quality.write_table
+
+    def spied(rows, path, files):
+        plans[files] = rows._jdf.queryExecution().executedPlan().toString()
+        write(rows, path, files=files)
+
+    monkeypatch.setattr(quality, "write_table", spied)
+    rows = {r.layer: (r.files, r.ok) for r in QUERIES["volume_check"](spark, "/root/testdata/sf0.001").collect()}
+    assert rows == {"events": (3, True), "orders": (1, True), "absent": (0, False)}
+    assert "Exchange" not in plans[1]
