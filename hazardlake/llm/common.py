@@ -142,17 +142,22 @@ def stored(df: DataFrame, label: str, folder: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-#: Bytes of the batches of rows that go to Python.
+#: Bytes and rows of the batches that go to Python.
 BATCH_BYTES = 4 << 20
+BATCH_ROWS = 2048
 
 
 def small_batches(spark: SparkSession) -> None:
-    """From now on the session's Arrow batches end at ``BATCH_BYTES``.
+    """From now on the session's Arrow batches end at ``BATCH_BYTES`` and ``BATCH_ROWS``, if they did not end before.
 
     Texts make batches of 10000 rows large, and the JVM and the Python worker of every task hold
-    some of them at once. Only memory depends on it, no result does.
+    some of them at once; a Python filter makes the JVM hold the whole rows of its batch, however
+    little of them it sees. Only memory depends on it, no result does.
     """
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    for key, most in (("maxBytesPerBatch", BATCH_BYTES), ("maxRecordsPerBatch", BATCH_ROWS)):
+        now = spark.conf.get(f"spark.sql.execution.arrow.{key}").rstrip("b")
+        if not now.isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(f"spark.sql.execution.arrow.{key}", str(most))
 
 
 #: Bits of the filter that ``maybe_in`` broadcasts, 8 MB whatever the data.

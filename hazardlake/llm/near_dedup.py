@@ -59,7 +59,7 @@ SEEDS = ((0, 1), (2, 3), (0, 2), (1, 3))
 SMALL = 256
 GROWTH = 32
 #: Bytes of text that a worker makes sets of at a time.
-SLICE = 1 << 19
+SLICE = 1 << 18
 #: Pairs of lists that a worker looks at in one step, and pairs of a tile.
 PAIRS = 1 << 18
 #: Shingles of the sets that meet in one tile, twice over.

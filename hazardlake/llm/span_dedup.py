@@ -54,6 +54,8 @@ _ANY_END = re.compile(
 _UNSPACED = re.compile(f"[{UNSPACED}]")
 _OTHER_ENDS = re.compile(f"[{MARKS}{LINES}{CLAUSES}]")
 _STEP = np.uint64(0xD1342543DE82EF95)
+#: Bytes of text that a worker looks at together.
+SLICE = 1 << 18
 
 
 def sentences_of(text: bytes) -> list[int]:
@@ -147,7 +149,7 @@ def _first_places(hashes: np.ndarray) -> np.ndarray:
 
 def _emitter(sentences: int, least: int, enough: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, size=SLICE):
             spans = Spans(texts_of(batch), sentences, least, enough)
             ids = batch.column("id").to_numpy(zero_copy_only=False)
             hashes = [np.unique(spans.of(k)[2]) for k in range(batch.num_rows)]
@@ -179,7 +181,7 @@ def _cutter(sentences: int, least: int, enough: int):
         return b"".join(kept), int(covered.sum())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, size=SLICE):
             texts = texts_of(batch)
             spans = Spans(texts, sentences, least, enough)
             repeated = batch.column("repeated").to_pylist()

@@ -25,6 +25,8 @@ BUCKETS = 1 << 18
 #: Bound of the training sample, rows of each label.
 PER_LABEL = 2000
 THRESHOLD = 0.3
+#: Bytes of text that a worker looks at together.
+SLICE = 1 << 18
 
 #: ASCII letters and whatever is not ASCII make words.
 _WORD = np.array([97 <= b <= 122 or b >= 128 for b in range(256)])
@@ -157,7 +159,7 @@ def train(
 
 
 def _bagged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches):
+    for batch in slices(batches, size=SLICE):
         bags = Bags(texts_of(batch))
         per_sentence = np.bincount(bags.sentence, minlength=len(bags.ends))
         first = np.concatenate(([0], np.cumsum(bags.counts)))
@@ -242,7 +244,7 @@ def score_documents(docs: DataFrame, model: Model, *, threshold: float = THRESHO
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for batch in slices(batches):
+        for batch in slices(batches, size=SLICE):
             texts = texts_of(batch)
             bags = Bags(texts)
             sentences = model.sentence_scores(bags)
