@@ -127,15 +127,19 @@ def write_table(
     partition_by: Sequence[str] = (),
     files: int | None = None,
     fmt: str = "parquet",
+    shares: int | None = None,
 ) -> None:
     """Write a table, by default in files of the size adaptive execution advises.
 
     Rebalancing on the partition columns gives each partition few files and splits a
     partition that holds most of the rows. ``files`` sets the number of files instead and
-    is meant for small tables.
+    is meant for small tables. ``shares`` is for rows that are planned without adaptive
+    execution, where nothing is rebalanced: each partition is dealt to so many tasks at most.
     """
     if files is not None:
         out = df.coalesce(files)
+    elif shares is not None:
+        out = df.repartition(*partition_by, F.pmod(F.xxhash64(*df.columns), F.lit(shares)))
     else:
         out = df.hint("rebalance", *partition_by) if partition_by else df
     writer = out.write.format(fmt).mode(mode)

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Callable, Iterator, Mapping
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import datetime, timezone
 from functools import reduce
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -198,9 +201,9 @@ def _batch_folder(path: str, batch_id: int) -> str:
     return run_folder(path, batch_id, BATCH)
 
 
-def _add(rows: DataFrame, table: str, batch_id: int, fmt: str = "parquet") -> None:
+def _add(rows: DataFrame, table: str, batch_id: int, fmt: str = "parquet", shares: int | None = None) -> None:
     """Rows of a batch into a table partitioned by region and severity, once however often it runs."""
-    write_table(rows, _batch_folder(table, batch_id), partition_by=GROUP, fmt=fmt)
+    write_table(rows, _batch_folder(table, batch_id), partition_by=GROUP, fmt=fmt, shares=shares)
 
 
 def _beside(path: str, name: str) -> str:
@@ -221,22 +224,52 @@ def _keep_bad(bad: DataFrame, quarantine: str, batch_id: int) -> None:
 
 #: Groups of ids, each one entry of the state store.
 ID_GROUPS = 256
+#: Tasks of a query with state, at most: each opens and commits a store in every micro-batch, however little it has.
+STATE_TASKS = 32
+#: Tasks that share a region and severity of a micro-batch, at most, and so its files.
+SHARES = 2
 _FIRST, _LAST = datetime(1700, 1, 1), datetime(2200, 1, 1)
-_SEEN = "ids array<string>, times array<bigint>"
+_SEEN = "seen binary"
 _COUNTED = "row string, late boolean"
+_TIMES = pa.schema([("id", pa.string()), ("at", pa.int64())])
+
+
+@contextmanager
+def _tasks_at_most(spark: SparkSession, most: int) -> Iterator[None]:
+    """Queries started here have no more shuffle partitions; they keep the number in their checkpoint."""
+    name = "spark.sql.shuffle.partitions"
+    usual = spark.conf.get(name)
+    spark.conf.set(name, str(min(int(usual), most)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, usual)
 
 
 def _count_once(gap: int):
-    """Rows of a group of ids that count, given the times that counted before, as the state has them."""
+    """Rows of a group of ids that count, given the times that counted before, as the state has them.
+
+    Only the ids of the batch become Python objects; what else the state has stays in its arrays. They lie in
+    the store as one compressed Arrow batch, as each is read and written in every micro-batch.
+    """
+
+    # nested, so that workers need not import this module
+    def packed(times: pa.Table) -> bytes:
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, times.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            out.write_table(times.combine_chunks())
+        return sink.getvalue().to_pybytes()
+
+    def unpacked(seen: bytes) -> pa.Table:
+        return pa.ipc.open_stream(pa.py_buffer(bytes(seen))).read_all()
 
     def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         # before the second batch there is no watermark and nothing can be late
         horizon = state.getCurrentWatermarkMs() * 1000 or None
-        known = defaultdict(list)
-        if state.exists:
-            for name, at in zip(*state.get, strict=True):
-                if horizon is None or at >= horizon - gap:
-                    known[name].append(at)
+        seen = unpacked(state.get[0]) if state.exists else _TIMES.empty_table()
+        live = seen
+        if horizon is not None:
+            live = seen.filter(pc.greater_equal(seen["at"], pa.scalar(max(horizon - gap, -(1 << 63)), pa.int64())))
         waiting = {}
         for frame in frames:
             late = frame["told"] & (frame["at"] < horizon) if horizon is not None else frame["told"] & False
@@ -245,15 +278,21 @@ def _count_once(gap: int):
                 yield pd.DataFrame({"row": done["row"], "late": late[done.index]})
             for name, at, row in frame.loc[frame["told"] & ~late, ["id", "at", "row"]].itertuples(index=False):
                 waiting[name, at] = min(row, waiting.get((name, at), row))
+        known = defaultdict(list)
+        if waiting and len(live):
+            again = live.filter(pc.is_in(live["id"], value_set=pa.array({name for name, _ in waiting}, pa.string())))
+            for name, at in zip(again["id"].to_pylist(), again["at"].to_pylist(), strict=True):
+                known[name].append(at)
         counted = []
         for name, at in sorted(waiting):
             if all(abs(at - t) > gap for t in known[name]):
                 known[name].append(at)
-                counted.append(waiting[name, at])
-        kept = [(name, at) for name, times in known.items() for at in times]
-        state.update(([name for name, _ in kept], [at for _, at in kept]))
+                counted.append((name, at))
+        if counted or len(live) < len(seen):
+            new = pa.table([[name for name, _ in counted], [at for _, at in counted]], schema=_TIMES)
+            state.update((packed(pa.concat_tables([live, new])),))
         if counted:
-            yield pd.DataFrame({"row": counted, "late": False})
+            yield pd.DataFrame({"row": [waiting[one] for one in counted], "late": False})
 
     return run
 
@@ -271,11 +310,13 @@ def deduplicated(rows: DataFrame, span: str, time: Column, groups: int = ID_GROU
     """
     spark = rows.sparkSession
     gap = spark.range(1).select(F.unix_micros(F.timestamp_seconds(F.lit(0)) + F.expr(f"INTERVAL {span}"))).first()[0]
-    # the row is one text while it is outside the JVM; times are numbers in it, to the microsecond
+    # the row is one text while it is outside the JVM; times are numbers in it, to the microsecond. Its names are
+    # short, as they are much of it, and in the order of the columns' names, so texts compare as with those
     times = [f.name for f in rows.schema if isinstance(f.dataType, TimestampType)]
-    flat_type = StructType([StructField(f.name, LongType() if f.name in times else f.dataType) for f in rows.schema])
+    short = {c: f"{i:0{len(str(len(rows.columns)))}}" for i, c in enumerate(sorted(rows.columns))}
+    flat_type = StructType([StructField(short[f.name], LongType() if f.name in times else f.dataType) for f in rows.schema])
     told = F.col("id").isNotNull() & F.col("_time").isNotNull()
-    text = F.to_json(F.struct(*[F.unix_micros(c).alias(c) if c in times else F.col(c) for c in rows.columns]))
+    text = F.to_json(F.struct(*[(F.unix_micros(c) if c in times else F.col(c)).alias(short[c]) for c in rows.columns]))
     keyed = rows.withColumns({"_time": time, "_row": text}).select(
         F.col("_row").alias("row"),
         # pandas has no times beyond these; the watermark does not need them
@@ -288,7 +329,8 @@ def deduplicated(rows: DataFrame, span: str, time: Column, groups: int = ID_GROU
     grouped = keyed.withWatermark("_time", span).groupBy("lot")
     out = grouped.applyInPandasWithState(_count_once(gap), _COUNTED, _SEEN, "append", GroupStateTimeout.NoTimeout)
     back = out.select(F.from_json("row", flat_type).alias("r"), "late")
-    return back.select(*[F.timestamp_micros(f"r.{c}").alias(c) if c in times else F.col(f"r.{c}") for c in rows.columns], "late")
+    fields = {c: F.col("r")[short[c]] for c in rows.columns}
+    return back.select(*[(F.timestamp_micros(f) if c in times else f).alias(c) for c, f in fields.items()], "late")
 
 
 def silver_stream(
@@ -339,7 +381,8 @@ def silver_stream(
     def keep(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         if not batch.isEmpty():
-            _add(batch.filter("NOT late").drop("late"), table, batch_id, table_format)
+            # planned without adaptive execution, as is all of a query with state
+            _add(batch.filter("NOT late").drop("late"), table, batch_id, table_format, shares=SHARES)
             behind = batch.filter("late").drop("late")
             if not behind.isEmpty():
                 write_table(behind, _batch_folder(late, batch_id), fmt=table_format)
@@ -348,10 +391,9 @@ def silver_stream(
     if not dedup:
         return {"table": _each_batch(messages, handle, f"{checkpoint}/table", trigger)}
     counted = deduplicated(silver_rows(messages, hazard, now), dedup, hazard.time())
-    return {
-        "table": _each_batch(counted, keep, f"{checkpoint}/table", trigger),
-        "documents": _each_batch(messages, handle, f"{checkpoint}/documents", trigger),
-    }
+    with _tasks_at_most(messages.sparkSession, STATE_TASKS):
+        kept = _each_batch(counted, keep, f"{checkpoint}/table", trigger)
+    return {"table": kept, "documents": _each_batch(messages, handle, f"{checkpoint}/documents", trigger)}
 
 
 def gold_stream(

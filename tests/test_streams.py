@@ -6,8 +6,10 @@ import json
 import random
 import re
 import time
+from collections import Counter
 from pathlib import Path
 
+import pandas as pd
 import pyarrow.parquet as pq
 import pytest
 from pyspark.errors import StreamingQueryException
@@ -436,6 +438,59 @@ def test_deduplication_does_not_depend_on_batches(spark, folder, size):
     assert sorted((r.id, (r.ms - start) // hour) for r in kept) == sorted((n, h) for n, hs in want.items() for h in hs)
 
 
+class Seen:
+    """A group's entry in a state store, and how often it was written."""
+
+    def __init__(self):
+        self.value, self.written, self.watermark = None, 0, 0
+
+    exists = property(lambda self: self.value is not None)
+    get = property(lambda self: self.value)
+
+    def getCurrentWatermarkMs(self):
+        return self.watermark
+
+    def update(self, value):
+        self.value, self.written = value, self.written + 1
+
+
+def test_what_has_counted_costs_few_bytes_and_no_writing(spark):
+    """An entry is read in every micro-batch; of ids that only come again nothing is written."""
+    hour, seen = 3_600_000_000, Seen()
+    count = H._count_once(24 * hour)
+
+    def sent(ids, at):
+        rows = [(f"id{i}", at, f"{i}", True) for i in ids]
+        return sum(len(f) for f in count((0,), iter([pd.DataFrame(rows, columns=["id", "at", "row", "told"])]), seen))
+
+    assert sent(range(20_000), 10 * hour) == 20_000 and seen.written == 1
+    assert isinstance(seen.value[0], bytes) and len(seen.value[0]) < 20 * 20_000
+    assert sent(range(5_000), 11 * hour) == 0 and seen.written == 1
+    assert sent([7, 20_000], 35 * hour) == 2 and seen.written == 2
+    assert sent([7, 20_000, 8], 36 * hour) == 1 and seen.written == 3
+    size, seen.watermark = len(seen.value[0]), 36 * 3_600_000
+    # what lies further than the span before the watermark goes, the rest still counts
+    assert sent([8], 36 * hour) == 0 and seen.written == 4 and len(seen.value[0]) < size / 10
+    assert sent([9], 35 * hour) == 1 and sent([9], 36 * hour) == 1
+
+
+def test_files_and_state_do_not_grow_with_the_number_of_partitions(spark, folder):
+    events = [quake(f"e{k}", mag=3.0 + k % 3, time=1_704_067_200_000 + k) for k in range(400)]
+    late = [quake(f"e{k}", time=1_600_000_000_000) for k in range(3)]
+    usual = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        paths = run_silver(spark, folder, [{"features": events}, {"features": late}], dedup="1 day", late=f"{folder}/late")
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "40"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", usual)
+    assert spark.read.parquet(paths["table"]).count() == 400 and spark.read.parquet(f"{folder}/late").count() == 3
+    groups = Counter(p.parent for p in Path(paths["table"]).rglob("*.parquet"))
+    assert len(groups) > 1 and max(groups.values()) <= H.SHARES
+    stores = [p for p in Path(f"{folder}/c/table/state/0").iterdir() if p.name.isdigit()]
+    assert len(stores) == H.STATE_TASKS
+
+
 def test_values_pass_the_state_unchanged(spark, folder):
     odd = quake("x", mag=-0.0, time=253_370_764_800_000)  # the year 9999
     odd["properties"] |= {"place": 'quo"ted \n \U0001f642', "sig": 2_147_483_647}
